@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 #: Query and its module.
 WHERE = {
     "op2_exact_dedup": "exact_dedup",
+    "op3_language_id": "language_id",
+    "op4_bpe_automaton": "bpe_automaton",
     "op5_secret_scan": "secrets",
     "op7_simhash": "simhash",
     "op9_quality_rules": "quality",
