@@ -9,12 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Query and its module.
 WHERE = {
+    "op1_html_extract": "html_extract",
     "op2_exact_dedup": "exact_dedup",
     "op3_language_id": "language_id",
     "op4_bpe_automaton": "bpe_automaton",
     "op5_secret_scan": "secrets",
+    "op6_token_counts": "token_counts",
     "op7_simhash": "simhash",
+    "op8_token_files": "token_files",
     "op9_quality_rules": "quality",
+    "op10_packing": "packing",
 }
 
 
