@@ -20,7 +20,8 @@ def uuid3(text: Column, space: str = DNS) -> Column:
     """The name-based (MD5) UUID of a text, as an expression; null of null."""
     h = F.md5(F.concat(F.unhex(F.lit(space)), F.encode(text, "UTF-8")))
     variant = F.lower(F.hex(F.conv(F.substring(h, 17, 2), 16, 10).cast("int").bitwiseAND(63).bitwiseOR(128)))
-    return F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.concat(F.lit("3"), F.substring(h, 14, 3)), F.concat(variant, F.substring(h, 19, 2)), F.substring(h, 21, 12))
+    parts = (F.substring(h, 1, 8), F.substring(h, 9, 4), F.concat(F.lit("3"), F.substring(h, 14, 3)), F.concat(variant, F.substring(h, 19, 2)), F.substring(h, 21, 12))
+    return F.when(text.isNotNull(), F.concat_ws("-", *parts))
 
 
 def stable_id(df: DataFrame, out: str, parts: Sequence[str]) -> DataFrame:
