@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from .common import cut, documents, new_folder
 from .token_files import LITTLE, in_order, serialized
 
-#: Ids compared at once, and bytes of a file that is written (a file is a task's block when it is read).
-SCAN, FILE_BYTES = 1 << 20, 16 << 20
+#: Ids compared at once, and documents of a file that is written (a file is a task's block when it is read).
+SCAN, FILE_ROWS = 1 << 20, 4096
 
 
 def write_flat(df: DataFrame, folder: str, path: str, end: int, id_col: str = "doc_id", text_col: str = "text") -> None:
@@ -30,8 +30,8 @@ def write_flat(df: DataFrame, folder: str, path: str, end: int, id_col: str = "d
     Spark's text writer puts the bytes of a row as they are and its line separator after them. A row has the ids and the lower
     half of the end; the separator, two zero bytes, is the upper half."""
     low = np.array([end], LITTLE).tobytes()[:2]
-    rows = in_order(df, id_col, text_col, "body binary", lambda texts: [pa.array([x + low for x in serialized(texts, path, None)], pa.binary())], FILE_BYTES)
-    rows.select(F.col("body").cast("string").alias("value")).write.option("lineSep", "\0\0").text(folder)
+    rows = in_order(df, id_col, text_col, "body binary", lambda texts: [pa.array([x + low for x in serialized(texts, path, None)], pa.binary())])
+    rows.select(F.col("body").cast("string").alias("value")).write.option("lineSep", "\0\0").option("maxRecordsPerFile", FILE_ROWS).text(folder)
 
 
 def _ends(content: bytes, end: int) -> tuple[np.ndarray, int]:

@@ -32,6 +32,8 @@ from .units import byte_units
 
 SAMPLE, SAMPLE_CHARS, DICTIONARY, LEVEL = 1000, 4096, 65536, 1
 SEGMENT = 1 << 20
+#: Rows of a shard and shards at most.
+SHARD_ROWS, SHARDS = 16384, 10_000
 LITTLE = np.dtype("<u4")
 
 
@@ -63,21 +65,25 @@ def opener(dictionary: bytes) -> zstandard.ZstdDecompressor:
     return zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(dictionary)) if dictionary else zstandard.ZstdDecompressor()
 
 
-def in_order(df: DataFrame, id_col: str, text_col: str, fields: str, work: Callable[[list], list], partition_bytes: int | None = None) -> DataFrame:
-    """What work makes of each text, in ascending order of id over partitions and in them.
-
-    It is written first: finding the ranges reads it again, and shall not encode again. With partition_bytes (of the last field), ranges are
-    as many as that asks for."""
-    spark, staged = df.sparkSession, new_folder(df.sparkSession, "staged-ids")
-    per_text(df, [id_col], text_col, fields, work).write.parquet(staged)
-    made = spark.read.parquet(staged)
-    names = [c for c in made.columns if c != id_col]
-    if partition_bytes:
-        total = made.agg(F.sum(F.length(names[-1]))).first()[0] or 0
-        made = made.repartitionByRange(max(1, -(-total // partition_bytes)), id_col)
-    else:
-        made = made.repartitionByRange(id_col)
-    return made.sortWithinPartitions(F.col(id_col).asc_nulls_first(), *names)
+def in_order(df: DataFrame, id_col: str, text_col: str, fields: str, work: Callable[[list], list], rows: int | None = None) -> DataFrame:
+    """What work makes of each text, in ascending order of a numeric id over partitions and in them.
+
+    Bounds of shards of about `rows` (SHARD_ROWS) rows are percentiles of the id column alone; each row goes straight to its shard's partition. So texts
+    are read and encoded once and nothing is written on the way. Over SHARDS times `rows` rows shards grow; their sort spills."""
+    n = min(SHARDS, max(1, -(-df.count() // (rows or SHARD_ROWS))))
+    cuts = df.agg(F.percentile_approx(id_col, [k / n for k in range(1, n)], 20 * n)).first()[0] if n > 1 else None
+    bounds, kind = np.array(cuts or [], np.float64 if column_type(df, id_col) in ("double", "float") else np.int64), column_type(df, id_col)
+    names = ["_shard", id_col, *(x.split()[0] for x in fields.split(", "))]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            ids = batch.column(0)
+            shard = np.searchsorted(bounds, ids.fill_null(0).to_numpy(zero_copy_only=False), side="right")
+            shard[ids.is_null().to_numpy(zero_copy_only=False)] = 0
+            yield pa.RecordBatch.from_arrays([pa.array(shard.astype(np.int32)), ids, *work(batch.column(1).to_pylist())], names=names)
+
+    made = df.select(df[id_col], df[text_col]).mapInArrow(run, f"_shard int, `{id_col}` {kind}, {fields}")
+    return made.repartitionById(n, "_shard").sortWithinPartitions(F.col(id_col).asc_nulls_first(), *names[2:]).select(*names[1:])
 
 
 def write_token_files(df: DataFrame, folder: str, path: str, end: int | None = 2, id_col: str = "doc_id", text_col: str = "text") -> None:

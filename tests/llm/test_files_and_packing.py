@@ -29,6 +29,7 @@ def some_rows():
 @pytest.mark.parametrize("segment", [1 << 20, 300])
 def test_token_files_round_trip(spark, segment, monkeypatch):
     monkeypatch.setattr(token_files, "SEGMENT", segment)
+    monkeypatch.setattr(token_files, "SHARD_ROWS", 16384 if segment > 300 else 20)
     rows, tok = some_rows() + [(None, "no id")], units.tokenizer(BYTE)
     folder = common.new_folder(spark, "t")
     token_files.write_token_files(table(spark, rows).repartition(5), folder, BYTE)
@@ -55,7 +56,8 @@ def test_token_files_empty(spark):
 
 
 def test_separator_scan_of_written_files(spark, monkeypatch):
-    monkeypatch.setattr(token_counts, "FILE_BYTES", 2000)
+    monkeypatch.setattr(token_counts, "FILE_ROWS", 20)
+    monkeypatch.setattr(token_files, "SHARD_ROWS", 50)
     rows, tok = [r for r in some_rows() if "<|" not in (r[1] or "")], units.tokenizer(BYTE)
     folder = common.new_folder(spark, "flat")
     token_counts.write_flat(table(spark, rows), folder, BYTE, 50256)
