@@ -8,7 +8,10 @@ from ..operators.windows import first_per_key
 from ..registry import query
 
 COLS = ["pk", "name", "level", "qty", "country_key"]
-NOW = F.lit("2024-02-01 00:00:00").cast("timestamp")
+
+
+def now():
+    return F.lit("2024-02-01 00:00:00").cast("timestamp")
 ALL = "pk, name, level, qty, country_key"
 OVER = "m.pk, coalesce(i.name, m.name) AS name, coalesce(i.level, m.level) AS level, coalesce(i.qty, m.qty) AS qty, coalesce(i.country_key, m.country_key) AS country_key"
 NEW = f"SELECT {ALL} FROM fx_incoming WHERE pk NOT IN (SELECT pk FROM fx_master)"
@@ -92,7 +95,7 @@ STAGED = "s AS (SELECT i.pk, coalesce(i.name, m.name) AS name, coalesce(i.qty, m
 
 
 def staged(t):
-    return M.stage_upload(t.fx_incoming, t.fx_master, "pk", ["pk", "name", "qty"], "u1", NOW)
+    return M.stage_upload(t.fx_incoming, t.fx_master, "pk", ["pk", "name", "qty"], "u1", now())
 
 
 @query("mrg_13_stage_upload", f"WITH {STAGED} SELECT pk, name, qty, sha256(concat_ws('|', name, CAST(pk AS VARCHAR), CAST(qty AS VARCHAR))) AS signature, change_type, CAST(pk AS VARCHAR) || '|u1|' || change_type AS change_id, CASE WHEN change_type = 'UNCHANGED' THEN 'PROCESSED_UNCHANGED' ELSE 'PENDING' END AS status FROM s")
@@ -102,12 +105,12 @@ def mrg_13(t):
 
 @query("mrg_14_stage_deletes", "SELECT pk, CAST(pk AS VARCHAR) || '|u2|DELETE' AS change_id, 'PENDING' AS status FROM fx_master WHERE pk IN (SELECT pk FROM fx_incoming WHERE pk % 6 = 0)")
 def mrg_14(t):
-    return M.stage_deletes(t.fx_master, t.fx_incoming.where("pk % 6 = 0"), "pk", "u2", NOW).select("pk", "change_id", "status")
+    return M.stage_deletes(t.fx_master, t.fx_incoming.where("pk % 6 = 0"), "pk", "u2", now()).select("pk", "change_id", "status")
 
 
 @query("mrg_15_apply_approval", f"WITH {STAGED}, c AS (SELECT * FROM s WHERE change_type <> 'UNCHANGED' AND pk % 2 = 0), d AS (SELECT pk FROM fx_master WHERE pk % 9 = 1), r AS (SELECT m.pk, coalesce(c.name, m.name) AS name, coalesce(c.qty, m.qty) AS qty FROM fx_master m LEFT JOIN c ON m.pk = c.pk WHERE m.pk NOT IN (SELECT pk FROM d WHERE pk % 2 = 1) UNION ALL SELECT pk, name, qty FROM c WHERE pk NOT IN (SELECT pk FROM fx_master)) SELECT *, sha256(concat_ws('|', name, CAST(pk AS VARCHAR), CAST(qty AS VARCHAR))) AS signature FROM r")
 def mrg_15(t):
-    changes = staged(t).unionByName(M.stage_deletes(t.fx_master.select("pk", "name", "qty"), t.fx_master.where("pk % 9 = 1"), "pk", "u2", NOW), allowMissingColumns=True)
+    changes = staged(t).unionByName(M.stage_deletes(t.fx_master.select("pk", "name", "qty"), t.fx_master.where("pk % 9 = 1"), "pk", "u2", now()), allowMissingColumns=True)
     approved = changes.where("(change_type IN ('INSERT', 'UPDATE') AND pk % 2 = 0) OR (change_type = 'DELETE' AND pk % 2 = 1)").select("change_id")
     return M.apply_approval(t.fx_master, changes, approved, "pk", ["pk", "name", "qty"])
 

@@ -11,7 +11,10 @@ from ..sources import readers as D
 from . import jobs
 
 COLS = ["pk", "name", "qty"]
-NOW = F.lit("2024-02-01 00:00:00").cast("timestamp")
+
+
+def now():
+    return F.lit("2024-02-01 00:00:00").cast("timestamp")
 YEAR = 2024
 
 
@@ -56,7 +59,7 @@ def src_12(t):
 def geolocation(t):
     stored = t.fx_school.where("row_key % 3 <> 0").select("school_id_govt", "school_name", "num_computers").dropDuplicates(["school_id_govt"])
     stored = stored.where("CAST(school_id_govt AS BIGINT) % 20 NOT IN (6)")
-    return jobs.upload_job(t.fx_school, stored, "geolocation", key="school_id_govt", columns=["school_id_govt", "school_name", "num_computers"], upload="u1", at=NOW, year=YEAR, always=["dq_is_null_mandatory-school_id_govt", "dq_duplicate-school_id_govt"])
+    return jobs.upload_job(t.fx_school, stored, "geolocation", key="school_id_govt", columns=["school_id_govt", "school_name", "num_computers"], upload="u1", at=now(), year=YEAR, always=["dq_is_null_mandatory-school_id_govt", "dq_duplicate-school_id_govt"])
 
 
 GEO_STAGED = """p AS (SELECT school_id_govt, school_name, num_computers FROM (SELECT *, count(*) OVER (PARTITION BY school_id_govt) AS n FROM fx_school) WHERE n = 1),
@@ -86,7 +89,7 @@ w AS (SELECT pk, coalesce(name, 'Unknown') AS name, qty FROM v)"""
 
 
 def approval(t):
-    staged = M.stage_upload(t.fx_incoming, t.fx_master, "pk", COLS, "u1", NOW)
+    staged = M.stage_upload(t.fx_incoming, t.fx_master, "pk", COLS, "u1", now())
     approved = staged.where("change_type <> 'UNCHANGED' AND pk % 2 = 0").select("change_id")
     return jobs.approval_job(t.fx_master.select(COLS), t.fx_master.select(COLS), staged, approved, "pk", COLS, ["name", "qty"])
 
@@ -153,7 +156,7 @@ def pipe_10(t):
 @query("pipe_11_school_list", "SELECT i.pk, coalesce(i.name, m.name) AS name, m.level, CASE WHEN m.pk IS NULL THEN 'INSERT' WHEN coalesce(i.name, m.name) IS NOT DISTINCT FROM m.name THEN 'UNCHANGED' ELSE 'UPDATE' END AS change_type FROM fx_incoming i LEFT JOIN fx_master m ON i.pk = m.pk")
 def pipe_11(t):
     rows = t.fx_incoming.select(F.col("pk").alias("code"), F.col("name").alias("title"))
-    return jobs.list_job(rows, {"code": "pk", "title": "name"}, t.fx_master, "pk", ["level"], "u1", NOW).select("pk", "name", "level", "change_type")
+    return jobs.list_job(rows, {"code": "pk", "title": "name"}, t.fx_master, "pk", ["level"], "u1", now()).select("pk", "name", "level", "change_type")
 
 
 @query("pipe_12_uptime", "SELECT device_id, count(*) AS hours, min(name) AS name FROM (SELECT DISTINCT device_id FROM fx_status WHERE ts < TIMESTAMP '2024-01-06') d CROSS JOIN range(72) LEFT JOIN fx_master m ON d.device_id = CAST(m.pk AS VARCHAR) GROUP BY 1")
@@ -179,5 +182,5 @@ def pipe_14(t):
 def pipe_16(t):
     base = t.fx_school.where("row_key % 2 = 0").select("row_key")
     flags = t.fx_school.where("row_key % 3 = 0").select("school_id_giga", F.lit("Yes").alias("connectivity_RT"))
-    made = jobs.bronze_columns(t.fx_school, base=base, key="row_key", levels=t.fx_map, real_time=flags, now=NOW)
+    made = jobs.bronze_columns(t.fx_school, base=base, key="row_key", levels=t.fx_map, real_time=flags, now=now())
     return made.select("row_key", "is_new", "education_level", "connectivity_govt", "connectivity_RT", F.col("connectivity_govt_ingestion_timestamp").isNotNull().alias("stamped"))

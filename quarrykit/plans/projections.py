@@ -5,7 +5,10 @@ from pyspark.sql import functions as F
 from ..operators import project as P
 from ..registry import query
 
-NOW = F.lit("2024-02-01 00:00:00").cast("timestamp")
+
+
+def now():
+    return F.lit("2024-02-01 00:00:00").cast("timestamp")
 
 
 def uuid_sql(text):
@@ -50,7 +53,7 @@ def prj_07(t):
 
 @query("prj_08_ingestion_stamp", "SELECT row_key, CASE WHEN connectivity_govt IS NOT NULL THEN '2024-02-01 00:00:00' END AS stamp FROM fx_school")
 def prj_08(t):
-    return P.stamped(t.fx_school, "connectivity_govt", "stamp", NOW).select("row_key", F.date_format("stamp", "yyyy-MM-dd HH:mm:ss").alias("stamp"))
+    return P.stamped(t.fx_school, "connectivity_govt", "stamp", now()).select("row_key", F.date_format("stamp", "yyyy-MM-dd HH:mm:ss").alias("stamp"))
 
 
 @query("prj_09_default_status", "SELECT row_key, coalesce(connectivity_govt, 'unknown') AS connectivity_govt, 'PENDING' AS status FROM fx_school")
