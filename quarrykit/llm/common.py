@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Rows that a Python operator holds at once; a batch from Spark is handed on in such slices.
 ROWS_AT_ONCE = 512
@@ -43,6 +44,23 @@ def column_type(df: DataFrame, name: str) -> str:
     return df.schema[name].dataType.simpleString()
 
 
+def free(df: DataFrame, name: str) -> str:
+    """The name, made longer until df has no such column, whatever the case of letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def sampled(df: DataFrame, key: str, text: str, rows: int) -> DataFrame:
+    """About `rows` rows of df, at most twice as many, picked by a hash of key and beginning of the text: the same ones in every run.
+
+    Each task picks its own share, so what is gathered doesn't grow with the table or its partitions."""
+    n = df.count()
+    chance = F.pmod(F.xxhash64(key, F.substring(text, 1, 64)), F.lit(1 << 30)) / float(1 << 30)
+    return (df.where(chance < rows / n) if n > rows else df).limit(2 * rows)
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = ROWS_AT_ONCE) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, rows):

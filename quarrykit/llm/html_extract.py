@@ -2,8 +2,8 @@
 
 A page is a sequence of words and tags. Words score positive and tags negative; one linear scan finds the contiguous region of the
 greatest sum (Pasternack and Roth, "Extracting Article Text from the Web with Maximum Subsequence Segmentation", 2009). The weights come from
-labelled pages: those that mark their article themselves, by one <article> or <main>. Of at most SAMPLE of them (picked by a hash of the
-id) it is counted how often a tag, and a word below a tag, lies inside; the counts are added to prior ones. What can't be
+labelled pages: those that mark their article themselves, by one <article> or <main>. Of such among about SAMPLE pages (at most twice
+that, picked by a hash) it is counted how often a tag, and a word below a tag, lies inside; the counts are added to prior ones. What can't be
 article at any place (scripts, menus, forms, notices and such, by element, role or words of class and id) is taken out before. The
 region then snaps to the marked element, if there is one that holds nearly all of it.
 
@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import per_text
+from .common import per_text, sampled
 
 SAMPLE = 1000
 TOKEN = re.compile(
@@ -213,8 +213,8 @@ def extract(html: str | None, learned: dict[str, float]) -> str:
 
 
 def learn(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sample: int = SAMPLE) -> dict[str, float]:
-    """Weights from at most `sample` pages that mark their article; counted where the pages are, one row per feature comes back."""
-    some = pages.where(F.lower(html_col).rlike("<(article|main)[ >]")).select(F.xxhash64(id_col, html_col).alias("h"), html_col).orderBy("h").limit(sample)
+    """Weights from those of about `sample` pages that mark their article; one row per feature comes back."""
+    some = sampled(pages.select(id_col, html_col), id_col, html_col, sample)
 
     def work(texts: list) -> list:
         return [pa.array([[{"f": f, "inside": i, "n": n} for (f, i), n in count_features(t or "").items()] for t in texts], pa.list_(pa.struct([("f", pa.string()), ("inside", pa.bool_()), ("n", pa.int64())])))]

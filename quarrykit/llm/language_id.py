@@ -4,7 +4,7 @@ The bytes of a text, cut into windows of WINDOW, are read by two gated recurrent
 position gets a probability of each language, and a text's probability is the mean over all its positions. The gates
 are piecewise linear, the candidate is a hyperbolic tangent. The network is trained here, in numpy, by back-propagation
 through time on every position of a bounded sample: up to PER_LANGUAGE texts (on average) of each of the
-MOST_LANGUAGES most frequent labels, SAMPLE_CHARS characters of each, picked by a hash of the row's id. Prediction reads whole texts.
+MOST_LANGUAGES most frequent labels, SAMPLE_CHARS characters of each, picked by a hash of the row, at most twice as many. Prediction reads whole texts.
 
 Defined results: `und` with score 0 if a text is null or has no letter, or if there is nothing to learn from;
 rows are independent, so ties, repeated rows and empty tables need nothing special; a null label or id is not learned from."""
@@ -178,9 +178,10 @@ def train_network(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     if not counts:
         return None
     share = F.create_map(*(F.lit(x) for r in counts for x in (r["lang"], min(1.0, per_language / r["count"]))))
-    chance = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / float(1 << 30)
+    chance = F.pmod(F.xxhash64("id", F.substring("text", 1, 64)), F.lit(1 << 30)) / float(1 << 30)
     start = 1 + F.pmod(F.xxhash64("id", F.lit(1)), F.greatest(F.length("text") - SAMPLE_CHARS, F.lit(0)) + 1)
-    sample = rows.where(chance < F.coalesce(share[F.col("lang")], F.lit(0.0))).select("id", "lang", F.col("text").substr(start.cast("int"), F.lit(SAMPLE_CHARS)).alias("text"))
+    bound = 2 * per_language * len(counts)  # hashes that repeat don't make the sample any larger
+    sample = rows.where(chance < F.coalesce(share[F.col("lang")], F.lit(0.0))).select("id", "lang", F.col("text").substr(start.cast("int"), F.lit(SAMPLE_CHARS)).alias("text")).limit(bound)
     picked = sorted((str(r["id"]), r["lang"], r["text"]) for r in sample.collect() if has_letter(r["text"]))
     languages = sorted({lang for _, lang, _ in picked})
     if not languages:

@@ -1,7 +1,7 @@
 """Token ids as binary files: each document compressed by itself with one shared zstandard dictionary.
 
-A folder holds two Parquet tables. `dictionary` has one row: the dictionary's SHA-256 and its bytes, trained on the serialized ids of at most
-SAMPLE documents (picked by a hash of the id, SAMPLE_CHARS characters of each; training only). `segments` has documents
+A folder holds two Parquet tables. `dictionary` has one row: the dictionary's SHA-256 and its bytes, trained on the serialized ids of about
+SAMPLE documents (at most twice that, picked by a hash, SAMPLE_CHARS characters of each; training only). `segments` has documents
 in ascending id order, cut into shards and these into segments of about SEGMENT bytes: payload (the zstandard frames of the
 documents one after another; a frame holds the ids as little-endian unsigned 32-bit integers), doc_ids, n_tokens and ends (the index:
 place after each frame), start (ids before it in its shard), the number of ids and the hash of the dictionary. A short document costs one frame:
@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import column_type, documents, new_folder, per_text, slices
+from .common import column_type, documents, new_folder, per_text, sampled, slices
 from .units import byte_units
 
 SAMPLE, SAMPLE_CHARS, DICTIONARY, LEVEL = 1000, 4096, 65536, 1
@@ -48,7 +48,7 @@ def serialized(texts: list, path: str, end: int | None) -> list[bytes]:
 
 def train_dictionary(df: DataFrame, path: str, end: int | None, id_col: str, text_col: str) -> bytes:
     """A dictionary from a bounded sample; empty (no dictionary) where the sample is too small for one."""
-    some = df.where(F.col(text_col).isNotNull()).select(F.xxhash64(id_col).alias("h"), F.substring(text_col, 1, SAMPLE_CHARS).alias("t")).orderBy("h", "t").limit(SAMPLE)
+    some = sampled(df, id_col, text_col, SAMPLE).select(F.substring(text_col, 1, SAMPLE_CHARS).alias("t"))
     rows = per_text(some, [], "t", "ids binary", lambda texts: [pa.array(serialized(texts, path, end), pa.binary())]).collect()
     samples = sorted(bytes(r["ids"]) for r in rows)
     try:
