@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, documents
+from .common import cut, documents, free
 
 WHITE = r"[\x20\x09-\x0D]+"
 #: Counters of the summary, and how many of the largest are verified and broadcast.
@@ -57,11 +57,12 @@ def exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def drop_exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_heavy: int = MAX_HEAVY, tracked: int = TRACKED) -> DataFrame:
     """The rows that stay, with all columns of df. Copies of frequent texts go map-side; of them only rows
     with the smallest id travel on to the shuffle that settles the rest."""
-    heavy = heavy_digests(_digests(df, id_col, text_col), max_heavy, tracked).select("_digest", F.struct(F.col("_first.id").alias("id")).alias("_winner"))
-    keyed = df.withColumn("_digest", digest(df[text_col])).join(F.broadcast(heavy), "_digest", "left")
-    left = keyed.where(F.col("_winner").isNull() | F.col(id_col).eqNullSafe(F.col("_winner.id"))).drop("_winner")
-    first = Window.partitionBy("_digest").orderBy(F.col(id_col).asc_nulls_last())
-    return left.withColumn("_nth", F.row_number().over(first)).where("_nth = 1").select(*(F.col(f"`{c}`") for c in df.columns))
+    key, winner, nth = (free(df, n) for n in ("_digest", "_winner", "_nth"))
+    heavy = heavy_digests(_digests(df, id_col, text_col), max_heavy, tracked).select(F.col("_digest").alias(key), F.struct(F.col("_first.id").alias("id")).alias(winner))
+    keyed = df.withColumn(key, digest(df[text_col])).join(F.broadcast(heavy), key, "left")
+    left = keyed.where(F.col(winner).isNull() | F.col(id_col).eqNullSafe(F.col(f"{winner}.id"))).drop(winner)
+    first = Window.partitionBy(key).orderBy(F.col(id_col).asc_nulls_last())
+    return left.withColumn(nth, F.row_number().over(first)).where(F.col(nth) == 1).select(*(F.col(f"`{c}`") for c in df.columns))
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

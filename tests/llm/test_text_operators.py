@@ -36,8 +36,9 @@ def test_exact_duplicates(spark):
         assert len(groups) == 4
         assert all(sum(r.kept for r in x) == 1 and {r.group_size for r in x} == {len(x)} for x in by.values())
         assert {r.keep_id for r in by[hashlib.sha256(b"a b").hexdigest()]} == {3}
-    left = exact_dedup.drop_exact_duplicates(df.withColumn("_digest", F.lit(7)).drop("_digest").withColumn("rest", F.lit(1)))
-    assert left.columns == ["doc_id", "text", "rest"]
+    left = exact_dedup.drop_exact_duplicates(df.withColumns({"_digest": F.lit(7), "_NTH": F.lit(8), "_winner": F.lit(9)}))
+    assert left.columns == ["doc_id", "text", "_digest", "_NTH", "_winner"]
+    assert {(r._digest, r._NTH, r._winner) for r in left.collect()} == {(7, 8, 9)}
     assert sorted((r.doc_id is None, r.doc_id or 0) for r in left.collect()) == [(False, 1), (False, 3), (False, 9), (True, 0)]
 
 
