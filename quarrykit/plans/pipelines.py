@@ -29,6 +29,12 @@ def src_04(t):
     return D.null_normalised(rows)
 
 
+@query("src_06_read_table", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
+def src_06(t):
+    t.nation.createOrReplaceTempView("quarrykit_nation")
+    return D.read_table(t.spark, "quarrykit_nation").select("n_nationkey", "n_name", "n_regionkey")
+
+
 @query("src_09_measurement_scan", "SELECT e.school_id, n.n_name AS country, count(*) AS n FROM fx_measure e JOIN nation n ON e.country_key = n.n_nationkey WHERE e.source <> 'qos' GROUP BY 1, 2")
 def src_09(t):
     sql = "SELECT e.school_id, n.n_name AS country, count(*) AS n FROM {measure} e JOIN {nation} n ON e.country_key = n.n_nationkey WHERE e.source <> 'qos' GROUP BY 1, 2"
