@@ -1,12 +1,14 @@
 """Token counts by a separator scan over flat token files.
 
-A flat file is nothing but ids, little-endian unsigned 32-bit integers, each document followed by the id of the end; no index.
-Files in order of their names are the blocks of one stream, and a document may run on from one to the next. Each block is
-searched for the end's id by vectorised comparison, SCAN ids at a time. A prefix scan over one summary row a block (documents ended, ids, place
-after the last end) then gives each block's first document and where it began, and the rows of all blocks are stitched by it.
+A flat file is nothing but ids of one fixed width (a numpy type: big-endian unsigned 16-bit integers unless told otherwise), each document
+followed by the id of the end; no index, no document ids. Files in order of their names are the blocks of one stream, and a document may run on from
+one to the next. Each block is searched for the end's id by vectorised comparison, SCAN ids at a time. A prefix scan over one summary
+row a block (documents ended, ids, place after the last end) then gives each block's first document and where it began, and the
+rows of all blocks are stitched by it.
 
 Defined results: an empty document counts 0; ids after the last end are a document that isn't `ended`; no files, or empty
-ones, give no rows; a file whose length isn't a multiple of four raises."""
+ones, give no rows; a file that doesn't hold a whole number of ids raises. Written files have documents in the order that the table's
+partitions have them; a null text is an empty document; repeated rows are documents each."""
 
 from __future__ import annotations
 
@@ -17,40 +19,51 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, documents, new_folder
-from .token_files import LITTLE, in_order, serialized
+from .common import cut, documents, new_folder, per_text
+from .units import plain_byte_units
 
 #: Ids compared at once, and documents of a file that is written (a file is a task's block when it is read).
 SCAN, FILE_ROWS = 1 << 20, 4096
+KIND = ">u2"
 
 
-def write_flat(df: DataFrame, folder: str, path: str, end: int, id_col: str = "doc_id", text_col: str = "text") -> None:
-    """Documents in ascending order of id as flat files. The end's id must be under 2**16, and none that a text can give.
+def write_flat(df: DataFrame, folder: str, path: str, end: int, text_col: str = "text", kind: str = KIND) -> None:
+    """The documents as flat files of FILE_ROWS each, without a shuffle. The end's id must be none that a text can give; a text's special strings are
+    ordinary text here.
 
-    Spark's text writer puts the bytes of a row as they are and its line separator after them. A row has the ids and the lower
-    half of the end; the separator, two zero bytes, is the upper half."""
-    low = np.array([end], LITTLE).tobytes()[:2]
-    rows = in_order(df, id_col, text_col, "body binary", lambda texts: [pa.array([x + low for x in serialized(texts, path, None)], pa.binary())])
-    rows.select(F.col("body").cast("string").alias("value")).write.option("lineSep", "\0\0").option("maxRecordsPerFile", FILE_ROWS).text(folder)
+    Spark's text writer puts the bytes of a row as they are and its line separator after them. A row has the ids and all
+    bytes of the end but the last; that is the separator, and so must be under 128."""
+    mark = np.array([end], kind).tobytes()
+    if mark[-1] > 127:
+        raise ValueError(f"the last byte of {end} as {kind} is no character")
 
+    def work(texts: list) -> list:
+        ids, ends = plain_byte_units(path).ids(texts)
+        data, width = ids.astype(kind).tobytes(), np.dtype(kind).itemsize
+        starts = [0, *ends[:-1].tolist()]
+        return [pa.array([data[width * a : width * b] + mark[:-1] for a, b in zip(starts, ends.tolist(), strict=False)], pa.binary())]
 
-def _ends(content: bytes, end: int) -> tuple[np.ndarray, int]:
+    rows = per_text(df, [], text_col, "body binary", work)
+    rows.select(F.col("body").cast("string").alias("value")).write.option("lineSep", chr(mark[-1])).option("maxRecordsPerFile", FILE_ROWS).text(folder)
+
+
+def _ends(content: bytes, end: int, kind: str) -> tuple[np.ndarray, int]:
     """Places of the end's id and the number of ids."""
-    if len(content) % 4:
+    if len(content) % np.dtype(kind).itemsize:
         raise ValueError("not a whole number of ids")
-    ids = np.frombuffer(content, LITTLE)
+    ids = np.frombuffer(content, kind)
     found = [at + np.flatnonzero(ids[at : at + SCAN] == end) for at in range(0, len(ids), SCAN)]
     return np.concatenate([*found, np.empty(0, np.int64)]).astype(np.int64), len(ids)
 
 
-def token_counts(spark: SparkSession, folder: str, end: int) -> DataFrame:
+def token_counts(spark: SparkSession, folder: str, end: int, kind: str = KIND) -> DataFrame:
     """One row per document: position (from 0), start (ids before it, ends included), n_tokens (without the end), ended."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, content in zip(*batch.columns, strict=True):
-                ends, n = _ends(content.as_py() or b"", end)
+                ends, n = _ends(content.as_py() or b"", end, kind)
                 starts = [None, *(ends[:-1] + 1).tolist()][: len(ends)]
                 yield pa.RecordBatch.from_arrays([pa.array([path.as_py()]), pa.array([n], pa.int64()), pa.array([ends.tolist()], pa.list_(pa.int64())), pa.array([starts], pa.list_(pa.int64()))], names=["block", "n", "ends", "starts"])
 

@@ -135,3 +135,11 @@ def word_units(path: str) -> Units:
 @lru_cache(2)
 def byte_units(path: str) -> Units:
     return library_units(path, words_spaced)
+
+
+@lru_cache(2)
+def plain_byte_units(path: str) -> Units:
+    """As byte_units, but special strings in a text are ordinary text."""
+    tok = Tokenizer.from_file(path)
+    tok.encode_special_tokens = True
+    return Units(words_spaced, lambda units: [e.ids for e in tok.encode_batch_fast(units, add_special_tokens=False)], None)

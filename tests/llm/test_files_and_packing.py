@@ -55,17 +55,20 @@ def test_token_files_empty(spark):
     assert token_files.read_token_files(spark, folder).count() == 0
 
 
-def test_separator_scan_of_written_files(spark, monkeypatch):
+@pytest.mark.parametrize("kind", [">u2", "<u4"])
+def test_separator_scan_of_written_files(spark, kind, monkeypatch):
     monkeypatch.setattr(token_counts, "FILE_ROWS", 20)
-    monkeypatch.setattr(token_files, "SHARD_ROWS", 50)
-    rows, tok = [r for r in some_rows() if "<|" not in (r[1] or "")], units.tokenizer(BYTE)
+    rows, tok = some_rows(), units.Tokenizer.from_file(BYTE)
+    tok.encode_special_tokens = True
     folder = common.new_folder(spark, "flat")
-    token_counts.write_flat(table(spark, rows), folder, BYTE, 50256)
-    got = token_counts.token_counts(spark, folder, 50256).orderBy("position").collect()
-    sizes = [len(tok.encode(t or "", add_special_tokens=False).ids) for _, t in sorted(rows, key=lambda r: (r[0], r[1] or ""))]
-    assert sorted(r.n_tokens for r in got) == sorted(sizes) and [r.position for r in got] == list(range(len(rows)))
+    token_counts.write_flat(table(spark, rows).coalesce(1), folder, BYTE, 50256, kind=kind)
+    got = token_counts.token_counts(spark, folder, 50256, kind).orderBy("position").collect()
+    assert [r.n_tokens for r in got] == [len(tok.encode(t or "", add_special_tokens=False).ids) for _, t in rows]
+    assert [r.position for r in got] == list(range(len(rows)))
     assert [r.start for r in got] == np.cumsum([0, *(r.n_tokens + 1 for r in got)])[:-1].tolist()
     assert all(r.ended for r in got)
+    with pytest.raises(ValueError, match="no character"):
+        token_counts.write_flat(table(spark, rows), folder, BYTE, 50256, kind="<u2")
 
 
 @pytest.mark.parametrize("scan", [1 << 20, 3])
@@ -86,7 +89,7 @@ def test_separator_scan_over_cut_blocks(spark, tmp_path, scan, monkeypatch):
                 start = k + 1
         if start < len(ids):
             want.append((len(want), start, len(ids) - start, False))
-        assert sorted(map(tuple, token_counts.token_counts(spark, str(folder), 7).collect())) == want
+        assert sorted(map(tuple, token_counts.token_counts(spark, str(folder), 7, "<u4").collect())) == want
     (tmp_path / "odd").mkdir(exist_ok=True)
     (tmp_path / "odd" / "part-0").write_bytes(b"abcde")
     with pytest.raises(Exception, match="whole number"):
@@ -202,3 +205,16 @@ def test_pipeline_against_brute_force(spark):
         want |= {(r.doc_id, k // 2048, k, len(ids[k : k + 2048]), zlib.crc32(np.array(ids[k : k + 2048], "<u4").tobytes())) for k in range(0, len(ids), 2048)}
     got = corpus_pipeline.run(spark, sf).collect()
     assert {tuple(r)[:5] for r in got} == want and len(got) == len(want)
+
+
+def test_stages_keep_columns_and_odd_rows(spark):
+    rows = [(1, "hello there my friend of the land", "en", "s", 33), (1, "hello there my friend of the land", "en", "s", 33), (2, None, None, None, None), (None, "the token = abcdef123456 is here", "en", None, 1), (4, "", "en", "s", 0)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint").withColumns({"predicted": F.lit(1), "_digest": F.lit("x")})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        for df in (docs, docs.limit(0)):
+            got = stage(spark, df, "/root/testdata/sf0.001")
+            assert got.columns == docs.columns, name
+            got.collect()
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, "").count() == 5
+    assert sorted((r.doc_id or 0) for r in corpus_pipeline.exact(spark, docs, "").collect()) == [0, 1, 2]
+    assert {r.text for r in corpus_pipeline.secrets(spark, docs, "").where("doc_id IS NULL").collect()} == {"the [secret] is here"}
