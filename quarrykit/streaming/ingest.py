@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.merge import upsert_all
 from ..operators.project import col
 from ..operators.schema import widen
-from ..sources.sinks import append_merging, replace_partitions
+from ..sources.sinks import replace_partitions
 
 
 def new_files(spark: SparkSession, path: str, schema: str, kind: str = "parquet", files_at_once: int = 100) -> DataFrame:
@@ -31,11 +31,11 @@ def dedupe(events: DataFrame, keys: Sequence[str], time: str, late: str = "2 hou
 
 
 def append_pings(stream: DataFrame, path: str, checkpoint: str, run: str) -> StreamingQuery:
-    """Appends batches with provenance; a batch that is run again is told by its id."""
+    """Appends batches with provenance, each a partition of its own: a batch that is run again replaces itself."""
 
     def put(batch: DataFrame, number: int) -> None:
         rows = widen(batch).withColumns({"ingestion_run_id": F.lit(f"{run}-{number}"), "ingested_at": F.current_timestamp()})
-        append_merging(rows, path)
+        replace_partitions(rows, path, ["ingestion_run_id"])
 
     return stream.withColumn("source_file", F.col("_metadata.file_name")).writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
