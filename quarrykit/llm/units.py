@@ -1,11 +1,12 @@
 """Encoding of texts by way of their white-space units, each encoded once for as long as it is held.
 
 Public byte-pair tokenizers never merge across white space, so a text's ids are those of its units in order. The units of a batch
-become places in one flat array of ids by a dictionary, and the ids of all its texts are gathered at once. The store is
-emptied when it holds `most` units or ids, so memory is bounded whatever the vocabulary of the texts."""
+become places in one flat array of ids by a dictionary, and the ids of all its texts are gathered at once. A store that holds more than
+`most` units, or MOST_IDS ids, lets go of those met least, so memory is bounded whatever the vocabulary of the texts."""
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Callable
 from functools import lru_cache
@@ -21,11 +22,13 @@ OTHER_SPLITS = re.compile("[\x1c-\x1f]")
 APART = re.compile(f"[^{WHITE}]+")
 #: A unit with the one space before it, and white space that no unit takes.
 SPACED = re.compile(f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
-MOST_UNITS, MOST_IDS, AT_ONCE, JOINED = 800_000, 8_000_000, 4096, 200
+MOST_UNITS, MOST_IDS, AT_ONCE, JOINED = 700_000, 8_000_000, 4096, 200
 
 
 @lru_cache(4)
 def tokenizer(path: str) -> Tokenizer:
+    """The file's tokenizer, on one thread: a task's core is all that Spark has given it."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     found = Tokenizer.from_file(path)
     found.no_truncation()
     found.no_padding()
@@ -67,9 +70,26 @@ class Units:
 
     def _empty(self) -> None:
         self.places = _Places()
-        self.flat, self.at, self.size = np.zeros(1 << 16, np.uint32), np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+        self.flat, self.at, self.size, self.met = np.zeros(1 << 16, np.uint32), *(np.zeros(1 << 14, np.int64) for _ in range(3))
         self.units = self.used = 0
 
+    def _let_go(self) -> None:
+        """Keeps units met more than once, and of these at most half of what the store may hold."""
+        met, least = self.met[: self.units], 2
+        while (keep := np.flatnonzero(met >= least)).size > self.most // 2 or self.size[keep].sum() > MOST_IDS // 2:
+            least *= 2
+        names = list(self.places)
+        size = self.size[keep]
+        ends = np.cumsum(size)
+        flat = self.flat[np.repeat(self.at[keep] - (ends - size), size) + np.arange(size.sum())]
+        self._empty()
+        for k in keep.tolist():
+            self.places[names[k]] = len(self.places)
+        self.units, self.used = len(keep), len(flat)
+        for name, held in (("flat", flat), ("at", ends - size), ("size", size), ("met", np.ones(len(keep), np.int64))):
+            self._room(name, len(held))
+            getattr(self, name)[: len(held)] = held
+
     def _room(self, name: str, n: int) -> None:
         if n > len(old := getattr(self, name)):
             setattr(self, name, np.concatenate((old, np.zeros(max(n, 2 * len(old)) - len(old), old.dtype))))
@@ -80,7 +100,7 @@ class Units:
             ids = self.encode(new[k : k + AT_ONCE])
             sizes = np.fromiter(map(len, ids), np.int64, len(ids))
             n, total = self.units + len(ids), int(sizes.sum())
-            for name, room in (("at", n), ("size", n), ("flat", self.used + total)):
+            for name, room in (("at", n), ("size", n), ("met", n), ("flat", self.used + total)):
                 self._room(name, room)
             self.size[self.units : n] = sizes
             self.at[self.units : n] = self.used + np.cumsum(sizes) - sizes
@@ -92,12 +112,13 @@ class Units:
 
         A text with a special string is one unit: it goes to the encoder whole."""
         if self.units > self.most or self.used > MOST_IDS:
-            self._empty()
+            self._let_go()
         parts = [[] if not t else [t] if self.special and self.special.search(t) else self.split(t) for t in texts]
         counts = np.fromiter(map(len, parts), np.int64, len(parts))
-        place = np.fromiter((self.places[u] for x in parts for u in x), np.int64, int(counts.sum()))
+        place = np.fromiter(map(self.places.__getitem__, chain.from_iterable(parts)), np.int64, int(counts.sum()))
         if self.places.new:
             self._learn()
+        self.met[: self.units] += np.bincount(place, minlength=self.units)
         n = self.size[place]
         ends = np.concatenate(([0], np.cumsum(n)))
         ids = self.flat[np.repeat(self.at[place] - ends[:-1], n) + np.arange(ends[-1])]
@@ -140,6 +161,7 @@ def byte_units(path: str) -> Units:
 @lru_cache(2)
 def plain_byte_units(path: str) -> Units:
     """As byte_units, but special strings in a text are ordinary text."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     tok = Tokenizer.from_file(path)
     tok.encode_special_tokens = True
     return Units(words_spaced, lambda units: [e.ids for e in tok.encode_batch_fast(units, add_special_tokens=False)], None)

@@ -109,7 +109,7 @@ def test_automaton_equals_library():
 
 
 @pytest.mark.parametrize("path, split", [(WORD, units.words_apart), (BYTE, units.words_spaced)])
-@pytest.mark.parametrize("most", [10**6, 5])
+@pytest.mark.parametrize("most", [10**6, 300, 5])
 def test_units_equal_library(path, split, most):
     store, tok = units.library_units(path, split), units.tokenizer(path)
     store.most = most
