@@ -1,7 +1,9 @@
 """Encoding of texts by way of their white-space units, each encoded once for as long as it is held.
 
 Public byte-pair tokenizers never merge across white space, so a text's ids are those of its units in order. The units of a batch
-become places in one flat array of ids by a dictionary, and the ids of all its texts are gathered at once. A store that holds more than
+become places in one flat array of ids by a dictionary, and the ids of all its texts are gathered at once. Texts whose only white space are
+single blanks and line ends are cut and dictionary-encoded by Arrow, so that Python meets each unit once a batch; others go
+through a pattern. A store that holds more than
 `most` units, or MOST_IDS ids, lets go of those met least, so memory is bounded whatever the vocabulary of the texts."""
 
 from __future__ import annotations
@@ -13,6 +15,8 @@ from functools import lru_cache
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 #: White space as Unicode lists it. Fixed values.
@@ -22,6 +26,9 @@ OTHER_SPLITS = re.compile("[\x1c-\x1f]")
 APART = re.compile(f"[^{WHITE}]+")
 #: A unit with the one space before it, and white space that no unit takes.
 SPACED = re.compile(f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
+#: Texts that Arrow doesn't cut: other white space, runs of it, or the mark that it cuts at.
+MARK = "\0"
+UNPLAIN = rf"[{WHITE.replace(' ', '').replace(chr(10), '')}\x00\x0b\x0c\x1c-\x1f]|[ \n][ \n]".replace("\t-\r", "\t\r")
 MOST_UNITS, MOST_IDS, AT_ONCE, JOINED = 700_000, 8_000_000, 4096, 200
 
 
@@ -46,6 +53,16 @@ def words_apart(text: str) -> list[str]:
     return APART.findall(text) if OTHER_SPLITS.search(text) else text.split()
 
 
+def cut_apart(texts: pa.Array) -> pa.ListArray:
+    """As words_apart, for plain texts; may give empty units."""
+    return pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+
+
+def cut_spaced(texts: pa.Array) -> pa.ListArray:
+    """As words_spaced, for plain texts; may give empty units."""
+    return pc.split_pattern(pc.replace_substring(pc.replace_substring(texts, " ", MARK + " "), "\n", f"{MARK}\n{MARK}"), MARK)
+
+
 def words_spaced(text: str) -> list[str]:
     """For tokenizers that join one space to the word after it and keep all others."""
     return SPACED.findall(text)
@@ -66,6 +83,7 @@ class _Places(dict):
 class Units:
     def __init__(self, split: Callable[[str], list[str]], encode: Callable[[list[str]], list[list[int]]], special: re.Pattern | None, most: int = MOST_UNITS) -> None:
         self.split, self.encode, self.special, self.most = split, encode, special, most
+        self.cut = {words_apart: cut_apart, words_spaced: cut_spaced}[split]
         self._empty()
 
     def _empty(self) -> None:
@@ -107,15 +125,36 @@ class Units:
             self.flat[self.used : self.used + total] = np.concatenate(ids) if total and isinstance(ids[0], np.ndarray) else np.fromiter(chain.from_iterable(ids), np.uint32, total)
             self.units, self.used = n, self.used + total
 
+    def _placed(self, units: list[str] | np.ndarray) -> np.ndarray:
+        return np.fromiter(map(self.places.__getitem__, units), np.int64, len(units))
+
+    def _cut(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Places of all units in order, and the number of units of each text."""
+        whole = pa.array(texts, pa.large_string())
+        plain = pc.invert(pc.match_substring_regex(whole, UNPLAIN)).to_numpy(zero_copy_only=False)
+        if self.special:
+            plain &= ~np.fromiter((bool(self.special.search(t)) for t in texts), bool, len(texts))
+        counts = np.zeros(len(texts), np.int64)
+        cut = self.cut(whole.filter(pa.array(plain)))
+        counts[plain] = cut.value_lengths().to_numpy(zero_copy_only=False)
+        words = pc.dictionary_encode(cut.flatten())
+        usual = self._placed(words.dictionary.to_numpy(zero_copy_only=False))[words.indices.to_numpy(zero_copy_only=False)] if len(words) else np.empty(0, np.int64)
+        other = [[t] if self.special and self.special.search(t) else self.split(t) for t, p in zip(texts, plain.tolist(), strict=True) if not p]
+        if not other:
+            return usual, counts
+        counts[~plain] = [len(x) for x in other]
+        place, of_plain = np.empty(int(counts.sum()), np.int64), np.repeat(plain, counts)
+        place[of_plain] = usual
+        place[~of_plain] = self._placed([u for x in other for u in x])
+        return place, counts
+
     def ids(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in order, and the place after each text's last one. A null is an empty text.
 
         A text with a special string is one unit: it goes to the encoder whole."""
         if self.units > self.most or self.used > MOST_IDS:
             self._let_go()
-        parts = [[] if not t else [t] if self.special and self.special.search(t) else self.split(t) for t in texts]
-        counts = np.fromiter(map(len, parts), np.int64, len(parts))
-        place = np.fromiter(map(self.places.__getitem__, chain.from_iterable(parts)), np.int64, int(counts.sum()))
+        place, counts = self._cut([t or "" for t in texts])
         if self.places.new:
             self._learn()
         self.met[: self.units] += np.bincount(place, minlength=self.units)
