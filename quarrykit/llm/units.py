@@ -29,7 +29,7 @@ SPACED = re.compile(f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
 #: Texts that Arrow doesn't cut: other white space, runs of it, or the mark that it cuts at.
 MARK = "\0"
 UNPLAIN = rf"[{WHITE.replace(' ', '').replace(chr(10), '')}\x00\x0b\x0c\x1c-\x1f]|[ \n][ \n]".replace("\t-\r", "\t\r")
-MOST_UNITS, MOST_IDS, AT_ONCE, JOINED = 700_000, 8_000_000, 4096, 200
+MOST_UNITS, MOST_IDS, AT_ONCE, JOINED = 400_000, 6_000_000, 4096, 200
 
 
 @lru_cache(4)
