@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import re
+import string
 
 import pytest
 import xxhash
@@ -169,3 +170,46 @@ def test_compression_bands():
     prose = " ".join("".join(rng.choices("abcdefghij", k=rng.randrange(2, 7))) for _ in range(3000)).encode()
     assert quality.compression(prose, squeeze)[2]
     assert b"".join(quality.chunks(prose)) == prose
+
+def kinds(rng, size):
+    """Prose, and texts that only their ratio tells from prose, of about `size` bytes."""
+    syllables = ["an", "der", "in", "th", "er", "on", "tion", "ing", "es", "re", "ly", "st", "ou", "ble", "ed", "sh"]
+    word = {
+        "prose": lambda: "".join(rng.choices(syllables, k=rng.randrange(1, 5))),
+        "base64": lambda: "".join(rng.choices(string.ascii_letters + string.digits + "+/", k=rng.randrange(4, 20))),
+        "hex": lambda: f"{rng.getrandbits(32):08x}",
+        "templated": lambda: f"Buy cheap item number {rng.randrange(10**4)} now at shop{rng.randrange(1000)}.",
+    }
+    return {k: " ".join(f() for _ in range(size // 3))[:size] for k, f in word.items()}
+
+
+def test_learned_bands_reject_what_only_ratios_tell(spark):
+    rng = random.Random(9)
+    texts, told = [], []
+    for size in (500, 1000, 3000, 7000, 18_000, 50_000):
+        for _ in range(110):
+            told.append(("prose", size))
+            texts.append(kinds(rng, size)["prose"])
+        for kind, t in kinds(rng, size).items():
+            told.append((kind, size))
+            texts.append(t)
+        told.append(("half base64", size))
+        texts.append(kinds(rng, size)["prose"][: size // 2] + " " + kinds(rng, size)["base64"][: size // 2])
+    rows = quality.quality_rules(docs(spark, texts)).collect()
+    assert len(rows) == len(texts) and not any(r.base_failed for r in rows)
+    kept = collections.defaultdict(list)
+    for r in rows:
+        kept[told[r.doc_id]].append(r.kept)
+    for (kind, size), x in kept.items():
+        if kind == "prose":
+            assert sum(x) >= 0.97 * len(x), size
+        elif kind in ("base64", "templated") or size >= 3000:
+            assert not any(x), (kind, size)
+
+
+@pytest.mark.parametrize("size", [500, 1000, 3000, 7000, 18_000, 50_000])
+def test_fixed_bands(size):
+    squeeze = quality.zstandard.ZstdCompressor(level=3)
+    for kind, t in kinds(random.Random(size), size).items():
+        good = quality.compression(t.encode(), squeeze)[2]
+        assert good if kind == "prose" else not good or (kind == "hex" and size < 3000)
