@@ -1,7 +1,7 @@
 """SimHash near-dedup by deletion-variant signatures.
 
 A fingerprint has 64 bits. Two that differ by at most four are cut into three segments (21, 21 and 22 bits), so that
-one of them differs by at most one bit. Each segment value is indexed under every variant with one bit deleted: values
+one of them differs by at most one bit; for another radius r there are r // 2 + 1 segments. Each segment value is indexed under every variant with one bit deleted: values
 that differ by at most one bit share a variant. An equality on (segment, deleted bit, rest) brings candidates
 together, and the whole fingerprints are verified.
 
@@ -15,6 +15,7 @@ rows that repeat an id get the same component; component_id is the smallest non-
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +26,6 @@ from pyspark.sql import functions as F
 from .common import cut, documents, per_text
 from .components import connected_components
 
-SEGMENTS = ((0, 21), (21, 21), (42, 22))
 WIDTH, SEED, RADIUS, BLOCK = 4, 42, 4, 8192
 #: Shingles whose bits are counted at once, rows of index that a task holds besides one entry, and entries compared by offsets.
 BITS_AT_ONCE, ROWS, SMALL = 65536, 200_000, 32
@@ -49,14 +49,24 @@ def simhash(text: bytes | None, width: int = WIDTH, seed: int = SEED) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def segments(radius: int) -> list[tuple[int, int]]:
+    """First bit and number of bits of each of the fewest segments of which one differs by at most one bit."""
+    if not 2 <= radius < 64:
+        raise ValueError("the radius must be between 2 and 63")
+    ends = [64 * k // (radius // 2 + 1) for k in range(radius // 2 + 2)]
+    return [(a, b - a) for a, b in zip(ends, ends[1:], strict=False)]
+
+
+def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
     """id, fp (the fingerprint as a signed long)."""
-    return per_text(df, [id_col], text_col, "fp bigint", lambda texts: [np.array([simhash(t) for t in texts], np.uint64).view(np.int64)], as_bytes=True)
+    return per_text(df, [id_col], text_col, "fp bigint", lambda texts: [np.array([simhash(t, width) for t in texts], np.uint64).view(np.int64)], as_bytes=True)
 
 
-def variants(fp: Column) -> Column:
+def variants(fp: Column, radius: int = RADIUS) -> Column:
     """The 64 index keys of a fingerprint: deleted bit in the upper bits, what is left of its segment below."""
-    return F.array(*(F.shiftrightunsigned(fp, at).bitwiseAND((1 << n) - 1 & ~(1 << bit)).bitwiseOR(F.lit((at + bit) << 22)) for at, n in SEGMENTS for bit in range(n)))
+    cuts = segments(radius)
+    most = max(n for _, n in cuts)
+    return F.array(*(F.shiftrightunsigned(fp, at).bitwiseAND((1 << n) - 1 & ~(1 << bit)).bitwiseOR(F.lit((at + bit) << most)) for at, n in cuts for bit in range(n)))
 
 
 def reachable(fps: np.ndarray, radius: int = RADIUS) -> np.ndarray:
@@ -97,7 +107,7 @@ def _links(key: np.ndarray, fps: np.ndarray, radius: int) -> tuple[np.ndarray, n
     return np.concatenate([*a, np.empty(0, np.uint64)]), np.concatenate([*b, np.empty(0, np.uint64)])
 
 
-def _link_entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _link_entries(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.RecordBatch]:
     """Batches ordered by entry. Holds ROWS rows and the last entry."""
     held: list[tuple[np.ndarray, np.ndarray]] = []
 
@@ -107,7 +117,7 @@ def _link_entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         end = len(key) if whole else int(np.flatnonzero(key != key[-1])[-1]) + 1 if key[0] != key[-1] else 0
         held.append((key[end:], fps[end:]))
         if end:
-            a, b = _links(key[:end], fps[:end], RADIUS)
+            a, b = _links(key[:end], fps[:end], radius)
             if len(a):
                 pairs = np.unique(np.stack((a, b), axis=1), axis=0)
                 yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].view(np.int64)), pa.array(pairs[:, 1].view(np.int64))], names=["a", "b"])
@@ -123,21 +133,23 @@ def _link_entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield from made(True)
 
 
-def links(fps: DataFrame, block: int = BLOCK) -> DataFrame:
+def links(fps: DataFrame, block: int = BLOCK, radius: int = RADIUS) -> DataFrame:
     """Edges a, b between distinct fingerprints (column fp) that connect all that a chain of links connects."""
-    index = fps.select("fp", F.explode(variants(F.col("fp"))).alias("key")).select("*", F.count(F.lit(1)).over(Window.partitionBy("key")).alias("m"))
-    usual = index.where(F.col("m").between(2, block)).sortWithinPartitions("key").select("key", "fp").mapInArrow(_link_entries, "a bigint, b bigint")
+    linked = partial(_link_entries, radius=radius)
+    index = fps.select("fp", F.explode(variants(F.col("fp"), radius)).alias("key")).select("*", F.count(F.lit(1)).over(Window.partitionBy("key")).alias("m"))
+    usual = index.where(F.col("m").between(2, block)).sortWithinPartitions("key").select("key", "fp").mapInArrow(linked, "a bigint, b bigint")
     parts = F.ceil(F.col("m") / (block // 2)).cast("int")
     large = index.where(F.col("m") > block).select("key", "fp", F.pmod(F.xxhash64("fp"), parts).cast("int").alias("i"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("j"))
     pair = F.xxhash64("key", F.least("i", "j"), F.greatest("i", "j")).alias("key")  # should two entries meet in one number, they are verified alike
-    return usual.union(large.select(pair, "fp").repartition("key").sortWithinPartitions("key").mapInArrow(_link_entries, "a bigint, b bigint"))
+    return usual.union(large.select(pair, "fp").repartition("key").sortWithinPartitions("key").mapInArrow(linked, "a bigint, b bigint"))
 
 
-def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of df: id, fingerprint (16 hex digits), component_id."""
-    rows = cut(fingerprints(df, id_col, text_col))
+def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, radius: int = RADIUS) -> DataFrame:
+    """One row per row of df: id, fingerprint (16 hex digits), component_id. Shingles have `width` words, linked fingerprints differ by
+    at most `radius` bits. A larger radius has shorter segments, so that entries of the index are larger."""
+    rows = cut(fingerprints(df, id_col, text_col, width))
     groups = cut(rows.groupBy("fp").agg(F.min(id_col).alias("_first")))
-    roots = cut(connected_components(links(groups.select("fp"))).withColumnRenamed("node", "fp"))
+    roots = cut(connected_components(links(groups.select("fp"), radius=radius)).withColumnRenamed("node", "fp"))
     rooted = groups.join(roots, "fp")
     firsts = rooted.groupBy("root").agg(F.min("_first").alias("_reach"))
     reach = cut(roots.join(cut(firsts), "root").select("fp", "_reach"))
@@ -145,11 +157,11 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return rows.join(classes, "fp").select(id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, radius: int = RADIUS) -> DataFrame:
     """The rows whose id is the smallest of their component, with all columns of df; rows with a null id stay.
 
     Ids that go are joined away; they are unique, so no key is hot."""
-    gone = near_duplicates(df, id_col, text_col).where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_gone")).distinct()
+    gone = near_duplicates(df, id_col, text_col, width, radius).where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_gone")).distinct()
     return df.join(gone, df[id_col] == gone["_gone"], "left_anti")
 
 

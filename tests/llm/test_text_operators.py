@@ -62,7 +62,7 @@ def test_fingerprint(text):
     assert simhash.simhash(text.encode() if text is not None else None) == brute_fp(text)
 
 
-def brute_components(fps):
+def brute_components(fps, radius=4):
     root = {i: i for i in fps}
 
     def top(i):
@@ -73,7 +73,7 @@ def brute_components(fps):
     ids = sorted(fps)
     for i in ids:
         for j in ids:
-            if i < j and (fps[i] ^ fps[j]).bit_count() <= 4:
+            if i < j and (fps[i] ^ fps[j]).bit_count() <= radius:
                 a, b = sorted((top(i), top(j)))
                 root[b] = a
     return {i: top(i) for i in ids}
@@ -102,6 +102,19 @@ def test_links_find_every_component(spark, block):
     assert len({next(iter(x)) for x in same.values()}) == len(same)
 
 
+@pytest.mark.parametrize("radius", [2, 5, 9])
+def test_width_and_radius_are_arguments(spark, radius):
+    rng = random.Random(4)
+    base = [[f"w{rng.randrange(10**6)}" for _ in range(80)] for _ in range(6)]
+    texts = [" ".join(w[:k] + ["other"] + w[k + 1 :]) for w in base for k in (0, 5, 20, 40)]
+    fps = {i: simhash.simhash(t.encode(), 5) for i, t in enumerate(texts)}
+    got = {r.doc_id: r for r in simhash.near_duplicates(docs(spark, texts), width=5, radius=radius).collect()}
+    assert {i: int(r.fingerprint, 16) for i, r in got.items()} == fps
+    assert {i: r.component_id for i, r in got.items()} == brute_components(fps, radius)
+    assert simhash.segments(radius)[-1][0] + simhash.segments(radius)[-1][1] == 64
+    assert simhash.segments(4) == [(0, 21), (21, 21), (42, 22)]
+
+
 def test_near_duplicates(spark):
     texts = TEXTS + ["one two three four five six seven"] * 3
     got = {r.doc_id: r for r in simhash.near_duplicates(docs(spark, texts)).collect()}
