@@ -4,6 +4,7 @@ import hashlib
 import random
 import zlib
 
+import corpus_pipeline
 import numpy as np
 import public_tokenizers
 import pytest
@@ -72,6 +73,20 @@ def test_language_odd_rows(spark):
     assert [r.lang_pred == "und" for r in language_id.with_language(df, net).orderBy(F.col("doc_id").asc_nulls_last()).collect()] == [True, True, True, False, False]
 
 
+@pytest.mark.parametrize("n", [1, 2, 3, 10])
+def test_least_score_follows_number_of_languages(spark, monkeypatch, n):
+    """A text at chance goes, one at twice chance stays, however many labels were learned."""
+    df = spark.createDataFrame([(1, "some words", "a"), (2, "12 .", "a")], "doc_id bigint, text string, lang string")
+    net = language_id.ByteNetwork([f"l{k}" for k in range(n)])
+    net.out[:] = 0
+    monkeypatch.setattr(corpus_pipeline, "train_network", lambda docs: net)
+    kept = lambda: [r.doc_id for r in corpus_pipeline.language(spark, df, "").collect()]
+    assert kept() == ([1] if n == 1 else [])
+    net.level[0] = np.log(2 * (n - 1) / (n - 2)) if n > 2 else 5
+    assert kept() == [1]
+    assert corpus_pipeline.least_score(4) == pytest.approx(0.3)
+
+
 def test_automaton_equals_merges():
     """Small automata against merging in order."""
     rng = random.Random(2)
