@@ -3,8 +3,9 @@
 The bytes of a text, cut into windows of WINDOW, are read by two gated recurrent layers, one in each direction; every
 position gets a probability of each language, and a text's probability is the mean over all its positions. The gates
 are piecewise linear, the candidate is a hyperbolic tangent. The network is trained here, in numpy, by back-propagation
-through time on every position of a bounded sample: up to PER_LANGUAGE texts (on average) of each of the
-MOST_LANGUAGES most frequent labels, SAMPLE_CHARS characters of each, picked by a hash of the row, at most twice as many. Prediction reads whole texts.
+through time on every position of a sample: up to PER_LANGUAGE texts (on average) of every label, fewer of each, but at least
+LEAST_TEXTS, once that came to more than SAMPLE_TEXTS texts; SAMPLE_CHARS characters of each, picked by a hash of the row, at most twice as many.
+With more labels than MANY the network has more states and steps. Prediction reads whole texts.
 
 Defined results: `und` with score 0 if a text is null or has no letter, or if there is nothing to learn from;
 rows are independent, so ties, repeated rows and empty tables need nothing special; a null label or id is not learned from."""
@@ -21,7 +22,9 @@ from pyspark.sql import functions as F
 from .common import column_type, documents, slices
 
 WINDOW, HIDDEN, BLOCK = 96, 8, 4096
-PER_LANGUAGE, SAMPLE_CHARS, MOST_LANGUAGES = 600, 768, 64
+PER_LANGUAGE, SAMPLE_CHARS, SAMPLE_TEXTS, LEAST_TEXTS = 600, 768, 38_400, 8
+#: More labels than these get states and steps of their own, and smaller blocks.
+MANY = 64
 STEPS, BATCH, RATE = 500, 256, 0.02
 PAD, OFF = 256, np.float32(-1e4)
 UNKNOWN = "und"
@@ -99,11 +102,12 @@ class ByteNetwork:
         """Mean probability over all positions of each text; texts must not be empty."""
         rows, of = windows(texts)
         total = np.zeros((len(texts), len(self.languages)))
-        for at in range(0, len(rows), BLOCK):
-            byte = np.ascontiguousarray(rows[at : at + BLOCK].T).astype(np.intp)
+        block = max(1, BLOCK * MANY // max(MANY, len(self.languages)))
+        for at in range(0, len(rows), block):
+            byte = np.ascontiguousarray(rows[at : at + block].T).astype(np.intp)
             p = (self.positions(byte) * (byte != PAD)[:, :, None]).sum(axis=0, dtype=np.float64)
             for k in range(p.shape[1]):
-                total[:, k] += np.bincount(of[at : at + BLOCK], p[:, k], len(texts))
+                total[:, k] += np.bincount(of[at : at + block], p[:, k], len(texts))
         return total / np.array([[len(t)] for t in texts])
 
     def gradient(self, byte: np.ndarray, label: np.ndarray) -> tuple[float, list[np.ndarray]]:
@@ -120,7 +124,7 @@ class ByteNetwork:
         n = max(1, int(real.sum()))
         at = np.broadcast_to(label, byte.shape)
         loss = -np.log(np.take_along_axis(p, at[:, :, None], 2)[:, :, 0] + 1e-9)[real].sum() / n
-        p -= np.eye(len(self.languages), dtype=np.float32)[at]
+        p[:, np.arange(len(label)), label] -= 1
         p *= (real / n).astype(np.float32)[:, :, None]
         d_out, d_level = np.tensordot(both, p, ((0, 1), (0, 1))), p.sum(axis=(0, 1))
         d_both = p @ self.out.T
@@ -147,7 +151,7 @@ class ByteNetwork:
         return float(loss), [*d_table, *d_again, *d_bias, d_out, d_level]
 
     def train(self, texts: list[bytes], labels: list[int], steps: int = STEPS, seed: int = 7) -> ByteNetwork:
-        """Adam on batches that hold as many windows of each language as of any other."""
+        """Adam on batches that hold as many windows of each language as of any other, or one of each of BATCH languages in turn."""
         rng = np.random.default_rng(seed)
         rows, of = windows(texts)
         label = np.array(labels)[of]
@@ -155,7 +159,8 @@ class ByteNetwork:
         pools = [p for p in pools if len(p)]
         mean, square = ([np.zeros_like(w, dtype=np.float64) for w in self.weights()] for _ in range(2))
         for step in range(1, steps + 1):
-            pick = np.concatenate([rng.choice(p, -(-BATCH // len(pools))) for p in pools])
+            turn = pools if len(pools) <= BATCH else [pools[k] for k in rng.choice(len(pools), BATCH, replace=False)]
+            pick = np.concatenate([rng.choice(p, -(-BATCH // len(turn))) for p in turn])
             _, grads = self.gradient(np.ascontiguousarray(rows[pick].T).astype(np.intp), label[pick])
             rate = RATE * min(1, 2 * (1 - step / (steps + 1)))
             for w, g, m, s in zip(self.weights(), grads, mean, square, strict=True):
@@ -174,9 +179,10 @@ def train_network(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """A network from the labelled rows that aren't held out; None if there are none."""
     rows = df.select(df[id_col].alias("id"), df[text_col].alias("text"), df[lang_col].alias("lang"))
     rows = rows.where(F.col("id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("id")))
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
+    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()
     if not counts:
         return None
+    per_language = min(per_language, max(LEAST_TEXTS, SAMPLE_TEXTS // len(counts)))
     share = F.create_map(*(F.lit(x) for r in counts for x in (r["lang"], min(1.0, per_language / r["count"]))))
     chance = F.pmod(F.xxhash64("id", F.substring("text", 1, 64)), F.lit(1 << 30)) / float(1 << 30)
     start = 1 + F.pmod(F.xxhash64("id", F.lit(1)), F.greatest(F.length("text") - SAMPLE_CHARS, F.lit(0)) + 1)
@@ -186,7 +192,9 @@ def train_network(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     languages = sorted({lang for _, lang, _ in picked})
     if not languages:
         return None
-    return ByteNetwork(languages, seed).train([t.encode("utf-8", "surrogatepass") for *_, t in picked], [languages.index(lang) for _, lang, _ in picked], seed=seed)
+    number, times = {lang: k for k, lang in enumerate(languages)}, -(-len(languages) // MANY)
+    network = ByteNetwork(languages, seed, HIDDEN * min(4, times))
+    return network.train([t.encode("utf-8", "surrogatepass") for *_, t in picked], [number[lang] for _, lang, _ in picked], STEPS * times, seed)
 
 
 def predictions(network: ByteNetwork | None, texts: list[str | None]) -> tuple[list[str], list[float]]:

@@ -73,6 +73,19 @@ def test_language_odd_rows(spark):
     assert [r.lang_pred == "und" for r in language_id.with_language(df, net).orderBy(F.col("doc_id").asc_nulls_last()).collect()] == [True, True, True, False, False]
 
 
+def test_every_label_is_learned(spark):
+    """Seventy labels, the last one rarest: each of its own pair of letters."""
+    rng = random.Random(6)
+    pairs = [a + b for a in "abcdefghij" for b in "qrstuvw"]
+    rows = [(lang, " ".join("".join(rng.choices(pair, k=rng.randrange(2, 7))) for _ in range(20))) for k, (lang, pair) in enumerate((f"l{k:02d}", p) for k, p in enumerate(pairs)) for _ in range(20 if k < 69 else 14)]
+    df = spark.createDataFrame([(k, t, lang) for k, (lang, t) in enumerate(rows)], "doc_id bigint, text string, lang string")
+    net = language_id.train_network(df)
+    assert net.languages == [f"l{k:02d}" for k in range(70)]
+    told = language_id.predictions(net, [t for _, t in rows])[0]
+    assert sum(a == b for (a, _), b in zip(rows, told, strict=True)) >= 0.9 * len(rows)
+    assert sum(b == "l69" for b in told[-14:]) >= 12
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 10])
 def test_least_score_follows_number_of_languages(spark, monkeypatch, n):
     """A text at chance goes, one at twice chance stays, however many labels were learned."""
