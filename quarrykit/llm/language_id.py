@@ -8,7 +8,8 @@ LEAST_TEXTS, once that came to more than SAMPLE_TEXTS texts; SAMPLE_CHARS charac
 With more labels than MANY the network has more states and steps. Prediction reads whole texts.
 
 Defined results: `und` with score 0 if a text is null or has no letter, or if there is nothing to learn from;
-rows are independent, so ties, repeated rows and empty tables need nothing special; a null label or id is not learned from."""
+bytes that aren't UTF-8 are read as U+FFFD; rows are independent, so ties, repeated rows and empty tables need nothing special; a null label or id is
+not learned from; a table's own columns of the names of the language and score give way to them, all others pass through."""
 
 from __future__ import annotations
 
@@ -19,13 +20,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import column_type, documents, slices
+from .common import column_type, documents, slices, texts_of, without
 
 WINDOW, HIDDEN, BLOCK = 96, 8, 4096
 PER_LANGUAGE, SAMPLE_CHARS, SAMPLE_TEXTS, LEAST_TEXTS = 600, 768, 38_400, 8
 #: More labels than these get states and steps of their own, and smaller blocks.
 MANY = 64
 STEPS, BATCH, RATE = 500, 256, 0.02
+#: Texts of the sample, at most, of which the usual score is taken.
+JUDGED = 512
 PAD, OFF = 256, np.float32(-1e4)
 UNKNOWN = "und"
 
@@ -52,6 +55,7 @@ class ByteNetwork:
         rng = np.random.default_rng(seed)
         draw = lambda *shape, scale: rng.normal(0, scale, shape).astype(np.float32)
         self.languages, h = languages, hidden
+        self.usual = 0.0  # the median score of texts that it was trained on
         self.table = [np.concatenate((draw(257, 2 * h, scale=0.1) + np.float32(0.5), draw(257, h, scale=0.5)), axis=1) for _ in range(2)]
         self.again = [draw(h, 3 * h, scale=0.5 / np.sqrt(h)) for _ in range(2)]
         self.bias = [np.zeros(h, np.float32) for _ in range(2)]
@@ -194,7 +198,9 @@ def train_network(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         return None
     number, times = {lang: k for k, lang in enumerate(languages)}, -(-len(languages) // MANY)
     network = ByteNetwork(languages, seed, HIDDEN * min(4, times))
-    return network.train([t.encode("utf-8", "surrogatepass") for *_, t in picked], [number[lang] for _, lang, _ in picked], STEPS * times, seed)
+    network.train([t.encode("utf-8", "surrogatepass") for *_, t in picked], [number[lang] for _, lang, _ in picked], STEPS * times, seed)
+    network.usual = float(np.median(predictions(network, [t for *_, t in picked[:: -(-len(picked) // JUDGED)]])[1]))
+    return network
 
 
 def predictions(network: ByteNetwork | None, texts: list[str | None]) -> tuple[list[str], list[float]]:
@@ -208,17 +214,17 @@ def predictions(network: ByteNetwork | None, texts: list[str | None]) -> tuple[l
 
 
 def with_language(df: DataFrame, network: ByteNetwork | None, text_col: str = "text", lang_name: str = "lang_pred", score_name: str = "score") -> DataFrame:
-    """df with the predicted language and its score as last columns."""
-    at = df.columns.index(text_col)
-    schema = ", ".join([*(f"`{c}` {column_type(df, c)}" for c in df.columns), f"`{lang_name}` string", f"`{score_name}` double"])
-    names = [*df.columns, lang_name, score_name]
+    """df with the predicted language and its score as last columns, which take the place of columns of those names."""
+    kept = without(df.columns, [lang_name, score_name])
+    schema = ", ".join([*(f"`{c}` {column_type(df, c)}" for c in kept), f"`{lang_name}` string", f"`{score_name}` double"])
+    names = [*kept, lang_name, score_name]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            lang, score = predictions(network, batch.column(at).to_pylist())
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64())], names=names)
+            lang, score = predictions(network, texts_of(batch.column(len(kept))))
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], pa.array(lang, pa.string()), pa.array(score, pa.float64())], names=names)
 
-    return df.mapInArrow(run, schema)
+    return df.select(*(df[c] for c in kept), df[text_col]).mapInArrow(run, schema)
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,8 @@ the base rules: TAILS times as far from the median as the percentiles EDGES, and
 ratios cut to 1/CELLS, so a task holds a bounded histogram and runs agree. A band of fewer than LEAST_ROWS has the fixed limits.
 
 Defined results: a null text counts as empty: no words, so base_failed; the last chunk joins the one before if it
-is under half a chunk; repeated rows count as often as they are there; rows of an empty table are none.
+is under half a chunk; repeated rows count as often as they are there; bytes that aren't UTF-8 are read as U+FFFD; columns other than id and text are not read, whatever their
+names; rows of an empty table are none.
 
 What ratios can't tell: words of base64 under about 250 bytes, words of hex under about 2 KB and hex bytes with spaces between
 compress as prose of that length does; a kind of text that is under a tenth of its band (a rare script, say) counts by the others' limits."""

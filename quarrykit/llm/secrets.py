@@ -9,7 +9,7 @@ tokens whose last six characters are the base-62 CRC-32 of the body (the layout
 hosts publish for theirs), `card` are payment card numbers of known prefixes that pass the Luhn sum.
 
 Spans are kind:start:end in code points, end exclusive, by start, then kind as listed in KINDS. Defined results: a
-null text counts as empty: no spans, and the digest of the empty string; rows are independent, so ties, repeated
+null text counts as empty: no spans, and the digest of the empty string; bytes that aren't UTF-8 are read as U+FFFD; rows are independent, so ties, repeated
 rows and empty tables need nothing special; other columns pass through redact_secrets untouched."""
 
 from __future__ import annotations
@@ -23,9 +23,10 @@ from functools import lru_cache
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import documents, per_text, slices
+from .common import documents, per_text, slices, texts_of
 
 KINDS = ("assign", "access", "hex", "checked", "card")
 ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.ASCII | re.IGNORECASE)
@@ -147,7 +148,10 @@ def redact_secrets(df: DataFrame, text_col: str = "text", mark: str = "[secret]"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            clean = pa.array([redact(t, mark) for t in batch.column(at).to_pylist()], batch.schema.field(at).type)
+            texts, field = texts_of(batch.column(at)), batch.schema.field(at)
+            clean = [redact(t, mark) for t in texts]
+            same = pa.array([a is b for a, b in zip(texts, clean, strict=True)], pa.bool_())
+            clean = pc.if_else(same, batch.column(at), pa.array(clean, field.type))  # a text without secrets stays as it is, byte for byte
             yield pa.RecordBatch.from_arrays([clean if i == at else c for i, c in enumerate(batch.columns)], names=batch.schema.names)
 
     return df.mapInArrow(run, df.schema)

@@ -11,7 +11,7 @@ write will do, and a lost executor's files are written again.
 Documents are compressed before they are sorted, so that only frames are shuffled. Starts are sums over documents of a shard and
 over shards before it; only one row a shard meets in one task.
 
-Defined results: a null text is an empty one; a null id sorts first; rows that repeat an id are kept, in order of size and content; an empty table
+Defined results: a null text is an empty one; bytes that aren't UTF-8 are read as U+FFFD; columns other than id and text are not read; ids that are no numbers raise; a null id sorts first; rows that repeat an id are kept, in order of size and content; an empty table
 gives an empty folder of segments, that reads as no rows."""
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import column_type, documents, new_folder, per_text, sampled, slices
+from .common import column_type, documents, new_folder, per_text, sampled, slices, texts_of
 from .units import byte_units
 
 SAMPLE, SAMPLE_CHARS, DICTIONARY, LEVEL = 1000, 4096, 65536, 1
@@ -70,6 +70,8 @@ def in_order(df: DataFrame, id_col: str, text_col: str, fields: str, work: Calla
 
     Bounds of shards of about `rows` (SHARD_ROWS) rows are percentiles of the id column alone; each row goes straight to its shard's partition. So texts
     are read and encoded once and nothing is written on the way. Over SHARDS times `rows` rows shards grow; their sort spills."""
+    if column_type(df, id_col).split("(")[0] not in ("tinyint", "smallint", "int", "bigint", "float", "double"):
+        raise TypeError(f"{id_col} is {column_type(df, id_col)}; ids must be numbers, so that shards follow their order")
     n = min(SHARDS, max(1, -(-df.count() // (rows or SHARD_ROWS))))
     cuts = df.agg(F.percentile_approx(id_col, [k / n for k in range(1, n)], 20 * n)).first()[0] if n > 1 else None
     bounds, kind = np.array(cuts or [], np.float64 if column_type(df, id_col) in ("double", "float") else np.int64), column_type(df, id_col)
@@ -80,7 +82,7 @@ def in_order(df: DataFrame, id_col: str, text_col: str, fields: str, work: Calla
             ids = batch.column(0)
             shard = np.searchsorted(bounds, ids.fill_null(0).to_numpy(zero_copy_only=False), side="right")
             shard[ids.is_null().to_numpy(zero_copy_only=False)] = 0
-            yield pa.RecordBatch.from_arrays([pa.array(shard.astype(np.int32)), ids, *work(batch.column(1).to_pylist())], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array(shard.astype(np.int32)), ids, *work(texts_of(batch.column(1)))], names=names)
 
     made = df.select(df[id_col], df[text_col]).mapInArrow(run, f"_shard int, `{id_col}` {kind}, {fields}")
     return made.repartitionById(n, "_shard").sortWithinPartitions(F.col(id_col).asc_nulls_first(), *names[2:]).select(*names[1:])
