@@ -3,19 +3,26 @@
 A page is a sequence of words and tags. Words score positive and tags negative; one linear scan finds the contiguous region of the
 greatest sum (Pasternack and Roth, "Extracting Article Text from the Web with Maximum Subsequence Segmentation", 2009). The weights come from
 labelled pages: those that mark their article themselves, by one <article> or <main>. Of such among about SAMPLE pages (at most twice
-that, picked by a hash) it is counted how often a tag, and a word below a tag, lies inside; the counts are added to prior ones. What can't be
-article at any place (scripts, menus, forms, notices and such, by element, role or words of class and id) is taken out before. The
-region then snaps to the marked element, if there is one that holds nearly all of it.
+that, picked by a hash) it is counted how often a tag, an element whose class or id has a word as its head, and a word below a tag, lie inside; the
+counts are added to prior ones. Where a marked element holds nearly all of the best region, a second scan weighs words and tags by whether they
+lie in it; so the mark moves the ends, and the scan decides.
 
-Character references are decoded, white space becomes one space, blocks are joined by one space. Defined results: null or empty
-html gives an empty text; markup that is cut off or not closed is read as far as it goes; pages are independent, so
-repeated rows and ties need nothing special (of equal regions the first is taken); an empty table gives no rows."""
+Kinds of elements that are no article wherever they stand (menus, forms, scripts, asides, hidden ones, by element or role) are left out, and so are
+elements named for what they hold: the head of a name of class or id counts, its last word but for words like list or content, so
+comment-list and post-comments are comments, while related-work, notice-board and no-comments are none. Names are words of authors: an element that
+is also named as text, or holds the page's heading or mark, stays, and where almost nothing is left without the named elements they all count by their weights alone.
+
+Character references are decoded, white space becomes one space, blocks are joined by one space. Parsing and scan are linear in the page. Defined
+results: null or empty html gives an empty text; markup that is cut off or not closed is read as far as it goes; bytes that aren't UTF-8 are
+read as U+FFFD; pages are independent, so repeated rows and ties need nothing special (of equal regions the first is taken); an empty table gives no
+rows; a kept column with the name of a made one gives way to it, other columns are not read."""
 
 from __future__ import annotations
 
 import re
 from collections import Counter
 from html import unescape
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -29,76 +36,104 @@ TOKEN = re.compile(
     r"|<(?P<close>/?)(?P<name>[a-z][a-z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*|[^>]*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)|(?P<text>[^<]+|<)",
     re.S | re.I,
 )
-ATTRIBUTE = re.compile(r"([a-z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))|\b(hidden)\b", re.I)
-WORDS_OF_NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
+ATTRIBUTE = re.compile(r"(?<![a-z-])(?:([a-z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))|(hidden)(?![a-z-]))", re.I)
+WORDS_OF_NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
-#: Kinds of elements.
+#: Kinds of elements, and words of class and id.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 CLOSES_P = frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
+HOLDS_P = ("p", "td", "li", "article", "div")
 MARKED = frozenset(("article", "main"))
 NEVER = frozenset("aside button dialog footer form head input menu nav option select".split())
 ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search".split())
-NAMES = frozenset(
+NO_TEXT = frozenset(
     "ad ads advert adverts advertisement advertisements advertising adv banner breadcrumb breadcrumbs comment comments commenting consent cookie cookies copyright disclaimer disqus dfp footer footers gdpr"
     " login masthead menu menus modal nav navbar navigation newsletter notice notices notification outbrain overlay pager pagination popup promo promos promotion recommended related replies"
     " respond share sharing sidebar sidebars signup social sponsor sponsored sponsors subscribe subscription taboola teaser toolbar widget widgets".split()
 )
-#: Prior share of a tag outside articles, by kind, and its count.
-PRIOR, WEIGHT = {"inline": 0.02, "text": 0.03, "frame": 0.6}, 4.0
+IS_TEXT = frozenset("article body content entry main post prose story text".split())
+NO_HEAD = IS_TEXT | frozenset(
+    "area articles aside bar block bottom box button buttons card col column container footer group header holder info inner item items layout left link links list media module outer page panel pane posts region"
+    " right row section site slot stories title top unit wrap wrapper zone".split()
+)
+NEGATING = frozenset("has have hide is no non not with without".split())
+#: Prior share of a tag, or of a name, outside articles, by kind, and its count.
+PRIOR, WEIGHT = {"inline": 0.02, "text": 0.03, "frame": 0.6, "no text": 0.9}, 4.0
 TEXT_TAGS = frozenset("p h1 h2 h3 h4 h5 h6 li ul ol dl dt dd blockquote pre table thead tbody tr td th br hr figure figcaption caption".split())
-#: A tag costs LEAST, and up to MOST more if it is always outside.
+#: A tag costs LEAST, and up to MOST more if it is always outside. A mark counts if it holds INSIDE of the region's words.
 LEAST, MOST, INSIDE = 0.1, 12.0, 0.85
+#: Named elements are given another chance if fewer words than FEW, and less than this share, are left without them.
+FEW, LEFT = 20, 0.1
 
 
 class Node:
-    """A tag or a stretch of text in page order; an element's end is the place after its last node."""
+    """A tag or a stretch of text in page order; an element's end is the place after its last node.
 
-    __slots__ = ("end", "kind", "name", "parent", "text", "unwanted")
+    out: 2 if it is no article wherever it stands, 1 if its names say so; heads: of its names; frame: name of the nearest element around it that
+    isn't inline; marked: whether it lies in a marked element."""
 
-    def __init__(self, kind: str, name: str, parent: int, text: str = "") -> None:
-        self.kind, self.name, self.parent, self.text, self.end, self.unwanted = kind, name, parent, text, -1, False
+    __slots__ = ("end", "frame", "heads", "kind", "marked", "name", "out", "parent", "text")
 
+    def __init__(self, kind: str, name: str, parent: int, nodes: list[Node], text: str = "") -> None:
+        self.kind, self.name, self.parent, self.text, self.end, self.out, self.heads = kind, name, parent, text, -1, 0, ()
+        above = nodes[parent] if parent >= 0 else None
+        self.frame = "" if above is None else above.frame if above.name in INLINE else above.name
+        self.marked = above is not None and (above.marked or above.name in MARKED)
 
-def _unwanted(name: str, attrs: str) -> bool:
-    """Whether an element is no article wherever it stands."""
-    if name in NEVER:
-        return True
+
+def head(name: str) -> str:
+    """The word that says what a name of class or id is of; none where it is negated or has only words like list."""
+    words = [w.lower() for w in WORDS_OF_NAME.findall(name)]
+    if not words or words[0] in NEGATING:
+        return ""
+    return next((w for w in reversed(words) if w not in NO_HEAD or w in NO_TEXT), next((w for w in words if w in IS_TEXT), ""))
+
+
+def _judge(node: Node, attrs: str) -> None:
+    """Sets out and heads of an element by its kind and attributes."""
+    heads: list[str] = []
+    node.out = 2 if node.name in NEVER else 0
     for key, *values, hidden in ATTRIBUTE.findall(attrs):
         key, value = key.lower(), "".join(values)
         if hidden or key == "role" and value.lower() in ROLES or key == "aria-hidden" and value == "true" or key == "style" and re.search(r"display\s*:\s*none", value):
-            return True
-        if key in ("class", "id") and any(w.lower() in NAMES for w in WORDS_OF_NAME.findall(value)):
-            return True
-    return False
+            node.out = 2
+        if key in ("class", "id"):
+            heads += [h for n in value.split() if (h := head(n))]
+    node.heads = tuple(dict.fromkeys(heads))
+    if not node.out and any(h in NO_TEXT for h in heads) and not any(h in IS_TEXT for h in heads):
+        node.out = 1
 
 
 def parse(html: str) -> list[Node]:
     nodes: list[Node] = []
     stack: list[int] = []
+    depths: dict[str, list[int]] = {}  # of each name the places in the stack
 
     def close_to(depth: int) -> None:
         while len(stack) > depth:
-            nodes[stack.pop()].end = len(nodes)
+            node = nodes[stack.pop()]
+            node.end = len(nodes)
+            depths[node.name].pop()
 
     for m in TOKEN.finditer(html):
-        above = stack[-1] if stack else -1
         if m["text"]:
-            nodes.append(Node("text", "", above, unescape(m["text"])))
+            nodes.append(Node("text", "", stack[-1] if stack else -1, nodes, unescape(m["text"])))
         elif m["name"]:
-            name = m["name"].lower()
+            name, attrs = m["name"].lower(), m["attrs"] or ""
             if m["close"]:
-                depth = next((k for k in range(len(stack) - 1, -1, -1) if nodes[stack[k]].name == name), -1)
-                if depth >= 0:
-                    close_to(depth)
-                nodes.append(Node("close", name, stack[-1] if stack else -1))
+                if depths.get(name):
+                    close_to(depths[name][-1])
+                nodes.append(Node("close", name, stack[-1] if stack else -1, nodes))
                 continue
-            if name in CLOSES_P and (depth := next((k for k in range(len(stack) - 1, -1, -1) if nodes[stack[k]].name in ("p", "td", "li", "article", "div")), -1)) >= 0 and nodes[stack[depth]].name == "p":
-                close_to(depth)
-            node = Node("open", name, stack[-1] if stack else -1)
-            node.unwanted = name not in MARKED and name not in ("html", "body") and _unwanted(name, m["attrs"] or "")
+            if name in CLOSES_P and depths.get("p") and depths["p"][-1] == max(depths[n][-1] for n in HOLDS_P if depths.get(n)):
+                close_to(depths["p"][-1])
+            node = Node("open", name, stack[-1] if stack else -1, nodes)
+            if name not in MARKED and name not in ("html", "body"):
+                _judge(node, attrs)
             nodes.append(node)
-            if name not in VOID and not (m["attrs"] or "").endswith("/"):
+            if name not in VOID and not attrs.endswith("/"):
+                depths.setdefault(name, []).append(len(stack))
                 stack.append(len(nodes) - 1)
             else:
                 node.end = len(nodes)
@@ -106,61 +141,54 @@ def parse(html: str) -> list[Node]:
     return nodes
 
 
-def wanted(nodes: list[Node]) -> list[int]:
-    """Places of nodes outside unwanted elements. A named frame around a marked element or a heading of first rank is kept, and so is a page's header in the article."""
+def wanted(nodes: list[Node], named: bool = True) -> list[int]:
+    """Places of nodes outside elements that are left out; without `named`, names leave none out.
+
+    A named element or a form around a mark is kept, a named one around a heading of first rank too, and so is a page's header in the article."""
+    marks, firsts = ([0, *accumulate(n.kind == "open" and is_it(n.name) for n in nodes)] for is_it in (MARKED.__contains__, "h1".__eq__))
     out, k = [], 0
     while k < len(nodes):
         node = nodes[k]
-        if node.kind == "open" and node.end > k + 1:
-            inside = {n.name for n in nodes[k + 1 : node.end] if n.kind == "open"} if node.unwanted or node.name == "header" else set()
-            if node.unwanted and (node.name in NEVER or not inside & MARKED and "h1" not in inside) and not (node.name == "form" and inside & MARKED):
-                k = node.end
+        if node.kind == "open" and (node.out or node.name == "header"):
+            mark, first = marks[node.end] > marks[k + 1], firsts[node.end] > firsts[k + 1]
+            kept = mark and node.name == "form"
+            if node.out == 2 and node.name not in NEVER:
+                kept = mark or first
+            elif node.out == 1:
+                kept = not named or mark or first
+            elif not node.out:
+                kept = mark or first and node.marked
+            if not kept:
+                k = max(k + 1, node.end)
                 continue
-            if node.name == "header" and not inside & MARKED and not ("h1" in inside and _within(nodes, k, MARKED)):
-                k = node.end
-                continue
-        elif node.kind == "open" and node.unwanted:
-            k = max(k + 1, node.end)
-            continue
         out.append(k)
         k += 1
     return out
 
 
-def _within(nodes: list[Node], k: int, names: frozenset) -> bool:
-    while (k := nodes[k].parent) >= 0:
-        if nodes[k].name in names:
-            return True
-    return False
-
-
-def _feature(nodes: list[Node], k: int) -> str:
-    """A tag's name with a slash at ends, or for a text the name of the element that it is in."""
-    node = nodes[k]
+def _features(node: Node) -> list[str]:
+    """A tag's name with a slash at ends, and the heads of an element's names; for a text the name of the element that it is in."""
     if node.kind == "text":
-        p = node.parent
-        while p >= 0 and nodes[p].name in INLINE:
-            p = nodes[p].parent
-        return "#" + (nodes[p].name if p >= 0 else "")
-    return "/" * (node.kind == "close") + node.name
+        return ["#" + node.frame]
+    return ["/" * (node.kind == "close") + node.name, *("@" + h for h in node.heads)]
 
 
 def count_features(html: str) -> Counter:
     """(feature, inside) counts of a page that marks exactly one article; else none. The marked element's own tags are outside."""
     nodes = parse(html)
-    marked = [k for k, n in enumerate(nodes) if n.kind == "open" and n.name in MARKED]
-    if len(marked) != 1:
+    if sum(n.kind == "open" and n.name in MARKED for n in nodes) != 1:
         return Counter()
-    a, b = marked[0], nodes[marked[0]].end
     out: Counter = Counter()
     for k in wanted(nodes):
-        n = len(nodes[k].text.split()) if nodes[k].kind == "text" else 1
-        out[_feature(nodes, k), a < k < b] += n
+        node = nodes[k]
+        n = len(node.text.split()) if node.kind == "text" else 1
+        for f in _features(node):
+            out[f, node.marked] += n
     return out
 
 
 def weights(counts: dict[tuple[str, bool], int]) -> dict[str, float]:
-    """Score of a word below a tag (#name), positive, and of a tag (name, /name), negative."""
+    """Score of a word below a tag (#name), positive, and of a tag (name, /name) or of an element by the head of a name (@head), negative."""
     out = {}
     for f in {f for f, _ in counts}:
         inside, outside = counts.get((f, True), 0), counts.get((f, False), 0)
@@ -170,7 +198,9 @@ def weights(counts: dict[tuple[str, bool], int]) -> dict[str, float]:
 
 
 def _prior(feature: str) -> float:
-    name = feature.strip("/#")
+    name = feature.strip("/#@")
+    if feature[:1] == "@":
+        return PRIOR["no text" if name in NO_TEXT else "text"]
     return PRIOR["inline" if name in INLINE else "text" if name in TEXT_TAGS else "frame"]
 
 
@@ -178,6 +208,11 @@ def _score(feature: str, outside: float) -> float:
     return max(0.05, 1 - outside) if feature[0] == "#" else -LEAST - MOST * outside
 
 
+def _weight(feature: str, learned: dict[str, float]) -> float:
+    w = learned.get(feature)
+    return _score(feature, _prior(feature)) if w is None else w
+
+
 def best_region(scores: list[float]) -> tuple[int, int]:
     """Begin and end of the contiguous stretch of the greatest sum; the first and shortest among equals."""
     best, begin, end, total, start = 0.0, 0, 0, 0.0, 0
@@ -190,26 +225,38 @@ def best_region(scores: list[float]) -> tuple[int, int]:
     return begin, end
 
 
-def extract(html: str | None, learned: dict[str, float]) -> str:
-    if not html:
-        return ""
-    nodes = parse(html)
-    kept = wanted(nodes)
+def _region(nodes: list[Node], kept: list[int], learned: dict[str, float]) -> list[int]:
+    """Places of the best region's nodes."""
     words = [len(nodes[k].text.split()) if nodes[k].kind == "text" else 0 for k in kept]
     score = []
     for k, n in zip(kept, words, strict=True):
-        f = _feature(nodes, k)
-        w = learned.get(f)
-        w = _score(f, _prior(f)) if w is None else w
-        score.append(w * n if nodes[k].kind == "text" else w)
+        if nodes[k].kind == "text":
+            score.append(n * _weight("#" + nodes[k].frame, learned))
+        else:
+            score.append(min(_weight(f, learned) for f in _features(nodes[k])))
     begin, end = best_region(score)
-    for k, node in enumerate(nodes):
-        if node.kind == "open" and node.name in MARKED:
-            inside = [i for i, at in enumerate(kept) if k < at < node.end]
-            if inside and sum(words[max(begin, inside[0]) : min(end, inside[-1] + 1)]) >= INSIDE * max(1, sum(words[begin:end])):
-                begin, end = inside[0], inside[-1] + 1
-    parts = [nodes[k].text if nodes[k].kind == "text" else "" if nodes[k].name in INLINE else " " for k in kept[begin:end]]
-    return " ".join("".join(parts).split())
+    marked = [n if nodes[k].marked else 0 for k, n in zip(kept, words, strict=True)]
+    if sum(marked[begin:end]) >= INSIDE * max(1, sum(words[begin:end])):
+        score = [(n if nodes[k].marked else -n) if nodes[k].kind == "text" else -LEAST if nodes[k].marked else min(s, -1.0) for k, n, s in zip(kept, words, score, strict=True)]
+        begin, end = best_region(score)
+    return kept[begin:end]
+
+
+def extract(html: str | None, learned: dict[str, float]) -> str:
+    if not html:
+        return ""
+    nodes = parse(html)
+
+    def text(named: bool) -> str:
+        parts = [nodes[k].text if nodes[k].kind == "text" else "" if nodes[k].name in INLINE else " " for k in _region(nodes, wanted(nodes, named), learned)]
+        return " ".join("".join(parts).split())
+
+    found = text(True)
+    if len(found.split()) < FEW and any(n.out == 1 for n in nodes):
+        other = text(False)
+        if len(found.split()) < LEFT * len(other.split()):
+            return other
+    return found
 
 
 def learn(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sample: int = SAMPLE) -> dict[str, float]:
