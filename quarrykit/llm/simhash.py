@@ -10,7 +10,8 @@ through members not yet reached, never all pairs. Entries over BLOCK members are
 a task of its own; every pair of members meets in one of them. No link is lost and no entry is capped.
 
 Defined results: a null text counts as empty; without words the fingerprint is zero, and zero links like any other;
-rows that repeat an id get the same component; component_id is the smallest non-null id reachable (null if none is)."""
+bytes that aren't UTF-8 are hashed as they are; columns other than id and text are not read by near_duplicates and pass through drop_near_duplicates;
+rows that repeat an id get the component of their own text; component_id is the smallest non-null id reachable (null if none is)."""
 
 from __future__ import annotations
 
@@ -29,6 +30,8 @@ from .components import connected_components
 WIDTH, SEED, RADIUS, BLOCK = 4, 42, 4, 8192
 #: Shingles whose bits are counted at once, rows of index that a task holds besides one entry, and entries compared by offsets.
 BITS_AT_ONCE, ROWS, SMALL = 65536, 200_000, 32
+#: A fingerprint with more than this share of all rows gets its class by broadcast.
+HOT = 1024
 
 
 def simhash(text: bytes | None, width: int = WIDTH, seed: int = SEED) -> int:
@@ -148,13 +151,15 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """One row per row of df: id, fingerprint (16 hex digits), component_id. Shingles have `width` words, linked fingerprints differ by
     at most `radius` bits. A larger radius has shorter segments, so that entries of the index are larger."""
     rows = cut(fingerprints(df, id_col, text_col, width))
-    groups = cut(rows.groupBy("fp").agg(F.min(id_col).alias("_first")))
+    groups = cut(rows.groupBy("fp").agg(F.min(id_col).alias("_first"), F.count(F.lit(1)).alias("_n")))
     roots = cut(connected_components(links(groups.select("fp"), radius=radius)).withColumnRenamed("node", "fp"))
     rooted = groups.join(roots, "fp")
     firsts = rooted.groupBy("root").agg(F.min("_first").alias("_reach"))
     reach = cut(roots.join(cut(firsts), "root").select("fp", "_reach"))
-    classes = cut(groups.join(reach, "fp", "left").select("fp", F.coalesce("_reach", "_first").alias("component_id")))
-    return rows.join(classes, "fp").select(id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    classes = cut(groups.join(reach, "fp", "left").select("fp", F.coalesce("_reach", "_first").alias("component_id"), "_n"))
+    frequent = classes.where(F.col("_n") * HOT > (groups.agg(F.sum("_n")).first()[0] or 0)).drop("_n")  # fewer than HOT rows: each has over a HOT-th of all
+    usual = rows.join(F.broadcast(frequent), "fp", "left_anti").join(classes.drop("_n"), "fp")
+    return rows.join(F.broadcast(frequent), "fp").unionByName(usual).select(id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, radius: int = RADIUS) -> DataFrame:
