@@ -3,10 +3,10 @@
 A document is its ids and the end's id. Longer ones than a sequence are cut; a whole piece fills a sequence. Each other piece goes, longest first,
 to the open sequence for which the sum over all residual gaps of the squared number of open sequences with that gap becomes smallest, the smallest
 gap among equals; a new one is opened only where none has room (Csirik et al., "On the Sum-of-Squares Algorithm for Bin Packing",
-2006). Pieces are dealt by a hash to groups of about GROUP, each packed by a task: a group wastes one or two sequences of its thousands,
+2006). So a new sequence is never weighed against open ones with room. Pieces are dealt by a hash of their number in the table to groups of about GROUP, each packed by a task: a group wastes one or two sequences of its thousands,
 whatever the table's size, and no task or driver holds more than a group.
 
-Defined results: a null text is an empty one: one piece, the end alone; rows that repeat an id are packed each; ties of length go by id
+Defined results: a null text is an empty one: one piece, the end alone; bytes that aren't UTF-8 are read as U+FFFD; columns other than id and text are not read; rows that repeat an id are packed each; ties of length go by id
 and piece; an empty table gives no rows."""
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import column_type, cut, documents, slices
+from .common import column_type, cut, documents, free, slices, texts_of
 from .units import word_units
 
 CAPACITY, GROUP, END = 2048, 16384, 0
@@ -32,7 +32,7 @@ def pieces(df: DataFrame, path: str, capacity: int = CAPACITY, end: int = END, i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            ids, ends = word_units(path).ids(batch.column(1).to_pylist())
+            ids, ends = word_units(path).ids(texts_of(batch.column(1)))
             data = memoryview(np.insert(ids, ends, end).astype("<u4").tobytes())
             ends = ends + np.arange(1, len(ends) + 1)
             size = np.diff(np.concatenate(([0], ends)))
@@ -74,13 +74,13 @@ def pack(df: DataFrame, path: str, capacity: int = CAPACITY, end: int = END, id_
     """One row per piece: id, piece, start, length, ids_crc32, sequence_id, offset."""
     cut_up = cut(pieces(df, path, capacity, end, id_col, text_col))
     groups = max(1, -(-cut_up.count() // group))
-    names = [*cut_up.columns, "sequence_id", "offset"]
+    names, nth = [*cut_up.columns, "sequence_id", "offset"], free(cut_up, "nth")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [b for b in batches if b.num_rows]
         if not held:
             return
-        table = pa.Table.from_batches(held)
+        table = pa.Table.from_batches(held).drop_columns([nth])
         table = table.sort_by([("length", "descending"), (id_col, "ascending"), ("piece", "ascending"), ("ids_crc32", "ascending")])
         number, offset = sum_of_squares(table["length"].to_pylist(), capacity)
         first = TaskContext.get().partitionId() << 32
@@ -88,7 +88,8 @@ def pack(df: DataFrame, path: str, capacity: int = CAPACITY, end: int = END, id_
         yield from table.to_batches()
 
     fields = ", ".join(f"`{c}` {column_type(cut_up, c)}" for c in cut_up.columns)
-    return cut_up.repartition(groups, F.xxhash64(id_col, "piece", "ids_crc32")).mapInArrow(run, f"{fields}, sequence_id bigint, offset bigint").select(*names)
+    dealt = cut_up.withColumn(nth, F.monotonically_increasing_id()).repartition(groups, F.xxhash64(nth))  # by number: ids may repeat
+    return dealt.mapInArrow(run, f"{fields}, sequence_id bigint, offset bigint").select(*names)
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
