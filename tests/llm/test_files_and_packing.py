@@ -56,12 +56,16 @@ def test_token_files_empty(spark):
 
 
 @pytest.mark.parametrize("kind", [">u2", "<u4"])
-def test_separator_scan_of_written_files(spark, kind, monkeypatch):
-    monkeypatch.setattr(token_counts, "FILE_ROWS", 20)
+def test_separator_scan_of_written_files(spark, kind):
     rows, tok = some_rows(), units.Tokenizer.from_file(BYTE)
     tok.encode_special_tokens = True
+    rows += [(3000 + k, "".join(tok.decode([256 * j + 80]) for j in range(k, 190, 3))) for k in range(3)] * 20  # ids with the end's last byte
     folder = common.new_folder(spark, "flat")
-    token_counts.write_flat(table(spark, rows).coalesce(1), folder, BYTE, 50256, kind=kind)
+    token_counts.write_flat(table(spark, rows).coalesce(1), folder, BYTE, 50256, kind=kind, block=100)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder).collect()
+    size = np.dtype(kind).itemsize
+    assert len(files) > 50 and sum(bytes(f.content)[-size:] != np.array([50256], kind).tobytes() for f in files) > 20  # documents run on
+    assert all(len(f.content) < 100 * size + 10_000 * size for f in files)
     got = token_counts.token_counts(spark, folder, 50256, kind).orderBy("position").collect()
     assert [r.n_tokens for r in got] == [len(tok.encode(t or "", add_special_tokens=False).ids) for _, t in rows]
     assert [r.position for r in got] == list(range(len(rows)))
@@ -154,6 +158,47 @@ def test_extract():
     assert len(html_extract.extract("<p>" + "word " * 200_000 + "</p>", {}).split()) == 200_000
 
 
+def words_of(paragraphs):
+    return "".join("<p>" + " ".join(f"Word{i} is here and says something of note {j}." for i in range(8)) + "</p>" for j in range(paragraphs))
+
+
+BEFORE, AFTER = '<html><body><nav><a href="x">Home</a></nav><div class="ad">Buy this now and here.</div>', '<div class="site-footer">Words at the end</div></body></html>'
+
+
+@pytest.mark.parametrize(
+    "page, paragraphs",
+    [
+        (f'<div class="notice-board story"><h2>T</h2>{words_of(6)}</div>', 6),
+        (f'<article><h1>T</h1>{words_of(3)}<section id="related-work">{words_of(2)}</section></article>', 5),
+        (f'<div class="content has-sidebar">{words_of(5)}</div><div class="sidebar">{words_of(1)}</div>', 5),
+        (f'<div class="post no-comments">{words_of(5)}</div>', 5),
+        (f'<div class="elementor-widget-text">{words_of(5)}</div>', 5),
+        (f'<form><div class="x">{words_of(5)}</div></form><article><p>short</p></article>', 0),
+        (f'<article><h1>T</h1>{words_of(2)}<div class="comments"><div class="comment-body">{words_of(1)}</div></div></article>', 2),
+        (f'<div id="page"><h1>T</h1>{words_of(3)}</div><div id="post-comments">{words_of(1)}</div>', 3),
+        (f'<div><h1>T</h1>{words_of(2)}<div class="ad-slot">Buy this</div>{words_of(2)}</div>', 4),
+    ],
+)
+def test_pages_without_marks_and_names_of_wrappers(page, paragraphs):
+    got = html_extract.extract(BEFORE + page + AFTER, {})
+    assert got.count("something") == 8 * paragraphs
+    assert "Buy" not in got and "Home" not in got and "Words at the end" not in got
+
+
+def test_heads_of_names():
+    found = {n: html_extract.head(n) for n in ("comment-list", "post-comments", "commentList", "related-work", "no-comments", "has-sidebar", "entry-content", "box", "ad-slot", "")}
+    assert found == {"comment-list": "comment", "post-comments": "comments", "commentList": "comment", "related-work": "work", "no-comments": "", "has-sidebar": "", "entry-content": "entry", "box": "", "ad-slot": "ad", "": ""}
+
+
+def test_parsing_is_linear():
+    import time
+
+    for odd in ("<p " + "a" * 1_000_000 + ">x", "<b>x " * 200_000, '<div class="ad">x ' * 100_000, "<header>x " * 100_000, "<article>x " * 100_000, '<a "' * 200_000, "<script " * 100_000, "<p><div>" * 100_000, "</b>" * 200_000):
+        began = time.perf_counter()
+        html_extract.extract(odd, {})
+        assert time.perf_counter() - began < 30, odd[:20]
+
+
 def test_best_region_against_all():
     rng = random.Random(6)
     for _ in range(200):
@@ -182,8 +227,11 @@ def test_pipeline_against_brute_force(spark):
     sf = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     rows = sorted(docs.collect(), key=lambda r: r.doc_id)
-    lang, score = language_id.predictions(language_id.train_network(docs), [r.text for r in rows])
-    rows = [r for r, g, s in zip(rows, lang, score, strict=True) if g != "und" and s >= corpus_pipeline.LEAST_SCORE]
+    network = language_id.train_network(docs)
+    lang, score = language_id.predictions(network, [r.text for r in rows])
+    least = corpus_pipeline.least_score(len(network.languages), network.usual)
+    assert 0.4 < least < 0.5
+    rows = [r for r, g, s in zip(rows, lang, score, strict=True) if g != "und" and s >= least]
     assert len(rows) >= 195
     seen, left = set(), []
     for r in rows:
@@ -207,6 +255,17 @@ def test_pipeline_against_brute_force(spark):
     assert {tuple(r)[:5] for r in got} == want and len(got) == len(want)
 
 
+def test_language_stage_drops_and_labels(spark):
+    """A text of all languages in equal parts goes, as one without letters does; the others stay, with the language that was found."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    parts = {r.lang: r.text for r in docs.where("length(text) > 1000").groupBy("lang").agg(F.max("text").alias("text")).collect()}
+    mixed = " ".join(parts[lang][:800] for lang in sorted(parts))
+    more = spark.createDataFrame([(9001, mixed, "en", "x", 1), (9002, "12 34 !", "en", "x", 1), (9003, parts["de"], None, "x", 1)], docs.schema)
+    got = {r.doc_id: r.lang for r in corpus_pipeline.language(spark, docs.unionByName(more), "").collect()}
+    assert {9001, 9002, 9003} & set(got) == {9003} and got[9003] == "de"
+    assert len(got) == docs.where("text rlike '[A-Za-z]'").count() + 1
+
+
 def test_stages_keep_columns_and_odd_rows(spark):
     rows = [(1, "hello there my friend of the land", "en", "s", 33), (1, "hello there my friend of the land", "en", "s", 33), (2, None, None, None, None), (None, "the token = abcdef123456 is here", "en", None, 1), (4, "", "en", "s", 0)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint").withColumns({"predicted": F.lit(1), "_digest": F.lit("x")})

@@ -54,6 +54,40 @@ def test_pooling_reads_whole_texts():
     assert not np.allclose(net.pooled([long[0] + b"z" * 160_000])[0], p[0], atol=1e-3)
 
 
+def test_network_against_naive_recurrence():
+    """Every window by itself, one position after another, one unit after another."""
+    import math
+
+    net = language_id.ByteNetwork(["a", "b", "c"], seed=5, hidden=3)
+    rng = random.Random(12)
+    net.level[:] = [0.3, -0.2, 0.1]
+    clip = lambda x: min(1.0, max(0.0, x))
+
+    def read(d, data):
+        h, states = [0.0] * 3, {}
+        for t in range(len(data)) if d == 0 else reversed(range(len(data))):
+            x = net.table[d][data[t]]
+            again = [sum(h[i] * float(net.again[d][i][k]) for i in range(3)) for k in range(9)]
+            update, reset = [clip(float(x[k]) + again[k]) for k in range(3)], [clip(float(x[3 + k]) + again[3 + k]) for k in range(3)]
+            candidate = [math.tanh(float(x[6 + k]) + reset[k] * (again[6 + k] + float(net.bias[d][k]))) for k in range(3)]
+            h = states[t] = [update[k] * h[k] + (1 - update[k]) * candidate[k] for k in range(3)]
+        return states
+
+    def naive(text):
+        total = [0.0] * 3
+        for at in range(0, len(text), language_id.WINDOW):
+            data = text[at : at + language_id.WINDOW]
+            forth, back = read(0, data), read(1, data)
+            for t in range(len(data)):
+                both = forth[t] + back[t]
+                e = [math.exp(sum(both[i] * float(net.out[i][k]) for i in range(6)) + float(net.level[k])) for k in range(3)]
+                total = [a + x / sum(e) for a, x in zip(total, e, strict=True)]
+        return [a / len(text) for a in total]
+
+    texts = [bytes(rng.randrange(256) for _ in range(n)) for n in (1, 2, 95, 96, 97, 200, 300)]
+    assert np.allclose(net.pooled(texts), [naive(t) for t in texts], atol=1e-4)
+
+
 def test_language_accuracy_held_out(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     told = language_id.with_language(df, language_id.train_network(df)).where(language_id.held_out(F.col("doc_id"))).select("doc_id", "lang", "lang_pred", "score").collect()
@@ -114,7 +148,7 @@ def test_automaton_equals_merges():
             known.append(uv)
             spelled[uv] = spelled[u] + spelled[v]
             merges.append((u, v, uv))
-        made = bpe_automaton.MergeAutomaton(base, merges)
+        made, words, wants = bpe_automaton.MergeAutomaton(base, merges), [], []
         for _ in range(30):
             word = rng.choices(base, k=rng.randrange(1, 14))
             want = list(word)
@@ -125,7 +159,11 @@ def test_automaton_equals_merges():
                     out.append(uv if pair else want[k])
                     k += 1 + pair
                 want = out
-            assert made.encode([made.code[t] for t in word]) == want
+            words.append([made.code[t] for t in word])
+            wants.append(want)
+            assert made.encode(words[-1]) == want
+        ids, counts = made.encode_words(np.concatenate(words), np.array([len(w) for w in words]))
+        assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == wants
 
 
 def test_automaton_equals_library():

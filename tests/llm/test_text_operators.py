@@ -27,8 +27,8 @@ def words(text):
 def test_exact_duplicates(spark):
     rows = [(5, "a b"), (3, "a\t b"), (3, "a b"), (None, "a b"), (1, None), (2, ""), (9, " "), (None, "q"), (None, "q")]
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
-    for heavy in (512, 1):
-        got = exact_dedup.exact_duplicates(df, max_heavy=heavy).collect()
+    for tracked in (16384, 8, 2):
+        got = exact_dedup.exact_duplicates(df, tracked=tracked).collect()
         assert len(got) == len(rows)
         by = collections.defaultdict(list)
         for r in got:
@@ -220,6 +220,93 @@ def test_learned_bands_reject_what_only_ratios_tell(spark):
             assert not any(x), (kind, size)
 
 
+def test_verdicts_of_the_table_against_a_plain_loop(spark):
+    """kept, ratio and chunks_out of every document, from limits that are worked out anew; and the bands decide something."""
+    import zstandard
+
+    rows = {r.doc_id: r.text or "" for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
+    got = {r.doc_id: r for r in quality.quality_rules(spark.createDataFrame(list(rows.items()), "doc_id bigint, text string")).collect()}
+    squeeze, parts = zstandard.ZstdCompressor(level=3), {}
+    ratio = lambda b: len(b) / len(squeeze.compress(b))
+    for i, t in rows.items():
+        data = t.encode()
+        n = max(1, round(len(data) / 4096 + 1e-9))
+        cuts = [data[k * 4096 : (k + 1) * 4096 if k < n - 1 else len(data)] for k in range(n)] if len(data) > 4096 else []
+        parts[i] = [(len(x), ratio(x)) for x in ([data, *cuts] if data else [])]
+    bands = collections.defaultdict(list)
+    for i, x in parts.items():
+        if not got[i].base_failed:
+            for k, (size, r) in enumerate(x):
+                bands[k > 0, (size * size).bit_length() - 1].append(int(min(r, 16) * 256))
+    limits = {}
+    for key, x in bands.items():
+        if len(x) >= 100:
+            x.sort()
+            at = lambda q, x=x: (x[int(q * (len(x) - 1))] * (1 - q * (len(x) - 1) % 1) + x[min(len(x) - 1, int(q * (len(x) - 1)) + 1)] * (q * (len(x) - 1) % 1)) / 256
+            low, mid, high = at(0.1), at(0.5), at(0.9)
+            limits[key] = mid - max(0.08 * mid, 3.5 * (mid - low)), mid + max(0.08 * mid, 3.5 * (high - mid))
+    rejected = 0
+    for i, x in parts.items():
+        out = []
+        for k, (size, r) in enumerate(x):
+            low, high = limits.get((k > 0, (size * size).bit_length() - 1)) or (quality.CHUNK_BAND if k else next((a, b) for most, a, b in quality.BANDS if size <= most))
+            out.append(not low - 1e-9 <= r <= high + 1e-9)
+        share = 0.0 if not x else sum(out[1:]) / len(out[1:]) if len(out) > 1 else float(out[0])
+        good = bool(x) and not out[0] and share <= 0.2
+        assert got[i].kept == (good and not got[i].base_failed), (i, x, got[i])
+        assert abs(got[i].ratio - (x[0][1] if x else 0)) < 1e-9 and abs(got[i].chunks_out - share) < 1e-9
+        rejected += not good and not got[i].base_failed
+    assert rejected >= 10
+
+
+def test_odd_bytes_clashing_names_and_long_texts(spark):
+    """Bytes that aren't UTF-8, columns with the names of made ones, and a text of a million words, in all operators on texts."""
+    from quarrykit.llm import bpe_automaton, html_extract, language_id, packing, token_counts, token_files
+    from quarrykit.llm.common import new_folder
+
+    import public_tokenizers
+
+    word, byte = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
+    odd = spark.sql("SELECT * FROM VALUES (1L, CAST(X'61FF62206320' AS STRING)), (2L, 'plain words here'), (3L, repeat('some longer text ', 350000)), (4L, repeat('x', 300000)) AS t(doc_id, text)")
+    odd = odd.withColumns({c: F.lit(7) for c in ("lang_pred", "Score", "kept", "ids", "n_tokens", "fp", "component_id", "ratio", "spans", "piece", "_n")})
+    network = language_id.ByteNetwork(["a", "b"])
+    told = language_id.with_language(odd, network)
+    assert [c for c in told.columns if c.lower() in ("lang_pred", "score")] == ["lang_pred", "score"]
+    assert {r.lang_pred for r in told.select("lang_pred", "score").collect()} <= {"a", "b"}
+    assert len(bpe_automaton.encode_digests(odd, word).collect()) == 4
+    assert len(secrets.secret_spans(odd).collect()) == 4
+    assert [r.ratio == 0 for r in quality.quality_rules(odd).collect()] == [False] * 4
+    assert len(simhash.near_duplicates(odd).collect()) == 4
+    assert exact_dedup.drop_exact_duplicates(odd).count() == 4 and len(exact_dedup.exact_duplicates(odd).collect()) == 4
+    kept = secrets.redact_secrets(odd).select("doc_id", F.hex("text").alias("h")).where("doc_id = 1").first()
+    assert kept.h == "61FF62206320"
+    sizes = collections.Counter()
+    for r in packing.pack(odd, word).collect():
+        sizes[r.doc_id] += r.length
+    assert len(sizes) == 4 and sizes[3] == 3 * 350_000 + 1
+    folder = new_folder(spark, "odd")
+    token_files.write_token_files(odd, f"{folder}/a", byte)
+    assert token_files.read_token_files(spark, f"{folder}/a").count() == 4
+    token_counts.write_flat(odd, f"{folder}/b", byte, 50256)
+    assert token_counts.token_counts(spark, f"{folder}/b", 50256).count() == 4
+    pages = odd.select(F.col("doc_id").alias("page_id"), F.col("text").alias("html"), F.lit("u").alias("Text"), F.lit(1).alias("n_chars"))
+    made = html_extract.main_text(pages, {}, keep=("Text", "n_chars"))
+    assert made.columns == ["page_id", "text", "n_chars"] and made.count() == 4
+    with pytest.raises(TypeError, match="must be numbers"):
+        token_files.write_token_files(odd.withColumn("doc_id", F.lit("x")), f"{folder}/c", byte)
+
+
+def test_slices_by_bytes():
+    import pyarrow as pa
+
+    from quarrykit.llm.common import slices
+
+    texts = ["a" * n for n in (5, 5, 5, 100, 1, 1, 0, 0, 12)] + [None]
+    got = [b.column(1).to_pylist() for b in slices(iter([pa.record_batch([pa.array(range(10)), pa.array(texts)], names=["i", "t"])]), 4, 10)]
+    assert [x for b in got for x in b] == texts
+    assert [len(b) for b in got] == [2, 1, 1, 4, 2] or all(len(b) == 1 or sum(len(x or "") for x in b) <= 10 for b in got)
+
+
 @pytest.mark.parametrize("size", [500, 1000, 3000, 7000, 18_000, 50_000])
 def test_fixed_bands(size):
     squeeze = quality.zstandard.ZstdCompressor(level=3)
