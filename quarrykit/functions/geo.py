@@ -1,21 +1,26 @@
 """Geospatial functions without a GIS library: expressions and joins.
 
-A boundary is a table of polygon vertices (polygon key, seq, lon, lat), closed; it becomes a table of edges. Points join the edges of their
-polygon key, or of all polygons whose latitude bands they share, and odd numbers of crossings lie within."""
+A boundary is a table of vertices of closed rings (polygon key, ring, seq, lon, lat); it becomes a table of edges, and what an odd number of rings is
+around lies within, so parts and holes are rings like any other. Polygons are laid over a grid: cells that no edge passes are inside or
+outside as a whole, and only points of the others meet edges, those of their own cell. Equal points are placed once, so rows that repeat each
+get the same state. Polygons across the 180th meridian are to be given as parts on either side."""
 
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.project import col
+from ..operators.windows import no_location
 
 EARTH_KM = 6371.0088
 #: Area of a cell of the eighth of the public hexagon resolutions, in km2; sides of the same area are used here.
 HEX_KM2 = 0.737327598
-BAND = 0.25
+#: Side of a grid's cell in degrees, and the place in a cell that it is judged by, where no boundary's own coordinates are likely to lie.
+GRID, PLACE = 0.1, (0.38196601, 0.61803399)
 
 
 def distance_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
@@ -46,26 +51,78 @@ def hex_cell(lat: Column | str, lon: Column | str, km2: float = HEX_KM2) -> Colu
     return F.when(known, F.concat_ws(":", fq.cast("bigint").cast("string"), fr.cast("bigint").cast("string"))).otherwise(F.lit("0"))
 
 
-def edges(vertices: DataFrame, polygon: str, seq: str = "seq", lon: str = "lon", lat: str = "lat") -> DataFrame:
-    """polygon, x1, y1, x2, y2 for each side of a closed ring."""
-    w = Window.partitionBy(polygon).orderBy(seq)
+def edges(vertices: DataFrame, polygon: str, seq: str = "seq", lon: str = "lon", lat: str = "lat", rings: Sequence[str] = ()) -> DataFrame:
+    """polygon, x1, y1, x2, y2 for each side of closed rings, which the columns of rings tell apart."""
+    w = Window.partitionBy(polygon, *rings).orderBy(seq)
     made = vertices.select(polygon, col(lon).alias("x1"), col(lat).alias("y1"), F.lead(col(lon)).over(w).alias("x2"), F.lead(col(lat)).over(w).alias("y2"))
     return made.where("x2 IS NOT NULL")
 
 
-def crosses(x: Column, y: Column) -> Column:
-    """Whether the ray to the right of a point crosses the edge x1, y1, x2, y2."""
-    x1, y1, x2, y2 = (F.col(c) for c in ("x1", "y1", "x2", "y2"))
-    return F.coalesce(((y1 > y) != (y2 > y)) & (x < (x2 - x1) * (y - y1) / (y2 - y1) + x1), F.lit(False))
+def _cell(c: Column, grid: float) -> Column:
+    return F.floor(c / grid).cast("bigint")
+
+
+def _x_at(y: Column) -> Column:
+    """Where an edge that isn't level is at this latitude."""
+    return F.try_divide((F.col("x2") - F.col("x1")) * (y - F.col("y1")), F.col("y2") - F.col("y1")) + F.col("x1")
+
+
+def _rows(sides: DataFrame, grid: float, dy: float = 0.0) -> DataFrame:
+    """Each edge under each row _j of cells that it passes, or comes within dy degrees of."""
+    return sides.withColumn("_j", F.explode(F.sequence(_cell(F.least("y1", "y2") - dy, grid), _cell(F.greatest("y1", "y2") + dy, grid))))
+
+
+def _listed(sides: DataFrame, grid: float, km: float = 0.0) -> DataFrame:
+    """Each edge under each cell _i, _j that it passes, or comes within so many km of."""
+    dy = math.degrees(km / EARTH_KM)
+    low, high = F.col("_j") * grid - dy, (F.col("_j") + 1) * grid + dy
+    dx = dy / F.cos(F.radians(F.least(F.greatest(F.abs(low), F.abs(high)), F.lit(89.0)))) + 1e-9
+    level = F.col("y1") == F.col("y2")
+    a = F.when(level, F.col("x1")).otherwise(_x_at(F.greatest(F.least("y1", "y2"), low)))
+    b = F.when(level, F.col("x2")).otherwise(_x_at(F.least(F.greatest("y1", "y2"), high)))
+    return _rows(sides, grid, dy).withColumn("_i", F.explode(F.sequence(_cell(F.least(a, b) - dx, grid), _cell(F.greatest(a, b) + dx, grid))))
+
 
+def _places(listed: DataFrame, sides: DataFrame, polygon: str, grid: float) -> DataFrame:
+    """polygon, _i, _j, border, in_: the cells that an edge passes or that lie inside, and whether the cell's place lies inside.
 
-def _with_own_sides(points: DataFrame, sides: DataFrame, id_col: str, polygon: str, lat: str, lon: str) -> DataFrame:
-    there = points.where(col(lat).isNotNull() & col(lon).isNotNull()).select(col(id_col), col(polygon).alias("_p"), col(lat).alias("_y"), col(lon).alias("_x"))
-    return there.join(sides, F.col("_p") == F.col(polygon), "left")
+    Places inside are those between the odd and the even crossings of the edges with the level line through the places of a row."""
+    y = (F.col("_j") + PLACE[1]) * grid
+    crossing = _rows(sides, grid).where((F.col("y1") > y) != (F.col("y2") > y)).groupBy(polygon, "_j").agg(F.sort_array(F.collect_list(_x_at(y))).alias("xs"))
+    first = lambda x: F.ceil(x / grid - PLACE[0]).cast("bigint")
+    spans = crossing.select(polygon, "_j", "xs", F.explode(F.sequence(F.lit(1), F.size("xs") - 1, F.lit(2))).alias("k")).where("size(xs) > 1")
+    spans = spans.select(polygon, "_j", first(F.element_at("xs", F.col("k"))).alias("a"), (first(F.element_at("xs", F.col("k") + 1)) - 1).alias("b")).where("a <= b")
+    inside = spans.select(polygon, F.explode(F.sequence("a", "b")).alias("_i"), "_j").withColumn("in_", F.lit(True))
+    border = listed.select(polygon, "_i", "_j").distinct().withColumn("border", F.lit(True))
+    return border.join(inside, [polygon, "_i", "_j"], "full").select(polygon, "_i", "_j", F.coalesce("border", F.lit(False)).alias("border"), F.coalesce("in_", F.lit(False)).alias("in_"))
 
 
-def _crossings_odd() -> Column:
-    return F.count_if(crosses(F.col("_x"), F.col("_y"))) % 2 == 1
+def _spots(points: DataFrame, keys: Sequence[str], lat: str, lon: str, grid: float) -> DataFrame:
+    """Distinct points with coordinates, and their cells."""
+    there = points.where(~no_location(lat, lon)).select(*keys, col(lat).cast("double").alias("_y"), col(lon).cast("double").alias("_x")).distinct()
+    return there.withColumns({"_i": _cell(F.col("_x"), grid), "_j": _cell(F.col("_y"), grid)})
+
+
+def _hits(spots: DataFrame, sides: DataFrame, polygon: str, own: bool, grid: float) -> DataFrame:
+    """polygon, _x, _y of the points within: of their own polygon, or of each that they lie in.
+
+    In a cell with edges a point is on the same side as the cell's place if the way between them, level and then upright, crosses an even number of edges."""
+    listed = _listed(sides, grid)
+    placed = spots.join(_places(listed, sides, polygon, grid), [polygon, "_i", "_j"] if own else ["_i", "_j"])
+    sure = placed.where("in_ AND NOT border").select(polygon, "_x", "_y")
+    x, y, x0, y0 = F.col("_x"), F.col("_y"), (F.col("_i") + PLACE[0]) * grid, (F.col("_j") + PLACE[1]) * grid
+    x1, y1, x2, y2 = (F.col(c) for c in ("x1", "y1", "x2", "y2"))
+    level = ((y1 > y) != (y2 > y)) & ((_x_at(y) > x) != (_x_at(y) > x0))
+    at = F.try_divide((y2 - y1) * (x0 - x1), x2 - x1) + y1
+    upright = ((x1 > x0) != (x2 > x0)) & ((at > y0) != (at > y))
+    ways = placed.where("border").join(listed, [polygon, "_i", "_j"]).groupBy(polygon, "_x", "_y", "in_").agg(((F.count_if(level) + F.count_if(upright)) % 2 == 1).alias("odd"))
+    return sure.unionByName(ways.where(F.col("in_") != F.col("odd")).select(polygon, "_x", "_y"))
+
+
+def _near(spots: DataFrame, sides: DataFrame, polygon: str, most_km: float, grid: float) -> DataFrame:
+    """polygon, _x, _y, boundary_km of points no farther than most_km from the boundary of their own polygon."""
+    near = spots.join(_listed(sides, grid, most_km), [polygon, "_i", "_j"]).groupBy(polygon, "_x", "_y").agg(F.min(_side_km()).alias("boundary_km"))
+    return near.where(F.col("boundary_km") <= most_km)
 
 
 def _side_km() -> Column:
@@ -76,27 +133,38 @@ def _side_km() -> Column:
     return distance_km(y, x, y1 + at * (y2 - y1), x1 + at * (x2 - x1))
 
 
-def within_own(points: DataFrame, sides: DataFrame, id_col: str, polygon: str, lat: str = "latitude", lon: str = "longitude", out: str = "within") -> DataFrame:
-    """For each point with coordinates whether it is within the polygon of its own key: id, out."""
-    return _with_own_sides(points, sides, id_col, polygon, lat, lon).groupBy(id_col).agg(_crossings_odd().alias(out))
+def _joined(points: DataFrame, found: DataFrame, keys: Sequence[str], lat: str, lon: str) -> DataFrame:
+    """Points with what was found for their keys and coordinates; found's own columns are _k0, ..., _x, _y and new ones."""
+    for k, c in enumerate(keys):
+        found = found.withColumnRenamed(c, f"_k{k}")
+    same = (col(lat).cast("double") == F.col("_y")) & (col(lon).cast("double") == F.col("_x"))
+    for k, c in enumerate(keys):
+        same &= points[c] == F.col(f"_k{k}")
+    return points.join(found, same, "left").drop("_x", "_y", *(f"_k{k}" for k in range(len(keys))))
+
 
+def within_own(points: DataFrame, sides: DataFrame, polygon: str, lat: str = "latitude", lon: str = "longitude", out: str = "within", base: DataFrame | None = None, grid: float = GRID) -> DataFrame:
+    """points and whether each is within the polygon of its own key; null without coordinates. What is found is worked out of `base`, rows
+    of which points was made by adding columns."""
+    hits = _hits(_spots(points if base is None else base, [polygon], lat, lon, grid), sides, polygon, True, grid).withColumn("_hit", F.lit(True))
+    return _joined(points, hits, [polygon], lat, lon).withColumn(out, F.when(~no_location(lat, lon), F.coalesce("_hit", F.lit(False)))).drop("_hit")
 
-def placed(points: DataFrame, sides: DataFrame, id_col: str, polygon: str, lat: str = "latitude", lon: str = "longitude") -> DataFrame:
-    """within and boundary_km of each point with coordinates, in one pass: id, within, boundary_km."""
-    return _with_own_sides(points, sides, id_col, polygon, lat, lon).groupBy(id_col).agg(_crossings_odd().alias("within"), F.min(_side_km()).alias("boundary_km"))
 
+def boundary_km(points: DataFrame, sides: DataFrame, polygon: str, most_km: float, lat: str = "latitude", lon: str = "longitude", out: str = "boundary_km", base: DataFrame | None = None, grid: float = GRID) -> DataFrame:
+    """points and the distance to the nearest place of the own polygon's boundary, where that is no farther than most_km; else null."""
+    near = _near(_spots(points if base is None else base, [polygon], lat, lon, grid), sides, polygon, most_km, grid).withColumnRenamed("boundary_km", "_km")
+    return _joined(points, near, [polygon], lat, lon).withColumn(out, F.col("_km")).drop("_km")
 
-def containing(points: DataFrame, sides: DataFrame, id_col: str, polygon: str, lat: str = "latitude", lon: str = "longitude", band: float = BAND) -> DataFrame:
-    """For each point with coordinates the smallest key of the polygons that contain it, or null: id, polygon.
 
-    Edges are listed under each band of latitude that they pass; a point meets the edges of its own band only."""
-    number = lambda c: F.floor(c / band).cast("bigint")
-    banded = sides.withColumn("_b", F.explode(F.sequence(number(F.least("y1", "y2")), number(F.greatest("y1", "y2")))))
-    there = points.where(col(lat).isNotNull() & col(lon).isNotNull()).select(col(id_col), col(lat).alias("_y"), col(lon).alias("_x"), number(col(lat)).alias("_b"))
-    hit = there.join(banded, "_b", "left").groupBy(id_col, polygon).agg((F.count_if(crosses(F.col("_x"), F.col("_y"))) % 2 == 1).alias("_in"))
-    return hit.groupBy(id_col).agg(F.min(F.when(F.col("_in"), col(polygon))).alias(polygon))
+def off_limits(points: DataFrame, sides: DataFrame, polygon: str, most_km: float, lat: str = "latitude", lon: str = "longitude", out: str = "off_limits", base: DataFrame | None = None, grid: float = GRID) -> DataFrame:
+    """points and whether each is outside the polygon of its own key and farther than most_km from its boundary; null without coordinates.
+    Points that are neither are found once each and joined in one go."""
+    spots = _spots(points if base is None else base, [polygon], lat, lon, grid)
+    fine = _hits(spots, sides, polygon, True, grid).unionByName(_near(spots, sides, polygon, most_km, grid).drop("boundary_km")).distinct().withColumn("_hit", F.lit(True))
+    return _joined(points, fine, [polygon], lat, lon).withColumn(out, F.when(~no_location(lat, lon), F.col("_hit").isNull())).drop("_hit")
 
 
-def boundary_km(points: DataFrame, sides: DataFrame, id_col: str, polygon: str, lat: str = "latitude", lon: str = "longitude", out: str = "boundary_km") -> DataFrame:
-    """Distance to the nearest place of the own polygon's boundary, for points whose polygon is known: id, out."""
-    return _with_own_sides(points, sides, id_col, polygon, lat, lon).where("x1 IS NOT NULL").groupBy(id_col).agg(F.min(_side_km()).alias(out))
+def containing(points: DataFrame, sides: DataFrame, polygon: str, lat: str = "latitude", lon: str = "longitude", grid: float = GRID) -> DataFrame:
+    """points and, in the column `polygon`, the smallest key of the polygons that contain each, or null."""
+    hits = _hits(_spots(points, [], lat, lon, grid), sides, polygon, False, grid).groupBy("_x", "_y").agg(F.min(polygon).alias(polygon))
+    return _joined(points, hits, [], lat, lon)

@@ -177,13 +177,9 @@ def density_check(df: DataFrame, id_col: str = "school_id_giga", most: int = pro
     return df.join(sizes, hexagon == F.col("_hex")).withColumns(made).drop("_hex", "_n")
 
 
-def not_within_check(df: DataFrame, sides: DataFrame, id_col: str, polygon: str, most_km: float = 1.5, out: str = "dq_is_not_within_country", base: DataFrame | None = None) -> DataFrame:
-    """Outside the polygon of the row's key and farther from its boundary than most_km; null without coordinates.
-
-    One pass of points over their polygon's edges counts crossings and takes the least distance."""
-    state = geo.placed(df if base is None else base, sides, id_col, polygon)
-    bad = fails(~F.col("within") & F.coalesce(F.col("boundary_km") > most_km, F.lit(True)))
-    return df.join(state.select(F.col(id_col).alias("_id"), bad.alias(out)), F.col(id_col) == F.col("_id"), "left").drop("_id")
+def not_within_check(df: DataFrame, sides: DataFrame, polygon: str, most_km: float = 1.5, out: str = "dq_is_not_within_country", base: DataFrame | None = None) -> DataFrame:
+    """Outside the polygon of the row's key and farther from its boundary than most_km; null without coordinates."""
+    return geo.off_limits(df, sides, polygon, most_km, out=out, base=base).withColumn(out, F.col(out).cast("int"))
 
 
 def _all_or_none(*columns: Column) -> Column:
@@ -251,7 +247,7 @@ def suite(df: DataFrame, dataset: str, year: int, *, always: Sequence[str] | Non
         df = similar_name_check(df, base=base)
         df = density_check(df, base=base)
         if sides is not None:
-            df = not_within_check(df, sides, id_col, polygon, most_km, base=base)
+            df = not_within_check(df, sides, polygon, most_km, base=base)
     if dataset == "coverage_fb":
         df = percent_sum_check(df)
     critical = lambda d: critical_checks(d, default_critical(dataset) if always is None else always, create_only)

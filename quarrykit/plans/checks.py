@@ -168,40 +168,48 @@ def win_06(t):
     return picked(C.density_check(t.fx_school), ("dq_is_school_density_greater_than_5", "flag"), ("dq_school_density_count", "n"), ("dq_school_density_group_id", "id"))
 
 
-EDGES = "e AS (SELECT country_key, lon AS x1, lat AS y1, lead(lon) OVER w AS x2, lead(lat) OVER w AS y2 FROM fx_poly WINDOW w AS (PARTITION BY country_key ORDER BY seq))"
+EDGES = "e AS (SELECT country_key, lon AS x1, lat AS y1, lead(lon) OVER w AS x2, lead(lat) OVER w AS y2 FROM fx_poly WINDOW w AS (PARTITION BY country_key, ring ORDER BY seq))"
 CROSS = "((y1 > {y}) <> (y2 > {y})) AND {x} < (x2 - x1) * ({y} - y1) / (y2 - y1) + x1"
+#: Distinct points of fx_place with the state that edges give them, for their own country; and for all countries that hold them.
+STATE = f"""WITH {EDGES}, d AS (SELECT DISTINCT country_key, latitude AS y, longitude AS x FROM fx_place WHERE latitude IS NOT NULL),
+p AS (SELECT d.y, d.x, e.* FROM d JOIN e ON d.country_key = e.country_key WHERE x2 IS NOT NULL),
+k AS (SELECT *, greatest(0.0::DOUBLE, least(1.0::DOUBLE, ((x - x1) * (x2 - x1) + (y - y1) * (y2 - y1)) / ((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1)))) AS a FROM p),
+g AS (SELECT *, y1 + a * (y2 - y1) AS ny, x1 + a * (x2 - x1) AS nx FROM k),
+state AS (SELECT country_key, y, x, count_if({CROSS.format(x='x', y='y')}) % 2 = 1 AS inside, min(2 * 6371.0088 * asin(sqrt(power(sin(radians(ny - y) / 2), 2) + cos(radians(y)) * cos(radians(ny)) * power(sin(radians(nx - x) / 2), 2)))) AS km FROM g GROUP BY 1, 2, 3)"""
+HOLDING = f"""WITH {EDGES}, d AS (SELECT DISTINCT latitude AS y, longitude AS x FROM fx_place WHERE latitude IS NOT NULL),
+h AS (SELECT d.y, d.x, e.country_key AS c FROM d JOIN e ON x2 IS NOT NULL AND {{some}} GROUP BY 1, 2, 3 HAVING count_if({CROSS.format(x='d.x', y='d.y')}) % 2 = 1),
+holding AS (SELECT y, x, min(c) AS c FROM h GROUP BY 1, 2)"""
+OWN = "FROM fx_place s LEFT JOIN state ON s.country_key = state.country_key AND s.latitude = y AND s.longitude = x"
+
 
+def sides(t, where="TRUE"):
+    return geo.edges(t.fx_poly.where(where), "country_key", rings=["ring"])
 
-@query("geo_01_within", f"WITH {EDGES} SELECT s.row_key, count_if({CROSS.format(x='s.longitude', y='s.latitude')}) % 2 = 1 AS within FROM fx_school s JOIN e ON s.country_key = e.country_key WHERE x2 IS NOT NULL AND s.latitude IS NOT NULL GROUP BY 1")
+
+@query("geo_01_within", f"{STATE} SELECT row_key, inside AS within {OWN}")
 def geo_01(t):
-    return geo.within_own(t.fx_school, geo.edges(t.fx_poly, "country_key"), "row_key", "country_key")
+    return geo.within_own(t.fx_place, sides(t), "country_key").select("row_key", "within")
 
 
-@query("jn_13_containing_polygon", f"WITH {EDGES}, hit AS (SELECT s.row_key, e.country_key AS c FROM fx_school s JOIN e ON x2 IS NOT NULL WHERE s.latitude IS NOT NULL GROUP BY 1, 2 HAVING count_if({CROSS.format(x='s.longitude', y='s.latitude')}) % 2 = 1) SELECT s.row_key, coalesce(n.n_name, s.school_name, 'Unknown') AS admin1 FROM fx_school s LEFT JOIN (SELECT row_key, min(c) AS c FROM hit GROUP BY 1) h ON s.row_key = h.row_key LEFT JOIN nation n ON h.c = n.n_nationkey")
+@query("jn_13_containing_polygon", f"{HOLDING.format(some='TRUE')} SELECT row_key, coalesce(n_name, school_name, 'Unknown') AS admin1 FROM fx_place LEFT JOIN holding ON latitude = y AND longitude = x LEFT JOIN nation ON c = n_nationkey")
 def jn_13(t):
-    hit = geo.containing(t.fx_school.drop("country_key"), geo.edges(t.fx_poly, "country_key"), "row_key", "country_key")
-    named = hit.join(t.nation, hit["country_key"] == t.nation["n_nationkey"], "left").select("row_key", "n_name")
-    return t.fx_school.join(named, "row_key", "left").select("row_key", F.coalesce("n_name", "school_name", F.lit("Unknown")).alias("admin1"))
+    hit = geo.containing(t.fx_place.drop("country_key"), sides(t), "country_key")
+    return hit.join(t.nation, hit["country_key"] == t.nation["n_nationkey"], "left").select("row_key", F.coalesce("n_name", "school_name", F.lit("Unknown")).alias("admin1"))
 
 
-@query("jn_14_disputed_region", f"WITH {EDGES}, hit AS (SELECT s.row_key, e.country_key AS c FROM fx_school s JOIN e ON x2 IS NOT NULL AND e.country_key % 4 = 1 WHERE s.latitude IS NOT NULL GROUP BY 1, 2 HAVING count_if({CROSS.format(x='s.longitude', y='s.latitude')}) % 2 = 1) SELECT s.row_key, min(h.c) AS region FROM fx_school s LEFT JOIN hit h ON s.row_key = h.row_key GROUP BY 1")
+@query("jn_14_disputed_region", f"{HOLDING.format(some='e.country_key % 4 = 1')} SELECT row_key, c AS region FROM fx_place LEFT JOIN holding ON latitude = y AND longitude = x")
 def jn_14(t):
-    hit = geo.containing(t.fx_school.drop("country_key"), geo.edges(t.fx_poly.where("country_key % 4 = 1"), "country_key"), "row_key", "country_key")
-    return t.fx_school.select("row_key").join(hit, "row_key", "left").select("row_key", F.col("country_key").alias("region"))
+    return geo.containing(t.fx_place.drop("country_key"), sides(t, "country_key % 4 = 1"), "country_key").select("row_key", F.col("country_key").alias("region"))
 
 
-@query("geo_02_boundary_distance")
+@query("geo_02_boundary_distance", f"{STATE} SELECT row_key, CASE WHEN km <= 0.15 THEN CAST(round(km * 1e6) AS BIGINT) END AS millimetres {OWN}")
 def geo_02(t):
-    return geo.boundary_km(t.fx_school, geo.edges(t.fx_poly, "country_key"), "row_key", "country_key")
+    return geo.boundary_km(t.fx_place, sides(t), "country_key", 0.15).select("row_key", F.round(F.col("boundary_km") * 1e6).cast("bigint").alias("millimetres"))
 
 
-@query("dq_16_not_within", f"""WITH {EDGES}, p AS (SELECT s.row_key, s.latitude AS y, s.longitude AS x, e.* FROM fx_school s JOIN e ON s.country_key = e.country_key WHERE x2 IS NOT NULL AND s.latitude IS NOT NULL),
-k AS (SELECT *, greatest(0.0::DOUBLE, least(1.0::DOUBLE, ((x - x1) * (x2 - x1) + (y - y1) * (y2 - y1)) / ((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1)))) AS a FROM p),
-g AS (SELECT *, y1 + a * (y2 - y1) AS ny, x1 + a * (x2 - x1) AS nx FROM k),
-d AS (SELECT row_key, count_if({CROSS.format(x='x', y='y')}) % 2 = 1 AS inside, min(2 * 6371.0088 * asin(sqrt(power(sin(radians(ny - y) / 2), 2) + cos(radians(y)) * cos(radians(ny)) * power(sin(radians(nx - x) / 2), 2)))) AS km FROM g GROUP BY 1)
-SELECT s.row_key, CASE WHEN d.row_key IS NULL THEN NULL WHEN NOT inside AND km > 0.1 THEN 1 ELSE 0 END AS a FROM fx_school s LEFT JOIN d ON s.row_key = d.row_key""")
+@query("dq_16_not_within", f"{STATE} SELECT row_key, CASE WHEN inside IS NULL THEN NULL WHEN NOT inside AND km > 0.1 THEN 1 ELSE 0 END AS a {OWN}")
 def dq_16(t):
-    return picked(C.not_within_check(t.fx_school, geo.edges(t.fx_poly, "country_key"), "row_key", "country_key", 0.1), ("dq_is_not_within_country", "a"))
+    return picked(C.not_within_check(t.fx_place, sides(t), "country_key", 0.1), ("dq_is_not_within_country", "a"))
 
 
 @query("geo_03_distance", "SELECT row_key, 2 * 6371.0088 * asin(sqrt(power(sin(radians(0 - latitude) / 2), 2) + cos(radians(latitude)) * power(sin(radians(0 - longitude) / 2), 2))) < 1000 AS near FROM fx_school WHERE latitude IS NOT NULL")
@@ -252,7 +260,7 @@ def dq_19(t):
 
 def suite(t):
     rows = t.fx_school.withColumn("is_new", F.lit(True))
-    return C.suite(rows, "geolocation", YEAR, always=["dq_is_null_mandatory-school_id_govt", "dq_duplicate-school_id_govt"], sides=geo.edges(t.fx_poly, "country_key"), id_col="row_key", polygon="country_key", most_km=0.1)
+    return C.suite(rows, "geolocation", YEAR, always=["dq_is_null_mandatory-school_id_govt", "dq_duplicate-school_id_govt"], sides=sides(t), id_col="row_key", polygon="country_key", most_km=0.1)
 
 
 @query("dq_20_suite_geolocation", f"SELECT row_key, CASE WHEN school_id_govt IS NULL OR count(*) OVER (PARTITION BY school_id_govt) > 1 THEN 1 ELSE 0 END AS critical, CASE WHEN {NOLOC} THEN NULL WHEN {SIZE.format('latitude, longitude')} > 1 THEN 1 ELSE 0 END AS location FROM fx_school")

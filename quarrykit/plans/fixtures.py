@@ -66,16 +66,29 @@ VIEWS = {
         FROM {part}
     """,
     "fx_poly": """
-        SELECT CAST(n_nationkey AS INT) AS country_key, v.seq AS seq,
+        SELECT CAST(n_nationkey AS INT) AS country_key, v.ring AS ring, v.seq AS seq,
         CAST(n_nationkey AS DOUBLE) * 2 + v.dx AS lon, CAST(n_nationkey AS DOUBLE) - 12 + v.dy AS lat
         FROM {nation} CROSS JOIN (
-        SELECT 0 AS seq, CAST(-0.01 AS DOUBLE) AS dx, CAST(-0.01 AS DOUBLE) AS dy UNION ALL
-        SELECT 1, CAST(0.01 AS DOUBLE), CAST(-0.01 AS DOUBLE) UNION ALL
-        SELECT 2, CAST(0.01 AS DOUBLE), CAST(0.003 AS DOUBLE) UNION ALL
-        SELECT 3, CAST(0.002 AS DOUBLE), CAST(0.003 AS DOUBLE) UNION ALL
-        SELECT 4, CAST(0.002 AS DOUBLE), CAST(0.01 AS DOUBLE) UNION ALL
-        SELECT 5, CAST(-0.01 AS DOUBLE), CAST(0.01 AS DOUBLE) UNION ALL
-        SELECT 6, CAST(-0.01 AS DOUBLE), CAST(-0.01 AS DOUBLE)) v
+        SELECT 0 AS ring, 0 AS seq, CAST(-0.01 AS DOUBLE) AS dx, CAST(-0.01 AS DOUBLE) AS dy UNION ALL
+        SELECT 0, 1, CAST(0.01 AS DOUBLE), CAST(-0.01 AS DOUBLE) UNION ALL
+        SELECT 0, 2, CAST(0.01 AS DOUBLE), CAST(0.003 AS DOUBLE) UNION ALL
+        SELECT 0, 3, CAST(0.002 AS DOUBLE), CAST(0.003 AS DOUBLE) UNION ALL
+        SELECT 0, 4, CAST(0.002 AS DOUBLE), CAST(0.01 AS DOUBLE) UNION ALL
+        SELECT 0, 5, CAST(-0.01 AS DOUBLE), CAST(0.01 AS DOUBLE) UNION ALL
+        SELECT 0, 6, CAST(-0.01 AS DOUBLE), CAST(-0.01 AS DOUBLE) UNION ALL
+        SELECT 1, 0, CAST(0.0008 AS DOUBLE), CAST(0.0008 AS DOUBLE) UNION ALL
+        SELECT 1, 1, CAST(0.0018 AS DOUBLE), CAST(0.0008 AS DOUBLE) UNION ALL
+        SELECT 1, 2, CAST(0.0018 AS DOUBLE), CAST(0.0018 AS DOUBLE) UNION ALL
+        SELECT 1, 3, CAST(0.0008 AS DOUBLE), CAST(0.0018 AS DOUBLE) UNION ALL
+        SELECT 1, 4, CAST(0.0008 AS DOUBLE), CAST(0.0008 AS DOUBLE) UNION ALL
+        SELECT 2, 0, CAST(0.0028 AS DOUBLE), CAST(0.0052 AS DOUBLE) UNION ALL
+        SELECT 2, 1, CAST(0.0046 AS DOUBLE), CAST(0.0052 AS DOUBLE) UNION ALL
+        SELECT 2, 2, CAST(0.0046 AS DOUBLE), CAST(0.0068 AS DOUBLE) UNION ALL
+        SELECT 2, 3, CAST(0.0028 AS DOUBLE), CAST(0.0052 AS DOUBLE)) v
+    """,
+    "fx_place": """
+        SELECT row_key, country_key, latitude, longitude, school_id_govt, school_name FROM {fx_school} UNION ALL
+        SELECT row_key, country_key, latitude, longitude, school_id_govt, school_name FROM {fx_school} WHERE row_key % 3 = 0
     """,
     "fx_map": """
         SELECT 'Primary' AS src, 'Primary' AS dst UNION ALL SELECT 'Secondary', 'Secondary' UNION ALL SELECT 'basic ', 'Primary'

@@ -109,13 +109,12 @@ def regenerate_job(master: DataFrame, reference: DataFrame, silver: DataFrame, k
     return M.insert_only(silver.select(*columns), made, [key])
 
 
-def facility_job(df: DataFrame, parts: Sequence[str], fields: Sequence[tuple[str, str]], polygons: DataFrame, id_col: str, polygon: str) -> DataFrame:
+def facility_job(df: DataFrame, parts: Sequence[str], fields: Sequence[tuple[str, str]], polygons: DataFrame, polygon: str) -> DataFrame:
     """Facilities: all columns, stable id, containing polygon, signature."""
     from ..functions.geo import containing
 
     full = P.stable_id(S.add_missing_columns(df, fields), "facility_id", parts)
-    hit = containing(full, polygons, id_col, polygon).withColumnRenamed(polygon, "admin1")
-    return P.with_signature(full.join(hit, id_col, "left"))
+    return P.with_signature(containing(full, polygons, polygon).withColumnRenamed(polygon, "admin1"))
 
 
 def custom_dataset_job(df: DataFrame) -> DataFrame:

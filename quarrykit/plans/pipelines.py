@@ -2,13 +2,13 @@
 
 from pyspark.sql import functions as F
 
-from ..functions import geo
 from ..operators import merge as M
 from ..operators import project as P
 from ..operators.windows import union_by_name
 from ..registry import query
 from ..sources import readers as D
 from . import jobs
+from .checks import HOLDING, sides
 
 COLS = ["pk", "name", "qty"]
 
@@ -140,11 +140,10 @@ def pipe_07(t):
     return jobs.regenerate_job(t.fx_master.select(COLS), reference, t.fx_incoming, "pk", COLS)
 
 
-@query("pipe_08_facilities", "SELECT row_key, school_name IS NOT NULL AS named, CAST(NULL AS VARCHAR) AS owner FROM fx_school")
+@query("pipe_08_facilities", f"{HOLDING.format(some='TRUE')} SELECT row_key, school_name IS NOT NULL AS named, CAST(NULL AS VARCHAR) AS owner, c AS admin1 FROM fx_place LEFT JOIN holding ON latitude = y AND longitude = x")
 def pipe_08(t):
-    rows = t.fx_school.select("row_key", "school_id_govt", "school_name", "latitude", "longitude")
-    made = jobs.facility_job(rows, ["school_id_govt", "school_name"], [("owner", "string")], geo.edges(t.fx_poly, "country_key"), "row_key", "country_key")
-    return made.select("row_key", F.col("facility_id").isNotNull().alias("named"), "owner")
+    made = jobs.facility_job(t.fx_place.drop("country_key"), ["school_id_govt", "school_name"], [("owner", "string")], sides(t), "country_key")
+    return made.select("row_key", F.col("facility_id").isNotNull().alias("named"), "owner", "admin1")
 
 
 @query("pipe_09_custom_dataset", "SELECT DISTINCT name, level FROM (SELECT name, level FROM fx_master UNION ALL SELECT name, level FROM fx_incoming)")

@@ -134,10 +134,40 @@ def test_point_in_polygon(spark):
     sides = geo.edges(spark.createDataFrame([("p", k, float(x), float(y)) for k, (x, y) in enumerate(ring)], "poly string, seq int, lon double, lat double"), "poly")
     pts = [(k, "p", y, x) for k, (x, y) in enumerate([(1.0, 0.5), (2.0, 3.0), (3.5, 2.0), (9.0, 1.0)])] + [(9, "none", 1.0, 1.0), (10, "p", None, 1.0)]
     df = spark.createDataFrame(pts, "id int, poly string, latitude double, longitude double")
-    assert dict(values(geo.within_own(df, sides, "id", "poly"), "id", "within")) == {0: True, 1: False, 2: True, 3: False, 9: False}
-    assert dict(values(geo.containing(df.drop("poly"), sides, "id", "poly"), "id", "poly")) == {0: "p", 1: None, 2: "p", 3: None, 9: "p"}
-    km = dict(values(geo.boundary_km(df, sides, "id", "poly"), "id", "boundary_km"))
-    assert km[0] == pytest.approx(0.5 * 111.19, rel=0.01) and km[3] == pytest.approx(5 * 111.19, rel=0.01)
+    df = df.union(df.where("id < 3"))  # rows that repeat
+    assert sorted(values(geo.within_own(df, sides, "poly"), "id", "within")) == sorted([(0, True), (1, False), (2, True), (3, False), (9, False), (10, None), (0, True), (1, False), (2, True)])
+    assert dict(values(geo.containing(df.drop("poly"), sides, "poly"), "id", "poly")) == {0: "p", 1: None, 2: "p", 3: None, 9: "p", 10: None}
+    km = dict(values(geo.boundary_km(df, sides, "poly", 60.0), "id", "boundary_km"))
+    assert km[0] == pytest.approx(0.5 * 111.19, rel=0.01) and km[3] is None and km[9] is None
+
+
+@pytest.mark.parametrize("grid", [0.1, 0.37, 5.0])
+def test_grid_against_all_edges(spark, grid):
+    """Ragged rings with holes and parts, points on the boundary's own coordinates among them, against the ray rule over all edges."""
+    import math
+    import random
+
+    rng, vertices, rings = random.Random(grid), [], {}
+    for p in range(4):
+        for ring, (cx, cy, r) in enumerate([(p * 1.5, 0.0, 1.0), (p * 1.5, 0.0, 0.4), (p * 1.5 + 3.0, 1.0, 0.3)]):
+            turns = [2 * math.pi * k / 40 for k in range(40)]
+            line = [(round(cx + r * rng.uniform(0.7, 1) * math.cos(a), 2), round(cy + r * rng.uniform(0.7, 1) * math.sin(a), 2)) for a in turns]
+            line.append(line[0])
+            rings.setdefault(p, []).append(line)
+            vertices += [(p, ring, k, x, y) for k, (x, y) in enumerate(line)]
+    points = [(k, rng.randrange(4), round(rng.uniform(-1.2, 1.4), 2), round(rng.uniform(-1.2, 8.5), 2)) for k in range(700)] + [(1000 + k, p, y, x) for k, (p, _, _, x, y) in enumerate(vertices[::9])]
+    sides = geo.edges(spark.createDataFrame(vertices, "poly int, ring int, seq int, lon double, lat double"), "poly", rings=["ring"])
+    df = spark.createDataFrame(points, "id int, poly int, latitude double, longitude double")
+
+    def inside(p, x, y):
+        return sum(((y1 > y) != (y2 > y)) and x < (x2 - x1) * (y - y1) / (y2 - y1) + x1 for line in rings[p] for (x1, y1), (x2, y2) in zip(line, line[1:], strict=False)) % 2 == 1
+
+    assert dict(values(geo.within_own(df, sides, "poly", grid=grid), "id", "within")) == {k: inside(p, x, y) for k, p, y, x in points}
+    assert dict(values(geo.containing(df.drop("poly"), sides, "poly", grid=grid), "id", "poly")) == {k: min((q for q in rings if inside(q, x, y)), default=None) for k, _, y, x in points}
+    near, off = (dict(values(d, "id", c)) for d, c in ((geo.boundary_km(df, sides, "poly", 9.0, grid=grid), "boundary_km"), (geo.off_limits(df, sides, "poly", 9.0, grid=grid), "off_limits")))
+    wide = dict(values(geo.boundary_km(df, sides, "poly", 5000.0, grid=5.0), "id", "boundary_km"))
+    assert near == {k: d if d <= 9 else None for k, d in wide.items()}
+    assert off == {k: not inside(p, x, y) and wide[k] > 9 for k, p, y, x in points}
 
 
 def test_hexagons(spark):
