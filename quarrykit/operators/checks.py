@@ -60,14 +60,15 @@ ID_PATTERN = r"\b[a-fA-F0-9]{8}-[a-fA-F0-9]{4}-[a-fA-F0-9]{4}-[a-fA-F0-9]{4}-[a-
 
 
 def format_checks(df: DataFrame, types: Mapping[str, str] = profiles.EXPECTED_TYPES, id_col: str = "school_id_giga") -> DataFrame:
-    """Texts without letter or digit, numbers that aren't written as such, ids that hold none of 36 characters. Nulls pass."""
-    made = {}
+    """Texts without letter or digit, numbers that aren't written as such, ids that hold none of 36 characters. Nulls pass, and so do columns that are of a number's type."""
+    made, held = {}, dict(df.dtypes)
+    numbers = ("tinyint", "smallint", "int", "bigint", "float", "double")
     for c in df.columns:
         kind, text = types.get(c), col(c).cast("string")
         if kind == "string":
             made[f"dq_is_not_alphanumeric-{c}"] = fails(~text.rlike("[A-Za-z0-9]"))
         elif kind in ("int", "double", "bigint", "timestamp"):
-            made[f"dq_is_not_numeric-{c}"] = fails(~text.rlike(r"^-?\d+(\.\d+)?$"))
+            made[f"dq_is_not_numeric-{c}"] = F.lit(0) if held[c] in numbers else fails(~text.rlike(r"^-?\d+(\.\d+)?$"))
         if c == id_col:
             made[f"dq_is_not_36_character_hash-{c}"] = fails(~text.rlike(ID_PATTERN))
     return df.withColumns(made)

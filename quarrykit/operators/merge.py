@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -14,22 +14,35 @@ from .windows import first_per_key
 KIND, VERSION = "_change_type", "_commit_version"
 
 
-def _on(keys: Sequence[str], a: str = "a", b: str = "b") -> Column:
-    return reduce(lambda x, y: x & y, (F.col(f"{a}.{k}") == F.col(f"{b}.{k}") for k in keys))
+def sides(frames: Sequence[DataFrame], keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """One row a key: its columns in each frame as structs _0, _1, ... , null where the frame hasn't the key; of rows of a frame with one key the least by value.
+
+    One shuffle of the union, with partial aggregation before it, whatever the number of frames. A frame may lack columns, which are null then."""
+    others = [c for c in columns if c not in keys]
+    union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), (f.select(*(col(c) for c in columns if c in f.columns), F.lit(n).alias("_of")) for n, f in enumerate(frames)))
+    whole = F.struct(F.lit(True).alias("_there"), *(col(c) for c in others))
+    return union.groupBy(*(col(k) for k in keys)).agg(*(F.min(F.when(F.col("_of") == n, whole)).alias(f"_{n}") for n in range(len(frames))))
+
+
+def _first(c: str, *at: int) -> Column:
+    """The value of a column in the first of these sides where it isn't null."""
+    return F.coalesce(*(F.col(f"_{n}").getField(c) for n in at))
+
+
+def _row(keys: Sequence[str], columns: Sequence[str], value: Callable[[str], Column]) -> list[Column]:
+    return [col(c) if c in keys else value(c).alias(c) for c in columns]
 
 
 def merge_frames(master: DataFrame, inserts: DataFrame, updates: DataFrame, deletes: DataFrame, keys: Sequence[str], columns: Sequence[str], *, updated_only: bool = False, to_null: bool = False) -> DataFrame:
     """The master with updates over it, without deletes, with inserts: one row a key.
 
     An update's null leaves the master's value, unless to_null. updated_only keeps only rows that are updated. Of rows with one key, inserts
-    yield to rows of the master, then the least by value stays."""
-    others = [c for c in columns if c not in keys]
-    new = updates.select(*(col(c) for c in keys), F.struct(*(col(c) for c in others)).alias("_new"))
-    joined = master.join(new, list(keys), "inner" if updated_only else "left")
-    pick = lambda c: F.when(F.col("_new").isNotNull(), F.col(f"_new.`{c}`")).otherwise(col(c)) if to_null else F.coalesce(F.col(f"_new.`{c}`"), col(c))
-    kept = joined.select(*(col(c) for c in keys), *(pick(c).alias(c) for c in others)).join(deletes.select(*keys).distinct(), list(keys), "left_anti")
-    both = kept.select(*columns, F.lit(0).alias("_from")).unionByName(inserts.select(*columns, F.lit(1).alias("_from")))
-    return first_per_key(both, keys, [F.col("_from"), *(F.col(f"`{c}`").asc_nulls_last() for c in columns)]).select(*columns)
+    yield to rows of the master that stay."""
+    old, new, put = F.col("_0"), F.col("_1"), F.col("_2")
+    stays = old.isNotNull() & F.col("_3").isNull() & (new.isNotNull() if updated_only else F.lit(True))
+    over = lambda c: F.when(new.isNotNull(), F.col("_1").getField(c)).otherwise(F.col("_0").getField(c)) if to_null else _first(c, 1, 0)
+    found = sides([master, updates, inserts, deletes.select(*(col(k) for k in keys))], keys, columns).where(stays | put.isNotNull())
+    return found.select(*_row(keys, columns, lambda c: F.when(stays, over(c)).otherwise(F.col("_2").getField(c))))
 
 
 def latest_change(feed: DataFrame, keys: Sequence[str], version: str = VERSION, kind: str = KIND) -> DataFrame:
@@ -49,12 +62,12 @@ def apply_feed(master: DataFrame, feed: DataFrame, keys: Sequence[str], columns:
 
 def partial_merge(master: DataFrame, incoming: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """Updates and inserts; nothing is deleted."""
-    return merge_frames(master, incoming.join(master, list(keys), "left_anti"), incoming, master.limit(0), keys, columns)
+    return sides([master, incoming], keys, columns).select(*_row(keys, columns, lambda c: _first(c, 1, 0)))
 
 
 def full_merge(master: DataFrame, incoming: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """Updates and inserts; rows that don't come in are deleted."""
-    return merge_frames(master, incoming.join(master, list(keys), "left_anti"), incoming, master.join(incoming, list(keys), "left_anti"), keys, columns)
+    return sides([master, incoming], keys, columns).where("_1 IS NOT NULL").select(*_row(keys, columns, lambda c: _first(c, 1, 0)))
 
 
 def upsert_counts(master: DataFrame, incoming: DataFrame, keys: Sequence[str], columns: Sequence[str], full: bool = False) -> DataFrame:
@@ -101,7 +114,7 @@ def delete_cascade(master: DataFrame, dependent: DataFrame, deletes: DataFrame,
 
 def update_or_delete(master: DataFrame, incoming: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """Matched rows updated, rows that don't come in deleted, nothing inserted."""
-    return merge_frames(master, incoming.limit(0), incoming, master.limit(0), keys, columns, updated_only=True)
+    return sides([master, incoming], keys, columns).where("_0 IS NOT NULL AND _1 IS NOT NULL").select(*_row(keys, columns, lambda c: _first(c, 1, 0)))
 
 
 def stage_upload(incoming: DataFrame, stored: DataFrame, key: str, columns: Sequence[str], upload: str, at: Column) -> DataFrame:
@@ -124,16 +137,15 @@ def stage_deletes(stored: DataFrame, keys: DataFrame, key: str, upload: str, at:
     return gone.withColumns({"change_type": F.lit("DELETE"), "upload_id": F.lit(upload), "change_id": F.concat_ws("|", col(key).cast("string"), F.lit(upload), F.lit("DELETE")), "status": F.lit("PENDING"), "created_at": at})
 
 
-def apply_approval(silver: DataFrame, staged: DataFrame, approved: DataFrame, key: str, columns: Sequence[str], check: bool = True) -> DataFrame:
-    """Silver after the approved changes, with signatures; raises if a deleted key is still there."""
+def apply_approval(silver: DataFrame, staged: DataFrame, approved: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+    """Silver after the approved changes, with signatures. A key that is deleted and put at once raises, as part of the plan."""
     chosen = staged.join(approved.select("change_id").distinct(), "change_id", "left_semi")
     chosen = first_per_key(chosen, [key], [F.col("created_at").desc() if "created_at" in chosen.columns else F.lit(0), F.col("change_id")])
-    kind = lambda k: chosen.where(F.col("change_type") == k)
-    put = chosen.where(F.col("change_type").isin("INSERT", "UPDATE"))
-    out = merge_frames(silver.select(*columns), put.join(silver, key, "left_anti"), put, kind("DELETE"), [key], columns)
-    if check and not out.join(kind("DELETE").select(key), key, "left_semi").isEmpty():
-        raise ValueError("rows to delete are still there")
-    return out.withColumn("signature", signature(columns))
+    change = chosen.select(*(col(c) for c in columns), F.when(F.col("change_type") == "DELETE", "DELETE").when(F.col("change_type").isin("INSERT", "UPDATE"), "PUT").alias("_change")).where("_change IS NOT NULL")
+    both = sides([silver, change.where("_change = 'PUT'").drop("_change"), change.where("_change = 'DELETE'").select(key)], [key], columns)
+    clash = F.col("_1").isNotNull() & F.col("_2").isNotNull()
+    stays = F.when(clash, F.raise_error(F.lit("rows to delete are still there")).cast("boolean")).otherwise(F.col("_2").isNull())
+    return both.where(stays).select(*_row([key], columns, lambda c: _first(c, 1, 0))).withColumn("signature", signature(columns))
 
 
 def keep_rejected(rejected: DataFrame, staged: DataFrame, ids: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:

@@ -113,9 +113,10 @@ def time_from(c: Column | str, form: str) -> Column:
     return F.try_to_timestamp(col(c).cast("string"), F.lit(form))
 
 
-def coverage_flags(df: DataFrame, key: str, percents: Mapping[str, str]) -> DataFrame:
-    """key and one boolean for each percent column (positive), names lower-cased; rows without key go."""
-    return df.where(col(key).isNotNull()).select(col(key).alias(key.lower()), *((col(c) > 0).alias(out.lower()) for c, out in percents.items()))
+def coverage_flags(df: DataFrame, key: str, columns: Mapping[str, str], binary: bool = False, keep: Sequence[str] = ()) -> DataFrame:
+    """key, one boolean for each column (percents: positive; binary ones: 1) and the columns to keep, names lower-cased; rows without key go."""
+    flag = lambda c: col(c) == 1 if binary else col(c) > 0
+    return df.where(col(key).isNotNull()).select(col(key).alias(key.lower()), *(flag(c).alias(out.lower()) for c, out in columns.items()), *(col(c).alias(c.lower()) for c in keep))
 
 
 TECHNOLOGIES = ("5G", "4G", "3G", "2G")

@@ -223,26 +223,6 @@ def geo_05(t):
     return t.fx_school.select("row_key", geo.cell_floor("latitude").alias("lat"), geo.cell_floor("longitude").alias("lon"))
 
 
-@query("dq_17_relations_geolocation", "SELECT row_key, CASE WHEN download_speed_govt IS NOT NULL AND connectivity_govt IS NULL THEN 1 ELSE 0 END AS a, CASE WHEN lower(electricity_availability) = 'yes' AND electricity_type IS NULL THEN 1 ELSE 0 END AS b FROM fx_school")
-def dq_17(t):
-    made = C.relation_checks(t.fx_school.withColumnRenamed("download_speed_govt", "download_speed_contracted"), "geolocation")
-    return picked(made, ("dq_column_relation_checks-connectivity_govt_download_speed_contracted", "a"), ("dq_column_relation_checks-electricity_availability_electricity_type", "b"))
-
-
-@query("dq_17_relations_master", "SELECT row_key, CASE WHEN lower(c) = 'yes' AND (lower(rt) = 'yes' OR lower(govt) = 'yes' OR speed IS NOT NULL) THEN 0 WHEN lower(c) = 'no' AND coalesce(lower(rt) = 'no', true) AND coalesce(lower(govt) = 'no', true) AND speed IS NULL THEN 0 ELSE 1 END AS a, CASE WHEN rt IS NULL THEN 0 ELSE 1 END AS b FROM (SELECT row_key, electricity_availability AS c, electricity_type AS x, connectivity_govt AS govt, download_speed_govt AS speed, CASE WHEN row_key % 5 = 0 THEN 'no' END AS rt FROM fx_school)")
-def dq_17_master(t):
-    rows = t.fx_school.select("row_key", F.col("electricity_availability").alias("connectivity"), "connectivity_govt", F.col("download_speed_govt").alias("download_speed_contracted"), F.expr("CASE WHEN row_key % 5 = 0 THEN 'no' END").alias("connectivity_RT"))
-    made = C.relation_checks(rows, "master")
-    return picked(made, ("dq_column_relation_checks-connectivity_connectivity_RT_connectivity_govt_download_speed_contracted", "a"), ("dq_column_relation_checks-connectivity_RT_connectivity_RT_datasource_connectivity_RT_ingestion_timestamp", "b"))
-
-
-@query("dq_17_relations_coverage", "SELECT row_key, CASE WHEN (school_name IS NULL) <> (education_level IS NULL) THEN 1 ELSE 0 END AS a, CASE WHEN school_id_giga IS NOT NULL THEN 1 ELSE 0 END AS b FROM fx_school")
-def dq_17_coverage(t):
-    rows = t.fx_school.select("row_key", F.col("school_name").alias("nearest_NR_id"), F.col("education_level").alias("5g_cell_site_dist"), F.col("school_id_giga").alias("nearest_LTE_id"))
-    made = C.relation_checks(rows, "coverage")
-    return picked(made, ("dq_column_relation_checks-nearest_NR_id_5g_cell_site_dist", "a"), ("dq_column_relation_checks-nearest_LTE_id_4g_cell_site_dist", "b"))
-
-
 @query("dq_18_percent_sum", "SELECT school_key, percent_2g, percent_3g, percent_4g, CASE WHEN percent_2g + percent_3g + percent_4g <> 100 THEN 1 ELSE 0 END AS bad FROM fx_cov_a")
 def dq_18(t):
     return C.percent_sum_check(t.fx_cov_a, ["percent_2g", "percent_3g", "percent_4g"], "bad")
@@ -258,21 +238,11 @@ def dq_19(t):
     return made.select("row_key", "dq_has_critical_error", "failure_reason")
 
 
-def suite(t):
-    rows = t.fx_school.withColumn("is_new", F.lit(True))
-    return C.suite(rows, "geolocation", YEAR, always=["dq_is_null_mandatory-school_id_govt", "dq_duplicate-school_id_govt"], sides=sides(t), id_col="row_key", polygon="country_key", most_km=0.1)
-
-
-@query("dq_20_suite_geolocation", f"SELECT row_key, CASE WHEN school_id_govt IS NULL OR count(*) OVER (PARTITION BY school_id_govt) > 1 THEN 1 ELSE 0 END AS critical, CASE WHEN {NOLOC} THEN NULL WHEN {SIZE.format('latitude, longitude')} > 1 THEN 1 ELSE 0 END AS location FROM fx_school")
+@query("dq_20_suite_with_boundaries", f"{STATE.replace('fx_place', 'fx_school')} SELECT row_key, CASE WHEN school_id_govt IS NULL OR count(*) OVER (PARTITION BY school_id_govt) > 1 THEN 1 ELSE 0 END AS critical, CASE WHEN {NOLOC} THEN NULL WHEN {SIZE.format('latitude, longitude')} > 1 THEN 1 ELSE 0 END AS location, CASE WHEN inside IS NULL THEN NULL WHEN NOT inside AND km > 0.1 THEN 1 ELSE 0 END AS off {OWN.replace('fx_place', 'fx_school')}")
 def dq_20(t):
-    return picked(suite(t), ("dq_has_critical_error", "critical"), ("dq_duplicate_location_rows_flag", "location"))
-
-
-@query("dq_20_suite_coverage_fb", "SELECT school_key AS school_id_giga, CASE WHEN percent_2g + percent_3g + percent_4g <> 100 THEN 1 ELSE 0 END AS bad_sum, CASE WHEN school_key IS NULL OR count(*) OVER (PARTITION BY school_key) > 1 THEN 1 ELSE 0 END AS critical FROM fx_cov_a")
-def dq_20_fb(t):
-    rows = t.fx_cov_a.select(F.col("school_key").alias("school_id_giga"), *(F.col(f"percent_{g}g").alias(f"percent_{g}G") for g in (2, 3, 4)))
-    made = C.suite(rows, "coverage_fb", YEAR)
-    return made.select("school_id_giga", F.col("dq_is_sum_of_percent_not_equal_100").alias("bad_sum"), F.col("dq_has_critical_error").alias("critical"))
+    rows = t.fx_school.withColumn("is_new", F.lit(True))
+    made = C.suite(rows, "geolocation", YEAR, always=["dq_is_null_mandatory-school_id_govt", "dq_duplicate-school_id_govt"], sides=sides(t), id_col="row_key", polygon="country_key", most_km=0.1)
+    return picked(made, ("dq_has_critical_error", "critical"), ("dq_duplicate_location_rows_flag", "location"), ("dq_is_not_within_country", "off"))
 
 
 @query("dq_21_warned", "SELECT row_key, latitude IS NULL OR education_level IS NULL AS warned FROM fx_school")

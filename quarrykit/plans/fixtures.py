@@ -60,6 +60,12 @@ VIEWS = {
         CASE WHEN p_size % 5 = 0 THEN 50 ELSE 0 END AS percent_4g
         FROM {part}
     """,
+    "fx_cov_itu": """
+        SELECT CASE WHEN p_partkey % 19 = 0 THEN NULL ELSE p_partkey + 20 END AS school_key, CAST(p_size % 2 AS INT) AS mobile_2g,
+        CASE WHEN p_partkey % 23 = 0 THEN NULL ELSE CAST(p_size % 3 AS INT) END AS mobile_3g, CAST(p_size % 4 AS INT) AS mobile_4g, CAST(p_size % 5 AS INT) AS mobile_5g,
+        CASE WHEN p_partkey % 2 = 0 THEN CAST(p_size AS DOUBLE) ELSE NULL END AS dist_4g
+        FROM {part}
+    """,
     "fx_cov_silver": """
         SELECT p_partkey + 50 AS school_key,
         CASE CAST(p_partkey % 4 AS INT) WHEN 0 THEN '5G' WHEN 1 THEN '3G' WHEN 2 THEN '2G' ELSE 'no coverage' END AS coverage_type

@@ -66,13 +66,28 @@ def upload_job(df: DataFrame, stored: DataFrame, dataset: str, *, key: str, colu
     return Upload(bronze, checked, R.check_report(checked, meta=meta), R.dataset_summary(checked, warnings=warnings, columns=len(df.columns)), passed, J.failed(checked), M.stage_upload(passed, stored, key, columns, upload, at))
 
 
-def coverage_job(raw: DataFrame, stored: DataFrame, *, key: str, percents: Mapping[str, str], year: int) -> tuple[DataFrame, DataFrame]:
-    """Coverage upload: checked rows, and the stored coverage merged with the better technology."""
-    checked = C.suite(raw, "coverage_fb", year) if {"percent_2G", "percent_3G", "percent_4G"} <= set(raw.columns) else raw
-    flags = P.coverage_flags(raw, key, percents)
-    techs = {t: f"{t.lower()}" for t in P.TECHNOLOGIES if t.lower() in flags.columns}
-    new = flags.select(key, P.best_technology(techs).alias("coverage_type"))
-    return checked, J.merge_coverage(stored, new, key, "coverage_type")
+#: Sources of coverage: the checks of their files, the column of each technology, whether it is a flag, and kept columns under their stored names.
+COVERAGE_SOURCES = {
+    "fb": ("coverage_fb", {f"percent_{g}G": f"{g}G" for g in (2, 3, 4)}, False, {}),
+    "itu": ("coverage_itu", {f"{g}g_mobile_coverage": f"{g}G" for g in (2, 3, 4, 5)}, True, {"fiber_node_dist": "fiber_node_distance", "5g_cell_site_dist": "nearest_NR_distance", "4g_cell_site_dist": "nearest_LTE_distance", "3g_cell_site_dist": "nearest_UMTS_distance", "2g_cell_site_dist": "nearest_GSM_distance"}),
+}
+
+
+def coverage_job(raw: DataFrame, stored: DataFrame, source: str, *, year: int, renames: Mapping[str, str] | None = None, technology: str = "cellular_coverage_type") -> tuple[DataFrame, DataFrame]:
+    """Coverage upload of a source: checked rows; and the stored coverage with those that pass merged in, by school_id_giga: the
+    better technology, and new values of other columns first. A column of a technology that neither the file nor `renames` (file's name to the source's) has raises."""
+    dataset, technologies, binary, kept = COVERAGE_SOURCES[source]
+    key, rows = "school_id_giga", S.rename_columns(raw, renames or {})
+    if absent := sorted({key, *technologies} - set(rows.columns)):
+        raise ValueError(f"the file of source {source} has no column {', '.join(absent)}")
+    checked = C.suite(rows, dataset, year)
+    there = [c for c in kept if c in rows.columns]
+    flags = P.coverage_flags(J.passed(checked), key, technologies, binary, there)
+    best = P.best_technology({t: t.lower() for t in technologies.values()})
+    new = flags.select(key, best.alias(technology), *(F.col(f"`{c.lower()}`").alias(kept[c]) for c in there))
+    others = [c for c in stored.columns if c not in (key, technology)]
+    missing = [(c, stored.schema[c].dataType.simpleString()) for c in others if c not in new.columns]
+    return checked, J.merge_coverage(stored, S.add_missing_columns(new, missing), key, technology, [c for c in others if c in stored.columns])
 
 
 def approval_job(silver: DataFrame, master: DataFrame, staged: DataFrame, approved: DataFrame, key: str, columns: Sequence[str], required: Sequence[str]) -> Published:

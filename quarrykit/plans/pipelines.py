@@ -83,9 +83,37 @@ def pipe_01_summary(t):
     return geolocation(t).summary.select("rows", "rows_passed", "rows_failed", "rows_created", "rows_updated")
 
 
-@query("pipe_02_coverage", "WITH b AS (SELECT school_key, CASE WHEN percent_4g > 0 THEN 4 WHEN percent_3g > 0 THEN 3 WHEN percent_2g > 0 THEN 2 ELSE 1 END AS g FROM fx_cov_a WHERE school_key IS NOT NULL), a AS (SELECT school_key, CASE coverage_type WHEN '5G' THEN 5 WHEN '4G' THEN 4 WHEN '3G' THEN 3 WHEN '2G' THEN 2 ELSE 1 END AS g FROM fx_cov_silver), m AS (SELECT coalesce(b.school_key, a.school_key) AS school_key, greatest(coalesce(a.g, 0), coalesce(b.g, 0)) AS g FROM a FULL JOIN b ON a.school_key = b.school_key) SELECT school_key, CASE g WHEN 1 THEN 'no coverage' ELSE CAST(g AS VARCHAR) || 'G' END AS coverage_type, CASE g WHEN 1 THEN 'no' ELSE 'yes' END AS available FROM m")
+BETTER = """a AS (SELECT school_key, CASE coverage_type WHEN '5G' THEN 5 WHEN '4G' THEN 4 WHEN '3G' THEN 3 WHEN '2G' THEN 2 ELSE 1 END AS g FROM fx_cov_silver),
+m AS (SELECT coalesce(b.school_key, a.school_key) AS school_id_giga, greatest(coalesce(a.g, 0), coalesce(b.g, 0)) AS g {others} FROM a FULL JOIN b ON a.school_key = b.school_key)
+SELECT school_id_giga, CASE g WHEN 1 THEN 'no coverage' ELSE CAST(g AS VARCHAR) || 'G' END AS cellular_coverage_type, CASE g WHEN 1 THEN 'no' ELSE 'yes' END AS available {names} FROM m"""
+
+
+def stored_coverage(t):
+    return t.fx_cov_silver.select(F.col("school_key").alias("school_id_giga"), F.col("coverage_type").alias("cellular_coverage_type"), (F.col("school_key") * 1.5).cast("double").alias("nearest_LTE_distance"))
+
+
+def coverage_fb(t):
+    return jobs.coverage_job(t.fx_cov_a, stored_coverage(t), "fb", year=YEAR, renames={"school_key": "school_id_giga"} | {f"percent_{g}g": f"percent_{g}G" for g in (2, 3, 4)})
+
+
+def coverage_itu(t):
+    return jobs.coverage_job(t.fx_cov_itu, stored_coverage(t), "itu", year=YEAR, renames={"school_key": "school_id_giga", "dist_4g": "4g_cell_site_dist"} | {f"mobile_{g}g": f"{g}g_mobile_coverage" for g in (2, 3, 4, 5)})
+
+
+@query("pipe_02_coverage", "WITH b AS (SELECT school_key, CASE WHEN percent_4g > 0 THEN 4 WHEN percent_3g > 0 THEN 3 WHEN percent_2g > 0 THEN 2 ELSE 1 END AS g FROM fx_cov_a WHERE school_key IS NOT NULL), " + BETTER.format(others="", names=""))
 def pipe_02(t):
-    return jobs.coverage_job(t.fx_cov_a, t.fx_cov_silver, key="school_key", percents={f"percent_{g}g": f"{g}g" for g in (2, 3, 4)}, year=YEAR)[1]
+    return coverage_fb(t)[1].drop("nearest_LTE_distance")
+
+
+@query("pipe_02_coverage_itu", "WITH b AS (SELECT school_key, dist_4g, CASE WHEN mobile_5g = 1 THEN 5 WHEN mobile_4g = 1 THEN 4 WHEN mobile_3g = 1 THEN 3 WHEN mobile_2g = 1 THEN 2 ELSE 1 END AS g FROM fx_cov_itu WHERE school_key IS NOT NULL AND mobile_3g IS NOT NULL), " + BETTER.format(others=", coalesce(b.dist_4g, a.school_key * 1.5) AS dist", names=', CAST(dist AS DOUBLE) AS "nearest_LTE_distance"'))
+def pipe_02_itu(t):
+    return coverage_itu(t)[1]
+
+
+@query("pipe_02_checked", "SELECT school_key AS school_id_giga, CASE WHEN percent_2g + percent_3g + percent_4g <> 100 THEN 1 ELSE 0 END AS bad_sum, CASE WHEN school_key IS NULL THEN 1 ELSE 0 END AS critical FROM fx_cov_a UNION ALL SELECT school_key, CASE WHEN dist_4g IS NOT NULL THEN 1 ELSE 0 END, CASE WHEN school_key IS NULL OR mobile_3g IS NULL THEN 1 ELSE 0 END FROM fx_cov_itu")
+def pipe_02_checked(t):
+    fb = coverage_fb(t)[0].select("school_id_giga", F.col("dq_is_sum_of_percent_not_equal_100").alias("bad_sum"), F.col("dq_has_critical_error").alias("critical"))
+    return fb.union(coverage_itu(t)[0].select("school_id_giga", F.col("`dq_column_relation_checks-nearest_LTE_id_4g_cell_site_dist`"), "dq_has_critical_error"))
 
 
 APPROVED = """s AS (SELECT i.pk, coalesce(i.name, m.name) AS name, coalesce(i.qty, m.qty) AS qty, CASE WHEN m.pk IS NULL THEN 'INSERT' WHEN coalesce(i.name, m.name) IS NOT DISTINCT FROM m.name AND coalesce(i.qty, m.qty) IS NOT DISTINCT FROM m.qty THEN 'UNCHANGED' ELSE 'UPDATE' END AS change_type FROM fx_incoming i LEFT JOIN fx_master m ON i.pk = m.pk),

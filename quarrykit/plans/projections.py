@@ -93,6 +93,11 @@ def prj_14(t):
     return rows.select("event_id", out("a", "iso", "yyyy-MM-dd HH:mm:ss").alias("iso"), out("b", "epoch", "yyyy-MM-dd HH:mm:ss").alias("epoch"), out("c", "dd/MM/yyyy", "yyyy-MM-dd").alias("pattern"))
 
 
+@query("prj_15_binary_flags", "SELECT school_key, mobile_2g = 1 AS g2, mobile_3g = 1 AS g3, dist_4g AS dist_4g FROM fx_cov_itu WHERE school_key IS NOT NULL")
+def prj_15_binary(t):
+    return P.coverage_flags(t.fx_cov_itu, "school_key", {"mobile_2g": "G2", "mobile_3g": "G3"}, binary=True, keep=["dist_4g"])
+
+
 @query("prj_15_coverage_flags", "SELECT school_key, percent_2g > 0 AS g2, percent_3g > 0 AS g3, percent_4g > 0 AS g4 FROM fx_cov_a WHERE school_key IS NOT NULL")
 def prj_15(t):
     return P.coverage_flags(t.fx_cov_a, "school_key", {"percent_2g": "G2", "percent_3g": "G3", "percent_4g": "G4"})
