@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import documents, per_text
-from .units import Units, special_strings, tokenizer, words_apart
+from .units import Units, byte_letters, fitting, special_strings, tokenizer, words_apart
 
 #: A bound of tokens' numbers; places (a power of two) for arcs that were met, each kept until another one needs its place.
 NUMBERS, HELD_ARCS = 1 << 24, 1 << 19
@@ -230,13 +230,6 @@ class MergeAutomaton:
         return int(self.arc_to[place])
 
 
-def byte_letters() -> list[str]:
-    """The letter that byte-level vocabularies write for each byte: itself where it is printable, else the next from U+0100 on."""
-    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
-    hidden = iter(range(256, 512))
-    return [chr(b if b in set(shown) else next(hidden)) for b in range(256)]
-
-
 class AutomatonTokenizer:
     """A tokenizer file's merges compiled; its own normalizer and pre-tokenizer split texts into words."""
 
@@ -326,7 +319,7 @@ def compiled(path: str) -> AutomatonTokenizer:
 @lru_cache(2)
 def _held(path: str) -> tuple[AutomatonTokenizer, Units, list[str]]:
     made = compiled(path)
-    return made, Units(words_apart, made.encode_all, made.special), [str(i) for i in range(len(made.labels))]
+    return made, Units(fitting(words_apart, made.encode, made.tok), made.encode_all, made.special), [str(i) for i in range(len(made.labels))]
 
 
 def encode_texts(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

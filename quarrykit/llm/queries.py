@@ -1,31 +1,33 @@
-"""The registered queries of this subpackage and the SQL of those that SQL can express."""
+"""The registered queries of this subpackage and the SQL of those that SQL can express.
+
+All modules are imported here, so that the subpackage as a whole can be imported or not."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import bpe_automaton, exact_dedup, html_extract, language_id, packing, quality, secrets, simhash, token_counts, token_files
+
 #: Query and its module.
 WHERE = {
-    "op1_html_extract": "html_extract",
-    "op2_exact_dedup": "exact_dedup",
-    "op3_language_id": "language_id",
-    "op4_bpe_automaton": "bpe_automaton",
-    "op5_secret_scan": "secrets",
-    "op6_token_counts": "token_counts",
-    "op7_simhash": "simhash",
-    "op8_token_files": "token_files",
-    "op9_quality_rules": "quality",
-    "op10_packing": "packing",
+    "op1_html_extract": html_extract,
+    "op2_exact_dedup": exact_dedup,
+    "op3_language_id": language_id,
+    "op4_bpe_automaton": bpe_automaton,
+    "op5_secret_scan": secrets,
+    "op6_token_counts": token_counts,
+    "op7_simhash": simhash,
+    "op8_token_files": token_files,
+    "op9_quality_rules": quality,
+    "op10_packing": packing,
 }
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: getattr(import_module(f"{__package__}.{module}"), name) for name, module in WHERE.items()}
+    return {name: getattr(module, name) for name, module in WHERE.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    modules = {name: import_module(f"{__package__}.{module}") for name, module in WHERE.items()}
-    return {name: m.SQL for name, m in modules.items() if getattr(m, "SQL", None)}
+    return {name: module.SQL for name, module in WHERE.items() if getattr(module, "SQL", None)}

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, documents, per_text
+from .common import cut, documents, new_folder, per_text
 from .components import connected_components
 
 WIDTH, SEED, RADIUS, BLOCK = 4, 42, 4, 8192
@@ -163,10 +163,13 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, radius: int = RADIUS) -> DataFrame:
-    """The rows whose id is the smallest of their component, with all columns of df; rows with a null id stay.
+    """The rows whose id is the smallest of their component, with all columns of df; rows with a null id stay, rows of one id go together.
 
-    Ids that go are joined away; they are unique, so no key is hot."""
-    gone = near_duplicates(df, id_col, text_col, width, radius).where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_gone")).distinct()
+    Ids that go are joined away; they are unique, so no key is hot. They are written to a table first, so that Spark knows their size: few of them
+    are broadcast by it and no text is shuffled, many are joined by a shuffle."""
+    folder = new_folder(df.sparkSession, "near-duplicates")
+    near_duplicates(df, id_col, text_col, width, radius).where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_gone")).distinct().write.parquet(folder)
+    gone = df.sparkSession.read.parquet(folder)
     return df.join(gone, df[id_col] == gone["_gone"], "left_anti")
 
 

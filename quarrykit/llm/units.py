@@ -1,6 +1,7 @@
 """Encoding of texts by way of their white-space units, each encoded once for as long as it is held.
 
-Public byte-pair tokenizers never merge across white space, so a text's ids are those of its units in order. The units of a batch
+Public byte-pair tokenizers hardly ever merge across white space, so a text's ids are those of its units in order; where a tokenizer's vocabulary has such
+tokens, or a probe disagrees, a text is one unit. The units of a batch
 become places in one flat array of ids by a dictionary, and the ids of all its texts are gathered at once. Texts whose only white space are
 single blanks and line ends are cut and dictionary-encoded by Arrow, so that Python meets each unit once a batch; others go
 through a pattern. A store that holds more than
@@ -68,6 +69,34 @@ def words_spaced(text: str) -> list[str]:
     return SPACED.findall(text)
 
 
+def words_whole(text: str) -> list[str]:
+    """For tokenizers whose tokens may hold white space after other characters: a text is one unit."""
+    return [text] if text else []
+
+
+def cut_whole(texts: pa.Array) -> pa.ListArray:
+    return pa.LargeListArray.from_arrays(pa.array(range(len(texts) + 1), pa.int64()), texts)
+
+
+def byte_letters() -> list[str]:
+    """The letter that byte-level vocabularies write for each byte: itself where it is printable, else the next from U+0100 on."""
+    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    hidden = iter(range(256, 512))
+    return [chr(b if b in set(shown) else next(hidden)) for b in range(256)]
+
+
+PROBE = "One two  three\n\nfour\tfive, six.  \n seven-eight 9 10 é\u00a0ü 中文 字 don't STOP\n"
+
+
+def fitting(split: Callable[[str], list[str]], encode: Callable[[str], list[int]], tok: Tokenizer) -> Callable[[str], list[str]]:
+    """The split, if the tokenizer's ids of a text are those of its units: no token has white space after another character, and a probe of
+    all kinds of white space agrees. Else whole texts."""
+    byte, inner = {c: b for b, c in enumerate(byte_letters())}, re.compile(f"[^{WHITE}][{WHITE}]")
+    plain = lambda token: bytes([byte[c] for c in token]).decode("utf-8", "replace") if all(c in byte for c in token) else token.replace("▁", " ")
+    crossing = any(inner.search(plain(token)) for token in tok.get_vocab(with_added_tokens=False))
+    return words_whole if crossing or encode(PROBE) != [i for u in split(PROBE) for i in encode(u)] else split
+
+
 class _Places(dict):
     """Unit to place; a new unit gets the next one and is noted."""
 
@@ -83,7 +112,7 @@ class _Places(dict):
 class Units:
     def __init__(self, split: Callable[[str], list[str]], encode: Callable[[list[str]], list[list[int]]], special: re.Pattern | None, most: int = MOST_UNITS) -> None:
         self.split, self.encode, self.special, self.most = split, encode, special, most
-        self.cut = {words_apart: cut_apart, words_spaced: cut_spaced}[split]
+        self.cut = {words_apart: cut_apart, words_spaced: cut_spaced, words_whole: cut_whole}[split]
         self._empty()
 
     def _empty(self) -> None:
@@ -184,7 +213,7 @@ def library_units(path: str, split: Callable[[str], list[str]]) -> Units:
                 out[k] = ids[a + 1 : b]
         return out
 
-    return Units(split, encode, special)
+    return Units(fitting(split, lambda t: tok.encode(t, add_special_tokens=False).ids, tok), encode, special)
 
 
 @lru_cache(2)
@@ -203,4 +232,5 @@ def plain_byte_units(path: str) -> Units:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     tok = Tokenizer.from_file(path)
     tok.encode_special_tokens = True
-    return Units(words_spaced, lambda units: [e.ids for e in tok.encode_batch_fast(units, add_special_tokens=False)], None)
+    split = fitting(words_spaced, lambda t: tok.encode(t, add_special_tokens=False).ids, tok)
+    return Units(split, lambda units: [e.ids for e in tok.encode_batch_fast(units, add_special_tokens=False)], None)

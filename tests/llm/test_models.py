@@ -189,6 +189,22 @@ def test_units_equal_library(path, split, most):
     assert store.ids([])[0].tolist() == []
 
 
+def test_tokens_across_white_space(tmp_path):
+    """A vocabulary with a token of two words: texts go to the encoder whole, and get the library's ids."""
+    from tokenizers import Tokenizer, models
+
+    vocab = {c: k for k, c in enumerate("ab ")} | {"a ": 3, "a b": 4}
+    tok = Tokenizer(models.BPE(vocab=vocab, merges=[("a", " "), ("a ", "b")]))
+    tok.save(path := str(tmp_path / "t.json"))
+    every = ["a b a b", "", None, "b a", "a b"]
+    for split in (units.words_apart, units.words_spaced):
+        store = units.library_units(path, split)
+        assert store.split is units.words_whole
+        ids, ends = store.ids(every)
+        assert [x.tolist() for x in np.split(ids, ends[:-1])] == [tok.encode(t or "").ids for t in every]
+    assert units.word_units(WORD).split is units.words_apart and units.byte_units(BYTE).split is units.words_spaced and units.plain_byte_units(BYTE).split is units.words_spaced
+
+
 def test_encode_digests(spark):
     every = texts()
     df = spark.createDataFrame(list(enumerate(every)), "doc_id bigint, text string").withColumn("ids", F.lit("x"))
