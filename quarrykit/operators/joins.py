@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -148,9 +149,30 @@ def to_update(df: DataFrame, stored: DataFrame, key: str, watched: str) -> DataF
     return joined.withColumn("reason", reason).where("reason IS NOT NULL").drop("_key", "_held")
 
 
-def near_pairs(df: DataFrame, id_col: str, block: Sequence[str], condition: Column) -> DataFrame:
-    """Pairs a < b of rows that share a block and satisfy the condition on aliases a and b."""
-    same = F.lit(True)
-    for c in block:
-        same &= F.col(f"a.{c}") == F.col(f"b.{c}")
-    return df.alias("a").join(df.alias("b"), same & (F.col(f"a.{id_col}") < F.col(f"b.{id_col}")) & condition)
+def links_to_first(df: DataFrame, id_col: str, keys: Sequence[str]) -> DataFrame:
+    """Rows that are equal in the keys, each linked to the one of the smallest id: df with first and size, for all but the first. A group of n gives n - 1 links,
+    not all pairs; null keys link nothing."""
+    some = reduce(lambda a, b: a & b, (col(k).isNotNull() for k in keys))
+    groups = df.where(some).groupBy(*(col(k).alias(f"_k{n}") for n, k in enumerate(keys))).agg(F.min(id_col).alias("first"), F.count(F.lit(1)).alias("size")).where("size > 1")
+    same = reduce(lambda a, b: a & b, (col(k) == F.col(f"_k{n}") for n, k in enumerate(keys)))
+    return df.join(groups, same).where(col(id_col) != F.col("first")).drop(*(f"_k{n}" for n in range(len(keys))))
+
+
+def similar_candidates(names: DataFrame, name: str, block: Sequence[str], cutoff: float) -> DataFrame:
+    """Pairs x < y of distinct names of a block that may have an indel ratio of the cut-off or more (exact: none that has is left out).
+
+    Such names share many letters: a common subsequence is a common multiset of letters, and a ratio of c needs at least c / (2 - c) of the letters of each. So
+    of a name's letters, numbered as they repeat and in one order for all names, the first few (all but that share, and one more) must meet one of the other name's. Pairs
+    come from an equality on these, not from all names of a block; and lengths must fit."""
+    rows = names.where(col(name).isNotNull()).select(*(col(c) for c in block), col(name).alias("_name")).distinct()
+    letters = F.split("_name", "")
+    numbered = F.transform(letters, lambda c, i: F.concat(c, F.lit(":"), F.size(F.filter(F.slice(letters, F.lit(1), i + 1), lambda d: d == c)).cast("string")))
+    least = F.ceil(F.length("_name") * (cutoff / (2 - cutoff)) - 1e-9)
+    order = F.array_sort(F.transform(numbered, lambda c: F.struct(F.xxhash64(c).alias("h"), c.alias("c"))))
+    firsts = F.slice(order, F.lit(1), F.greatest(F.lit(1), F.length("_name") - least + 1).cast("int"))
+    marked = rows.where(F.length("_name") > 0).withColumn("_letter", F.explode(F.transform(firsts, lambda s: s["h"])))
+    same = reduce(lambda a, b: a & b, (F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in block), F.col("a._letter") == F.col("b._letter"))
+    fits = F.length("a._name") * (2 - cutoff) + 1e-9 >= cutoff * F.length("b._name")
+    fits &= F.length("b._name") * (2 - cutoff) + 1e-9 >= cutoff * F.length("a._name")
+    pairs = marked.alias("a").join(marked.alias("b"), same & (F.col("a._name") < F.col("b._name")) & fits)
+    return pairs.select(*(F.col(f"a.{c}") for c in block), F.col("a._name").alias("x"), F.col("b._name").alias("y")).distinct()

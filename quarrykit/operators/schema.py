@@ -49,6 +49,19 @@ def table_name(dataset: str, country: str, tier: str | None = None) -> str:
     return f"{dataset}{'' if tier in (None, 'gold') else '_' + tier}.{country.lower()}"
 
 
+def table_name_of(dataset: str, country: Column, tier: str | None = None) -> Column:
+    """As table_name, for a column of countries."""
+    return F.concat(F.lit(table_name(dataset, "", tier)), F.lower(country))
+
+
+def registry_types(registry: DataFrame, core: Iterable[tuple[str, str]] = ()) -> DataFrame:
+    """name and kind (Spark's type) of a registry's columns of known types, and of core columns that it lacks; for registries of any size."""
+    kinds = F.create_map(*(F.lit(x) for pair in PRIMITIVES.items() for x in pair))
+    own = registry.select("name", F.try_element_at(kinds, F.lower("data_type")).alias("kind")).where("kind IS NOT NULL")
+    added = registry.sparkSession.createDataFrame([(n, PRIMITIVES[t]) for n, t in core], "name string, kind string")
+    return own.unionByName(added.join(registry.select("name"), "name", "left_anti"))
+
+
 def add_missing_columns(df: DataFrame, fields: Iterable[tuple[str, str]]) -> DataFrame:
     """Typed nulls for the (name, type) that df lacks."""
     return df.withColumns({n: F.lit(None).cast(t) for n, t in fields if n not in df.columns})

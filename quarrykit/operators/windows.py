@@ -57,6 +57,19 @@ def ids_first(df: DataFrame, ids: Sequence[str], flag: str, others: Sequence[str
     return df.select(*front, *(c for c in df.columns if c not in front)).orderBy(col(flag).desc(), *(i for i in ids if i in df.columns))
 
 
+def with_place(df: DataFrame, order: Sequence[Column], out: str = "place") -> DataFrame:
+    """The place (from 1) of each row in an order, without a window over all rows: rows are dealt to
+    ranges of the order, counted in each, and offset by the counts of the ranges before, of which there is one row each.
+
+    The input is read twice and must be the same both times (a table, a checkpoint, or a plan of them)."""
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.repartitionByRange(ranges, *order).withColumn("_range", F.spark_partition_id())
+    sizes = dealt.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = sizes.select("_range", (F.sum("_n").over(Window.orderBy("_range")) - F.col("_n")).alias("_before"))
+    placed = dealt.withColumn("_nth", F.row_number().over(Window.partitionBy("_range").orderBy(*order)))
+    return placed.join(before, "_range").withColumn(out, F.col("_nth") + F.col("_before")).select(*(col(c) for c in df.columns), out)
+
+
 def latest(df: DataFrame, version: str) -> DataFrame:
     return df.orderBy(col(version).desc()).limit(1)
 

@@ -133,11 +133,6 @@ def agg_07(t):
     return C.names_per_cell(t.fx_school).withColumn("school_names", F.array_join("school_names", ","))
 
 
-@query("dq_14_similar_names")
-def dq_14(t):
-    return picked(C.similar_name_check(t.fx_school, 0.9), ("dq_similar_name_level_within_110m_radius", "a"))
-
-
 def axial_sql(lat="latitude", lon="longitude"):
     import math
 
@@ -265,16 +260,29 @@ def flt_05(t):
     return C.keep_checks(made, names).select("row_key", F.explode("dq_results").alias("k", "v"))
 
 
-def name_pairs(t):
-    names = t.fx_school.where("school_name IS NOT NULL AND latitude IS NOT NULL").select("row_key", "school_name", "education_level", F.floor(F.col("latitude") * 1000).alias("la"), F.floor(F.col("longitude") * 1000).alias("lo"))
-    return J.near_pairs(names, "row_key", ["education_level", "la", "lo"], F.col("a.school_name") != F.col("b.school_name")).select(F.col("a.row_key").alias("first"), F.col("b.row_key").alias("second"), F.col("a.school_name").alias("x"), F.col("b.school_name").alias("y"))
+NAMES = """n AS (SELECT DISTINCT education_level, CAST(floor(latitude * 1000) AS BIGINT) AS la, CAST(floor(longitude * 1000) AS BIGINT) AS lo, school_name AS s FROM fx_school WHERE school_name IS NOT NULL AND latitude IS NOT NULL),
+pairs AS (SELECT a.education_level, a.la, a.lo, a.s AS x, b.s AS y FROM n a JOIN n b ON a.education_level IS NOT DISTINCT FROM b.education_level AND a.la = b.la AND a.lo = b.lo AND a.s < b.s),
+lcs AS (SELECT x, y, 0 AS i, list_transform(range(0, length(y) + 1), lambda j: 0) AS best FROM (SELECT DISTINCT x, y FROM pairs) UNION ALL
+SELECT x, y, i + 1, list_transform(range(1, length(y) + 2), lambda j: greatest(best[j], coalesce(list_max(list_transform(range(2, j + 1), lambda k: CASE WHEN y[k - 1] = x[i + 1] THEN best[k - 1] + 1 ELSE 0 END)), 0))) FROM lcs WHERE i < length(x)),
+ratios AS (SELECT x, y, 2.0 * best[length(y) + 1] / (length(x) + length(y)) AS ratio FROM lcs WHERE i = length(x))"""
+
 
+def name_pairs(t, cutoff):
+    names = t.fx_school.where("latitude IS NOT NULL").select("school_name", "education_level", F.floor(F.col("latitude") * 1000).alias("la"), F.floor(F.col("longitude") * 1000).alias("lo"))
+    return J.similar_candidates(names, "school_name", ["education_level", "la", "lo"], cutoff)
 
-@query("sim_01_indel_ratio")
+
+@query("sim_01_indel_ratio", f"WITH RECURSIVE {NAMES} SELECT p.*, CAST(round(ratio, 9) AS DOUBLE) AS similarity FROM pairs p JOIN ratios USING (x, y) WHERE ratio > 0.9")
 def sim_01(t):
-    return name_pairs(t).withColumn("similarity", indel_similarity("x", "y")).where("similarity > 0.7")
+    return name_pairs(t, 0.9).withColumn("similarity", indel_similarity("x", "y")).where("similarity > 0.9").withColumn("similarity", F.round("similarity", 9))
 
 
 @query("sim_02_matcher_ratio")
 def sim_02(t):
-    return name_pairs(t).withColumn("similarity", matcher_similarity("x", "y")).where("similarity >= 0.7 AND similarity < 1")
+    # blocks of the matcher are a common subsequence, so the indel ratio is never below its own
+    return name_pairs(t, 0.7).withColumn("similarity", matcher_similarity("x", "y")).where("similarity >= 0.7 AND similarity < 1")
+
+
+@query("dq_14_similar_names", f"WITH RECURSIVE {NAMES}, hit AS (SELECT DISTINCT education_level, la, lo, unnest([x, y]) AS s FROM pairs JOIN ratios USING (x, y) WHERE ratio > 0.96) SELECT row_key, CASE WHEN {NOLOC} THEN NULL WHEN hit.s IS NULL THEN 0 ELSE 1 END AS a FROM fx_school f LEFT JOIN hit ON f.education_level IS NOT DISTINCT FROM hit.education_level AND floor(f.latitude * 1000) = la AND floor(f.longitude * 1000) = lo AND f.school_name = hit.s")
+def dq_14(t):
+    return picked(C.similar_name_check(t.fx_school, 0.96), ("dq_similar_name_level_within_110m_radius", "a"))

@@ -7,7 +7,8 @@ from ..operators import merge as M
 from ..operators import report as R
 from ..registry import query
 
-A, B = "TIMESTAMP '2024-01-03'", "TIMESTAMP '2024-01-12'"
+#: From the second day of the table, so that earlier states count, to the end of its last hour.
+A, B = "(SELECT date_trunc('day', min(ts)) + INTERVAL 1 DAY FROM fx_status)", "(SELECT date_trunc('hour', max(ts)) + INTERVAL 1 HOUR FROM fx_status)"
 SEED = f"""s AS (SELECT device_id, ts, status, event_id FROM fx_status WHERE ts >= {A} AND ts < {B} UNION ALL SELECT device_id, {A}, arg_max(status, (ts, event_id)), -1 FROM fx_status WHERE ts < {A} GROUP BY 1),
 n AS (SELECT *, coalesce(lead(ts) OVER (PARTITION BY device_id ORDER BY ts, event_id), {B}) AS e FROM s)"""
 UPTIME = f"""{SEED}, o AS (SELECT device_id, ts, e, unnest(generate_series(date_trunc('hour', ts), date_trunc('hour', e - INTERVAL 1 MICROSECOND), INTERVAL 1 HOUR)) AS hour FROM n WHERE status <> 'offline' AND ts < e),
@@ -16,12 +17,11 @@ u AS (SELECT device_id, hour, (epoch_us(least(e, hour + INTERVAL 1 HOUR)) - epoc
 HOUR = "strftime(hour, '%Y-%m-%d %H')"
 
 
-def start():
-    return F.lit("2024-01-03 00:00:00").cast("timestamp")
-
-
-def end():
-    return F.lit("2024-01-12 00:00:00").cast("timestamp")
+def window(t):
+    """start and end of the table's hours: one aggregate."""
+    ts = F.col("ts").cast("timestamp")
+    row = t.fx_status.agg((F.date_trunc("day", F.min(ts)) + F.expr("INTERVAL 1 DAY")).cast("string").alias("a"), (F.date_trunc("hour", F.max(ts)) + F.expr("INTERVAL 1 HOUR")).cast("string").alias("b")).first()
+    return F.lit(row["a"]).cast("timestamp"), F.lit(row["b"]).cast("timestamp")
 
 
 def text_hour(df):
@@ -30,13 +30,14 @@ def text_hour(df):
 
 @query("stm_01_hourly_uptime", f"WITH {UPTIME} SELECT device_id, {HOUR} AS hour, round(sum(s) / 36.0, 3) AS uptime_percentage, CAST(sum(n) AS BIGINT) AS count_state FROM u GROUP BY 1, 2")
 def stm_01(t):
-    return text_hour(E.hourly_uptime(t.fx_status, start(), end()))
+    return text_hour(E.hourly_uptime(t.fx_status, *window(t)))
 
 
 @query("agg_08_online_seconds", f"WITH {UPTIME} SELECT device_id, round(sum(s) / 36.0, 3) AS percent_hours FROM (SELECT device_id, hour, sum(s) AS s FROM u GROUP BY 1, 2) GROUP BY 1")
 def agg_08(t):
-    known = E.seeded(t.fx_status.withColumn("ts", F.col("ts").cast("timestamp")), start()).where(F.col("ts") < end())
-    on = E.online_intervals(known, end())
+    start, end = window(t)
+    known = E.seeded(t.fx_status.withColumn("ts", F.col("ts").cast("timestamp")), start).where(F.col("ts") < end)
+    on = E.online_intervals(known, end)
     devices = known.select("device_id").distinct()
     total = on.groupBy("device_id").agg(F.sum(E.seconds(F.col("start"), F.col("end"))).alias("s"))
     return devices.join(total, "device_id", "left").select("device_id", F.round(F.coalesce("s", F.lit(0.0)) / 36.0, 3).alias("percent_hours"))
@@ -63,20 +64,20 @@ def stm_04(t):
 
 @query("stm_05_downtime", f"WITH {SEED} SELECT device_id, round(sum(CASE WHEN status IN ('offline', 'alerting') THEN (epoch_us(e) - epoch_us(ts)) / 1e6 ELSE 0 END), 3) AS downtime_s, round(sum(CASE WHEN status IN ('offline', 'alerting') THEN 0 ELSE (epoch_us(e) - epoch_us(ts)) / 1e6 END), 3) AS uptime_s FROM n GROUP BY 1")
 def stm_05(t):
-    return E.downtime(t.fx_status, start(), end(), down=("offline", "alerting"))
+    return E.downtime(t.fx_status, *window(t), down=("offline", "alerting"))
 
 
 @query("stm_06_daily_events", f"SELECT event_id, strftime(time_bucket(INTERVAL 5 MINUTES, ts), '%H.%M') || ' - ' || strftime(time_bucket(INTERVAL 5 MINUTES, ts) + INTERVAL 5 MINUTES, '%H.%M') AS time_window, strftime(ts, '%Y-%m-%d') AS date, count(*) OVER (PARTITION BY device_id, CAST(ts AS DATE)) AS count FROM fx_status WHERE ts >= {A} AND ts < {B}")
 def stm_06(t):
-    rows = E.daily_events(t.fx_status.withColumn("ts", F.col("ts").cast("timestamp")), start(), end())
+    rows = E.daily_events(t.fx_status.withColumn("ts", F.col("ts").cast("timestamp")), *window(t))
     return rows.select("event_id", "time_window", F.col("date").cast("string").alias("date"), "count")
 
 
 @query("stm_07_combined_table", f"WITH {SEED}, d AS (SELECT device_id, round(sum(CASE WHEN status = 'offline' THEN (epoch_us(e) - epoch_us(ts)) / 1e6 ELSE 0 END), 3) AS downtime_s FROM n GROUP BY 1), v AS (SELECT CAST(user_id AS VARCHAR) AS device_id, round(avg(value), 6) AS mean_value FROM events WHERE ts >= {A} AND ts < {B} GROUP BY 1) SELECT i.device_id, d.downtime_s, v.mean_value FROM (SELECT DISTINCT device_id FROM fx_status) i LEFT JOIN d USING (device_id) LEFT JOIN v USING (device_id)")
 def stm_07(t):
-    ts = F.col("ts").cast("timestamp")
-    values = t.events.where((ts >= start()) & (ts < end())).groupBy(F.col("user_id").cast("string").alias("device_id")).agg(F.round(F.avg("value"), 6).alias("mean_value"))
-    return E.combined(t.fx_status.select("device_id").distinct(), {"downtime": E.downtime(t.fx_status, start(), end()).select("device_id", "downtime_s"), "value": values})
+    ts, (start, end) = F.col("ts").cast("timestamp"), window(t)
+    values = t.events.where((ts >= start) & (ts < end)).groupBy(F.col("user_id").cast("string").alias("device_id")).agg(F.round(F.avg("value"), 6).alias("mean_value"))
+    return E.combined(t.fx_status.select("device_id").distinct(), {"downtime": E.downtime(t.fx_status, start, end).select("device_id", "downtime_s"), "value": values})
 
 
 @query("stm_08_incremental_pull", "SELECT event_id, event_id IN (SELECT event_id FROM events WHERE ts < TIMESTAMP '2024-01-15') AS is_pushed FROM events")

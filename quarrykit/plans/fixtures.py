@@ -150,4 +150,4 @@ def with_views(sql: str) -> str:
         return sql
     views = ", ".join(f"{name} AS ({re.sub(r'[{}]', '', VIEWS[name])})" for name in wanted)
     head = re.match(r"\s*WITH\s+(RECURSIVE\s+)?", sql, re.I)
-    return f"WITH {views}, {sql[head.end():]}" if head else f"WITH {views} {sql}"
+    return f"WITH {head[1] or ''}{views}, {sql[head.end():]}" if head else f"WITH {views} {sql}"

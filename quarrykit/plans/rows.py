@@ -189,10 +189,10 @@ def jn_22(t):
     return J.overlay(t.fx_master.select("pk", "name", "qty"), t.fx_incoming, "pk", ["name"])
 
 
-@query("jn_23_duplicate_pairs", "WITH s AS (SELECT row_key, school_name, education_level, floor(latitude * 1000) AS a, floor(longitude * 1000) AS b FROM fx_school WHERE latitude IS NOT NULL) SELECT x.row_key AS first, y.row_key AS second FROM s x JOIN s y ON x.education_level = y.education_level AND x.a = y.a AND x.b = y.b AND x.row_key < y.row_key AND x.school_name = y.school_name")
+@query("jn_23_duplicate_pairs", "WITH s AS (SELECT row_key, school_name, education_level, floor(latitude * 1000) AS a, floor(longitude * 1000) AS b FROM fx_school WHERE latitude IS NOT NULL AND school_name IS NOT NULL AND education_level IS NOT NULL), g AS (SELECT row_key AS second, min(row_key) OVER w AS first, count(*) OVER w AS size FROM s WINDOW w AS (PARTITION BY school_name, education_level, a, b)) SELECT * FROM g WHERE first < second")
 def jn_23(t):
     s = t.fx_school.where("latitude IS NOT NULL").select("row_key", "school_name", "education_level", F.floor(F.col("latitude") * 1000).alias("la"), F.floor(F.col("longitude") * 1000).alias("lo"))
-    return J.near_pairs(s, "row_key", ["education_level", "la", "lo"], F.col("a.school_name") == F.col("b.school_name")).select(F.col("a.row_key").alias("first"), F.col("b.row_key").alias("second"))
+    return J.links_to_first(s, "row_key", ["school_name", "education_level", "la", "lo"]).select("first", F.col("row_key").alias("second"), "size")
 
 
 @query("win_01_duplicate_flag", "SELECT row_key, CASE WHEN count(school_id_giga) OVER (PARTITION BY school_id_giga) > 1 THEN 1 ELSE 0 END AS a, CASE WHEN count(school_id_govt) OVER (PARTITION BY school_id_govt) > 1 THEN 1 ELSE 0 END AS b FROM fx_school")
@@ -225,14 +225,9 @@ def win_10(t):
 
 @query("srt_01_critical_first", f"SELECT pk, dq_has_critical_error, row_number() OVER (ORDER BY dq_has_critical_error DESC, pk) AS place FROM ({CHECKED})")
 def srt_01(t):
-    from pyspark.sql import Window
-
-    # the place is written out so that the order can be compared; ranges of the key keep the count distributed
-    rows = W.ids_first(checked(t), ["pk", "absent"], "dq_has_critical_error")
-    sizes = rows.groupBy("dq_has_critical_error").agg(F.count(F.lit(1)).alias("n"))
-    before = sizes.select("dq_has_critical_error", (F.sum("n").over(Window.orderBy(F.desc("dq_has_critical_error"))) - F.col("n")).alias("before"))
-    w = Window.partitionBy("dq_has_critical_error").orderBy("pk")
-    return rows.join(before, "dq_has_critical_error").select("pk", "dq_has_critical_error", (F.row_number().over(w) + F.col("before")).cast("bigint").alias("place"))
+    # the place is written out so that the order can be compared
+    rows = W.ids_first(checked(t), ["pk", "absent"], "dq_has_critical_error").select("pk", "dq_has_critical_error")
+    return W.with_place(rows, [F.col("dq_has_critical_error").desc(), F.col("pk")]).withColumn("place", F.col("place").cast("bigint"))
 
 
 @query("srt_02_latest_version", "SELECT DISTINCT _commit_version FROM fx_feed ORDER BY 1 DESC LIMIT 1")

@@ -10,7 +10,7 @@ YEAR = 2024
 #: Columns of a file of each dataset, as expressions over fx_school that Spark and DuckDB read alike.
 IDS = {"row_key": "row_key", "school_id_giga": "school_id_giga"}
 SCHOOL = IDS | {
-    "school_id_govt": "school_id_govt", "school_name": "CASE WHEN row_key % 41 = 7 THEN '...' ELSE school_name END", "education_level": "education_level", "latitude": "latitude + 13", "longitude": "longitude",
+    "school_id_govt": "school_id_govt", "school_name": "CASE WHEN row_key % 41 = 7 THEN '...' ELSE school_name END", "education_level": "education_level", "latitude": "latitude + 13", "longitude": "longitude + 1",
     "num_computers": "num_computers", "connectivity_govt": "connectivity_govt", "download_speed_contracted": "CASE WHEN row_key % 6 <> 1 THEN CAST(row_key % 700 AS DOUBLE) END",
     "electricity_availability": "electricity_availability", "electricity_type": "electricity_type", "school_area_type": "CASE WHEN row_key % 5 = 0 THEN repeat('Urban', 60) ELSE 'Urban' END",
 }

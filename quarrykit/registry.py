@@ -11,7 +11,7 @@ from importlib import import_module
 from pyspark.sql import DataFrame, SparkSession
 
 FLAGSHIP = "agg_01_check_report"
-MODULES: tuple[str, ...] = ("schema", "projections", "rows", "checks", "suites", "aggregates", "merging", "events", "functions", "pipelines")
+MODULES: tuple[str, ...] = ("schema", "projections", "rows", "checks", "suites", "aggregates", "merging", "events", "functions", "pipelines", "storage")
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
 

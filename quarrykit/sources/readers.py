@@ -13,9 +13,10 @@ from ..operators.project import col
 from ..operators.schema import cast_to_schema
 
 
-def read_csv(spark: SparkSession, path: str, schema: str | T.StructType | None = None, id_columns: Iterable[str] = (), encoding: str | None = None) -> DataFrame:
-    """CSV with header, quotes escaped by quotes, line ends in quotes. Without schema all columns are text, so that ids keep their zeros."""
-    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", True)
+def read_csv(spark: SparkSession, path: str, schema: str | T.StructType | None = None, id_columns: Iterable[str] = (), encoding: str | None = None, multi_line: bool = False) -> DataFrame:
+    """CSV with header, quotes escaped by quotes. Without schema all columns are text, so that ids keep their zeros. Line ends in quotes need multi_line, which
+    makes a file one task."""
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
     if encoding:
         reader = reader.option("encoding", encoding)
     df = (reader.schema(schema) if schema else reader).csv(path)
@@ -26,13 +27,13 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def load_upload(spark: SparkSession, path: str, types: Mapping[str, str] | None = None, encoding: str | None = None) -> DataFrame:
-    """CSV, JSON or Parquet by extension; types override those of columns."""
+def load_upload(spark: SparkSession, path: str, types: Mapping[str, str] | None = None, encoding: str | None = None, multi_line: bool = False) -> DataFrame:
+    """CSV, JSON or Parquet by extension; types override those of columns. JSON is a record a line, or with multi_line a file."""
     kind = path.rstrip("/").rsplit(".", 1)[-1].lower()
     if kind == "csv":
-        df = read_csv(spark, path, encoding=encoding)
+        df = read_csv(spark, path, encoding=encoding, multi_line=multi_line)
     elif kind == "json":
-        df = spark.read.option("multiLine", True).option("encoding", encoding or "UTF-8").json(path)
+        df = spark.read.option("multiLine", multi_line).option("encoding", encoding or "UTF-8").json(path)
     elif kind == "parquet":
         df = spark.read.parquet(path)
     else:
