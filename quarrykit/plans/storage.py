@@ -27,7 +27,7 @@ def src_03(t):
     K.overwrite(rows, f"{folder}/a.parquet")
     K.overwrite(rows, f"{folder}/a.csv", "csv")
     K.overwrite(rows, f"{folder}/a.json", "json")
-    loaded = [D.load_upload(t.spark, f"{folder}/a.{kind}", types).select("pk", "name", "qty", F.lit(kind).alias("kind")) for kind in ("json", "parquet", "csv")]
+    loaded = [D.load_upload(t.spark, f"{folder}/a.{kind}", types, multi_line=False).select("pk", "name", "qty", F.lit(kind).alias("kind")) for kind in ("json", "parquet", "csv")]
     return loaded[0].union(loaded[1]).union(loaded[2])
 
 

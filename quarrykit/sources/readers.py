@@ -27,8 +27,9 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def load_upload(spark: SparkSession, path: str, types: Mapping[str, str] | None = None, encoding: str | None = None, multi_line: bool = False) -> DataFrame:
-    """CSV, JSON or Parquet by extension; types override those of columns. JSON is a record a line, or with multi_line a file."""
+def load_upload(spark: SparkSession, path: str, types: Mapping[str, str] | None = None, encoding: str | None = None, multi_line: bool = True) -> DataFrame:
+    """CSV, JSON or Parquet by extension; types override those of columns. Uploads are files of people: CSV may have line ends in quotes and JSON is a record or
+    an array a file. Large files with a record a line are read by many tasks without multi_line."""
     kind = path.rstrip("/").rsplit(".", 1)[-1].lower()
     if kind == "csv":
         df = read_csv(spark, path, encoding=encoding, multi_line=multi_line)

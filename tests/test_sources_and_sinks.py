@@ -18,7 +18,7 @@ def rows(df, *order):
 
 def test_csv_keeps_zeros_quotes_and_line_ends(spark, tmp_path):
     (tmp_path / "a.csv").write_text('id,name\n007,"say ""hi""\nthere"\n010,\n')
-    assert rows(D.read_csv(spark, str(tmp_path / "a.csv"))) == [("007", 'say "hi"\nthere'), ("010", None)]
+    assert rows(D.read_csv(spark, str(tmp_path / "a.csv"), multi_line=True)) == [("007", 'say "hi"\nthere'), ("010", None)]
     assert rows(D.load_upload(spark, str(tmp_path / "a.csv"), {"id": "int"})) == [(7, 'say "hi"\nthere'), (10, None)]
     (tmp_path / "b.csv").write_bytes("id,name\n1,Ñandú\n".encode("iso-8859-1"))
     assert rows(D.load_upload(spark, str(tmp_path / "b.csv"), encoding="ISO-8859-1")) == [("1", "Ñandú")]
