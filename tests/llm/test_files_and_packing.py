@@ -230,7 +230,7 @@ def test_pipeline_against_brute_force(spark):
     network = language_id.train_network(docs)
     lang, score = language_id.predictions(network, [r.text for r in rows])
     least = corpus_pipeline.least_score(len(network.languages), network.usual)
-    assert 0.4 < least < 0.5
+    assert 0.3 <= least < 0.34
     rows = [r for r, g, s in zip(rows, lang, score, strict=True) if g != "und" and s >= least]
     assert len(rows) >= 195
     seen, left = set(), []
