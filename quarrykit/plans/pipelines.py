@@ -193,11 +193,11 @@ def pipe_11(t):
     return jobs.list_job(rows, {"code": "pk", "title": "name"}, t.fx_master, "pk", ["level"], "u1", now()).select("pk", "name", "level", "change_type")
 
 
-@query("pipe_12_uptime", f"WITH {UPTIME}, h AS (SELECT device_id, hour, round(sum(s) / 36.0, 3) AS up FROM u GROUP BY 1, 2) SELECT h.device_id, count(*) AS hours, round(sum(up), 2) AS total, min(name) AS name FROM h LEFT JOIN fx_master m ON h.device_id = CAST(m.pk AS VARCHAR) GROUP BY 1")
+@query("pipe_12_uptime", f"WITH {UPTIME}, h AS (SELECT device_id, hour, round(sum(s) / 36.0, 3) AS up FROM u GROUP BY 1, 2) SELECT h.device_id, count(*) AS hours, CAST(sum(CAST(round(up * 1000) AS BIGINT)) AS BIGINT) AS total, min(name) AS name FROM h LEFT JOIN fx_master m ON h.device_id = CAST(m.pk AS VARCHAR) GROUP BY 1")
 def pipe_12(t):
     devices = t.fx_master.select(F.col("pk").cast("string").alias("device_id"), "name")
     made = jobs.uptime_job(t.fx_status, devices, *window(t))
-    return made.groupBy("device_id").agg(F.count(F.lit(1)).alias("hours"), F.round(F.sum("uptime_percentage"), 2).alias("total"), F.min("name").alias("name"))
+    return made.groupBy("device_id").agg(F.count(F.lit(1)).alias("hours"), F.sum(F.round(F.col("uptime_percentage") * 1000).cast("bigint")).alias("total"), F.min("name").alias("name"))
 
 
 @query("pipe_13_registry", "SELECT name, CASE WHEN id % 2 = 0 THEN 'double' ELSE data_type END AS data_type FROM fx_registry")
