@@ -1,7 +1,8 @@
-"""Similarity of names, on candidate pairs only: Arrow batches of pairs, one small function a pair."""
+"""Similarity of names, on candidate pairs only: Arrow batches of pairs, one small function for each distinct pair of a batch."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from difflib import SequenceMatcher
 
 import pandas as pd
@@ -25,11 +26,23 @@ def indel_ratio(a: str | None, b: str | None) -> float | None:
     return 2 * (len(a) - row.bit_count()) / (len(a) + len(b))
 
 
+def matcher_ratio(a: str | None, b: str | None) -> float | None:
+    """Share of letters in the longest common blocks, found from the longest on to either side of it."""
+    return None if a is None or b is None else SequenceMatcher(None, a, b).ratio()
+
+
+def _per_pair(ratio: Callable[[str | None, str | None], float | None], a: pd.Series, b: pd.Series) -> pd.Series:
+    """Names repeat from block to block, so a pair that a batch has more than once is compared once."""
+    pairs = list(zip(a, b, strict=True))
+    known = {p: ratio(*p) for p in set(pairs)}
+    return pd.Series([known[p] for p in pairs], dtype="float64")
+
+
 @F.pandas_udf(DoubleType())
 def indel_similarity(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([indel_ratio(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
+    return _per_pair(indel_ratio, a, b)
 
 
 @F.pandas_udf(DoubleType())
 def matcher_similarity(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([None if x is None or y is None else SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b, strict=True)], dtype="float64")
+    return _per_pair(matcher_ratio, a, b)

@@ -171,11 +171,15 @@ def similar_name_check(df: DataFrame, cutoff: float = 0.7, out: str = "dq_simila
 
 
 def density_check(df: DataFrame, id_col: str = "school_id_giga", most: int = profiles.DENSE, base: DataFrame | None = None) -> DataFrame:
-    """More than `most` ids in a hexagon: flag, count and group id; null without coordinates."""
+    """More than `most` ids in a hexagon: flag, count and group id; null without coordinates.
+
+    Only hexagons of two rows or more are joined back, so that few of them are a broadcast; rows without coordinates, which share a cell, go by their id, which meets none."""
     hexagon = geo.hex_cell("latitude", "longitude")
-    sizes = (df if base is None else base).groupBy(hexagon.alias("_hex")).agg(F.count(id_col).alias("_n"))
-    made = {"dq_is_school_density_greater_than_5": here(fails(F.col("_n") > most)), "dq_school_density_count": here(F.col("_n")), "dq_school_density_group_id": here(F.substring(F.md5("_hex"), 1, 8))}
-    return df.join(sizes, hexagon == F.col("_hex")).withColumns(made).drop("_hex", "_n")
+    key = F.when(~no_location(), hexagon).otherwise(F.concat(F.lit("0:"), F.xxhash64(id_col).cast("string"), F.lit(":")))
+    sizes = (df if base is None else base).where(~no_location()).groupBy(hexagon.alias("_hex")).agg(F.count(id_col).alias("_n"), F.count(F.lit(1)).alias("_rows")).where("_rows > 1")
+    n = F.coalesce("_n", col(id_col).isNotNull().cast("bigint"))
+    made = {"dq_is_school_density_greater_than_5": here(fails(n > most)), "dq_school_density_count": here(n), "dq_school_density_group_id": here(F.substring(F.md5(hexagon), 1, 8))}
+    return df.join(sizes, key == F.col("_hex"), "left").withColumns(made).drop("_hex", "_n", "_rows")
 
 
 def not_within_check(df: DataFrame, sides: DataFrame, polygon: str, most_km: float = 1.5, out: str = "dq_is_not_within_country", base: DataFrame | None = None) -> DataFrame:

@@ -277,10 +277,18 @@ def sim_01(t):
     return name_pairs(t, 0.9).withColumn("similarity", indel_similarity("x", "y")).where("similarity > 0.9").withColumn("similarity", F.round("similarity", 9))
 
 
-@query("sim_02_matcher_ratio")
+#: The longest common block of a range of either name (the first in x, then the first in y), then the ranges before and behind it, each of which counts it: twice the blocks.
+BLOCKS = """blocks AS (SELECT x, y, 0 AS size, unnest([{'a': 1, 'b': length(x) + 1, 'c': 1, 'd': length(y) + 1}]) AS r FROM (SELECT DISTINCT x, y FROM pairs) UNION ALL
+SELECT x, y, best.size, unnest([{'a': r.a, 'b': best.i, 'c': r.c, 'd': best.j}, {'a': best.i + best.size, 'b': r.b, 'c': best.j + best.size, 'd': r.d}]) FROM (SELECT x, y, r, list_max(list_transform(range(r.a, r.b), lambda i:
+list_max(list_transform(range(r.c, r.d), lambda j: {'size': len(list_filter(range(1, least(r.b - i, r.d - j) + 1), lambda n: x[i:i + n - 1] = y[j:j + n - 1])), 'less_i': -i, 'less_j': -j, 'i': i, 'j': j})))) AS best
+FROM blocks WHERE r.a < r.b AND r.c < r.d) WHERE best.size > 0),
+ratios AS (SELECT x, y, sum(size) / (length(x) + length(y)) AS ratio FROM blocks GROUP BY x, y)"""
+
+
+@query("sim_02_matcher_ratio", f"WITH RECURSIVE {NAMES[: NAMES.index('lcs AS')]}{BLOCKS} SELECT p.*, CAST(round(ratio, 9) AS DOUBLE) AS similarity FROM pairs p JOIN ratios USING (x, y) WHERE ratio >= 0.7 AND ratio < 1")
 def sim_02(t):
     # blocks of the matcher are a common subsequence, so the indel ratio is never below its own
-    return name_pairs(t, 0.7).withColumn("similarity", matcher_similarity("x", "y")).where("similarity >= 0.7 AND similarity < 1")
+    return name_pairs(t, 0.7).withColumn("similarity", matcher_similarity("x", "y")).where("similarity >= 0.7 AND similarity < 1").withColumn("similarity", F.round("similarity", 9))
 
 
 @query("dq_14_similar_names", f"WITH RECURSIVE {NAMES}, hit AS (SELECT DISTINCT education_level, la, lo, unnest([x, y]) AS s FROM pairs JOIN ratios USING (x, y) WHERE ratio > 0.96) SELECT row_key, CASE WHEN {NOLOC} THEN NULL WHEN hit.s IS NULL THEN 0 ELSE 1 END AS a FROM fx_school f LEFT JOIN hit ON f.education_level IS NOT DISTINCT FROM hit.education_level AND floor(f.latitude * 1000) = la AND floor(f.longitude * 1000) = lo AND f.school_name = hit.s")

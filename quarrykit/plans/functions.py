@@ -61,11 +61,11 @@ def fn_json(t):
     return rows.select("row_key", F.from_json("body", "n INT")["n"].alias("n"), F.get_json_object("body", "$.in.s").alias("s"))
 
 
-@query("srt_04_preview")
+@query("srt_04_preview", "SELECT row_key, school_name, latitude FROM fx_school ORDER BY row_key LIMIT 10")
 def srt_04(t):
     from ..operators.windows import preview
 
-    return preview(t.fx_school, 10)  # the feature is a preview
+    return preview(t.fx_school.orderBy("row_key").select("row_key", "school_name", "latitude"), 10)  # the feature is a preview
 
 
 @query("agg_06_json_field_min", "SELECT DISTINCT user_id, event_type, strftime(min(ts) OVER (PARTITION BY user_id, event_type), '%Y-%m-%d %H:%M:%S') AS first_time FROM events WHERE json_valid(props)")
