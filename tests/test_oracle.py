@@ -1,4 +1,4 @@
-"""Every registered query with SQL gives DuckDB's rows; every other one runs."""
+"""Every registered query of the library has SQL and gives DuckDB's rows."""
 
 import pytest
 from oracle import compare, connect
@@ -19,9 +19,8 @@ def test_equals_sql(spark, db, name):
     assert compare(QUERIES[name](spark, SF), db, SQL[name]) is None
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
-def test_runs(spark, name):
-    assert QUERIES[name](spark, SF).count() > 0
+def test_each_has_sql():
+    assert set(QUERIES) == set(SQL)
 
 
 def test_entry(spark):
