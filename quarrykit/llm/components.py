@@ -15,7 +15,7 @@ from .common import cut
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
-    """edges: columns a, b (long). Returns node, root for each node that has an edge to another; equal roots, one component.
+    """edges: columns a, b (of a type with an order, as long or binary). Returns node, root for each node that has an edge to another; equal roots, one component.
 
     Loops and repeated edges don't matter; no edges give no rows."""
     nodes = cut(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())

@@ -239,10 +239,11 @@ def test_pipeline_against_brute_force(spark):
         if key not in seen:
             seen.add(key)
             left.append(r)
-    fps, root = [simhash.simhash(r.text.encode()) for r in left], list(range(len(left)))
+    fps, root = [int.from_bytes(simhash.sketch(r.text.encode()), "little") for r in left], list(range(len(left)))
     for i in range(len(left)):
         for j in range(i):
-            if (fps[i] ^ fps[j]).bit_count() <= 4:
+            x = fps[i] ^ fps[j]
+            if x.bit_count() <= 44 and min((x >> 16 * k & 0xFFFF).bit_count() for k in range(6)) <= 1:
                 a, b = sorted((root[i], root[j]))
                 root = [a if x == b else x for x in root]
     left = [r for i, r in enumerate(left) if root[i] == i]

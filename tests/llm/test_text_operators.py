@@ -1,6 +1,7 @@
 """Operators on single texts against brute force."""
 
 import collections
+import functools
 import hashlib
 import random
 import re
@@ -115,6 +116,77 @@ def test_width_and_radius_are_arguments(spark, radius):
     assert simhash.segments(4) == [(0, 21), (21, 21), (42, 22)]
 
 
+def brute_sketch(text, width=5):
+    w = words((text or "").translate(str.maketrans(string.ascii_uppercase, string.ascii_lowercase)))
+    shingles = {" ".join(w[k : k + width]) for k in range(max(1, len(w) - width + 1))} if w else set()
+    out, full = 0, (1 << 64) - 1
+    for k in range(4):
+        ones = [0] * 64
+        for shingle in shingles:
+            x = xxhash.xxh64_intdigest(shingle.encode(), 42)
+            if k:
+                x = x + 0x9E3779B97F4A7C15 * k & full
+                x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & full
+                x = (x ^ x >> 27) * 0x94D049BB133111EB & full
+                x ^= x >> 31
+            for b in range(64):
+                ones[b] += x >> b & 1
+        out |= sum(1 << b for b in range(64) if 2 * ones[b] > len(shingles)) << 64 * k
+    return out
+
+
+def brute_similar(sketches, distance=44, segments=6):
+    """Component of each id: links at `distance` bits or fewer with a segment of 16 bits that differs by one at most."""
+    root, ids = {i: i for i in sketches}, sorted(sketches)
+    for j in ids:
+        for i in ids:
+            x = sketches[i] ^ sketches[j]
+            if i < j and x.bit_count() <= distance and min((x >> 16 * k & 0xFFFF).bit_count() for k in range(segments)) <= 1:
+                a, b = sorted((root[i], root[j]))
+                root = {k: a if r == b else r for k, r in root.items()}
+    return root
+
+
+@pytest.mark.parametrize("text", TEXTS)
+def test_sketch(text):
+    assert int.from_bytes(simhash.sketch(text.encode() if text is not None else None), "little") == brute_sketch(text)
+
+
+def edited_copies(copies):
+    """Texts and the share of equal 5-word shingles of each one with the first of its seven: at 200 words 0 to 6 words changed, far apart."""
+    rng, texts = random.Random(11), []
+    for _ in range(copies):
+        w = [f"w{rng.randrange(10**6)}" for _ in range(200)]
+        texts += [" ".join("other" if k % 30 == 15 and k // 30 < changed else x for k, x in enumerate(w)) for changed in range(7)]
+    shingles = [{tuple(t.split()[k : k + 5]) for k in range(196)} for t in texts]
+    return texts, [len(s & shingles[i // 7 * 7]) / len(s | shingles[i // 7 * 7]) for i, s in enumerate(shingles)]
+
+
+@pytest.mark.parametrize("block", [simhash.BLOCK, 8])
+def test_similar_texts_against_brute_force(spark, block, monkeypatch):
+    monkeypatch.setattr(simhash, "sketch_links", functools.partial(simhash.sketch_links, block=block))
+    monkeypatch.setattr(simhash, "SMALL", 4)
+    texts = TEXTS + edited_copies(12)[0] + ["one two three four five six seven"] * 3
+    got = {r.doc_id: r for r in simhash.similar_texts(docs(spark, texts)).collect()}
+    sketches = {i: brute_sketch(t) for i, t in enumerate(texts)}
+    assert {i: int.from_bytes(bytes.fromhex(r.sketch), "little") for i, r in got.items()} == sketches
+    assert {i: r.component_id for i, r in got.items()} == brute_similar(sketches)
+    left = simhash.drop_similar_texts(docs(spark, texts))
+    assert sorted(r.doc_id for r in left.collect()) == sorted(set(brute_similar(sketches).values())) and left.columns == docs(spark, texts).columns
+    assert simhash.similar_texts(docs(spark, [])).count() == 0
+
+
+def test_similar_texts_are_found():
+    """Of pairs with a Jaccard of 0.8 or more nearly all link, of those under 0.6 none."""
+    texts, jaccard = edited_copies(60)
+    sketches = [brute_sketch(t) for t in texts]
+    linked = [brute_similar({0: sketches[i // 7 * 7], 1: s})[1] == 0 for i, s in enumerate(sketches)]
+    alike = [hit for hit, j, i in zip(linked, jaccard, range(len(texts)), strict=True) if j >= 0.8 and i % 7]
+    assert len(alike) >= 200 and sum(alike) >= 0.9 * len(alike)
+    other = [brute_similar({0: a, 1: b})[1] for a, b in zip(sketches, sketches[7:], strict=False)]
+    assert set(other) == {1}
+
+
 def test_near_duplicates(spark):
     texts = TEXTS + ["one two three four five six seven"] * 3
     got = {r.doc_id: r for r in simhash.near_duplicates(docs(spark, texts)).collect()}
