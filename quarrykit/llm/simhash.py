@@ -183,7 +183,9 @@ def _link_entries(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa
         if end:
             a, b = _links(key[:end], fps[:end], radius)
             if len(a):
-                yield pa.RecordBatch.from_arrays([_column(a), _column(b)], names=["a", "b"])
+                pairs = np.unique(np.hstack((a.reshape(len(a), -1), b.reshape(len(b), -1))), axis=0)
+                ends = (np.ascontiguousarray(x).reshape(-1, *a.shape[1:]) for x in np.hsplit(pairs, 2))
+                yield pa.RecordBatch.from_arrays([_column(x) for x in ends], names=["a", "b"])
 
     rows = 0
     for batch in batches:
