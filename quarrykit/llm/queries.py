@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_automaton, exact_dedup, html_extract, language_id, packing, quality, secrets, simhash, token_counts, token_files
+from . import bpe_automaton, exact_dedup, html_extract, language_id, packing, quality, quality_model, secrets, simhash, token_counts, token_files
 
 #: Query and its module.
 WHERE = {
@@ -22,6 +22,7 @@ WHERE = {
     "op8_token_files": token_files,
     "op9_quality_rules": quality,
     "op10_packing": packing,
+    "op11_quality_classifier": quality_model,
 }
 
 
