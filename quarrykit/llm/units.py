@@ -78,6 +78,15 @@ def cut_whole(texts: pa.Array) -> pa.ListArray:
     return pa.LargeListArray.from_arrays(pa.array(range(len(texts) + 1), pa.int64()), texts)
 
 
+#: A unit with all blanks before it, and line ends.
+PIECES = re.compile(r" +[^ \n]*|\n|[^ \n]+")
+
+
+def words_pieces(text: str) -> list[str]:
+    """For tokenizers whose tokens hold blanks only in front and no line ends: cut before blanks and around line ends."""
+    return PIECES.findall(text)
+
+
 def byte_letters() -> list[str]:
     """The letter that byte-level vocabularies write for each byte: itself where it is printable, else the next from U+0100 on."""
     shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
@@ -112,7 +121,7 @@ class _Places(dict):
 class Units:
     def __init__(self, split: Callable[[str], list[str]], encode: Callable[[list[str]], list[list[int]]], special: re.Pattern | None, most: int = MOST_UNITS) -> None:
         self.split, self.encode, self.special, self.most = split, encode, special, most
-        self.cut = {words_apart: cut_apart, words_spaced: cut_spaced, words_whole: cut_whole}[split]
+        self.cut = {words_apart: cut_apart, words_spaced: cut_spaced, words_pieces: cut_spaced, words_whole: cut_whole}[split]
         self._empty()
 
     def _empty(self) -> None:
