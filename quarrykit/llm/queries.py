@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import alignment, bpe_automaton, exact_dedup, html_extract, language_id, packing, quality, quality_model, secrets, simhash, token_counts, token_files
+from . import alignment, bpe_automaton, exact_dedup, hard_negatives, html_extract, language_id, packing, quality, quality_model, secrets, simhash, token_counts, token_files
 
 #: Query and its module.
 WHERE = {
@@ -24,6 +24,7 @@ WHERE = {
     "op10_packing": packing,
     "op11_quality_classifier": quality_model,
     "op12_alignment": alignment,
+    "op13_hard_negatives": hard_negatives,
 }
 
 
