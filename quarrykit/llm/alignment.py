@@ -38,6 +38,8 @@ from .units import Units, byte_letters, plain_byte_units, special_strings, token
 
 #: Bytes of a range, ranges that a join of the tree takes, and the share of all links (one in HOT) that makes a pair frequent.
 CHUNK, FAN, HOT = 64 << 10, 32, 1 << 18
+#: Units that a worker holds of each side, texts of a slice, and rows of pairs looked up at once.
+UNITS, BYTES, ROWS = 120_000, 8 << 20, 1024
 #: A blank before which neither tokenizer merges. Python's \s has all that is white space to them.
 SAFE = re.compile(r"(?<=\S) (?=\S)")
 #: A's id is in the upper bits of a pair, B's in the lower.
@@ -59,7 +61,7 @@ def piece_units(path: str) -> Units:
         ids = model.encode([u[1:] if u[:1] == " " else "\n" + u for u in units], num_threads=1)
         return [blank if u == " " else i if u[:1] == " " else i[2:] for u, i in zip(units, ids, strict=True)]  # nothing has no blank added
 
-    return Units(words_pieces, encode, None)
+    return Units(words_pieces, encode, None, UNITS)
 
 
 @dataclass(frozen=True)
@@ -89,7 +91,7 @@ def byte_side(path: str) -> Side:
     bytes_of = [b""] * (max(vocabulary.values()) + 1)
     for token, i in vocabulary.items():
         bytes_of[i] = token.encode() if special and special.fullmatch(token) else bytes(byte[c] for c in token)
-    return _side(plain_byte_units(path), bytes_of, "|")
+    return _side(plain_byte_units(path, UNITS), bytes_of, "|")
 
 
 @lru_cache(2)
@@ -242,7 +244,7 @@ WHOLE = "n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256
 def _whole(a_path: str, b_path: str, batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.RecordBatch]:
     """Texts of one range each: id, text to id and WHOLE. As texts begin and end with common ends, all of a slice are aligned at once."""
     a, b = byte_side(a_path), piece_side(b_path)
-    for batch in slices(batches):
+    for batch in slices(batches, most=BYTES):
         run, n_a, n_b, size = tokens_of(a, b, [" " + t if t else "" for t in texts_of(batch.column(1))])
         ends = Ends(a, b, run)
         pairs, at = ends.links()
@@ -376,7 +378,7 @@ def _long_texts(long: DataFrame, a_path: str, b_path: str, chunk: int) -> tuple[
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs of a task's rows with their number of links, in slices."""
-    for batch in slices(batches, 1 << 12):
+    for batch in slices(batches, ROWS):
         pair, n = np.unique(batch.column(0).flatten().to_numpy(zero_copy_only=False), return_counts=True)
         yield pa.RecordBatch.from_arrays([pa.array(pair, pa.int64()), pa.array(n, pa.int64())], names=["pair", "n"])
 
@@ -399,7 +401,7 @@ def _looked_up(rows: DataFrame, counts: DataFrame) -> DataFrame:
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair, n, best = known.value
-        for batch in slices(batches, 1 << 12):
+        for batch in slices(batches, ROWS):
             column = batch.column(len(others))
             found, sizes = column.flatten().to_numpy(zero_copy_only=False), column.value_lengths().to_numpy(zero_copy_only=False)
             row = np.repeat(np.arange(batch.num_rows), sizes)

@@ -236,10 +236,21 @@ def byte_units(path: str) -> Units:
 
 
 @lru_cache(2)
-def plain_byte_units(path: str) -> Units:
+def plain_byte_units(path: str, most: int = MOST_UNITS) -> Units:
     """As byte_units, but special strings in a text are ordinary text."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    usual, special = library_units(path, words_spaced), special_strings(path)
     tok = Tokenizer.from_file(path)
     tok.encode_special_tokens = True
-    split = fitting(words_spaced, lambda t: tok.encode(t, add_special_tokens=False).ids, tok)
-    return Units(split, lambda units: [e.ids for e in tok.encode_batch_fast(units, add_special_tokens=False)], None)
+
+    def encode(units: list[str]) -> list:
+        odd = [k for k, u in enumerate(units) if special and special.search(u)]
+        if not odd:
+            return usual.encode(units)
+        out: list = [None] * len(units)
+        rest = [k for k in range(len(units)) if k not in set(odd)]
+        for some, ids in ((rest, usual.encode([units[k] for k in rest])), (odd, [np.array(e.ids, np.uint32) for e in tok.encode_batch_fast([units[k] for k in odd], add_special_tokens=False)])):
+            for k, i in zip(some, ids, strict=True):
+                out[k] = i
+        return out
+
+    return Units(fitting(words_spaced, lambda t: tok.encode(t, add_special_tokens=False).ids, tok), encode, None, most)
