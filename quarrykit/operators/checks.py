@@ -9,8 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geo, profiles
-from ..functions.similarity import indel_similarity
-from .joins import similar_candidates
+from .joins import similar_pairs
 from .project import col, decimals
 from .windows import no_location, with_group_size
 
@@ -160,12 +159,12 @@ def names_per_cell(df: DataFrame) -> DataFrame:
 def similar_name_check(df: DataFrame, cutoff: float = 0.7, out: str = "dq_similar_name_level_within_110m_radius", base: DataFrame | None = None) -> DataFrame:
     """Another, different name of the same level and cell is more similar than the cut-off; null without coordinates.
 
-    Distinct names of a cell pair once, however many rows repeat them, and only those that share letters enough; the level may be null on both sides."""
+    Distinct names of a cell are compared once, however many rows repeat them; the level may be null on both sides."""
     la, lo = cell()
     level = F.coalesce("education_level", F.lit(""))
     names = (df if base is None else base).where(on_valid_place() & F.col("school_name").isNotNull()).select(F.col("school_name").alias("_n"), level.alias("_level"), la.alias("_la"), lo.alias("_lo"))
-    pairs = similar_candidates(names, "_n", ["_level", "_la", "_lo"], cutoff)
-    close = pairs.where(indel_similarity("x", "y") > cutoff).select("_level", "_la", "_lo", F.explode(F.array("x", "y")).alias("_n")).distinct().withColumn("_hit", F.lit(1))
+    pairs = similar_pairs(names, "_n", ["_level", "_la", "_lo"], cutoff)
+    close = pairs.where(F.col("similarity") > cutoff).select("_level", "_la", "_lo", F.explode(F.array("x", "y")).alias("_n")).distinct().withColumn("_hit", F.lit(1))
     same = (F.col("school_name") == F.col("_n")) & (level == F.col("_level")) & (la == F.col("_la")) & (lo == F.col("_lo"))
     return df.join(close, same, "left").withColumn(out, here(F.coalesce("_hit", F.lit(0)))).drop("_n", "_level", "_la", "_lo", "_hit")
 

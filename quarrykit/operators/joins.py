@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.similarity import TILE, similar_rows
 from .project import NO_COVERAGE, best_of_both, col
 
 ALL = "__all__"
@@ -158,21 +159,21 @@ def links_to_first(df: DataFrame, id_col: str, keys: Sequence[str]) -> DataFrame
     return df.join(groups, same).where(col(id_col) != F.col("first")).drop(*(f"_k{n}" for n in range(len(keys))))
 
 
-def similar_candidates(names: DataFrame, name: str, block: Sequence[str], cutoff: float) -> DataFrame:
-    """Pairs x < y of distinct names of a block that may have an indel ratio of the cut-off or more (exact: none that has is left out).
-
-    Such names share many letters: a common subsequence is a common multiset of letters, and a ratio of c needs at least c / (2 - c) of the letters of each. So
-    of a name's letters, numbered as they repeat and in one order for all names, the first few (all but that share, and one more) must meet one of the other name's. Pairs
-    come from an equality on these, not from all names of a block; and lengths must fit."""
-    rows = names.where(col(name).isNotNull()).select(*(col(c) for c in block), col(name).alias("_name")).distinct()
-    letters = F.split("_name", "")
-    numbered = F.transform(letters, lambda c, i: F.concat(c, F.lit(":"), F.size(F.filter(F.slice(letters, F.lit(1), i + 1), lambda d: d == c)).cast("string")))
-    least = F.ceil(F.length("_name") * (cutoff / (2 - cutoff)) - 1e-9)
-    order = F.array_sort(F.transform(numbered, lambda c: F.struct(F.xxhash64(c).alias("h"), c.alias("c"))))
-    firsts = F.slice(order, F.lit(1), F.greatest(F.lit(1), F.length("_name") - least + 1).cast("int"))
-    marked = rows.where(F.length("_name") > 0).withColumn("_letter", F.explode(F.transform(firsts, lambda s: s["h"])))
-    same = reduce(lambda a, b: a & b, (F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in block), F.col("a._letter") == F.col("b._letter"))
-    fits = F.length("a._name") * (2 - cutoff) + 1e-9 >= cutoff * F.length("b._name")
-    fits &= F.length("b._name") * (2 - cutoff) + 1e-9 >= cutoff * F.length("a._name")
-    pairs = marked.alias("a").join(marked.alias("b"), same & (F.col("a._name") < F.col("b._name")) & fits)
-    return pairs.select(*(F.col(f"a.{c}") for c in block), F.col("a._name").alias("x"), F.col("b._name").alias("y")).distinct()
+def similar_pairs(names: DataFrame, name: str, block: Sequence[str], cutoff: float, tile: int = TILE) -> DataFrame:
+    """The columns of block and x, y, similarity: pairs x < y of distinct names of a block (whose columns may be null) with an indel ratio of the cut-off or more. Exact.
+
+    Names go to tasks, pairs don't: a block of up to `tile` names is compared in one place, a larger one is dealt out as pairs of its parts, so that no task has more than two parts at
+    once, however many names a block has. Blocks of one name go nowhere."""
+    rows = names.where(col(name).isNotNull()).select(F.struct(*(col(c) for c in block)).alias("block"), col(name).alias("_name")).distinct()
+    sizes = rows.groupBy(F.col("block").alias("_block")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    dealt = rows.join(sizes, F.col("block") == F.col("_block")).withColumn("_parts", F.ceil(F.col("_n") * 2 / tile).cast("int"))
+    part = F.when(F.col("_n") <= tile, F.lit(0)).otherwise(F.pmod(F.xxhash64("_name"), F.col("_parts")).cast("int"))
+    other = F.when(F.col("_n") <= tile, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("_parts") - 1))
+    dealt = dealt.select("block", "_name", part.alias("_i"), F.explode(other).alias("_j"))
+    # a tile of two parts has sides, one of a part with itself has none; two numbers, so that no two tiles are taken for one
+    side = F.when(F.col("_i") == F.col("_j"), -1).when(F.col("_i") < F.col("_j"), 0).otherwise(1)
+    which = ("block", F.least("_i", "_j"), F.greatest("_i", "_j"))
+    tiles = dealt.select(F.xxhash64(*which).alias("tile"), F.xxhash64(F.lit(1), *which).alias("again"), side.alias("side"), "block", "_name")
+    kind = dict(rows.dtypes)["block"]
+    found = tiles.repartition("tile").sortWithinPartitions("tile", "again").mapInArrow(lambda x: similar_rows(x, cutoff), f"block {kind}, x string, y string, similarity double")
+    return found.select("block.*", "x", "y", "similarity")

@@ -1,14 +1,18 @@
-"""Merge, change capture and review of tables. A merge is a DataFrame of the table afterwards; sinks write it."""
+"""Merge, change capture and review of tables. A merge is a DataFrame of the table afterwards; sinks write it.
+
+One rule holds for keys throughout: a null key is a key like any other, and of rows of one table that repeat a key the least by value counts, so that each result has one row a key. Tables may have MAP
+columns, which are told apart and ordered by their entries."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
-from .project import col, signature
+from .project import col, comparable, has_map, signature
 from .windows import first_per_key
 
 KIND, VERSION = "_change_type", "_commit_version"
@@ -21,7 +25,24 @@ def sides(frames: Sequence[DataFrame], keys: Sequence[str], columns: Sequence[st
     others = [c for c in columns if c not in keys]
     union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), (f.select(*(col(c) for c in columns if c in f.columns), F.lit(n).alias("_of")) for n, f in enumerate(frames)))
     whole = F.struct(F.lit(True).alias("_there"), *(col(c) for c in others))
-    return union.groupBy(*(col(k) for k in keys)).agg(*(F.min(F.when(F.col("_of") == n, whole)).alias(f"_{n}") for n in range(len(frames))))
+    if any(has_map(union.schema[c].dataType) for c in others):  # a map has no order: the least by what can be compared
+        rank = F.struct(*(comparable(union, c).alias(c) for c in others))
+        least = lambda n: F.min_by(F.when(F.col("_of") == n, whole), F.when(F.col("_of") == n, rank))
+    else:
+        least = lambda n: F.min(F.when(F.col("_of") == n, whole))
+    return union.groupBy(*(col(k) for k in keys)).agg(*(least(n).alias(f"_{n}") for n in range(len(frames))))
+
+
+def differs(kinds: DataFrame, columns: Iterable[str], a: str, b: str) -> Column:
+    """Whether two structs of sides() differ in a column, null-safe; a map by its entries, whose types come from `kinds`."""
+
+    def same(c: str) -> Column:
+        x, y, kind = F.col(a).getField(c), F.col(b).getField(c), kinds.schema[c].dataType
+        if isinstance(kind, MapType) and not has_map(kind.valueType):
+            return F.array_sort(F.map_entries(x)).eqNullSafe(F.array_sort(F.map_entries(y)))
+        return F.to_json(F.struct(x)).eqNullSafe(F.to_json(F.struct(y))) if has_map(kind) else x.eqNullSafe(y)
+
+    return ~reduce(lambda p, q: p & q, map(same, columns), F.lit(True))
 
 
 def _first(c: str, *at: int) -> Column:
@@ -54,10 +75,9 @@ def latest_change(feed: DataFrame, keys: Sequence[str], version: str = VERSION,
 def apply_feed(master: DataFrame, feed: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """The master after the last change of each key: inserts of keys that are there are updates, updates of others inserts."""
     last = latest_change(feed, keys).where(F.col(KIND) != "update_preimage")
-    put = last.where(F.col(KIND) != "delete").select(*columns)
-    gone = last.where(F.col(KIND) == "delete").select(*keys)
-    kept = master.select(*columns).join(last.select(*keys), list(keys), "left_anti").join(gone, list(keys), "left_anti")
-    return kept.unionByName(put)
+    put, gone = last.where(F.col(KIND) != "delete").select(*(col(c) for c in columns)), last.where(F.col(KIND) == "delete").select(*(col(k) for k in keys))
+    found = sides([master, put, gone], keys, columns).where("_1 IS NOT NULL OR _2 IS NULL")
+    return found.select(*_row(keys, columns, lambda c: F.when(F.col("_1").isNotNull(), F.col("_1").getField(c)).otherwise(F.col("_0").getField(c))))
 
 
 def partial_merge(master: DataFrame, incoming: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
@@ -70,28 +90,36 @@ def full_merge(master: DataFrame, incoming: DataFrame, keys: Sequence[str], colu
     return sides([master, incoming], keys, columns).where("_1 IS NOT NULL").select(*_row(keys, columns, lambda c: _first(c, 1, 0)))
 
 
+def _compared(master: DataFrame, incoming: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> tuple[DataFrame, Column]:
+    """Both sides by key, and whether a row that is on both differs."""
+    others = [c for c in columns if c not in keys]
+    return sides([master, incoming], keys, columns), differs(incoming, others, "_0", "_1")
+
+
 def upsert_counts(master: DataFrame, incoming: DataFrame, keys: Sequence[str], columns: Sequence[str], full: bool = False) -> DataFrame:
-    """updates, inserts, deletes that a merge would make, by signature: one join, one aggregate."""
-    side = lambda df, n: df.select(*keys, signature(columns, "\0").alias(n))
-    both = side(master, "_old").join(side(incoming, "_new"), list(keys), "full")
-    return both.agg(F.count_if(F.col("_old") != F.col("_new")).alias("updates"), F.count_if(F.col("_old").isNull()).alias("inserts"), F.count_if(F.col("_new").isNull() & F.lit(full)).alias("deletes"))
+    """updates, inserts, deletes that a merge would make: one aggregate by key, one of all."""
+    both, changed = _compared(master, incoming, keys, columns)
+    old, new = F.col("_0").isNotNull(), F.col("_1").isNotNull()
+    return both.agg(F.count_if(old & new & changed).alias("updates"), F.count_if(~old).alias("inserts"), F.count_if(~new & F.lit(full)).alias("deletes"))
 
 
 def signature_upsert(master: DataFrame, incoming: DataFrame, keys: Sequence[str], columns: Sequence[str], full: bool = False) -> tuple[DataFrame, bool]:
-    """The merged table and whether it differs: rows whose signature is unchanged are left alone."""
-    n = upsert_counts(master, incoming, keys, columns, full).first()
-    if not any(n):
+    """The merged table, incoming rows over the master's, and whether it differs; if it doesn't, it is the master as it stands."""
+    if not any(upsert_counts(master, incoming, keys, columns, full).first()):
         return master.select(*columns), False
-    held = master.select(*keys, signature(columns, "\0").alias("_old"))
-    changed = incoming.join(held, list(keys), "left").where(~signature(columns, "\0").eqNullSafe(F.col("_old"))).select(*columns)
-    kept = master.select(*columns).join(changed, list(keys), "left_anti")
-    if full:
-        kept = kept.join(incoming, list(keys), "left_semi")
-    return kept.unionByName(changed), True
+    both = sides([master, incoming], keys, columns)
+    both = both.where("_1 IS NOT NULL") if full else both
+    return both.select(*_row(keys, columns, lambda c: F.when(F.col("_1").isNotNull(), F.col("_1").getField(c)).otherwise(F.col("_0").getField(c)))), True
+
+
+def _by_key(df: DataFrame, other: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """The rows of df whose key is (left_semi) or isn't (left_anti) a key of the other; null keys are keys."""
+    held = other.select(*(col(k).alias(f"_d{n}") for n, k in enumerate(keys))).distinct()
+    return df.join(held, reduce(lambda a, b: a & b, (df[k].eqNullSafe(F.col(f"_d{n}")) for n, k in enumerate(keys))), how)
 
 
 def delete_keys(master: DataFrame, deletes: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return master.join(deletes.select(*keys).distinct(), list(keys), "left_anti")
+    return _by_key(master, deletes, keys, "left_anti")
 
 
 def upsert_all(master: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -101,7 +129,7 @@ def upsert_all(master: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> D
 
 
 def insert_only(master: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return master.unionByName(incoming.join(master, list(keys), "left_anti"))
+    return master.unionByName(_by_key(incoming, master, keys, "left_anti"))
 
 
 def update_where(df: DataFrame, condition: Column, values: dict[str, Column]) -> DataFrame:
@@ -138,16 +166,28 @@ def stage_deletes(stored: DataFrame, keys: DataFrame, key: str, upload: str, at:
 
 
 def apply_approval(silver: DataFrame, staged: DataFrame, approved: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
-    """Silver after the approved changes, with signatures. A key that is deleted and put at once raises, as part of the plan."""
+    """Silver after the approved changes, with signatures; of changes of one key that put a row the latest counts.
+
+    What approved deletes are to do is verified as part of the plan: a key that approved changes both put and delete, in whatever order, raises, since its row would be there after a delete or be lost
+    after an update."""
     chosen = staged.join(approved.select("change_id").distinct(), "change_id", "left_semi")
-    chosen = first_per_key(chosen, [key], [F.col("created_at").desc() if "created_at" in chosen.columns else F.lit(0), F.col("change_id")])
-    change = chosen.select(*(col(c) for c in columns), F.when(F.col("change_type") == "DELETE", "DELETE").when(F.col("change_type").isin("INSERT", "UPDATE"), "PUT").alias("_change")).where("_change IS NOT NULL")
-    both = sides([silver, change.where("_change = 'PUT'").drop("_change"), change.where("_change = 'DELETE'").select(key)], [key], columns)
+    change = F.when(F.col("change_type") == "DELETE", "DELETE").when(F.col("change_type").isin("INSERT", "UPDATE"), "PUT")
+    chosen = chosen.withColumn("_change", change).where("_change IS NOT NULL")
+    put = first_per_key(chosen.where("_change = 'PUT'"), [key], [F.col("created_at").desc() if "created_at" in chosen.columns else F.lit(0), F.col("change_id")])
+    both = sides([silver, put.select(*(col(c) for c in columns)), chosen.where("_change = 'DELETE'").select(key)], [key], columns)
     clash = F.col("_1").isNotNull() & F.col("_2").isNotNull()
-    stays = F.when(clash, F.raise_error(F.lit("rows to delete are still there")).cast("boolean")).otherwise(F.col("_2").isNull())
+    wrong = F.concat(F.lit("deletes not applied: approved changes also put the row of key "), F.coalesce(col(key).cast("string"), F.lit("null")))
+    stays = F.when(clash, F.raise_error(wrong).cast("boolean")).otherwise(F.col("_2").isNull())
     return both.where(stays).select(*_row([key], columns, lambda c: _first(c, 1, 0))).withColumn("signature", signature(columns))
 
 
+def verify_deleted(after: DataFrame, deletes: DataFrame, keys: Sequence[str]) -> int:
+    """The number of keys that were to be deleted, once a table as it was written has none of them; else it raises with how many are left."""
+    if left := _by_key(after, deletes, keys, "left_semi").count():
+        raise ValueError(f"deletes not applied: {left} rows are still there")
+    return deletes.select(*(col(k) for k in keys)).distinct().count()
+
+
 def keep_rejected(rejected: DataFrame, staged: DataFrame, ids: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     """The table of rejected rows with those of these change ids, status REJECTED."""
     now = staged.join(ids.select("change_id").distinct(), "change_id", "left_semi").select(*columns)
@@ -174,11 +214,12 @@ def column_change_counts(feed: DataFrame, keys: Sequence[str], columns: Sequence
 def snapshot_diff(old: DataFrame, new: DataFrame, keys: Sequence[str], version: int = 1) -> DataFrame:
     """The change feed between two snapshots: inserts, deletes, pre- and postimages of rows that differ (null-safe)."""
     others = [c for c in new.columns if c not in keys]
-    side = lambda df, n: df.select(*keys, F.struct(*(col(c) for c in others)).alias(n))
-    both = side(old, "_o").join(side(new, "_n"), list(keys), "full")
+    both = sides([old, new], keys, new.columns)
     image = lambda s, kind: F.struct(F.col(s).alias("row"), F.lit(kind).alias(KIND))
-    made = F.when(F.col("_o").isNull(), F.array(image("_n", "insert"))).when(F.col("_n").isNull(), F.array(image("_o", "delete"))).when(~F.col("_o").eqNullSafe(F.col("_n")), F.array(image("_o", "update_preimage"), image("_n", "update_postimage")))
-    return both.select(*keys, F.explode(made).alias("_c")).select(*keys, "_c.row.*", f"_c.{KIND}", F.lit(version).alias(VERSION)).select(*new.columns, KIND, VERSION)
+    changed = differs(new, others, "_0", "_1")
+    made = F.when(F.col("_0").isNull(), F.array(image("_1", "insert"))).when(F.col("_1").isNull(), F.array(image("_0", "delete"))).when(changed, F.array(image("_0", "update_preimage"), image("_1", "update_postimage")))
+    rows = both.select(*(col(k) for k in keys), F.explode(made).alias("_c"))
+    return rows.select(*(col(c) if c in keys else F.col("_c.row").getField(c).alias(c) for c in new.columns), F.col(f"_c.{KIND}"), F.lit(version).alias(VERSION))
 
 
 def unpushed(df: DataFrame, flag: str = "is_pushed") -> DataFrame:

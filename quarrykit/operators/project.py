@@ -6,6 +6,7 @@ from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
 UNKNOWN = "Unknown"
 #: Name spaces of UUIDs as their standard gives them.
@@ -16,6 +17,35 @@ def col(c: Column | str) -> Column:
     return F.col(f"`{c}`") if isinstance(c, str) else c
 
 
+def free(df: DataFrame, name: str) -> str:
+    """The name, made longer until df has no such column, whatever the case of letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def without(columns: Iterable[str], *made: str) -> list[str]:
+    """The columns whose names are none of those made, whatever the case of letters."""
+    taken = {m.lower() for m in made}
+    return [c for c in columns if c.lower() not in taken]
+
+
+def has_map(kind: DataType) -> bool:
+    """Whether a type holds a map, which has no order and no equality."""
+    if isinstance(kind, StructType):
+        return any(has_map(f.dataType) for f in kind.fields)
+    return isinstance(kind, MapType) or (isinstance(kind, ArrayType) and has_map(kind.elementType))
+
+
+def comparable(df: DataFrame, c: str) -> Column:
+    """A column in a form that has an order and equality: a map as its entries in the order of keys, other types that hold maps as JSON."""
+    kind = df.schema[c].dataType
+    if isinstance(kind, MapType) and not has_map(kind.keyType) and not has_map(kind.valueType):
+        return F.array_sort(F.map_entries(col(c)))
+    return F.to_json(F.struct(col(c))) if has_map(kind) else col(c)
+
+
 def uuid3(text: Column, space: str = DNS) -> Column:
     """The name-based (MD5) UUID of a text, as an expression; null of null."""
     h = F.md5(F.concat(F.unhex(F.lit(space)), F.encode(text, "UTF-8")))

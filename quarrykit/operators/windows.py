@@ -8,7 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .project import col
+from .project import col, free, without
+from .shared import cut
 
 
 def no_location(lat: str = "latitude", lon: str = "longitude") -> Column:
@@ -61,13 +62,15 @@ def with_place(df: DataFrame, order: Sequence[Column], out: str = "place") -> Da
     """The place (from 1) of each row in an order, without a window over all rows: rows are dealt to
     ranges of the order, counted in each, and offset by the counts of the ranges before, of which there is one row each.
 
-    The input is read twice and must be the same both times (a table, a checkpoint, or a plan of them)."""
+    Bounds of ranges are sampled, anew by each plan that asks for them, so the dealt rows are checkpointed before they are counted and placed. Ties have any order among them, but one
+    place each."""
     ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = df.repartitionByRange(ranges, *order).withColumn("_range", F.spark_partition_id())
-    sizes = dealt.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
-    before = sizes.select("_range", (F.sum("_n").over(Window.orderBy("_range")) - F.col("_n")).alias("_before"))
-    placed = dealt.withColumn("_nth", F.row_number().over(Window.partitionBy("_range").orderBy(*order)))
-    return placed.join(before, "_range").withColumn(out, F.col("_nth") + F.col("_before")).select(*(col(c) for c in df.columns), out)
+    number, count, before, nth = (free(df, n) for n in ("_range", "_n", "_before", "_nth"))
+    dealt = cut(df.repartitionByRange(ranges, *order).withColumn(number, F.spark_partition_id()))
+    sizes = dealt.groupBy(number).agg(F.count(F.lit(1)).alias(count))
+    offsets = sizes.select(number, (F.sum(count).over(Window.orderBy(number)) - F.col(count)).alias(before))
+    placed = dealt.withColumn(nth, F.row_number().over(Window.partitionBy(number).orderBy(*order)))
+    return placed.join(offsets, number).withColumn(out, F.col(nth) + F.col(before)).select(*(col(c) for c in without(df.columns, out)), out)
 
 
 def latest(df: DataFrame, version: str) -> DataFrame:

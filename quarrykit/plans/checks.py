@@ -3,9 +3,10 @@
 from pyspark.sql import functions as F
 
 from ..functions import geo, profiles
-from ..functions.similarity import indel_similarity, matcher_similarity
+from ..functions.similarity import matcher_similarity
 from ..operators import checks as C
 from ..operators import joins as J
+from ..operators import nearby as N
 from ..operators import project as P
 from ..registry import query
 
@@ -269,12 +270,37 @@ ratios AS (SELECT x, y, 2.0 * best[length(y) + 1] / (length(x) + length(y)) AS r
 
 def name_pairs(t, cutoff):
     names = t.fx_school.where("latitude IS NOT NULL").select("school_name", "education_level", F.floor(F.col("latitude") * 1000).alias("la"), F.floor(F.col("longitude") * 1000).alias("lo"))
-    return J.similar_candidates(names, "school_name", ["education_level", "la", "lo"], cutoff)
+    return J.similar_pairs(names, "school_name", ["education_level", "la", "lo"], cutoff)
 
 
-@query("sim_01_indel_ratio", f"WITH RECURSIVE {NAMES} SELECT p.*, CAST(round(ratio, 9) AS DOUBLE) AS similarity FROM pairs p JOIN ratios USING (x, y) WHERE ratio > 0.9")
+@query("sim_01_indel_ratio", f"WITH RECURSIVE {NAMES} SELECT p.*, CAST(round(ratio, 9) AS DOUBLE) AS similarity FROM pairs p JOIN ratios USING (x, y) WHERE ratio > 0.7")
 def sim_01(t):
-    return name_pairs(t, 0.9).withColumn("similarity", indel_similarity("x", "y")).where("similarity > 0.9").withColumn("similarity", F.round("similarity", 9))
+    return name_pairs(t, 0.7).where("similarity > 0.7").withColumn("similarity", F.round("similarity", 9))
+
+
+#: Pairs of classes of rows within 0.1 km, by distance alone.
+KM = "2 * 6371.0088 * asin(sqrt(least(power(sin(radians(b.latitude - a.latitude) / 2), 2) + cos(radians(a.latitude)) * cos(radians(b.latitude)) * power(sin(radians(b.longitude - a.longitude) / 2), 2), 1)))"
+WITHIN = f"""c AS (SELECT education_level, school_name, latitude, longitude, min(row_key) AS first, count(*) AS size FROM fx_near WHERE school_name IS NOT NULL GROUP BY ALL),
+w AS (SELECT a.first AS a, b.first AS b, least(a.school_name, b.school_name) AS x, greatest(a.school_name, b.school_name) AS y, {KM} AS km FROM c a JOIN c b ON a.first < b.first AND a.education_level IS NOT DISTINCT FROM b.education_level AND {KM} <= 0.1),
+pairs AS (SELECT x, y FROM w WHERE x < y), {NAMES[NAMES.index('lcs AS') :]},
+links AS (SELECT a, b, km, coalesce(ratio, 1) AS similarity FROM w LEFT JOIN ratios USING (x, y) WHERE x = y OR ratio >= 0.7)"""
+
+
+@query("jn_23_pairs_within", f"WITH RECURSIVE {WITHIN} SELECT a, b, CAST(round(km * 1e6) AS BIGINT) AS millimetres, CAST(round(similarity, 9) AS DOUBLE) AS similarity FROM links")
+def jn_23_pairs(t):
+    pairs = N.pairs_within(t.fx_near, "row_key", 0.1, ["education_level"], name="school_name", cutoff=0.7)
+    return pairs.select("a", "b", F.round(F.col("km") * 1e6).cast("bigint").alias("millimetres"), F.round("similarity", 9).alias("similarity"))
+
+
+@query("jn_23_members", f"WITH RECURSIVE {WITHIN} SELECT row_key, first, size FROM fx_near n JOIN c ON n.school_name = c.school_name AND n.education_level IS NOT DISTINCT FROM c.education_level AND n.latitude IS NOT DISTINCT FROM c.latitude AND n.longitude = c.longitude")
+def jn_23_members(t):
+    rows, columns = t.fx_near.where("school_name IS NOT NULL"), ["education_level", "school_name", "latitude", "longitude"]
+    return N.members(rows, N.classes(rows, "row_key", columns), "row_key", columns)
+
+
+@query("jn_23_flags", f"WITH RECURSIVE {WITHIN}, e AS (SELECT first, count(*) AS links, count_if(similarity = 1) AS equal FROM (SELECT unnest([a, b]) AS first, similarity FROM links) GROUP BY 1) SELECT row_key, CASE WHEN n.latitude IS NOT NULL THEN CASE WHEN size > 1 OR equal > 0 THEN 1 ELSE 0 END END AS same_name, CASE WHEN n.latitude IS NOT NULL THEN CASE WHEN size > 1 OR links > 0 THEN 1 ELSE 0 END END AS similar_name FROM fx_near n LEFT JOIN c ON n.school_name = c.school_name AND n.education_level IS NOT DISTINCT FROM c.education_level AND n.latitude = c.latitude AND n.longitude = c.longitude LEFT JOIN e ON c.first = e.first")
+def jn_23_flags(t):
+    return N.near_flags(t.fx_near, "row_key", 0.1, ["education_level"], "school_name", 0.7).select("row_key", "same_name", "similar_name")
 
 
 #: The longest common block of a range of either name (the first in x, then the first in y), then the ranges before and behind it, each of which counts it: twice the blocks.
@@ -291,6 +317,6 @@ def sim_02(t):
     return name_pairs(t, 0.7).withColumn("similarity", matcher_similarity("x", "y")).where("similarity >= 0.7 AND similarity < 1").withColumn("similarity", F.round("similarity", 9))
 
 
-@query("dq_14_similar_names", f"WITH RECURSIVE {NAMES}, hit AS (SELECT DISTINCT education_level, la, lo, unnest([x, y]) AS s FROM pairs JOIN ratios USING (x, y) WHERE ratio > 0.96) SELECT row_key, CASE WHEN {NOLOC} THEN NULL WHEN hit.s IS NULL THEN 0 ELSE 1 END AS a FROM fx_school f LEFT JOIN hit ON f.education_level IS NOT DISTINCT FROM hit.education_level AND floor(f.latitude * 1000) = la AND floor(f.longitude * 1000) = lo AND f.school_name = hit.s")
+@query("dq_14_similar_names", f"WITH RECURSIVE {NAMES}, hit AS (SELECT DISTINCT education_level, la, lo, unnest([x, y]) AS s FROM pairs JOIN ratios USING (x, y) WHERE ratio > 0.7) SELECT row_key, CASE WHEN {NOLOC} THEN NULL WHEN hit.s IS NULL THEN 0 ELSE 1 END AS a FROM fx_school f LEFT JOIN hit ON f.education_level IS NOT DISTINCT FROM hit.education_level AND floor(f.latitude * 1000) = la AND floor(f.longitude * 1000) = lo AND f.school_name = hit.s")
 def dq_14(t):
-    return picked(C.similar_name_check(t.fx_school, 0.96), ("dq_similar_name_level_within_110m_radius", "a"))
+    return picked(C.similar_name_check(t.fx_school), ("dq_similar_name_level_within_110m_radius", "a"))

@@ -96,6 +96,14 @@ VIEWS = {
         SELECT row_key, country_key, latitude, longitude, school_id_govt, school_name FROM {fx_school} UNION ALL
         SELECT row_key, country_key, latitude, longitude, school_id_govt, school_name FROM {fx_school} WHERE row_key % 3 = 0
     """,
+    "fx_near": """
+        SELECT row_key, education_level, country_key, latitude, CASE WHEN longitude > 180 THEN longitude - 360 ELSE longitude END AS longitude, school_name FROM (
+        SELECT c_custkey + 1000000 * v.again AS row_key, CASE CAST(c_custkey % 3 AS INT) WHEN 0 THEN 'Primary' WHEN 1 THEN 'Secondary' ELSE NULL END AS education_level, CAST(c_nationkey AS INT) AS country_key,
+        CASE WHEN c_custkey % 31 = 5 THEN CAST(NULL AS DOUBLE) ELSE CAST(c_nationkey AS DOUBLE) * 7 - 85 + CAST(c_custkey % 97 AS DOUBLE) / 6000 END AS latitude,
+        CAST(179.99 AS DOUBLE) + CAST(c_custkey % 89 AS DOUBLE) / 4000 AS longitude,
+        CASE WHEN c_custkey % 29 = 4 THEN NULL ELSE concat(CASE CAST(c_custkey % 4 AS INT) WHEN 0 THEN 'Escola Municipal ' WHEN 1 THEN 'Colegio Santa Maria ' WHEN 2 THEN 'Centro Sul ' ELSE 'EM ' END, CAST(c_custkey % 7 AS STRING)) END AS school_name
+        FROM {customer} CROSS JOIN (SELECT 0 AS again UNION ALL SELECT 1) v WHERE v.again = 0 OR c_custkey % 5 = 0) p
+    """,
     "fx_map": """
         SELECT 'Primary' AS src, 'Primary' AS dst UNION ALL SELECT 'Secondary', 'Secondary' UNION ALL SELECT 'basic ', 'Primary'
     """,

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..operators import schema as S
+from ..operators.shared import cut
 from ..registry import query
 from ..sources import readers as D
 from ..sources import sinks as K
@@ -75,7 +76,9 @@ def snk_04(t):
     made = K.create_table(t.spark, name, rows, ["n_regionkey"])
     again = K.create_table(t.spark, name, rows, ["n_regionkey"], if_not_exists=True)
     rows.write.mode("append").partitionBy("n_regionkey").format("parquet").saveAsTable(name)
-    return D.read_table(t.spark, name).withColumns({"made": F.lit(made), "again": F.lit(again)})
+    found = cut(D.read_table(t.spark, name).withColumns({"made": F.lit(made), "again": F.lit(again)}))
+    t.spark.sql(f"DROP TABLE {name}")
+    return found
 
 
 @query("snk_06_new_schema", "SELECT CAST(pk AS VARCHAR) AS pk, qty * 2 AS double_qty FROM fx_incoming")

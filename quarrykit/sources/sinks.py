@@ -2,11 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
-import re
-import shutil
-import tempfile
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,17 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators.project import col
 from ..operators.schema import void_to_string
-
-
-def new_folder(spark: SparkSession, name: str) -> str:
-    """A path for something new in a folder that all machines share: spark.checkpoint.dir, else the warehouse; with a local master, which is one
-    machine, a temporary folder that goes when Python ends."""
-    held = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not held and re.match(r"local(\[|$)", spark.sparkContext.master):
-        held = tempfile.mkdtemp(prefix="spark-")
-        atexit.register(shutil.rmtree, held, ignore_errors=True)
-    held = held or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_written"
-    return f"{held.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+from ..operators.shared import new_folder  # noqa: F401  callers know it from here
 
 
 def overwrite(df: DataFrame, path: str, kind: str = "parquet") -> None:

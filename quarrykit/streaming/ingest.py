@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.merge import upsert_all
 from ..operators.project import col
 from ..operators.schema import widen
+from ..operators.shared import new_folder, remove
 from ..sources.sinks import replace_partitions
 
 
@@ -43,12 +44,13 @@ def append_pings(stream: DataFrame, path: str, checkpoint: str, run: str) -> Str
 def upsert_touched(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str], date: str = "date") -> None:
     """Upserts into a table partitioned by date: only the dates that come in are read and written.
 
-    New partitions are written to the side first, since they are made of what they replace."""
+    New partitions are written to a folder of their own first, since they are made of what they replace."""
     dates = [r[0] for r in batch.select(date).distinct().collect()]  # of one batch: some days
     stored = spark.read.parquet(path).where(col(date).isin(dates)) if _there(spark, path) else batch.limit(0)
-    merged, side = upsert_all(stored.select(batch.columns), batch, keys), f"{path.rstrip('/')}__side"
-    merged.write.mode("overwrite").parquet(side)
+    side = new_folder(spark, "touched")
+    upsert_all(stored.select(batch.columns), batch, keys).write.parquet(side)
     replace_partitions(spark.read.parquet(side), path, [date])
+    remove(spark, side)
 
 
 def _there(spark: SparkSession, path: str) -> bool:
