@@ -22,7 +22,7 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 from itertools import groupby
@@ -34,42 +34,58 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import column_type, cut, documents, new_folder, remove, slices, texts_of
-from .units import Units, byte_letters, plain_byte_units, special_strings, tokenizer, words_pieces
+from .units import Units, byte_letters, flattened, plain_byte_units, special_strings, tokenizer, words_behind
 
 #: Bytes of a range, ranges that a join of the tree takes, and the share of all links (one in HOT) that makes a pair frequent.
 CHUNK, FAN, HOT = 64 << 10, 32, 1 << 18
 #: Units that a worker holds of each side, texts of a slice, and rows of pairs looked up at once.
-UNITS, BYTES, ROWS = 120_000, 8 << 20, 1024
+UNITS, BYTES, ROWS = 100_000, 3 << 20, 1024
 #: A blank before which neither tokenizer merges. Python's \s has all that is white space to them.
 SAFE = re.compile(r"(?<=\S) (?=\S)")
-#: A's id is in the upper bits of a pair, B's in the lower.
-B_BITS = 24
 
 
 @lru_cache(2)
-def piece_units(path: str) -> Units:
-    """Units of a byte-pair model of pieces, in which blanks begin pieces. A unit that begins with a blank is encoded without it, since the library adds one; another one behind a line
+def piece_encoder(path: str) -> Callable[[list[str]], list[list[int]]]:
+    """Ids of units by a byte-pair model of pieces, in which blanks begin pieces. A unit that begins with a blank is encoded without it, since the library adds one; another one behind a line
     end, which is a byte of its own to such a model."""
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     pieces = [model.id_to_piece(i) for i in range(model.get_piece_size())]
     if any(re.search("[^▁]▁", p) or "\n" in p for p in pieces) or model.encode("\nx")[:2] != [model.piece_to_id("▁"), model.piece_to_id("<0x0A>")]:
         raise ValueError(f"{path} merges over blanks or line ends")
-
     blank = [model.piece_to_id("▁")]
 
     def encode(units: list[str]) -> list[list[int]]:
         ids = model.encode([u[1:] if u[:1] == " " else "\n" + u for u in units], num_threads=1)
         return [blank if u == " " else i if u[:1] == " " else i[2:] for u, i in zip(units, ids, strict=True)]  # nothing has no blank added
 
-    return Units(words_pieces, encode, None, UNITS)
+    return encode
+
+
+#: Added to ids of B where both sides' ids are in one array.
+OF_B = 1 << 24
+
+
+@lru_cache(1)
+def both_units(a_path: str, b_path: str) -> Units:
+    """Units with the ids of both sides, A's first, so that each is cut, looked up and held once."""
+    a, b = plain_byte_units(a_path).encode, piece_encoder(b_path)
+
+    def encode(units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        (ids_a, n_a), (ids_b, n_b) = flattened(a(units)), flattened(b(units))
+        sizes = n_a + n_b
+        flat, start = np.empty(int(sizes.sum()), np.uint32), np.cumsum(sizes) - sizes
+        flat[np.repeat(start - (np.cumsum(n_a) - n_a), n_a) + np.arange(len(ids_a))] = ids_a
+        flat[np.repeat(start + n_a - (np.cumsum(n_b) - n_b), n_b) + np.arange(len(ids_b))] = ids_b + np.uint32(OF_B)
+        return flat, sizes
+
+    return Units(words_behind, encode, None, UNITS)
 
 
 @dataclass(frozen=True)
 class Side:
-    """One tokenizer: its units; the bytes of all ids, where each id's begin, and their number; each id's decimal text with a comma, and with the mark that ends
+    """One tokenizer: the bytes of all ids, where each id's begin, and their number; each id's decimal text with a comma, and with the mark that ends
     this side's part of a group, as numbers whose bytes that aren't zero are the text."""
 
-    units: Units
     flat: np.ndarray
     start: np.ndarray
     size: np.ndarray
@@ -77,10 +93,10 @@ class Side:
     digits: np.ndarray
 
 
-def _side(units: Units, bytes_of: list[bytes], after: str) -> Side:
+def _side(bytes_of: list[bytes], after: str) -> Side:
     size = np.array([len(b) for b in bytes_of], np.int64)
     written = tuple(np.frombuffer(b"".join(f"{i}{mark}".encode().ljust(8, b"\0") for i in range(len(bytes_of))), np.uint64) for mark in (",", after))
-    return Side(units, np.frombuffer(b"".join(bytes_of), np.uint8), np.cumsum(size) - size, size, written, np.array([len(str(i)) + 1 for i in range(len(bytes_of))], np.int64))
+    return Side(np.frombuffer(b"".join(bytes_of), np.uint8), np.cumsum(size) - size, size, written, np.array([len(str(i)) + 1 for i in range(len(bytes_of))], np.int64))
 
 
 @lru_cache(2)
@@ -91,14 +107,14 @@ def byte_side(path: str) -> Side:
     bytes_of = [b""] * (max(vocabulary.values()) + 1)
     for token, i in vocabulary.items():
         bytes_of[i] = token.encode() if special and special.fullmatch(token) else bytes(byte[c] for c in token)
-    return _side(plain_byte_units(path, UNITS), bytes_of, "|")
+    return _side(bytes_of, "|")
 
 
 @lru_cache(2)
 def piece_side(path: str) -> Side:
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     one = lambda i: bytes([int(model.id_to_piece(i)[3:5], 16)]) if model.is_byte(i) else model.id_to_piece(i).replace("▁", " ").encode()
-    return _side(piece_units(path), [one(i) for i in range(model.get_piece_size())], ";")
+    return _side([one(i) for i in range(model.get_piece_size())], ";")
 
 
 @dataclass
@@ -133,6 +149,20 @@ def join(left: Fragment, right: Fragment) -> tuple[Fragment, Run | None]:
     return Fragment(left.prefix, True, right.suffix), left.suffix + right.prefix
 
 
+@dataclass(frozen=True)
+class Pairs:
+    """Pairs as numbers: A's id in the upper bits, B's in the lower `bits`; of four bytes where both vocabularies fit."""
+
+    bits: int
+    sql: str
+    arrow: pa.DataType
+
+
+def pairs_as(a: Side, b: Side) -> Pairs:
+    bits_a, bits_b = ((len(side.size) - 1).bit_length() for side in (a, b))
+    return Pairs(bits_b, *(("int", pa.int32()) if bits_a + bits_b <= 31 else ("bigint", pa.int64())))
+
+
 def ends_of(side: Side, ids: np.ndarray) -> np.ndarray:
     return np.cumsum(side.size[ids])
 
@@ -153,7 +183,7 @@ class Ends:
         """The pairs (numbers) whose byte ranges overlap, in order, and where each one's span ends: one for each span between ends of either side."""
         ends = np.flatnonzero(self.is_a | self.is_b)
         before = lambda upto, there: upto[ends] - there[ends]
-        return (self.run.a[before(self.upto_a, self.is_a)] << B_BITS) | self.run.b[before(self.upto_b, self.is_b)], ends
+        return (self.run.a[before(self.upto_a, self.is_a)] << pairs_as(self.a, self.b).bits) | self.run.b[before(self.upto_b, self.is_b)], ends
 
     def written(self) -> tuple[bytes, np.ndarray]:
         """The groups as a1,a2|b1;... with ';' behind each, and the number of letters up to each token in the order of writing (0 first)."""
@@ -190,17 +220,19 @@ def _wrong(side: Side, ids: np.ndarray, tokens: np.ndarray, raw: list[bytes]) ->
     return wrong
 
 
-def tokens_of(a: Side, b: Side, texts: list[str]) -> tuple[Run, np.ndarray, np.ndarray, np.ndarray]:
+def tokens_of(units: Units, a: Side, b: Side, texts: list[str]) -> tuple[Run, np.ndarray, np.ndarray, np.ndarray]:
     """The tokens of texts (which begin with a blank) in one run, without those of texts whose bytes a side doesn't give back; of each text the numbers of A and B tokens and of bytes."""
     raw = [t.encode("utf-8", "surrogatepass") for t in texts]
-    sides, wrong = [], np.zeros(len(texts), bool)
-    for side in (a, b):
-        ids, ends = side.units.ids(texts)
-        ids, tokens = ids.astype(np.int64), np.diff(np.concatenate(([0], ends)))
-        wrong |= _wrong(side, ids, tokens, raw)
-        sides.append((ids, tokens))
-    (run_a, n_a), (run_b, n_b) = ((ids[np.repeat(~wrong, n)], np.where(wrong, 0, n)) for ids, n in sides)
-    return Run(run_a, run_b), n_a, n_b, np.where(wrong, 0, np.fromiter(map(len, raw), np.int64, len(raw)))
+    both, ends = units.ids(texts)
+    is_b = both >= OF_B
+    upto = np.concatenate(([0], np.cumsum(is_b)))[np.concatenate(([0], ends))]
+    n_b = np.diff(upto)
+    n_a = np.diff(np.concatenate(([0], ends))) - n_b
+    run = Run(both[~is_b].astype(np.int64), both[is_b].astype(np.int64) - OF_B)
+    wrong = _wrong(a, run.a, n_a, raw) | _wrong(b, run.b, n_b, raw)
+    if wrong.any():
+        run, n_a, n_b = Run(run.a[np.repeat(~wrong, n_a)], run.b[np.repeat(~wrong, n_b)]), np.where(wrong, 0, n_a), np.where(wrong, 0, n_b)
+    return run, n_a, n_b, np.where(wrong, 0, np.fromiter(map(len, raw), np.int64, len(raw)))
 
 
 def fragments(a: Side, b: Side, run: Run, chunk: int = CHUNK) -> Iterator[tuple[int, Fragment, Run]]:
@@ -238,14 +270,15 @@ def _lists(runs: list[np.ndarray], kind: pa.DataType) -> pa.Array:
 
 
 #: What is known of a whole text before counts of pairs are.
-WHOLE = "n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256 string, pairs array<bigint>"
+WHOLE = "n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256 string"
 
 
 def _whole(a_path: str, b_path: str, batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.RecordBatch]:
     """Texts of one range each: id, text to id and WHOLE. As texts begin and end with common ends, all of a slice are aligned at once."""
-    a, b = byte_side(a_path), piece_side(b_path)
+    units, a, b = both_units(a_path, b_path), byte_side(a_path), piece_side(b_path)
+    kind = pairs_as(a, b).arrow
     for batch in slices(batches, most=BYTES):
-        run, n_a, n_b, size = tokens_of(a, b, [" " + t if t else "" for t in texts_of(batch.column(1))])
+        run, n_a, n_b, size = tokens_of(units, a, b, [" " + t if t else "" for t in texts_of(batch.column(1))])
         ends = Ends(a, b, run)
         pairs, at = ends.links()
         letters, upto = ends.written()
@@ -256,12 +289,12 @@ def _whole(a_path: str, b_path: str, batches: Iterator[pa.RecordBatch], names: l
         n_links = np.diff(links)
         # every end of either side is an end of a link, and a common one an end of both
         columns = [pa.array(x, pa.int64()) for x in (n_a, n_b, n_a + n_b - n_links, n_links)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), *columns, pa.array(shas, pa.string()), pa.ListArray.from_arrays(pa.array(links, pa.int32()), pa.array(pairs, pa.int64()))], names=names)
+        yield pa.RecordBatch.from_arrays([batch.column(0), *columns, pa.array(shas, pa.string()), pa.ListArray.from_arrays(pa.array(links, pa.int32()), pa.array(pairs, kind))], names=names)
 
 
 #: A row of a long text: the place of its range; a fragment's edges (tree) or groups that are closed (text of groups, their number, pairs).
-PART = "key bigint, at bigint, level int, closed boolean, bad boolean, prefix_a array<int>, prefix_b array<int>, suffix_a array<int>, suffix_b array<int>, groups string, n_a bigint, n_b bigint, n_groups bigint, pairs array<bigint>"
-PART_NAMES = [x.split()[0] for x in PART.split(", ")]
+PART = "key bigint, at bigint, level int, closed boolean, bad boolean, prefix_a array<int>, prefix_b array<int>, suffix_a array<int>, suffix_b array<int>, groups string, n_a bigint, n_b bigint, n_groups bigint"
+PART_NAMES = [*(x.split()[0] for x in PART.split(", ")), "pairs"]
 
 
 def _edge(key: int, at: int, level: int, f: Fragment, bad: bool) -> tuple:
@@ -275,32 +308,34 @@ def _closed(key: int, at: int, a: Side, b: Side, run: Run) -> tuple:
     return (key, at, None, None, False, NONE.a, NONE.a, NONE.a, NONE.a, ends.written()[0].decode(), len(run.a), len(run.b), len(run.a) + len(run.b) - len(pairs), pairs)
 
 
-def _rows(rows: list[tuple]) -> pa.RecordBatch:
+def _rows(rows: list[tuple], pairs: pa.DataType) -> pa.RecordBatch:
     by = list(zip(*rows, strict=True))
-    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.bool_(), *[pa.int32()] * 4, pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.bool_(), *[pa.int32()] * 4, pa.string(), pa.int64(), pa.int64(), pa.int64(), pairs]
     return pa.RecordBatch.from_arrays([_lists(list(c), k) if n.endswith(("_a", "_b")) and n[0] in "ps" or n == "pairs" else pa.array(c, k) for n, c, k in zip(PART_NAMES, by, kinds, strict=True)], names=PART_NAMES)
 
 
 def _fragment_rows(a_path: str, b_path: str, batches: Iterator[pa.RecordBatch], chunk: int) -> Iterator[pa.RecordBatch]:
     """Pieces (key, first byte, text) of long texts to the rows of their ranges."""
-    a, b = byte_side(a_path), piece_side(b_path)
+    units, a, b = both_units(a_path, b_path), byte_side(a_path), piece_side(b_path)
+    kind = pairs_as(a, b).arrow
     for batch in slices(batches, 64):
         keys, ats, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts_of(batch.column(2))
         for key, first, text in zip(keys, ats, texts, strict=True):
-            run, *_, size = tokens_of(a, b, [text])
+            run, *_, size = tokens_of(units, a, b, [text])
             if not size[0]:
-                yield _rows([_edge(key, first, 0, Fragment(NONE, False, NONE), True)])
+                yield _rows([_edge(key, first, 0, Fragment(NONE, False, NONE), True)], kind)
                 continue
             for start, edge, closed in fragments(a, b, run, 2 * chunk):
                 made = [_edge(key, first + start, 0, edge, False)]
                 if len(closed.a):
                     made.append(_closed(key, 2 * (first + start) + 1, a, b, closed))
-                yield _rows(made)
+                yield _rows(made, kind)
 
 
 def _join_rows(a_path: str, b_path: str, batches: Iterator[pa.RecordBatch], level: int, width: int) -> Iterator[pa.RecordBatch]:
     """Edges ordered by key and place: those of one range of `width` bytes are joined to one edge; groups that close are rows."""
     a, b = byte_side(a_path), piece_side(b_path)
+    kind = pairs_as(a, b).arrow
 
     def read() -> Iterator[tuple]:
         for batch in batches:
@@ -317,7 +352,7 @@ def _join_rows(a_path: str, b_path: str, batches: Iterator[pa.RecordBatch], leve
             whole, bridge = join(whole, edge)
             if bridge is not None and len(bridge.a) and not any_bad:
                 made.append(_closed(key, 2 * at, a, b, bridge))
-        yield _rows([*made, _edge(key, first, level, whole, any_bad)])
+        yield _rows([*made, _edge(key, first, level, whole, any_bad)], kind)
 
 
 def _digest_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -337,7 +372,7 @@ def _digest_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([key], pa.int64()), pa.array([sha.hexdigest()], pa.string())], names=["key", "groups_sha256"])
 
 
-def _long_texts(long: DataFrame, a_path: str, b_path: str, chunk: int) -> tuple[DataFrame, DataFrame]:
+def _long_texts(long: DataFrame, a_path: str, b_path: str, chunk: int, pairs: Pairs) -> tuple[DataFrame, DataFrame]:
     """Of texts over one range (key, text): key and WHOLE without pairs, and rows key, pairs."""
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -346,14 +381,15 @@ def _long_texts(long: DataFrame, a_path: str, b_path: str, chunk: int) -> tuple[
                 for at, piece in ranges(" " + text, chunk):
                     yield pa.RecordBatch.from_arrays([pa.array([key], pa.int64()), pa.array([at], pa.int64()), pa.array([piece], pa.string())], names=["key", "at", "text"])
 
+    schema = f"{PART}, pairs array<{pairs.sql}>"
     cuts = long.mapInArrow(pieces, "key bigint, at bigint, text string").repartition("key", "at")
-    made = cut(cuts.mapInArrow(lambda x: _fragment_rows(a_path, b_path, x, chunk), PART))
+    made = cut(cuts.mapInArrow(lambda x: _fragment_rows(a_path, b_path, x, chunk), schema))
     edges, closed, level, width = made.where("level IS NOT NULL"), [made.where("level IS NULL")], 0, chunk
     reach = made.agg(F.max("at")).first()[0] or 0
     while True:  # at least once, so that the last one's prefix closes
         level, width = level + 1, width * FAN
         deal = edges.select("key", "at", "closed", "bad", "prefix_a", "prefix_b", "suffix_a", "suffix_b").repartition("key", F.floor(F.col("at") / width)).sortWithinPartitions("key", "at")
-        joined = cut(deal.mapInArrow(lambda x, n=level, w=width: _join_rows(a_path, b_path, x, n, w), PART))
+        joined = cut(deal.mapInArrow(lambda x, n=level, w=width: _join_rows(a_path, b_path, x, n, w), schema))
         edges, closed = joined.where("level IS NOT NULL"), [*closed, joined.where("level IS NULL")]
         if width > reach:
             break
@@ -361,13 +397,14 @@ def _long_texts(long: DataFrame, a_path: str, b_path: str, chunk: int) -> tuple[
 
     def firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = byte_side(a_path), piece_side(b_path)
+        kind = pairs_as(a, b).arrow
         for batch in batches:
             rows = [_closed(key, -1, a, b, Run(np.array(x, np.int64), np.array(y, np.int64))) for key, x, y in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True)]
             if rows:
-                yield _rows(rows)
+                yield _rows(rows, kind)
 
     good = edges.where("NOT bad")
-    groups = good.select("key", "prefix_a", "prefix_b").mapInArrow(firsts, PART)
+    groups = good.select("key", "prefix_a", "prefix_b").mapInArrow(firsts, schema)
     for part in closed:
         groups = groups.unionByName(part)
     groups = cut(groups.join(good.select("key"), "key", "left_semi"))
@@ -379,14 +416,14 @@ def _long_texts(long: DataFrame, a_path: str, b_path: str, chunk: int) -> tuple[
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs of a task's rows with their number of links, in slices."""
     for batch in slices(batches, ROWS):
-        pair, n = np.unique(batch.column(0).flatten().to_numpy(zero_copy_only=False), return_counts=True)
+        pair, n = np.unique(batch.column(0).flatten().to_numpy(zero_copy_only=False), return_counts=True)  # as long, so that counts of all kinds are joined alike
         yield pa.RecordBatch.from_arrays([pa.array(pair, pa.int64()), pa.array(n, pa.int64())], names=["pair", "n"])
 
 
-def pair_counts(pairs: DataFrame) -> DataFrame:
+def pair_counts(pairs: DataFrame, bits: int) -> DataFrame:
     """pair, n, best: all pairs of the rows' lists with their number, and whether it is the highest of the pair's B id."""
     counts = cut(pairs.mapInArrow(_counted, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n")))
-    b = F.col("pair").bitwiseAND((1 << B_BITS) - 1)
+    b = F.col("pair").bitwiseAND((1 << bits) - 1)
     most = counts.groupBy(b.alias("_b")).agg(F.max("n").alias("_most"))
     return counts.join(most, b == F.col("_b")).select("pair", "n", (F.col("n") == F.col("_most")).alias("best"))
 
@@ -411,7 +448,7 @@ def _looked_up(rows: DataFrame, counts: DataFrame) -> DataFrame:
             np.add.at(total, row[hit], n[at[hit]])
             np.add.at(tops, row[hit], best[at[hit]])
             ends = pa.array(np.concatenate(([0], np.cumsum(np.bincount(row[~hit], minlength=batch.num_rows)))), pa.int32())
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(others)], pa.array(tops), pa.array(total), pa.ListArray.from_arrays(ends, pa.array(found[~hit]))], names=names)
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(others)], pa.array(tops), pa.array(total), pa.ListArray.from_arrays(ends, pa.array(found[~hit].astype(np.int64)))], names=names)
 
     schema = ", ".join(f"`{c}` {column_type(rows, c)}" for c in others)
     return rows.select(*others, "pairs").mapInArrow(look, f"{schema}, n_best bigint, count_sum bigint, rare array<bigint>")
@@ -420,7 +457,8 @@ def _looked_up(rows: DataFrame, counts: DataFrame) -> DataFrame:
 def align(df: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK) -> DataFrame:
     """id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256 of every row of df."""
     numbered = df.select(F.monotonically_increasing_id().alias("key"), df[id_col].alias("_id"), df[text_col].alias("text"))
-    long_text, columns = F.octet_length("text") > chunk, [x.split()[0] for x in WHOLE.split(", ")]
+    long_text, columns = F.octet_length("text") > chunk, [*(x.split()[0] for x in WHOLE.split(", ")), "pairs"]
+    as_numbers = pairs_as(byte_side(a_path), piece_side(b_path))
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # key and id travel as one struct beside the text
@@ -430,12 +468,12 @@ def align(df: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", text_
     # a long text is a row here that counts nothing, so that keys are drawn once
     short = numbered.select(F.struct("key", "_id").alias("own"), F.when(~long_text, F.col("text")).alias("text"))
     folder = new_folder(df.sparkSession, "links")
-    put = short.mapInArrow(whole, f"key bigint, _id {column_type(df, id_col)}, {WHOLE}").write.option("compression", "zstd").option("parquet.dictionary.page.size", 8 << 20)
+    put = short.mapInArrow(whole, f"key bigint, _id {column_type(df, id_col)}, {WHOLE}, pairs array<{as_numbers.sql}>").write.option("compression", "zstd").option("parquet.dictionary.page.size", 8 << 20)
     put.parquet(folder)
-    sums, parts = _long_texts(numbered.where(long_text).select("key", "text"), a_path, b_path, chunk)
+    sums, parts = _long_texts(numbered.where(long_text).select("key", "text"), a_path, b_path, chunk, as_numbers)
     sums = cut(sums.select("key", *(F.col(c).alias(f"_{c}") for c in ("n_a", "n_b", "n_groups", "n_links", "groups_sha256"))))
     rows = df.sparkSession.read.parquet(folder).withColumn("part", F.lit(False)).unionByName(parts.withColumn("part", F.lit(True)), allowMissingColumns=True)
-    counts = cut(pair_counts(rows.select("pairs")))
+    counts = cut(pair_counts(rows.select("pairs"), as_numbers.bits))
     looked = cut(_looked_up(rows, counts))
     remove(df.sparkSession, folder)
     rare = looked.select("key", F.explode("rare").alias("pair")).groupBy("key", "pair").agg(F.count(F.lit(1)).alias("times")).join(counts, "pair")

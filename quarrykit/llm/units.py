@@ -78,13 +78,13 @@ def cut_whole(texts: pa.Array) -> pa.ListArray:
     return pa.LargeListArray.from_arrays(pa.array(range(len(texts) + 1), pa.int64()), texts)
 
 
-#: A unit with all blanks before it, and line ends.
-PIECES = re.compile(r" +[^ \n]*|\n|[^ \n]+")
+#: Where a blank or a line end follows a character that isn't white space (to Python, which counts more as such than tokenizers do).
+BEHIND = re.compile(r"(?<=\S)(?=[ \n])")
 
 
-def words_pieces(text: str) -> list[str]:
-    """For tokenizers whose tokens hold blanks only in front and no line ends: cut before blanks and around line ends."""
-    return PIECES.findall(text)
+def words_behind(text: str) -> list[str]:
+    """For both kinds of tokenizers, those that join one space to the word after it and those whose tokens have blanks only in front: cut only before the white space behind a word."""
+    return BEHIND.split(text) if text else []
 
 
 def byte_letters() -> list[str]:
@@ -118,10 +118,19 @@ class _Places(dict):
         return n
 
 
+def flattened(ids: list | tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of units one behind the other, and their numbers; ids that come as these two are left alone."""
+    if isinstance(ids, tuple):
+        return ids
+    sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+    total = int(sizes.sum())
+    return np.concatenate(ids) if total and isinstance(ids[0], np.ndarray) else np.fromiter(chain.from_iterable(ids), np.uint32, total), sizes
+
+
 class Units:
-    def __init__(self, split: Callable[[str], list[str]], encode: Callable[[list[str]], list[list[int]]], special: re.Pattern | None, most: int = MOST_UNITS) -> None:
+    def __init__(self, split: Callable[[str], list[str]], encode: Callable[[list[str]], list[list[int]] | tuple[np.ndarray, np.ndarray]], special: re.Pattern | None, most: int = MOST_UNITS) -> None:
         self.split, self.encode, self.special, self.most = split, encode, special, most
-        self.cut = {words_apart: cut_apart, words_spaced: cut_spaced, words_pieces: cut_spaced, words_whole: cut_whole}[split]
+        self.cut = {words_apart: cut_apart, words_spaced: cut_spaced, words_behind: cut_spaced, words_whole: cut_whole}[split]
         self._empty()
 
     def _empty(self) -> None:
@@ -153,14 +162,13 @@ class Units:
     def _learn(self) -> None:
         new, self.places.new = self.places.new, []
         for k in range(0, len(new), AT_ONCE):
-            ids = self.encode(new[k : k + AT_ONCE])
-            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-            n, total = self.units + len(ids), int(sizes.sum())
+            flat, sizes = flattened(self.encode(new[k : k + AT_ONCE]))
+            n, total = self.units + len(sizes), len(flat)
             for name, room in (("at", n), ("size", n), ("met", n), ("flat", self.used + total)):
                 self._room(name, room)
             self.size[self.units : n] = sizes
             self.at[self.units : n] = self.used + np.cumsum(sizes) - sizes
-            self.flat[self.used : self.used + total] = np.concatenate(ids) if total and isinstance(ids[0], np.ndarray) else np.fromiter(chain.from_iterable(ids), np.uint32, total)
+            self.flat[self.used : self.used + total] = flat
             self.units, self.used = n, self.used + total
 
     def _placed(self, units: list[str] | np.ndarray) -> np.ndarray:
@@ -236,21 +244,26 @@ def byte_units(path: str) -> Units:
 
 
 @lru_cache(2)
-def plain_byte_units(path: str, most: int = MOST_UNITS) -> Units:
-    """As byte_units, but special strings in a text are ordinary text."""
-    usual, special = library_units(path, words_spaced), special_strings(path)
-    tok = Tokenizer.from_file(path)
-    tok.encode_special_tokens = True
+def plain_byte_units(path: str) -> Units:
+    """As byte_units, but special strings in a text are ordinary text: units that have one go to the same tokenizer while it is told so."""
+    usual, special, tok = library_units(path, words_spaced), special_strings(path), tokenizer(path)
+
+    def plainly(texts: list[str]) -> list[np.ndarray]:
+        tok.encode_special_tokens = True
+        try:
+            return [np.array(e.ids, np.uint32) for e in tok.encode_batch_fast(texts, add_special_tokens=False)]
+        finally:
+            tok.encode_special_tokens = False
 
     def encode(units: list[str]) -> list:
-        odd = [k for k, u in enumerate(units) if special and special.search(u)]
+        odd = {k for k, u in enumerate(units) if special and special.search(u)}
         if not odd:
             return usual.encode(units)
         out: list = [None] * len(units)
-        rest = [k for k in range(len(units)) if k not in set(odd)]
-        for some, ids in ((rest, usual.encode([units[k] for k in rest])), (odd, [np.array(e.ids, np.uint32) for e in tok.encode_batch_fast([units[k] for k in odd], add_special_tokens=False)])):
+        rest = [k for k in range(len(units)) if k not in odd]
+        for some, ids in ((rest, usual.encode([units[k] for k in rest])), (sorted(odd), plainly([units[k] for k in sorted(odd)]))):
             for k, i in zip(some, ids, strict=True):
                 out[k] = i
         return out
 
-    return Units(fitting(words_spaced, lambda t: tok.encode(t, add_special_tokens=False).ids, tok), encode, None, most)
+    return Units(fitting(words_spaced, lambda t: plainly([t])[0].tolist(), tok), encode, None)
