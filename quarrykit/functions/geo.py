@@ -1,9 +1,10 @@
 """Geospatial functions without a GIS library: expressions and joins.
 
 A boundary is a table of vertices of closed rings (polygon key, ring, seq, lon, lat); it becomes a table of edges, and what an odd number of rings is
-around lies within, so parts and holes are rings like any other. Polygons are laid over a grid: cells that no edge passes are inside or
-outside as a whole, and only points of the others meet edges, those of their own cell. Equal points are placed once, so rows that repeat each
-get the same state. Polygons across the 180th meridian are to be given as parts on either side."""
+around lies within, so parts and holes are rings like any other. Polygons become a cover of cells: those that no edge passes are inside or
+outside as a whole, others hold their edges, and one with more than a few is split in four until its parts have few (`cells`). A point joins its cell, by the levels that its cell of the
+grid is split to, and is placed by an expression over that cell's few edges: no shuffle of points where the cover is small enough for Spark to broadcast, no group of points and edges,
+whatever a town or a coast has of either. Polygons across the 180th meridian are to be given as parts on either side."""
 
 from __future__ import annotations
 
@@ -14,13 +15,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.project import col
+from ..operators.shared import cut
 from ..operators.windows import no_location
+from .cells import EARTH_KM, MOST, PLACE, split_rows
 
-EARTH_KM = 6371.0088
 #: Area of a cell of the eighth of the public hexagon resolutions, in km2; sides of the same area are used here.
 HEX_KM2 = 0.737327598
-#: Side of a grid's cell in degrees, and the place in a cell that it is judged by, where no boundary's own coordinates are likely to lie.
-GRID, PLACE = 0.1, (0.38196601, 0.61803399)
+#: Side of a grid's cell in degrees, before cells are split, and cells and edges of a cover that is broadcast at most (some 50 bytes each).
+GRID, SMALL = 0.1, 200_000
 
 
 def distance_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
@@ -83,88 +85,118 @@ def _listed(sides: DataFrame, grid: float, km: float = 0.0) -> DataFrame:
     return _rows(sides, grid, dy).withColumn("_i", F.explode(F.sequence(_cell(F.least(a, b) - dx, grid), _cell(F.greatest(a, b) + dx, grid))))
 
 
-def _places(listed: DataFrame, sides: DataFrame, polygon: str, grid: float) -> DataFrame:
-    """polygon, _i, _j, border, in_: the cells that an edge passes or that lie inside, and whether the cell's place lies inside.
-
-    Places inside are those between the odd and the even crossings of the edges with the level line through the places of a row."""
+def _inside(sides: DataFrame, polygon: str, grid: float) -> DataFrame:
+    """polygon, _i, _j of the cells whose place lies inside: between the odd and the even crossings of the edges with the level line through the places of a row."""
     y = (F.col("_j") + PLACE[1]) * grid
     crossing = _rows(sides, grid).where((F.col("y1") > y) != (F.col("y2") > y)).groupBy(polygon, "_j").agg(F.sort_array(F.collect_list(_x_at(y))).alias("xs"))
     first = lambda x: F.ceil(x / grid - PLACE[0]).cast("bigint")
-    spans = crossing.select(polygon, "_j", "xs", F.explode(F.sequence(F.lit(1), F.size("xs") - 1, F.lit(2))).alias("k")).where("size(xs) > 1")
+    spans = crossing.where("size(xs) > 1").select(polygon, "_j", "xs", F.explode(F.sequence(F.lit(1), F.size("xs") - 1, F.lit(2))).alias("k"))
     spans = spans.select(polygon, "_j", first(F.element_at("xs", F.col("k"))).alias("a"), (first(F.element_at("xs", F.col("k") + 1)) - 1).alias("b")).where("a <= b")
-    inside = spans.select(polygon, F.explode(F.sequence("a", "b")).alias("_i"), "_j").withColumn("in_", F.lit(True))
-    border = listed.select(polygon, "_i", "_j").distinct().withColumn("border", F.lit(True))
-    return border.join(inside, [polygon, "_i", "_j"], "full").select(polygon, "_i", "_j", F.coalesce("border", F.lit(False)).alias("border"), F.coalesce("in_", F.lit(False)).alias("in_"))
-
-
-def _spots(points: DataFrame, keys: Sequence[str], lat: str, lon: str, grid: float) -> DataFrame:
-    """Distinct points with coordinates, and their cells."""
-    there = points.where(~no_location(lat, lon)).select(*keys, col(lat).cast("double").alias("_y"), col(lon).cast("double").alias("_x")).distinct()
-    return there.withColumns({"_i": _cell(F.col("_x"), grid), "_j": _cell(F.col("_y"), grid)})
-
-
-def _hits(spots: DataFrame, sides: DataFrame, polygon: str, own: bool, grid: float) -> DataFrame:
-    """polygon, _x, _y of the points within: of their own polygon, or of each that they lie in.
-
-    In a cell with edges a point is on the same side as the cell's place if the way between them, level and then upright, crosses an even number of edges."""
-    listed = _listed(sides, grid)
-    placed = spots.join(_places(listed, sides, polygon, grid), [polygon, "_i", "_j"] if own else ["_i", "_j"])
-    sure = placed.where("in_ AND NOT border").select(polygon, "_x", "_y")
-    x, y, x0, y0 = F.col("_x"), F.col("_y"), (F.col("_i") + PLACE[0]) * grid, (F.col("_j") + PLACE[1]) * grid
-    x1, y1, x2, y2 = (F.col(c) for c in ("x1", "y1", "x2", "y2"))
-    level = ((y1 > y) != (y2 > y)) & ((_x_at(y) > x) != (_x_at(y) > x0))
-    at = F.try_divide((y2 - y1) * (x0 - x1), x2 - x1) + y1
-    upright = ((x1 > x0) != (x2 > x0)) & ((at > y0) != (at > y))
-    ways = placed.where("border").join(listed, [polygon, "_i", "_j"]).groupBy(polygon, "_x", "_y", "in_").agg(((F.count_if(level) + F.count_if(upright)) % 2 == 1).alias("odd"))
-    return sure.unionByName(ways.where(F.col("in_") != F.col("odd")).select(polygon, "_x", "_y"))
-
-
-def _near(spots: DataFrame, sides: DataFrame, polygon: str, most_km: float, grid: float) -> DataFrame:
-    """polygon, _x, _y, boundary_km of points no farther than most_km from the boundary of their own polygon."""
-    near = spots.join(_listed(sides, grid, most_km), [polygon, "_i", "_j"]).groupBy(polygon, "_x", "_y").agg(F.min(_side_km()).alias("boundary_km"))
-    return near.where(F.col("boundary_km") <= most_km)
-
-
-def _side_km() -> Column:
+    return spans.select(polygon, F.explode(F.sequence("a", "b")).alias("_i"), "_j")
+
+
+def cover(sides: DataFrame, polygon: str, own: bool, grid: float = GRID, km: float = 0.0, most: int = MOST) -> DataFrame:
+    """Cells of the polygons as rows: level, _i, _j, parts (polygon, in_, edges).
+
+    With `own` a cell is of one polygon, named in the column `_own`, else of all that meet there. Edges are those that come within so many km of a cell."""
+    edge = F.struct("x1", "y1", "x2", "y2")
+    both = _listed(sides, grid, km).select(polygon, "_i", "_j", edge.alias("e")).unionByName(_inside(sides, polygon, grid), allowMissingColumns=True)
+    cells = both.groupBy(polygon, "_i", "_j").agg(F.collect_list("e").alias("edges"), F.max(F.col("e").isNull()).alias("in_"))
+    part = F.struct(F.col(polygon).alias("polygon"), "in_", "edges")
+    keys = ["_own"] if own else []
+    if own:
+        whole = cells.select(F.col(polygon).alias("_own"), "_i", "_j", F.array(part).alias("parts"))
+    else:
+        whole = cells.groupBy("_i", "_j").agg(F.collect_list(part).alias("parts"))
+    edges_of = F.aggregate("parts", F.lit(0), lambda n, p: n + F.size(p["edges"]))
+    kind = dict(whole.dtypes)
+    schema = ", ".join([*(f"{k} {kind[k]}" for k in keys), "level int, _i bigint, _j bigint", f"parts {kind['parts']}"])
+    names = [*keys, "level", "_i", "_j", "parts"]
+    large = whole.where(edges_of > most).select(*keys, "_i", "_j", "parts").mapInArrow(lambda x: split_rows(x, len(keys), grid, km, most), schema)
+    return whole.where(edges_of <= most).withColumn("level", F.lit(0)).select(*names).unionByName(large.select(*names))
+
+
+def _parted(points: DataFrame, cells: DataFrame, own: str | None, lat: str, lon: str, grid: float) -> DataFrame:
+    """points, _x, _y, the level of the cell that each is in, and its parts (null where none); own is the column with a point's polygon.
+
+    The cover is made once; where it has at most SMALL cells and edges together it is broadcast, else joined by shuffles. A point in a cell of the grid that was split has a row for each of its
+    levels, of which exactly one finds its cell."""
+    at = lambda c, level: F.floor(F.col(c) / grid * F.pow(F.lit(2.0), level)).cast("bigint")
+    down = lambda c: F.floor(F.col(c) / F.pow(F.lit(2.0), F.col("level"))).cast("bigint")
+    cells = cut(cells)
+    size, deepest = cells.agg(F.sum(1 + F.aggregate("parts", F.lit(0), lambda n, p: n + F.size(p["edges"]))), F.max("level")).first()
+    dealt = F.broadcast if (size or 0) <= SMALL else lambda df: df
+    keys = ["_own"] if own else []
+    told = points.withColumns({"_x": col(lon).try_cast("double"), "_y": col(lat).try_cast("double")})
+    if deepest:
+        levels = cells.where("level > 0").groupBy(*(F.col(k).alias(f"_s{k}") for k in keys), down("_i").alias("_si"), down("_j").alias("_sj")).agg(F.collect_set("level").alias("_levels"))
+        split = (at("_x", F.lit(0)) == F.col("_si")) & (at("_y", F.lit(0)) == F.col("_sj"))
+        split = split & (told[own] == F.col("_s_own")) if own else split
+        told = told.join(dealt(levels), split, "left").withColumn("_level", F.explode(F.coalesce("_levels", F.array(F.lit(0))))).drop("_si", "_sj", "_s_own")
+    else:
+        told = told.withColumns({"_level": F.lit(0), "_levels": F.lit(None).cast("array<int>")})
+    same = (F.col("_level") == F.col("level")) & (at("_x", F.col("_level")) == F.col("_i")) & (at("_y", F.col("_level")) == F.col("_j"))
+    same = same & (told[own] == F.col("_own")) if own else same
+    return told.join(dealt(cells), same, "left").where("_levels IS NULL OR level IS NOT NULL").drop("_levels", "level", "_i", "_j", "_own")
+
+
+def _holds(part: Column, grid: float) -> Column:
+    """Whether a part's polygon holds the point: on the side of the cell's place, unless the way between them, level and then upright, crosses an odd number of edges."""
+    size = F.lit(grid) / F.pow(F.lit(2.0), F.col("_level"))
+    x, y = F.col("_x"), F.col("_y")
+    x0, y0 = (F.floor(x / size) + PLACE[0]) * size, (F.floor(y / size) + PLACE[1]) * size
+
+    def crossings(n: Column, e: Column) -> Column:
+        x1, y1, x2, y2 = (e[c] for c in ("x1", "y1", "x2", "y2"))
+        at_x, at_y = F.try_divide((x2 - x1) * (y - y1), y2 - y1) + x1, F.try_divide((y2 - y1) * (x0 - x1), x2 - x1) + y1
+        level = ((y1 > y) != (y2 > y)) & ((at_x > x) != (at_x > x0))
+        upright = ((x1 > x0) != (x2 > x0)) & ((at_y > y0) != (at_y > y))
+        return n + level.cast("int") + upright.cast("int")
+
+    return part["in_"] != (F.aggregate(part["edges"], F.lit(0), crossings) % 2 == 1)
+
+
+def _edge_km(e: Column) -> Column:
     """Distance of a point to the nearest place of an edge, found by projection."""
-    x1, y1, x2, y2, x, y = (F.col(c) for c in ("x1", "y1", "x2", "y2", "_x", "_y"))
+    x1, y1, x2, y2, x, y = e["x1"], e["y1"], e["x2"], e["y2"], F.col("_x"), F.col("_y")
     length = (x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1)
     at = F.when(length > 0, F.greatest(F.lit(0.0), F.least(F.lit(1.0), ((x - x1) * (x2 - x1) + (y - y1) * (y2 - y1)) / length))).otherwise(0.0)
     return distance_km(y, x, y1 + at * (y2 - y1), x1 + at * (x2 - x1))
 
 
-def _joined(points: DataFrame, found: DataFrame, keys: Sequence[str], lat: str, lon: str) -> DataFrame:
-    """Points with what was found for their keys and coordinates; found's own columns are _k0, ..., _x, _y and new ones."""
-    for k, c in enumerate(keys):
-        found = found.withColumnRenamed(c, f"_k{k}")
-    same = (col(lat).cast("double") == F.col("_y")) & (col(lon).cast("double") == F.col("_x"))
-    for k, c in enumerate(keys):
-        same &= points[c] == F.col(f"_k{k}")
-    return points.join(found, same, "left").drop("_x", "_y", *(f"_k{k}" for k in range(len(keys))))
+def _nearest_km() -> Column:
+    """Of the edges of the cell's only part."""
+    return F.array_min(F.transform(F.get("parts", F.lit(0))["edges"], _edge_km))
+
+
+def _own_parts(points: DataFrame, sides: DataFrame, polygon: str, lat: str, lon: str, grid: float, km: float) -> DataFrame:
+    return _parted(points, cover(sides, polygon, True, grid, km), polygon, lat, lon, grid)
+
+
+MADE = ("_x", "_y", "_level", "parts")
 
 
-def within_own(points: DataFrame, sides: DataFrame, polygon: str, lat: str = "latitude", lon: str = "longitude", out: str = "within", base: DataFrame | None = None, grid: float = GRID) -> DataFrame:
-    """points and whether each is within the polygon of its own key; null without coordinates. What is found is worked out of `base`, rows
-    of which points was made by adding columns."""
-    hits = _hits(_spots(points if base is None else base, [polygon], lat, lon, grid), sides, polygon, True, grid).withColumn("_hit", F.lit(True))
-    return _joined(points, hits, [polygon], lat, lon).withColumn(out, F.when(~no_location(lat, lon), F.coalesce("_hit", F.lit(False)))).drop("_hit")
+def within_own(points: DataFrame, sides: DataFrame, polygon: str, lat: str = "latitude", lon: str = "longitude", out: str = "within", grid: float = GRID) -> DataFrame:
+    """points and whether each is within the polygon of its own key; null without coordinates."""
+    told = _own_parts(points, sides, polygon, lat, lon, grid, 0.0)
+    return told.withColumn(out, F.when(~no_location(lat, lon), F.coalesce(_holds(F.get("parts", F.lit(0)), grid), F.lit(False)))).drop(*MADE)
 
 
-def boundary_km(points: DataFrame, sides: DataFrame, polygon: str, most_km: float, lat: str = "latitude", lon: str = "longitude", out: str = "boundary_km", base: DataFrame | None = None, grid: float = GRID) -> DataFrame:
+def boundary_km(points: DataFrame, sides: DataFrame, polygon: str, most_km: float, lat: str = "latitude", lon: str = "longitude", out: str = "boundary_km", grid: float = GRID) -> DataFrame:
     """points and the distance to the nearest place of the own polygon's boundary, where that is no farther than most_km; else null."""
-    near = _near(_spots(points if base is None else base, [polygon], lat, lon, grid), sides, polygon, most_km, grid).withColumnRenamed("boundary_km", "_km")
-    return _joined(points, near, [polygon], lat, lon).withColumn(out, F.col("_km")).drop("_km")
+    km = _nearest_km()
+    return _own_parts(points, sides, polygon, lat, lon, grid, most_km).withColumn(out, F.when(km <= most_km, km)).drop(*MADE)
 
 
-def off_limits(points: DataFrame, sides: DataFrame, polygon: str, most_km: float, lat: str = "latitude", lon: str = "longitude", out: str = "off_limits", base: DataFrame | None = None, grid: float = GRID) -> DataFrame:
-    """points and whether each is outside the polygon of its own key and farther than most_km from its boundary; null without coordinates.
-    Points that are neither are found once each and joined in one go."""
-    spots = _spots(points if base is None else base, [polygon], lat, lon, grid)
-    fine = _hits(spots, sides, polygon, True, grid).unionByName(_near(spots, sides, polygon, most_km, grid).drop("boundary_km")).distinct().withColumn("_hit", F.lit(True))
-    return _joined(points, fine, [polygon], lat, lon).withColumn(out, F.when(~no_location(lat, lon), F.col("_hit").isNull())).drop("_hit")
+def off_limits(points: DataFrame, sides: DataFrame, polygon: str, most_km: float, lat: str = "latitude", lon: str = "longitude", out: str = "off_limits", grid: float = GRID) -> DataFrame:
+    """points and whether each is outside the polygon of its own key and farther than most_km from its boundary; null without coordinates. One join tells both."""
+    told = _own_parts(points, sides, polygon, lat, lon, grid, most_km)
+    fine = F.coalesce(_holds(F.get("parts", F.lit(0)), grid), F.lit(False)) | F.coalesce(_nearest_km() <= most_km, F.lit(False))
+    return told.withColumn(out, F.when(~no_location(lat, lon), ~fine)).drop(*MADE)
 
 
 def containing(points: DataFrame, sides: DataFrame, polygon: str, lat: str = "latitude", lon: str = "longitude", grid: float = GRID) -> DataFrame:
     """points and, in the column `polygon`, the smallest key of the polygons that contain each, or null."""
-    hits = _hits(_spots(points, [], lat, lon, grid), sides, polygon, False, grid).groupBy("_x", "_y").agg(F.min(polygon).alias(polygon))
-    return _joined(points, hits, [], lat, lon)
+    told = _parted(points, cover(sides, polygon, False, grid), None, lat, lon, grid)
+    held = F.filter("parts", lambda p: _holds(p, grid))
+    return told.withColumn(polygon, F.array_min(F.transform(held, lambda p: p["polygon"]))).drop(*MADE)

@@ -181,9 +181,9 @@ def density_check(df: DataFrame, id_col: str = "school_id_giga", most: int = pro
     return df.join(sizes, key == F.col("_hex"), "left").withColumns(made).drop("_hex", "_n", "_rows")
 
 
-def not_within_check(df: DataFrame, sides: DataFrame, polygon: str, most_km: float = 1.5, out: str = "dq_is_not_within_country", base: DataFrame | None = None) -> DataFrame:
+def not_within_check(df: DataFrame, sides: DataFrame, polygon: str, most_km: float = 1.5, out: str = "dq_is_not_within_country") -> DataFrame:
     """Outside the polygon of the row's key and farther from its boundary than most_km; null without coordinates."""
-    return geo.off_limits(df, sides, polygon, most_km, out=out, base=base).withColumn(out, F.col(out).cast("int"))
+    return geo.off_limits(df, sides, polygon, most_km, out=out).withColumn(out, F.col(out).cast("int"))
 
 
 def _all_or_none(*columns: Column) -> Column:
@@ -251,7 +251,7 @@ def suite(df: DataFrame, dataset: str, year: int, *, always: Sequence[str] | Non
         df = similar_name_check(df, base=base)
         df = density_check(df, base=base)
         if sides is not None:
-            df = not_within_check(df, sides, polygon, most_km, base=base)
+            df = not_within_check(df, sides, polygon, most_km)
     if dataset == "coverage_fb":
         df = percent_sum_check(df)
     critical = lambda d: critical_checks(d, default_critical(dataset) if always is None else always, create_only)

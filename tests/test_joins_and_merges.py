@@ -139,3 +139,33 @@ def test_an_approval_that_puts_and_deletes_a_key_raises(spark):
     assert M.verify_deleted(after, changes.where("change_type = 'DELETE'"), ["id"]) == 1
     with pytest.raises(ValueError, match="2 rows are still there"):
         M.verify_deleted(silver, spark.createDataFrame([(1,), (2,), (7,), (None,)], "id int"), ["id"])
+
+
+def test_a_town_on_a_detailed_coast(spark):
+    """A ring of 100,000 vertices and a million points in one town on it: no cell has more than a few edges, and points are placed as by all edges."""
+    import numpy as np
+
+    from quarrykit.functions import cells as cells_of
+    from quarrykit.functions import geo
+
+    n = 100_000
+    turn = F.col("id") * (2 * math.pi / n)
+    far = 1 + 0.001 * F.sin(F.col("id") * 1.7) + 0.0005 * F.sin(F.col("id") * 0.013)
+    ring = spark.range(n).select(F.lit(1).alias("poly"), "id", (12 + far * F.cos(turn)).alias("x"), (41 + far * F.sin(turn)).alias("y"))
+    line = np.array([tuple(r) for r in ring.orderBy("id").select("x", "y").collect()])
+    closed = ring.union(spark.createDataFrame([(1, n, *map(float, line[0]))], "poly int, id long, x double, y double"))
+    sides = geo.edges(closed, "poly", "id", "x", "y")
+    cover = geo.cover(sides, "poly", True).where("size(parts) > 0").select("level", F.size(F.get("parts", F.lit(0))["edges"]).alias("n"))
+    most, deepest, cells = cover.agg(F.max("n"), F.max("level"), F.count("*")).first()
+    assert most <= cells_of.MOST and 0 < deepest < cells_of.DEPTH and cells < n
+    town = spark.range(1_000_000).select("id", F.lit(1).alias("poly"), (41 + 0.01 * F.rand(3) - 0.005).alias("latitude"), (13 + 0.01 * F.rand(4) - 0.005).alias("longitude"))
+    placed = geo.within_own(town, sides, "poly")
+    assert placed.count() == 1_000_000
+    a, b = line, np.roll(line, -1, axis=0)
+    some = placed.where("id % 2500 = 0").collect()
+    for r in some:
+        x, y = r.longitude, r.latitude
+        up = (a[:, 1] > y) != (b[:, 1] > y)
+        at = (b[up, 0] - a[up, 0]) * (y - a[up, 1]) / (b[up, 1] - a[up, 1]) + a[up, 0]
+        assert r.within == bool((x < at).sum() % 2)
+    assert 50 < sum(r.within for r in some) < 350
