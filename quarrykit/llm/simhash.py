@@ -12,7 +12,7 @@ a task of its own; every pair of members meets in one of them. No link is lost a
 similar_texts does the same for texts of a Jaccard similarity of about 0.8 or more in 5-word shingles. Fingerprints of 64 bits are too short for that:
 such texts differ by about a sixth of the bits, give or take. Its sketches have 256 bits, of the distinct shingles; two link at DISTANCE or fewer
 differing bits. Sixteen bits of a segment with one deleted are what an index carries, so SEGMENTS segments of 16 bits are indexed: if at most 2 * SEGMENTS - 1 of these
-96 bits differ, one segment differs by one bit at most; beyond that most linked pairs still have such a segment (the README has the measured recall).
+16 * SEGMENTS bits differ, one segment differs by one bit at most; beyond that most linked pairs still have such a segment (the README has the measured recall).
 
 Defined results: a null text counts as empty; without words the fingerprint is zero, and zero links like any other;
 bytes that aren't UTF-8 are hashed as they are; columns other than id and text are not read by near_duplicates and pass through drop_near_duplicates;
@@ -39,7 +39,7 @@ BITS_AT_ONCE, ROWS, SMALL = 65536, 200_000, 32
 HOT = 1024
 #: Sketches for 0.8 of Jaccard: words of a shingle, 64-bit words of a sketch, indexed segments of 16 bits, and the most differing bits of a link. Of 256 bits
 #: 39 differ in the mean at a Jaccard of 0.8, with a deviation of 6, 49 at 0.7 and 59 at 0.6.
-SHINGLE, SKETCH, SEGMENTS, DISTANCE = 5, 4, 6, 44
+SHINGLE, SKETCH, SEGMENTS, DISTANCE = 5, 4, 9, 44
 
 
 def _hashes(text: bytes | None, width: int, seed: int) -> Iterator[np.ndarray]:

@@ -135,7 +135,7 @@ def brute_sketch(text, width=5):
     return out
 
 
-def brute_similar(sketches, distance=44, segments=6):
+def brute_similar(sketches, distance=44, segments=9):
     """Component of each id: links at `distance` bits or fewer with a segment of 16 bits that differs by one at most."""
     root, ids = {i: i for i in sketches}, sorted(sketches)
     for j in ids:
