@@ -9,7 +9,7 @@ whatever a town or a coast has of either. Polygons across the 180th meridian are
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -200,3 +200,84 @@ def containing(points: DataFrame, sides: DataFrame, polygon: str, lat: str = "la
     told = _parted(points, cover(sides, polygon, False, grid), None, lat, lon, grid)
     held = F.filter("parts", lambda p: _holds(p, grid))
     return told.withColumn(polygon, F.array_min(F.transform(held, lambda p: p["polygon"]))).drop(*MADE)
+
+
+def with_region(points: DataFrame, sides: DataFrame, regions: DataFrame, polygon: str, out: str, names: Sequence[str], id_col: str, lat: str = "latitude", lon: str = "longitude", unknown: str = "Unknown", grid: float = GRID) -> DataFrame:
+    """points with `out`, the first of the region's names that isn't null (English before native, say), else what the point's own column `out` has, else unknown; and `<out>_id`, the region's id, null outside all.
+
+    `regions` has one row a polygon: its key, names and id."""
+    had = [col(out)] if out in points.columns else []
+    held = regions.select(regions[polygon].alias("_region"), *(regions[n].alias(f"_name{k}") for k, n in enumerate(names)), regions[id_col].alias("_id_of"))
+    placed = containing(points.drop(polygon), sides, polygon, lat, lon, grid).withColumnRenamed(polygon, "_hit")
+    told = placed.join(held, F.col("_hit") == F.col("_region"), "left")
+    found = F.coalesce(*(F.col(f"_name{k}") for k in range(len(names))), *had, F.lit(unknown))
+    return told.withColumns({out: found, f"{out}_id": F.col("_id_of")}).drop("_hit", "_region", "_id_of", *(f"_name{k}" for k in range(len(names))))
+
+
+#: Axes of the ellipsoid of WGS 84 in km (a, and b by the flattening) and steps of the inverse problem. Fixed values but for the steps.
+AXIS_KM, FLATTENING, STEPS = 6378.137, 1 / 298.257223563, 12
+POLAR_KM = AXIS_KM * (1 - FLATTENING)
+
+
+def geodesic_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column, steps: int = STEPS) -> Column:
+    """Distance on the ellipsoid of WGS 84, by the inverse problem's series in so many steps of an aggregate over the difference of longitudes on the auxiliary sphere.
+
+    Within a millimetre, but for points within half a degree of each other's antipodes, where the steps don't settle: there it is the great circle's, under 0.6 % off."""
+    u = lambda y: F.atan(F.lit(1 - FLATTENING) * F.tan(F.radians(y)))
+    # reduced latitudes are worked out once, in a struct that the steps carry along
+    span = F.radians(F.pmod(lon2 - lon1 + 180, F.lit(360.0)) - 180)
+    start = F.struct(span.alias("l"), F.sin(u(lat1)).alias("s1"), F.cos(u(lat1)).alias("c1"), F.sin(u(lat2)).alias("s2"), F.cos(u(lat2)).alias("c2"), span.alias("at"))
+
+    def angles(p: Column) -> dict[str, Column]:
+        """Of the arc: sine, cosine, length, square of the azimuth's cosine, cosine of twice the middle."""
+        a, b = p["c2"] * F.sin(p["at"]), p["c1"] * p["s2"] - p["s1"] * p["c2"] * F.cos(p["at"])
+        return {"sin": F.sqrt(a * a + b * b), "cos": p["s1"] * p["s2"] + p["c1"] * p["c2"] * F.cos(p["at"])}
+
+    def more(p: Column) -> Column:
+        return F.struct(p.alias("p"), *(v.alias(k) for k, v in angles(p).items()))
+
+    def wider(q: Column) -> Column:
+        p = q["p"]
+        azimuth = F.when(q["sin"] == 0, 0.0).otherwise(F.try_divide(p["c1"] * p["c2"] * F.sin(p["at"]), q["sin"]))
+        return F.struct(q.alias("q"), azimuth.alias("azimuth"), (1 - azimuth * azimuth).alias("square"))
+
+    def middle(r: Column) -> Column:
+        p = r["q"]["p"]
+        return F.when(r["square"] <= 1e-15, 0.0).otherwise(r["q"]["cos"] - F.try_divide(2 * p["s1"] * p["s2"], r["square"]))
+
+    def each(x: Column, *then: Callable[[Column], Column]) -> Column:
+        """x through each in turn, every one a lambda's variable, so that nothing is worked out twice."""
+        for f in then:
+            x = F.transform(F.array(x), f)[0]
+        return x
+
+    def step(p: Column, _: Column) -> Column:
+        def moved(s: Column) -> Column:
+            r, m = s["r"], s["m"]
+            q, p = r["q"], r["q"]["p"]
+            c = FLATTENING / 16 * r["square"] * (4 + FLATTENING * (4 - 3 * r["square"]))
+            arc = F.atan2(q["sin"], q["cos"])
+            at = p["l"] + (1 - c) * FLATTENING * r["azimuth"] * (arc + c * q["sin"] * (m + c * q["cos"] * (2 * m * m - 1)))
+            return F.struct(*(p[k].alias(k) for k in ("l", "s1", "c1", "s2", "c2")), at.alias("at"))
+
+        return each(p, more, wider, lambda r: F.struct(r.alias("r"), middle(r).alias("m")), moved)
+
+    def length(s: Column) -> Column:
+        r, m = s["r"], s["m"]
+        q = r["q"]
+        w = r["square"] * (AXIS_KM**2 - POLAR_KM**2) / POLAR_KM**2
+        big = 1 + w / 16384 * (4096 + w * (-768 + w * (320 - 175 * w)))
+        small = w / 1024 * (256 + w * (-128 + w * (74 - 47 * w)))
+        less = small * q["sin"] * (m + small / 4 * (q["cos"] * (2 * m * m - 1) - small / 6 * m * (4 * q["sin"] * q["sin"] - 3) * (4 * m * m - 3)))
+        return POLAR_KM * big * (F.atan2(q["sin"], q["cos"]) - less)
+
+    settled = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, step)
+    km = each(settled, more, wider, lambda r: F.struct(r.alias("r"), middle(r).alias("m")), length)
+    round_km = distance_km(lat1, lon1, lat2, lon2)
+    return F.when(round_km > math.pi * EARTH_KM - 60, round_km).otherwise(km)
+
+
+def within_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column, km: float) -> Column:
+    """Whether two places are no farther than so many km on the ellipsoid: by the great circle, and by the geodesic only where the two, which differ by under 0.6 %, may disagree."""
+    sphere = distance_km(lat1, lon1, lat2, lon2)
+    return F.when(sphere <= km / 1.006, True).when(sphere > km * 1.006, False).otherwise(geodesic_km(lat1, lon1, lat2, lon2) <= km)

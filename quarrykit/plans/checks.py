@@ -8,6 +8,8 @@ from ..operators import checks as C
 from ..operators import joins as J
 from ..operators import nearby as N
 from ..operators import project as P
+from ..operators.counted import KeptCounts
+from ..operators.shared import new_folder
 from ..registry import query
 
 YEAR = 2024
@@ -193,6 +195,13 @@ def jn_13(t):
     return hit.join(t.nation, hit["country_key"] == t.nation["n_nationkey"], "left").select("row_key", F.coalesce("n_name", "school_name", F.lit("Unknown")).alias("admin1"))
 
 
+@query("jn_13_region_names", f"{HOLDING.format(some='TRUE')} SELECT row_key, coalesce(CASE WHEN n_nationkey % 3 <> 0 THEN n_name END, CASE WHEN n_nationkey % 2 = 0 THEN lower(n_name) END, admin1, 'Unknown') AS admin1, CAST(n_nationkey AS VARCHAR) || '-id' AS admin1_id FROM (SELECT *, CASE WHEN row_key % 2 = 0 THEN school_name END AS admin1 FROM fx_place) LEFT JOIN holding ON latitude = y AND longitude = x LEFT JOIN nation ON c = n_nationkey")
+def jn_13_names(t):
+    regions = t.nation.select(F.col("n_nationkey").alias("country_key"), F.when(F.col("n_nationkey") % 3 != 0, F.col("n_name")).alias("name_en"), F.when(F.col("n_nationkey") % 2 == 0, F.lower("n_name")).alias("name"), F.concat(F.col("n_nationkey").cast("string"), F.lit("-id")).alias("id"))
+    places = t.fx_place.drop("country_key").withColumn("admin1", F.when(F.col("row_key") % 2 == 0, F.col("school_name")))
+    return geo.with_region(places, sides(t), regions, "country_key", "admin1", ["name_en", "name"], "id").select("row_key", "admin1", "admin1_id")
+
+
 @query("jn_14_disputed_region", f"{HOLDING.format(some='e.country_key % 4 = 1')} SELECT row_key, c AS region FROM fx_place LEFT JOIN holding ON latitude = y AND longitude = x")
 def jn_14(t):
     return geo.containing(t.fx_place.drop("country_key"), sides(t, "country_key % 4 = 1"), "country_key").select("row_key", F.col("country_key").alias("region"))
@@ -214,11 +223,47 @@ def geo_03(t):
     return t.fx_school.where("latitude IS NOT NULL").select("row_key", (km < 1000).alias("near"))
 
 
+#: The inverse problem on the ellipsoid of WGS 84, in twelve steps, each a table of the one before.
+ELLIPSOID = """s0 AS (SELECT row_key, radians(longitude - 0) AS l, radians(longitude - 0) AS lam, 0.0::DOUBLE AS u, atan((1 - 1 / 298.257223563) * tan(radians(latitude))) AS v FROM fx_school WHERE latitude IS NOT NULL AND abs(latitude) + abs(longitude) > 0),"""
+for _n in range(13):
+    ELLIPSOID += f"""
+a{_n} AS (SELECT *, sqrt(power(cos(v) * sin(lam), 2) + power(cos(u) * sin(v) - sin(u) * cos(v) * cos(lam), 2)) AS ss, sin(u) * sin(v) + cos(u) * cos(v) * cos(lam) AS cs FROM s{_n}),
+b{_n} AS (SELECT *, atan2(ss, cs) AS arc, cos(u) * cos(v) * sin(lam) / ss AS az FROM a{_n}), c{_n} AS (SELECT *, 1 - az * az AS sq, CASE WHEN 1 - az * az <= 1e-15 THEN 0 ELSE cs - 2 * sin(u) * sin(v) / (1 - az * az) END AS m FROM b{_n}),
+d{_n} AS (SELECT *, (1 / 298.257223563) / 16 * sq * (4 + (1 / 298.257223563) * (4 - 3 * sq)) AS k FROM c{_n}),
+s{_n + 1} AS (SELECT row_key, l, l + (1 - k) * (1 / 298.257223563) * az * (arc + k * ss * (m + k * cs * (2 * m * m - 1))) AS lam, u, v FROM d{_n}),"""
+ELLIPSOID = "WITH " + ELLIPSOID + """
+w AS (SELECT *, sq * (power(6378.137, 2) - power(6378.137 * (1 - 1 / 298.257223563), 2)) / power(6378.137 * (1 - 1 / 298.257223563), 2) AS w FROM c12),
+f AS (SELECT *, 1 + w / 16384 * (4096 + w * (-768 + w * (320 - 175 * w))) AS big, w / 1024 * (256 + w * (-128 + w * (74 - 47 * w))) AS small FROM w)
+SELECT row_key, CAST(round(1e5 * 6378.137 * (1 - 1 / 298.257223563) * big * (arc - small * ss * (m + small / 4 * (cs * (2 * m * m - 1) - small / 6 * m * (4 * ss * ss - 3) * (4 * m * m - 3))))) AS BIGINT) AS centimetres FROM f"""
+
+
+@query("geo_03_geodesic", ELLIPSOID)
+def geo_03_geodesic(t):
+    km = geo.geodesic_km(F.lit(0.0), F.lit(0.0), F.col("latitude"), F.col("longitude"))
+    return t.fx_school.where("latitude IS NOT NULL AND abs(latitude) + abs(longitude) > 0").select("row_key", F.round(km * 1e5).cast("bigint").alias("centimetres"))
+
+
 @query("geo_05_cell_floor", "SELECT row_key, floor(latitude * 1000) / 1000 AS lat, floor(longitude * 1000) / 1000 AS lon FROM fx_school")
 def geo_05(t):
     return t.fx_school.select("row_key", geo.cell_floor("latitude").alias("lat"), geo.cell_floor("longitude").alias("lon"))
 
 
+#: Three uploads; the second deletes some rows of the first, the third some of the second.
+UPLOADED = "u AS (SELECT *, row_key % 3 AS upload FROM fx_school), kept AS (SELECT * FROM u WHERE NOT (upload = 0 AND row_key % 15 = 0) AND NOT (upload = 1 AND row_key % 14 = 1))"
+KEPT = f"""WITH {UPLOADED}, g AS (SELECT school_id_govt, count(*) AS n FROM kept GROUP BY 1), p AS (SELECT latitude, longitude, education_level, count(*) AS n FROM kept GROUP BY ALL)
+SELECT row_key, CASE WHEN g.n > 1 THEN 1 ELSE 0 END AS id, CASE WHEN p.n > 1 THEN 1 ELSE 0 END AS place FROM kept k LEFT JOIN g ON k.school_id_govt = g.school_id_govt LEFT JOIN p ON k.latitude = p.latitude AND k.longitude = p.longitude AND k.education_level = p.education_level WHERE upload = 2"""
+
+
+@query("dq_01_kept_counts", KEPT)
+def dq_01_kept(t):
+    kept = KeptCounts(t.spark, new_folder(t.spark, "counts"), {"id": ["school_id_govt"], "place": ["latitude", "longitude", "education_level"]})
+    one, two, three = (t.fx_school.where(f"row_key % 3 = {k}") for k in range(3))
+    kept.add("one", one)
+    kept.add("two", two, deleted=one.where("row_key % 15 = 0"))
+    kept.add("three", three, deleted=two.where("row_key % 14 = 1"))
+    return kept.flagged(three).select("row_key", F.col("dq_duplicate-id").alias("id"), F.col("dq_duplicate-place").alias("place"))
+
+
 @query("dq_18_percent_sum", "SELECT school_key, percent_2g, percent_3g, percent_4g, CASE WHEN percent_2g + percent_3g + percent_4g <> 100 THEN 1 ELSE 0 END AS bad FROM fx_cov_a")
 def dq_18(t):
     return C.percent_sum_check(t.fx_cov_a, ["percent_2g", "percent_3g", "percent_4g"], "bad")

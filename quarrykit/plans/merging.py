@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 from ..operators import merge as M
 from ..operators import schema as S
 from ..operators.windows import first_per_key
+from ..operators.shared import new_folder
 from ..registry import query
+from ..sources.versions import DigestedSnapshots
 
 COLS = ["pk", "name", "level", "qty", "country_key"]
 
@@ -150,12 +152,35 @@ def mrg_20(t):
     return M.column_change_counts(M.snapshot_diff(t.fx_master, t.fx_incoming, ["pk"]), ["pk"], ["name", "qty", "level"])
 
 
-@query("mrg_21_snapshot_diff", f"WITH {DIFF} SELECT k AS pk, n1 AS name, q1 AS qty, 'insert' AS _change_type, 1 AS _commit_version FROM d WHERE mpk IS NULL UNION ALL SELECT k, n0, q0, 'delete', 1 FROM d WHERE ipk IS NULL UNION ALL SELECT k, unnest([n0, n1]), unnest([q0, q1]), unnest(['update_preimage', 'update_postimage']), 1 FROM d WHERE mpk IS NOT NULL AND ipk IS NOT NULL AND (n0 IS DISTINCT FROM n1 OR q0 IS DISTINCT FROM q1)")
+FEED = f"WITH {DIFF} SELECT k AS pk, n1 AS name, q1 AS qty, 'insert' AS _change_type, 1 AS _commit_version FROM d WHERE mpk IS NULL UNION ALL SELECT k, n0, q0, 'delete', 1 FROM d WHERE ipk IS NULL UNION ALL SELECT k, unnest([n0, n1]), unnest([q0, q1]), unnest(['update_preimage', 'update_postimage']), 1 FROM d WHERE mpk IS NOT NULL AND ipk IS NOT NULL AND (n0 IS DISTINCT FROM n1 OR q0 IS DISTINCT FROM q1)"
+
+
+@query("mrg_21_snapshot_diff", FEED)
 def mrg_21(t):
     some = ["pk", "name", "qty"]
     return M.snapshot_diff(t.fx_master.select(some), t.fx_incoming.select(some), ["pk"])
 
 
+@query("mrg_21_digested_diff", FEED)
+def mrg_21_digested(t):
+    some = ["pk", "name", "qty"]
+    versions = DigestedSnapshots(t.spark, new_folder(t.spark, "digested"), ["pk"], buckets=32)
+    versions.publish(t.fx_master.select(some))
+    versions.publish(t.fx_incoming.select(some))
+    return versions.changes(0)
+
+
+@query("src_07_feed_of_versions", f"""WITH a AS (SELECT pk, qty FROM fx_master), b AS (SELECT pk, CASE WHEN pk % 50 = 1 THEN qty + 1 ELSE qty END AS qty FROM a), c AS (SELECT * FROM b WHERE pk % 70 <> 2)
+SELECT a.pk, unnest([a.qty, b.qty]) AS qty, unnest(['update_preimage', 'update_postimage']) AS _change_type, 1 AS _commit_version FROM a JOIN b ON a.pk = b.pk WHERE a.qty <> b.qty UNION ALL SELECT pk, qty, 'delete', 2 FROM b WHERE pk % 70 = 2""")
+def src_07_versions(t):
+    versions = DigestedSnapshots(t.spark, new_folder(t.spark, "feed"), ["pk"], buckets=64)
+    rows = t.fx_master.select("pk", "qty")
+    versions.publish(rows)
+    versions.publish(rows.withColumn("qty", F.when(F.col("pk") % 50 == 1, F.col("qty") + 1).otherwise(F.col("qty"))))
+    versions.publish(versions.read().where("pk % 70 <> 2"))
+    return versions.changes(0)
+
+
 @query("src_07_feed_since", "SELECT pk, _commit_version, _change_type FROM fx_feed WHERE _commit_version >= 2")
 def src_07(t):
     return t.fx_feed.where("_commit_version >= 2").select("pk", "_commit_version", "_change_type")

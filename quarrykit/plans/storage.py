@@ -7,6 +7,7 @@ from ..operators.shared import cut
 from ..registry import query
 from ..sources import readers as D
 from ..sources import sinks as K
+from ..sources import versions as V
 from ..streaming.ingest import upsert_touched
 
 TEXTS = 'SELECT CAST(row_key AS VARCHAR) AS row_key, school_name || \' "x", y\' AS school_name, CAST(num_computers AS VARCHAR) AS num_computers FROM fx_school'
@@ -47,6 +48,19 @@ def src_08(t):
     return versions.read().withColumn("version", F.lit(latest))
 
 
+@query("src_05_corrupt_file", "SELECT pk, name FROM fx_master")
+def src_05_corrupt(t):
+    folder = K.new_folder(t.spark, "broken")
+    K.overwrite(t.fx_master.select("pk", "name"), folder)
+    # beside the good files one that has the name of a Parquet file and text in it
+    t.fx_master.select(F.concat(F.lit("PAR1 "), "name").alias("value")).coalesce(1).write.text(f"{folder}-text")
+    path = t.spark._jvm.org.apache.hadoop.fs.Path
+    files = path(folder).getFileSystem(t.spark._jsc.hadoopConfiguration())
+    part = next(f.getPath() for f in files.listStatus(path(f"{folder}-text")) if f.getPath().getName().startswith("part-"))
+    files.rename(part, path(f"{folder}/part-99999-broken.snappy.parquet"))
+    return D.best_effort(t.spark, folder, "parquet", "pk BIGINT, name STRING")
+
+
 @query("snk_01_overwrite", "SELECT pk, name, CAST(NULL AS VARCHAR) AS nothing FROM fx_incoming")
 def snk_01(t):
     path = K.new_folder(t.spark, "table")
@@ -124,6 +138,24 @@ def snk_11(t):
     return rows.withColumn("narrow", F.lit(all(a["high"] <= b["low"] for a, b in zip(ranges, ranges[1:], strict=False))))
 
 
+@query("snk_11_compact_tables", "SELECT l_orderkey, l_partkey, l_suppkey, true AS fewer_files FROM lineitem UNION ALL SELECT o_orderkey, o_custkey, -1, true FROM orders")
+def snk_11_tables(t):
+    folder = K.new_folder(t.spark, "tables")
+    lines, orders, empty = (f"{folder}/{n}" for n in ("lines", "orders", "empty"))
+    K.Snapshots(t.spark, lines).publish(t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey").repartition(12, "l_orderkey"))
+    K.Snapshots(t.spark, orders).publish(t.orders.select("o_orderkey", "o_custkey").repartition(6, "o_orderkey"))
+    V.compact_tables(t.spark, [lines, orders, empty], ["l_partkey", "l_suppkey", "o_custkey"], file_bytes=V.bytes_of(t.spark, lines) // 12)
+
+    def read(path, version, some):
+        """Files with ranges of the keys that hold what a filter asks for."""
+        ranges = K.Snapshots(t.spark, path).read(version).groupBy(F.input_file_name()).agg(*(f(k).alias(f"{f.__name__}_{k}") for k in some for f in (F.min, F.max)))
+        return ranges.where(" AND ".join(f"{v} BETWEEN min_{k} AND max_{k}" for k, v in some.items())).count()
+
+    fewer = all(read(p, 1, some) < read(p, 0, some) for p, some in ((lines, {"l_partkey": 40, "l_suppkey": 3}), (orders, {"o_custkey": 50})))
+    a, b = K.Snapshots(t.spark, lines).read(), K.Snapshots(t.spark, orders).read()
+    return a.unionByName(b.select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("l_partkey"), F.lit(-1).cast("bigint").alias("l_suppkey"))).withColumn("fewer_files", F.lit(fewer))
+
+
 @query("snk_12_split_by", "SELECT pk, name, country_key FROM fx_master")
 def snk_12(t):
     K.split_by(t.fx_master.select("pk", "name", "country_key"), path := K.new_folder(t.spark, "split"), "country_key")
