@@ -4,7 +4,7 @@ A page is a sequence of words and tags. Words score positive and tags negative;
 greatest sum (Pasternack and Roth, "Extracting Article Text from the Web with Maximum Subsequence Segmentation", 2009). The weights come from
 labelled pages: those that mark their article themselves, by one <article> or <main>. Of such among about SAMPLE pages (at most twice
 that, picked by a hash) it is counted how often a tag, an element whose class or id has a word as its head, and a word below a tag, lie inside; the
-counts are added to prior ones. Where a marked element holds nearly all of the best region, a second scan weighs words and tags by whether they
+counts are added to prior ones. Where a marked element holds nearly all of the best region, or is a page's only <article> and what is outside it is no prose, a second scan weighs words and tags by whether they
 lie in it; so the mark moves the ends, and the scan decides.
 
 Kinds of elements that are no article wherever they stand (menus, forms, scripts, asides, hidden ones, by element or role) are left out, and so are
@@ -32,10 +32,12 @@ from .common import per_text, sampled
 
 SAMPLE = 1000
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<raw>script|style|noscript|template|svg|iframe|textarea|title)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<close>/?)(?P<name>[a-z][a-z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*|[^>]*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)|(?P<text>[^<]+|<)",
+    r"<!--.*?(?:-->|\Z)|<(?P<close>/?)(?P<name>[a-z][a-z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*|[^>]*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)|(?P<text>[^<]+|<)",
     re.S | re.I,
 )
+#: Elements whose content is no text of the page; those that hold all up to the page's end where they aren't closed, as browsers read them, and the others, whose tag alone goes then.
+RAW, LOOSE = frozenset("iframe script style textarea title".split()), frozenset("noscript svg template".split())
+END_OF = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for name in RAW | LOOSE}
 ATTRIBUTE = re.compile(r"(?<![a-z-])(?:([a-z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))|(hidden)(?![a-z-]))", re.I)
 WORDS_OF_NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
@@ -55,14 +57,21 @@ NO_TEXT = frozenset(
 IS_TEXT = frozenset("article body content entry main post prose story text".split())
 NO_HEAD = IS_TEXT | frozenset(
     "area articles aside bar block bottom box button buttons card col column container footer group header holder info inner item items layout left link links list media module outer page panel pane posts region"
-    " right row section site slot stories title top unit wrap wrapper zone".split()
+    " right row section site slot stories thread title top unit wrap wrapper zone".split()
 )
+#: Words that tell wherever they stand in a name.
+ANYWHERE = frozenset("disqus outbrain taboola".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 NEGATING = frozenset("has have hide is no non not with without".split())
 #: Prior share of a tag, or of a name, outside articles, by kind, and its count.
 PRIOR, WEIGHT = {"inline": 0.02, "text": 0.03, "frame": 0.6, "no text": 0.9}, 4.0
 TEXT_TAGS = frozenset("p h1 h2 h3 h4 h5 h6 li ul ol dl dt dd blockquote pre table thead tbody tr td th br hr figure figcaption caption".split())
 #: A tag costs LEAST, and up to MOST more if it is always outside. A mark counts if it holds INSIDE of the region's words.
 LEAST, MOST, INSIDE = 0.1, 12.0, 0.85
+#: Where the region isn't the mark's: a mark of less than SHARE of the words yields to blocks of PROSE words, in the median.
+SHARE, PROSE = 0.05, 20
+#: A form with more than this share of the page's words, and blocks of text among them, is a frame around the page, if that marks no article.
+AROUND = 0.5
 #: Named elements are given another chance if fewer words than FEW, and less than this share, are left without them.
 FEW, LEFT = 20, 0.1
 
@@ -87,6 +96,8 @@ def head(name: str) -> str:
     words = [w.lower() for w in WORDS_OF_NAME.findall(name)]
     if not words or words[0] in NEGATING:
         return ""
+    if any(w in ANYWHERE for w in words):
+        return next(w for w in words if w in ANYWHERE)
     return next((w for w in reversed(words) if w not in NO_HEAD or w in NO_TEXT), next((w for w in words if w in IS_TEXT), ""))
 
 
@@ -116,11 +127,24 @@ def parse(html: str) -> list[Node]:
             node.end = len(nodes)
             depths[node.name].pop()
 
-    for m in TOKEN.finditer(html):
+    at, unclosed = 0, set()  # names of which no end is left
+    while at < len(html):
+        m = TOKEN.match(html, at)
+        at = m.end()
         if m["text"]:
             nodes.append(Node("text", "", stack[-1] if stack else -1, nodes, unescape(m["text"])))
         elif m["name"]:
             name, attrs = m["name"].lower(), m["attrs"] or ""
+            if name in END_OF:
+                if m["close"] or name == "svg" and attrs.endswith("/"):
+                    continue
+                end = None if name in unclosed else END_OF[name].search(html, at)
+                if end:
+                    at = end.end()
+                else:
+                    unclosed.add(name)
+                    at = len(html) if name in RAW else at
+                continue
             if m["close"]:
                 if depths.get(name):
                     close_to(depths[name][-1])
@@ -144,20 +168,29 @@ def parse(html: str) -> list[Node]:
 def wanted(nodes: list[Node], named: bool = True) -> list[int]:
     """Places of nodes outside elements that are left out; without `named`, names leave none out.
 
-    A named element or a form around a mark is kept, a named one around a heading of first rank too, and so is a page's header in the article."""
-    marks, firsts = ([0, *accumulate(n.kind == "open" and is_it(n.name) for n in nodes)] for is_it in (MARKED.__contains__, "h1".__eq__))
+    A named element or a form around a mark is kept, a named one around a heading of first rank too, and so are a header with a heading in the article and, where the page has no mark, a form that is a frame
+    around most of its words."""
+    marks, firsts, heads, blocks = ([0, *accumulate(n.kind == "open" and is_it(n.name) for n in nodes)] for is_it in (MARKED.__contains__, "h1".__eq__, HEADINGS.__contains__, TEXT_TAGS.__contains__))
     out, k = [], 0
+    upto: list[int] = []
+
+    def around(k: int, end: int) -> bool:
+        """Whether so many of the page's words, and blocks of text, are between these places."""
+        if not upto:
+            upto.extend((0, *accumulate(len(n.text.split()) for n in nodes)))
+        return upto[end] - upto[k] > AROUND * upto[-1] and blocks[end] > blocks[k]
+
     while k < len(nodes):
         node = nodes[k]
         if node.kind == "open" and (node.out or node.name == "header"):
             mark, first = marks[node.end] > marks[k + 1], firsts[node.end] > firsts[k + 1]
-            kept = mark and node.name == "form"
+            kept = node.name == "form" and (mark or not marks[-1] and around(k, node.end))
             if node.out == 2 and node.name not in NEVER:
                 kept = mark or first
             elif node.out == 1:
                 kept = not named or mark or first
             elif not node.out:
-                kept = mark or first and node.marked
+                kept = mark or node.marked and heads[node.end] > heads[k + 1]
             if not kept:
                 k = max(k + 1, node.end)
                 continue
@@ -236,12 +269,29 @@ def _region(nodes: list[Node], kept: list[int], learned: dict[str, float]) -> li
             score.append(min(_weight(f, learned) for f in _features(nodes[k])))
     begin, end = best_region(score)
     marked = [n if nodes[k].marked else 0 for k, n in zip(kept, words, strict=True)]
-    if sum(marked[begin:end]) >= INSIDE * max(1, sum(words[begin:end])):
+    if sum(marked[begin:end]) >= INSIDE * max(1, sum(words[begin:end])) or _mark_counts(nodes, kept, words, sum(marked), begin, end):
         score = [(n if nodes[k].marked else -n) if nodes[k].kind == "text" else -LEAST if nodes[k].marked else min(s, -1.0) for k, n, s in zip(kept, words, score, strict=True)]
         begin, end = best_region(score)
     return kept[begin:end]
 
 
+def _mark_counts(nodes: list[Node], kept: list[int], words: list[int], marked: int, begin: int, end: int) -> bool:
+    """Whether the page's only mark is to be believed though the region between these places isn't its: it holds SHARE of the words, or what is outside is no prose but teasers."""
+    if not marked or sum(n.kind == "open" and n.name == "article" for n in nodes) != 1:
+        return False
+    if marked >= SHARE * sum(words):
+        return True
+    blocks, size = [], 0
+    for k, n in zip(kept[begin:end], words[begin:end], strict=True):
+        if nodes[k].kind == "text":
+            size += 0 if nodes[k].marked else n
+        elif nodes[k].name not in INLINE and size:
+            blocks.append(size)
+            size = 0
+    blocks = sorted([*blocks, size] if size else blocks)
+    return not blocks or blocks[len(blocks) // 2] < PROSE
+
+
 def extract(html: str | None, learned: dict[str, float]) -> str:
     if not html:
         return ""
