@@ -214,15 +214,15 @@ def with_region(points: DataFrame, sides: DataFrame, regions: DataFrame, polygon
     return told.withColumns({out: found, f"{out}_id": F.col("_id_of")}).drop("_hit", "_region", "_id_of", *(f"_name{k}" for k in range(len(names))))
 
 
-#: Axes of the ellipsoid of WGS 84 in km (a, and b by the flattening) and steps of the inverse problem. Fixed values but for the steps.
-AXIS_KM, FLATTENING, STEPS = 6378.137, 1 / 298.257223563, 12
+#: Axes of the ellipsoid of WGS 84 in km (a, and b by the flattening; fixed values), steps of the inverse problem, and how near to the antipodes (km) they may not settle.
+AXIS_KM, FLATTENING, STEPS, SETTLED = 6378.137, 1 / 298.257223563, 12, 220.0
 POLAR_KM = AXIS_KM * (1 - FLATTENING)
 
 
 def geodesic_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column, steps: int = STEPS) -> Column:
     """Distance on the ellipsoid of WGS 84, by the inverse problem's series in so many steps of an aggregate over the difference of longitudes on the auxiliary sphere.
 
-    Within a millimetre, but for points within half a degree of each other's antipodes, where the steps don't settle: there it is the great circle's, under 0.6 % off."""
+    Within a millimetre, but for points within two degrees of each other's antipodes, where the steps don't settle: there it is the great circle's, under 0.6 % off."""
     u = lambda y: F.atan(F.lit(1 - FLATTENING) * F.tan(F.radians(y)))
     # reduced latitudes are worked out once, in a struct that the steps carry along
     span = F.radians(F.pmod(lon2 - lon1 + 180, F.lit(360.0)) - 180)
@@ -274,7 +274,7 @@ def geodesic_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column, steps: i
     settled = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, step)
     km = each(settled, more, wider, lambda r: F.struct(r.alias("r"), middle(r).alias("m")), length)
     round_km = distance_km(lat1, lon1, lat2, lon2)
-    return F.when(round_km > math.pi * EARTH_KM - 60, round_km).otherwise(km)
+    return F.when(round_km > math.pi * EARTH_KM - SETTLED, round_km).otherwise(km)
 
 
 def within_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column, km: float) -> Column:
