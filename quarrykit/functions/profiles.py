@@ -3,21 +3,30 @@
 from __future__ import annotations
 
 # Column names, domains and ranges that results depend on.
-STRINGS = (
-    "cellular_coverage_availability cellular_coverage_type connectivity_govt school_id_giga school_id_govt school_name education_level connectivity_type_govt admin1 admin1_id_giga admin2 admin2_id_giga"
-    " school_area_type school_funding_type computer_lab electricity_availability electricity_type water_availability school_data_source school_data_collection_modality disputed_region connectivity"
-    " connectivity_RT connectivity_RT_datasource nearest_NR_id nearest_LTE_id nearest_UMTS_id nearest_GSM_id education_level_govt school_id_govt_type school_address is_school_open country_id provider report_id agent_id"
-).split()
-DOUBLES = (
-    "fiber_node_distance microwave_node_distance nearest_NR_distance nearest_LTE_distance nearest_UMTS_distance nearest_GSM_distance latitude longitude download_speed_contracted nearest_school_distance"
-    " download_speed_govt percent_2G percent_3G percent_4G speed_upload speed_download roundtrip_time jitter_upload jitter_download rtt_packet_loss_pct latency"
-).split()
-INTS = (
-    "schools_within_1km schools_within_2km schools_within_3km schools_within_10km connectivity_govt_collection_year school_establishment_year num_computers num_computers_desired num_teachers"
-    " num_adm_personnel num_students num_classrooms num_latrines school_data_collection_year 2G 3G 4G"
-).split()
-LONGS = "pop_within_1km pop_within_2km pop_within_3km pop_within_10km".split()
-TIMESTAMPS = "connectivity_govt_ingestion_timestamp school_location_ingestion_timestamp connectivity_RT_ingestion_timestamp timestamp".split()
+STRINGS = [
+    "cellular_coverage_availability", "cellular_coverage_type", "connectivity_govt", "school_id_giga", "school_id_govt", "school_name",
+    "education_level", "connectivity_type_govt", "admin1", "admin1_id_giga", "admin2", "admin2_id_giga", "school_area_type", "school_funding_type",
+    "computer_lab", "electricity_availability", "electricity_type", "water_availability", "school_data_source", "school_data_collection_modality",
+    "disputed_region", "connectivity", "connectivity_RT", "connectivity_RT_datasource", "nearest_NR_id", "nearest_LTE_id", "nearest_UMTS_id",
+    "nearest_GSM_id", "education_level_govt", "school_id_govt_type", "school_address", "is_school_open", "country_id", "provider", "report_id",
+    "agent_id",
+]
+DOUBLES = [
+    "fiber_node_distance", "microwave_node_distance", "nearest_NR_distance", "nearest_LTE_distance", "nearest_UMTS_distance", "nearest_GSM_distance",
+    "latitude", "longitude", "download_speed_contracted", "nearest_school_distance", "download_speed_govt", "percent_2G", "percent_3G", "percent_4G",
+    "speed_upload", "speed_download", "roundtrip_time", "jitter_upload", "jitter_download", "rtt_packet_loss_pct", "latency",
+]
+INTS = [
+    "schools_within_1km", "schools_within_2km", "schools_within_3km", "schools_within_10km", "connectivity_govt_collection_year",
+    "school_establishment_year", "num_computers", "num_computers_desired", "num_teachers", "num_adm_personnel", "num_students", "num_classrooms",
+    "num_latrines", "school_data_collection_year", "2G", "3G", "4G",
+]
+LONGS = [
+    "pop_within_1km", "pop_within_2km", "pop_within_3km", "pop_within_10km",
+]
+TIMESTAMPS = [
+    "connectivity_govt_ingestion_timestamp", "school_location_ingestion_timestamp", "connectivity_RT_ingestion_timestamp", "timestamp",
+]
 EXPECTED_TYPES = dict.fromkeys(STRINGS, "string") | dict.fromkeys(DOUBLES, "double") | dict.fromkeys(INTS, "int") | dict.fromkeys(LONGS, "bigint") | dict.fromkeys(TIMESTAMPS, "timestamp")
 
 UNIQUE = {"master": ["school_id_govt", "school_id_giga"], "geolocation": ["school_id_govt", "school_id_giga"]} | dict.fromkeys(("reference", "coverage", "coverage_fb", "coverage_itu", "qos"), ["school_id_giga"])
@@ -62,7 +71,10 @@ def ranges(dataset: str, year: int) -> dict[str, tuple[float, float]]:
     return {"master": school | near, "reference": wide | {"download_speed_govt": (1, 200)}, "geolocation": school | {"download_speed_govt": (1, 200)}, "coverage": near | wide, "coverage_itu": near | wide}.get(dataset, {})
 
 
-TITLE_CASE = "computer_lab connectivity connectivity_govt cellular_coverage_availability electricity_availability water_availability school_area_type school_funding_type is_school_open".split()
+TITLE_CASE = [
+    "computer_lab", "connectivity", "connectivity_govt", "cellular_coverage_availability", "electricity_availability", "water_availability",
+    "school_area_type", "school_funding_type", "is_school_open",
+]
 DUPLICATE_SETS = [["school_id_govt", "school_name", "education_level", "location_id"], ["school_name", "education_level", "location_id"], ["education_level", "location_id"], ["location_id"]]
 PRECISION = {"latitude": 5, "longitude": 5}
 DENSE = 5

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from ..operators import checks as C
 from ..operators import project as P
 from ..operators import report as R
+from ..operators import summaries as D
 from ..operators import windows as W
 from ..registry import query
 
@@ -85,6 +86,30 @@ def agg_11_describe(t):
     return R.describe(t.fx_school, ["num_computers", "row_key"])
 
 
+#: Distinct ids of a range of days against their estimate, which has to be within 3 %, four times its standard error.
+RANGE = "day BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'"
+
+
+@query("agg_11_merged_days", f"WITH m AS (SELECT *, CAST(ts AS DATE) AS day FROM fx_measure) SELECT source, country_key, count(*) AS rows, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS first, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS last, true AS near FROM m WHERE {RANGE} GROUP BY 1, 2")
+def agg_11_merged(t):
+    rows = t.fx_measure
+    told = D.merged(D.day_summaries(rows, ["source", "country_key"], "ts", "school_id"), ["source", "country_key"], F.lit("2024-01-05").cast("date"), F.lit("2024-01-20").cast("date"))
+    exact = rows.where(F.to_date("ts").between(F.lit("2024-01-05"), F.lit("2024-01-20"))).groupBy("source", "country_key").agg(F.countDistinct("school_id").alias("exact"))
+    both = told.join(exact, ["source", "country_key"]).withColumn("near", F.abs(F.col("ids") - F.col("exact")) <= F.ceil(F.col("exact") * 0.03))
+    return both.select("source", "country_key", "rows", *(F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c) for c in ("first", "last")), "near")
+
+
+@query("agg_12_merged_values", "WITH m AS (SELECT event_type, round(value, 3) AS v FROM events WHERE CAST(ts AS DATE) >= DATE '2024-01-10') SELECT event_type, count(v) AS n, min(v) AS least, max(v) AS most, round(avg(v), 4) AS mean, true AS near FROM m GROUP BY 1")
+def agg_12_merged(t):
+    rows = t.events.withColumn("value", F.round("value", 3))
+    told = D.merged(D.day_summaries(rows, ["event_type"], "ts", "user_id", "value"), ["event_type"], F.lit("2024-01-10").cast("date"), ranks=(0.25, 0.5, 0.9))
+    # a quantile's rank among all values, which has to be within 2 % of what was asked for
+    each = rows.where(F.to_date("ts") >= F.lit("2024-01-10")).join(told.select("event_type", "quantiles"), "event_type")
+    ranks = each.groupBy("event_type").agg(*(F.avg((F.col("value") <= F.col("quantiles")[k]).cast("double")).alias(f"r{k}") for k in range(3)), *(F.avg((F.col("value") < F.col("quantiles")[k]).cast("double")).alias(f"l{k}") for k in range(3)))
+    near = (F.col("r0") >= 0.23) & (F.col("l0") <= 0.27) & (F.col("r1") >= 0.48) & (F.col("l1") <= 0.52) & (F.col("r2") >= 0.88) & (F.col("l2") <= 0.92)
+    return told.join(ranks, "event_type").select("event_type", "n", "least", "most", F.round("mean", 4).alias("mean"), near.alias("near"))
+
+
 @query("agg_12_bounds", "SELECT min(latitude) AS min_latitude, max(latitude) AS max_latitude, min(longitude) AS min_longitude, max(longitude) AS max_longitude, round(avg(latitude), 6) AS centre_latitude, round(avg(longitude), 6) AS centre_longitude FROM fx_school")
 def agg_12(t):
     return R.bounds(t.fx_school).withColumns({c: F.round(c, 6) for c in ("centre_latitude", "centre_longitude")})

@@ -6,6 +6,7 @@ from ..operators import events as E
 from ..operators import merge as M
 from ..operators import report as R
 from ..registry import query
+from ..streaming.combined import with_metrics
 
 #: From the second day of the table, so that earlier states count, to the end of its last hour.
 A, B = "(SELECT date_trunc('day', min(ts)) + INTERVAL 1 DAY FROM fx_status)", "(SELECT date_trunc('hour', max(ts)) + INTERVAL 1 HOUR FROM fx_status)"
@@ -80,6 +81,16 @@ def stm_07(t):
     return E.combined(t.fx_status.select("device_id").distinct(), {"downtime": E.downtime(t.fx_status, start, end).select("device_id", "downtime_s"), "value": values})
 
 
+@query("stm_07_hourly_metrics", """WITH h AS (SELECT DISTINCT device_id, date_trunc('hour', ts) AS hour FROM fx_status), a AS (SELECT device_id, date_trunc('hour', ts) AS hour, max(event_id) AS last_alert FROM fx_status WHERE status = 'alerting' GROUP BY 1, 2),
+o AS (SELECT device_id, date_trunc('hour', ts) AS hour, count(*) AS offline FROM fx_status WHERE status = 'offline' GROUP BY 1, 2)
+SELECT h.device_id, strftime(h.hour, '%Y-%m-%d %H') AS hour, last_alert, offline FROM h LEFT JOIN a ON h.device_id = a.device_id AND h.hour = a.hour LEFT JOIN o ON h.device_id = o.device_id AND h.hour = o.hour""")
+def stm_07_metrics(t):
+    rows = t.fx_status.withColumn("ts", F.col("ts").cast("timestamp"))
+    of = lambda status, value: rows.where(F.col("status") == status).groupBy("device_id", F.date_trunc("hour", "ts").alias("at")).agg(value)
+    base = rows.select("device_id", F.date_trunc("hour", "ts").alias("hour")).distinct()
+    return text_hour(with_metrics(base, {"alerts": (of("alerting", F.max("event_id").alias("last_alert")), "at"), "offline": (of("offline", F.count(F.lit(1)).alias("offline")), "at")}))
+
+
 @query("stm_08_incremental_pull", "SELECT event_id, event_id IN (SELECT event_id FROM events WHERE ts < TIMESTAMP '2024-01-15') AS is_pushed FROM events")
 def stm_08(t):
     ts = F.col("ts").cast("timestamp")

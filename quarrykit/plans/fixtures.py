@@ -51,7 +51,7 @@ VIEWS = {
     """,
     "fx_measure": """
         SELECT user_id AS school_id, ts AS ts, props AS props, CAST(user_id % 5 AS INT) AS country_key,
-        CASE event_type WHEN 'view' THEN 'gigameter' WHEN 'click' THEN 'gigameter' WHEN 'purchase' THEN 'mlab' ELSE 'qos' END AS source
+        CASE event_type WHEN 'view' THEN 'meter' WHEN 'click' THEN 'meter' WHEN 'purchase' THEN 'mlab' ELSE 'qos' END AS source
         FROM {events} WHERE NOT (event_type = 'purchase' AND user_id % 3 = 0) AND NOT (event_type = 'view' AND user_id % 4 = 0)
     """,
     "fx_cov_a": """

@@ -152,7 +152,7 @@ def pipe_04(t):
 @query("pipe_05_real_time", "WITH f AS (SELECT school_id AS pk, strftime(min(ts), '%Y-%m-%d') AS first_seen, string_agg(DISTINCT source, ', ' ORDER BY source) AS sources FROM fx_measure GROUP BY 1), m AS (SELECT pk, CASE WHEN pk % 2 = 0 THEN '2020-01-01' END AS first_seen, 'old' AS sources FROM fx_master) SELECT coalesce(m.pk, f.pk) AS pk, coalesce(m.first_seen, f.first_seen) AS first_seen, coalesce(f.sources, m.sources) AS sources FROM m FULL JOIN f ON m.pk = f.pk")
 def pipe_05(t):
     stored = t.fx_master.select("pk", F.expr("CASE WHEN pk % 2 = 0 THEN timestamp('2020-01-01') END").alias("first_seen"), F.lit("old").alias("sources"))
-    by = {n: measures(t).where(F.col("source") == n) for n in ("gigameter", "mlab", "qos")}
+    by = {n: measures(t).where(F.col("source") == n) for n in ("meter", "mlab", "qos")}
     return jobs.real_time_job(by, stored, ["pk"], "ts")[1].withColumn("first_seen", F.date_format("first_seen", "yyyy-MM-dd"))
 
 

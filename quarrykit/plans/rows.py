@@ -108,13 +108,13 @@ def by_source(t, *names):
 
 @query("jn_08_reconcile_sources", "SELECT school_id, country_key, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS first_seen, string_agg(DISTINCT source, ', ' ORDER BY source) AS sources FROM fx_measure GROUP BY 1, 2")
 def jn_08(t):
-    made = J.first_seen(by_source(t, "gigameter", "mlab", "qos"), ["school_id", "country_key"], "ts")
+    made = J.first_seen(by_source(t, "meter", "mlab", "qos"), ["school_id", "country_key"], "ts")
     return made.withColumn("first_seen", F.date_format("first_seen", "yyyy-MM-dd HH:mm:ss"))
 
 
 @query("jn_09_fourth_source", "WITH u AS (SELECT school_id, CASE WHEN country_key = 2 THEN 7 ELSE country_key END AS country_key, ts, source FROM fx_measure UNION ALL SELECT user_id, 7, ts, 'manual' FROM events WHERE event_type = 'signup') SELECT school_id, country_key, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS first_seen, string_agg(DISTINCT source, ', ' ORDER BY source) AS sources FROM u GROUP BY 1, 2")
 def jn_09(t):
-    moved = {n: df.withColumn("country_key", F.when(F.col("country_key") == 2, 7).otherwise(F.col("country_key"))) for n, df in by_source(t, "gigameter", "mlab", "qos").items()}
+    moved = {n: df.withColumn("country_key", F.when(F.col("country_key") == 2, 7).otherwise(F.col("country_key"))) for n, df in by_source(t, "meter", "mlab", "qos").items()}
     moved["manual"] = t.events.where("event_type = 'signup'").select(F.col("user_id").alias("school_id"), F.lit(7).alias("country_key"), "ts")
     return J.first_seen(moved, ["school_id", "country_key"], "ts").withColumn("first_seen", F.date_format("first_seen", "yyyy-MM-dd HH:mm:ss"))
 

@@ -73,3 +73,48 @@ def test_silent_devices_are_told_and_forgotten(rocks, tmp_path):
     assert told["a", at("01 00:00")] == (round(50 / 60 * 100, 3), 1)
     assert not any(d == "a" and at("01 04:00") <= h < at("01 23:00") for d, h in told)
     assert told["a", at("01 23:00")][1] == 1
+
+
+def test_late_and_missing_metrics_give_the_batch_rows(spark, tmp_path):
+    from quarrykit.streaming.combined import with_metrics
+
+    hour = lambda h: at("01 00:00") + datetime.timedelta(hours=h)
+    base = [("a", hour(h)) for h in range(14)] + [("b", hour(h)) for h in range(0, 14, 3)]
+    speed = [("a", hour(h) + datetime.timedelta(minutes=7), h * 1.5) for h in range(14) if h % 4] + [("b", hour(3) + datetime.timedelta(minutes=59), 9.0), ("c", hour(2), 1.0)]
+    alerts = [("a", hour(5), 2), ("b", hour(6) + datetime.timedelta(minutes=1), 1)]
+    kinds = {"base": "device_id string, hour timestamp", "speed": "device_id string, at timestamp, speed double", "alerts": "device_id string, seen timestamp, alerts int"}
+    rows = {"base": base, "speed": speed, "alerts": alerts}
+    for name, all_rows in rows.items():
+        time_of = lambda r: r[1]
+        parts = [[r for r in all_rows if time_of(r) < hour(5)], [r for r in all_rows if time_of(r) >= hour(5)], [(("z", hour(30)) + (0,) * (len(all_rows[0]) - 2))], [(("z", hour(40)) + (0,) * (len(all_rows[0]) - 2))]]
+        if name == "speed":  # what came at four is late by a file
+            parts[1] += [r for r in parts[0] if r[1].hour == 3]
+            parts[0] = [r for r in parts[0] if r[1].hour != 3]
+        for k, part in enumerate(parts):
+            typed = [tuple(float(v) if name == "speed" and n == 2 else v for n, v in enumerate(r)) for r in part]
+            spark.createDataFrame(typed, kinds[name]).coalesce(1).write.parquet(str(tmp_path / name / str(k)))
+    read = lambda reader, name: reader.schema(kinds[name]).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / name / "*"))
+    made = lambda reader: with_metrics(read(reader, "base"), {"speed": (read(reader, "speed"), "at"), "alerts": (read(reader, "alerts"), "seen")}, late="3 hours")
+    q = made(spark.readStream).writeStream.format("memory").queryName("metrics").outputMode("append").option("checkpointLocation", str(tmp_path / "check")).trigger(availableNow=True).start()
+    q.awaitTermination(180)
+    key = lambda r: (r.device_id, r.hour, r.speed, r.alerts)
+    told = sorted((key(r) for r in spark.table("metrics").collect() if r.device_id != "z"), key=str)
+    want = sorted((key(r) for r in made(spark.read).collect() if r.device_id != "z"), key=str)
+    assert told == want and len(want) == len(base) and any(r[2] is None for r in want)
+
+
+def test_summaries_of_days_merge_to_those_of_all_rows(spark):
+    from quarrykit.operators import summaries
+
+    rows = spark.range(40_000).select((F.col("id") % 3).alias("k"), F.timestamp_seconds(1704067200 + F.col("id") * 41).alias("t"), (F.col("id") % 9001).alias("who"), F.when(F.col("id") % 11 > 0, F.rand(5) * 100).alias("v"))
+    days = summaries.day_summaries(rows, ["k"], "t", "who", "v")
+    assert days.count() == 3 * rows.select(F.to_date("t")).distinct().count()
+    for by in (["k"], []):
+        for r in summaries.merged(days, by, ranks=(0.1, 0.5)).collect():
+            some = rows.where(F.col("k") == r.k) if by else rows
+            n, least, most, ids, count = some.agg(F.count("v"), F.min("v"), F.max("v"), F.countDistinct("who"), F.count("*")).first()
+            assert (r.rows, r.n, r.least, r.most) == (count, n, least, most) and abs(r.ids - ids) <= 0.03 * ids
+            below = [some.where(F.col("v") <= q).count() / n for q in r.quantiles]
+            assert abs(below[0] - 0.1) < 0.02 and abs(below[1] - 0.5) < 0.02
+    none = summaries.merged(summaries.day_summaries(rows.limit(0), ["k"], "t", "who"), ["k"])
+    assert none.collect() == []
