@@ -156,17 +156,18 @@ def _holds(part: Column, grid: float) -> Column:
     return part["in_"] != (F.aggregate(part["edges"], F.lit(0), crossings) % 2 == 1)
 
 
-def _edge_km(e: Column) -> Column:
-    """Distance of a point to the nearest place of an edge, found by projection."""
+def _edge_place(e: Column) -> Column:
+    """km, y, x: the nearest place of an edge, found by projection, and its distance."""
     x1, y1, x2, y2, x, y = e["x1"], e["y1"], e["x2"], e["y2"], F.col("_x"), F.col("_y")
     length = (x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1)
     at = F.when(length > 0, F.greatest(F.lit(0.0), F.least(F.lit(1.0), ((x - x1) * (x2 - x1) + (y - y1) * (y2 - y1)) / length))).otherwise(0.0)
-    return distance_km(y, x, y1 + at * (y2 - y1), x1 + at * (x2 - x1))
+    to_y, to_x = y1 + at * (y2 - y1), x1 + at * (x2 - x1)
+    return F.struct(distance_km(y, x, to_y, to_x).alias("km"), to_y.alias("y"), to_x.alias("x"))
 
 
-def _nearest_km() -> Column:
+def _nearest() -> Column:
     """Of the edges of the cell's only part."""
-    return F.array_min(F.transform(F.get("parts", F.lit(0))["edges"], _edge_km))
+    return F.array_min(F.transform(F.get("parts", F.lit(0))["edges"], _edge_place))
 
 
 def _own_parts(points: DataFrame, sides: DataFrame, polygon: str, lat: str, lon: str, grid: float, km: float) -> DataFrame:
@@ -182,17 +183,20 @@ def within_own(points: DataFrame, sides: DataFrame, polygon: str, lat: str = "la
     return told.withColumn(out, F.when(~no_location(lat, lon), F.coalesce(_holds(F.get("parts", F.lit(0)), grid), F.lit(False)))).drop(*MADE)
 
 
-def boundary_km(points: DataFrame, sides: DataFrame, polygon: str, most_km: float, lat: str = "latitude", lon: str = "longitude", out: str = "boundary_km", grid: float = GRID) -> DataFrame:
-    """points and the distance to the nearest place of the own polygon's boundary, where that is no farther than most_km; else null."""
-    km = _nearest_km()
-    return _own_parts(points, sides, polygon, lat, lon, grid, most_km).withColumn(out, F.when(km <= most_km, km)).drop(*MADE)
+def boundary_km(points: DataFrame, sides: DataFrame, polygon: str, most_km: float, lat: str = "latitude", lon: str = "longitude", out: str = "boundary_km", grid: float = GRID, ellipsoid: bool = False) -> DataFrame:
+    """points and the distance to the nearest place of the own polygon's boundary, where that is no farther than most_km; else null. With `ellipsoid` it is the geodesic to the place that is the nearest on the sphere."""
+    told = _own_parts(points, sides, polygon, lat, lon, grid, most_km * (SPREAD if ellipsoid else 1)).withColumn("_nearest", _nearest())
+    km = geodesic_km(F.col("_y"), F.col("_x"), F.col("_nearest.y"), F.col("_nearest.x")) if ellipsoid else F.col("_nearest.km")
+    return told.withColumn("_km", km).withColumn(out, F.when(F.col("_km") <= most_km, F.col("_km"))).drop(*MADE, "_nearest", "_km")
 
 
-def off_limits(points: DataFrame, sides: DataFrame, polygon: str, most_km: float, lat: str = "latitude", lon: str = "longitude", out: str = "off_limits", grid: float = GRID) -> DataFrame:
-    """points and whether each is outside the polygon of its own key and farther than most_km from its boundary; null without coordinates. One join tells both."""
-    told = _own_parts(points, sides, polygon, lat, lon, grid, most_km)
-    fine = F.coalesce(_holds(F.get("parts", F.lit(0)), grid), F.lit(False)) | F.coalesce(_nearest_km() <= most_km, F.lit(False))
-    return told.withColumn(out, F.when(~no_location(lat, lon), ~fine)).drop(*MADE)
+def off_limits(points: DataFrame, sides: DataFrame, polygon: str, most_km: float, lat: str = "latitude", lon: str = "longitude", out: str = "off_limits", grid: float = GRID, ellipsoid: bool = False) -> DataFrame:
+    """points and whether each is outside the polygon of its own key and farther than most_km from its boundary; null without coordinates. One join tells both. With `ellipsoid` the distance is the geodesic, worked out only
+    for points that the sphere doesn't decide."""
+    told = _own_parts(points, sides, polygon, lat, lon, grid, most_km * (SPREAD if ellipsoid else 1)).withColumn("_nearest", _nearest())
+    near = within_km(F.col("_y"), F.col("_x"), F.col("_nearest.y"), F.col("_nearest.x"), most_km) if ellipsoid else F.col("_nearest.km") <= most_km
+    fine = F.coalesce(_holds(F.get("parts", F.lit(0)), grid), F.lit(False)) | F.coalesce(F.col("_nearest").isNotNull() & near, F.lit(False))
+    return told.withColumn(out, F.when(~no_location(lat, lon), ~fine)).drop(*MADE, "_nearest")
 
 
 def containing(points: DataFrame, sides: DataFrame, polygon: str, lat: str = "latitude", lon: str = "longitude", grid: float = GRID) -> DataFrame:
@@ -217,6 +221,8 @@ def with_region(points: DataFrame, sides: DataFrame, regions: DataFrame, polygon
 #: Axes of the ellipsoid of WGS 84 in km (a, and b by the flattening; fixed values), steps of the inverse problem, and how near to the antipodes (km) they may not settle.
 AXIS_KM, FLATTENING, STEPS, SETTLED = 6378.137, 1 / 298.257223563, 12, 220.0
 POLAR_KM = AXIS_KM * (1 - FLATTENING)
+#: How far the sphere's distance and the ellipsoid's are apart at most.
+SPREAD = 1.006
 
 
 def geodesic_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column, steps: int = STEPS) -> Column:
@@ -280,4 +286,4 @@ def geodesic_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column, steps: i
 def within_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column, km: float) -> Column:
     """Whether two places are no farther than so many km on the ellipsoid: by the great circle, and by the geodesic only where the two, which differ by under 0.6 %, may disagree."""
     sphere = distance_km(lat1, lon1, lat2, lon2)
-    return F.when(sphere <= km / 1.006, True).when(sphere > km * 1.006, False).otherwise(geodesic_km(lat1, lon1, lat2, lon2) <= km)
+    return F.when(sphere <= km / SPREAD, True).when(sphere > km * SPREAD, False).otherwise(geodesic_km(lat1, lon1, lat2, lon2) <= km)

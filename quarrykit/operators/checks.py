@@ -181,9 +181,9 @@ def density_check(df: DataFrame, id_col: str = "school_id_giga", most: int = pro
     return df.join(sizes, key == F.col("_hex"), "left").withColumns(made).drop("_hex", "_n", "_rows")
 
 
-def not_within_check(df: DataFrame, sides: DataFrame, polygon: str, most_km: float = 1.5, out: str = "dq_is_not_within_country") -> DataFrame:
-    """Outside the polygon of the row's key and farther from its boundary than most_km; null without coordinates."""
-    return geo.off_limits(df, sides, polygon, most_km, out=out).withColumn(out, F.col(out).cast("int"))
+def not_within_check(df: DataFrame, sides: DataFrame, polygon: str, most_km: float = 1.5, out: str = "dq_is_not_within_country", ellipsoid: bool = False) -> DataFrame:
+    """Outside the polygon of the row's key and farther from its boundary than most_km, on the sphere or the ellipsoid; null without coordinates."""
+    return geo.off_limits(df, sides, polygon, most_km, out=out, ellipsoid=ellipsoid).withColumn(out, F.col(out).cast("int"))
 
 
 def _all_or_none(*columns: Column) -> Column:

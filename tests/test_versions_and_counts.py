@@ -122,5 +122,22 @@ def test_geodesic_within_a_metre_of_plain_python(spark):
     assert all(r.near == (r.km <= 111.3) for r in near)
 
 
+def test_boundary_on_the_ellipsoid(spark):
+    """A square at 60 degrees, where the sphere is some 0.3 % off: points within and beyond a limit that the sphere would judge otherwise."""
+    ring = [(0.0, 59.0), (2.0, 59.0), (2.0, 60.0), (0.0, 60.0), (0.0, 59.0)]
+    sides = geo.edges(spark.createDataFrame([("p", k, x, y) for k, (x, y) in enumerate(ring)], "poly string, seq int, lon double, lat double"), "poly")
+    rng = random.Random(8)
+    points = [(k, "p", 60.0 + rng.uniform(0.0895, 0.0903), rng.uniform(0.2, 1.8)) for k in range(200)] + [(900, "p", 59.5, 1.0), (901, "p", 70.0, 1.0), (902, "p", None, 1.0)]
+    df = spark.createDataFrame(points, "id int, poly string, latitude double, longitude double")
+    km = {k: plain_km(y, x, 60.0, x) for k, _, y, x in points[:200]}
+    limit = sorted(km.values())[100] + 1e-9
+    off = {r.id: r.off_limits for r in geo.off_limits(df, sides, "poly", limit, ellipsoid=True).collect()}
+    assert off == {k: v > limit for k, v in km.items()} | {900: False, 901: True, 902: None}
+    told = {r.id: r.boundary_km for r in geo.boundary_km(df, sides, "poly", limit, ellipsoid=True).collect()}
+    assert all((told[k] is None) == (v > limit) and (told[k] is None or told[k] == pytest.approx(v, abs=1e-6)) for k, v in km.items())
+    on_sphere = {r.id: r.off_limits for r in geo.off_limits(df, sides, "poly", limit).collect()}
+    assert on_sphere != off
+
+
 def test_folders_are_shared_ones(spark):
     assert new_folder(spark, "a").rsplit("/", 1)[0] == new_folder(spark, "b").rsplit("/", 1)[0]
