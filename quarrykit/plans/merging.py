@@ -186,6 +186,26 @@ def src_07(t):
     return t.fx_feed.where("_commit_version >= 2").select("pk", "_commit_version", "_change_type")
 
 
+@query("mrg_04_map_columns", """WITH m AS (SELECT pk, name, qty % 5 AS a, qty % 3 AS b FROM fx_master), i AS (SELECT pk, name, CASE WHEN pk % 4 <> 0 THEN qty % 5 END AS a, CASE WHEN pk % 4 <> 0 THEN qty % 3 END AS b FROM fx_incoming)
+SELECT i.pk, coalesce(i.name, m.name) AS name, CASE WHEN i.pk % 4 <> 0 THEN i.a ELSE m.a END AS a, CASE WHEN i.pk % 4 <> 0 THEN i.b ELSE m.b END AS b FROM i LEFT JOIN m ON i.pk = m.pk""")
+def mrg_04_maps(t):
+    checks = F.create_map(F.lit("a"), F.col("qty") % 5, F.lit("b"), F.col("qty") % 3)
+    master = t.fx_master.select("pk", "name", checks.alias("dq_results"))
+    incoming = t.fx_incoming.select("pk", "name", F.when(F.col("pk") % 4 != 0, checks).alias("dq_results"))
+    merged = M.full_merge(master, incoming, ["pk"], ["pk", "name", "dq_results"])
+    return merged.select("pk", "name", F.col("dq_results")["a"].alias("a"), F.col("dq_results")["b"].alias("b"))
+
+
+@query("mrg_15_map_columns", """WITH s AS (SELECT pk, name, qty % 2 = 0 AS even, qty % 7 AS k FROM fx_master) SELECT pk, CASE WHEN pk % 5 = 0 THEN 'new' ELSE name END AS name, CASE WHEN pk % 5 = 0 THEN 1 ELSE CAST(even AS INT) END AS even, k FROM s WHERE pk % 8 <> 4 OR pk % 5 = 0""")
+def mrg_15_maps(t):
+    silver = t.fx_master.select("pk", "name", F.create_map(F.lit("even"), (F.col("qty") % 2 == 0).cast("int"), F.lit("k"), F.col("qty") % 7).alias("dq_results"))
+    update = silver.where("pk % 5 = 0").select("pk", F.lit("new").alias("name"), F.create_map(F.lit("even"), F.lit(1), F.lit("k"), F.col("dq_results")["k"]).alias("dq_results"), F.lit("UPDATE").alias("change_type"), F.concat(F.lit("u"), "pk").alias("change_id"))
+    delete = silver.where("pk % 8 = 4 AND pk % 5 <> 0").select("*", F.lit("DELETE").alias("change_type"), F.concat(F.lit("d"), "pk").alias("change_id"))
+    changes = update.unionByName(delete)
+    after = M.apply_approval(silver, changes, changes.select("change_id"), "pk", ["pk", "name", "dq_results"])
+    return after.select("pk", "name", F.col("dq_results")["even"].alias("even"), F.col("dq_results")["k"].alias("k"))
+
+
 @query("mrg_22_outbox", "SELECT pk, pk % 3 = 0 OR pk IN (SELECT pk FROM fx_incoming WHERE pk % 3 <> 0 AND qty % 2 = 0) AS is_pushed FROM fx_incoming")
 def mrg_22(t):
     rows = t.fx_incoming.withColumn("is_pushed", F.expr("pk % 3 = 0"))

@@ -230,6 +230,11 @@ def srt_01(t):
     return W.with_place(rows, [F.col("dq_has_critical_error").desc(), F.col("pk")]).withColumn("place", F.col("place").cast("bigint"))
 
 
+@query("srt_01_all_columns", "SELECT *, row_number() OVER (ORDER BY o_orderdate DESC, o_orderkey) AS place FROM orders")
+def srt_01_all(t):
+    return W.with_place(t.orders, [F.col("o_orderdate").desc(), F.col("o_orderkey")])
+
+
 @query("srt_02_latest_version", "SELECT DISTINCT _commit_version FROM fx_feed ORDER BY 1 DESC LIMIT 1")
 def srt_02(t):
     return W.latest(t.fx_feed.select("_commit_version").distinct(), "_commit_version")
