@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import re
 import shutil
 import tempfile
@@ -78,8 +79,16 @@ def sampled(df: DataFrame, key: str, text: str, rows: int) -> DataFrame:
     return (df.where(chance < rows / n) if n > rows else df).limit(2 * rows)
 
 
+def settle() -> None:
+    """Gives freed memory back to the system. A Python worker stays for later tasks of its executor, and with it would stay what it once needed."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+    if trim:
+        trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = ROWS_AT_ONCE, most: int = BYTES_AT_ONCE) -> Iterator[pa.RecordBatch]:
-    """Each batch in slices of so many rows and so many bytes of texts at most, one row at least."""
+    """Each batch in slices of so many rows and so many bytes of texts at most, one row at least; settles behind the last."""
     for batch in batches:
         size = np.zeros(batch.num_rows, np.int64)
         for c in batch.columns:
@@ -91,6 +100,8 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = ROWS_AT_ONCE, most: in
             end = max(at + 1, min(at + rows, int(np.searchsorted(total, held, "right"))))
             yield batch.slice(at, end - at)
             at = end
+    batch = None
+    settle()
 
 
 def texts_of(column: pa.Array) -> list[str | None]:
