@@ -192,8 +192,9 @@ def learned(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
     rows = docs.where(trains(docs[id_col])).select(docs[id_col].alias("_of"), docs[text_col].alias("_text")).join(F.broadcast(ids), F.col("_of") == F.col("_id"), "left")
     rows = rows.select("_of", "_text", F.col("_id").isNotNull().alias("_good"), (F.xxhash64(F.lit(1), F.col("_of").cast("string")).bitwiseAND((1 << 30) - 1) / float(1 << 30) < sample / n).alias("_web"))
     made = per_text(rows.where("_good OR _web"), ["_good", "_web"], "_text", "x binary", lambda texts: [pa.array([inputs(t).tobytes() for t in texts], pa.binary())], as_bytes=True)
-    side = lambda name: np.frombuffer(b"".join(sorted(bytes(r[0]) for r in made.where(name).select("x").limit(2 * sample).collect())), np.float32).reshape(-1, INPUTS)
-    good, web = side("_good"), side("_web")
+    found = [(r["_good"], r["_web"], bytes(r["x"])) for r in made.limit(4 * sample).collect()]
+    side = lambda k: np.frombuffer(b"".join(sorted(r[2] for r in found if r[k])), np.float32).reshape(-1, INPUTS)
+    good, web = side(0), side(1)
     if not len(good) or not len(web):
         return None
     return train(good, web, class_prior(good, web))
