@@ -95,8 +95,8 @@ def _inside(sides: DataFrame, polygon: str, grid: float) -> DataFrame:
     return spans.select(polygon, F.explode(F.sequence("a", "b")).alias("_i"), "_j")
 
 
-def cover(sides: DataFrame, polygon: str, own: bool, grid: float = GRID, km: float = 0.0, most: int = MOST) -> DataFrame:
-    """Cells of the polygons as rows: level, _i, _j, parts (polygon, in_, edges).
+def cover(sides: DataFrame, polygon: str, own: bool, grid: float = GRID, km: float = 0.0, most: int = MOST) -> tuple[DataFrame, int, int]:
+    """Cells of the polygons as rows: level, _i, _j, parts (polygon, in_, edges); the number of cells and edges together, and the deepest level. Written once; cells are split, in Python, only if there are large ones.
 
     With `own` a cell is of one polygon, named in the column `_own`, else of all that meet there. Edges are those that come within so many km of a cell."""
     edge = F.struct("x1", "y1", "x2", "y2")
@@ -109,23 +109,28 @@ def cover(sides: DataFrame, polygon: str, own: bool, grid: float = GRID, km: flo
     else:
         whole = cells.groupBy("_i", "_j").agg(F.collect_list(part).alias("parts"))
     edges_of = F.aggregate("parts", F.lit(0), lambda n, p: n + F.size(p["edges"]))
+    whole = cut(whole.withColumn("level", F.lit(0)))
+    size, largest = whole.agg(F.sum(1 + edges_of), F.max(edges_of)).first()
+    if (largest or 0) <= most:
+        return whole, size or 0, 0
     kind = dict(whole.dtypes)
-    schema = ", ".join([*(f"{k} {kind[k]}" for k in keys), "level int, _i bigint, _j bigint", f"parts {kind['parts']}"])
     names = [*keys, "level", "_i", "_j", "parts"]
+    schema = ", ".join(f"{c} {kind[c]}" for c in names)
     large = whole.where(edges_of > most).select(*keys, "_i", "_j", "parts").mapInArrow(lambda x: split_rows(x, len(keys), grid, km, most), schema)
-    return whole.where(edges_of <= most).withColumn("level", F.lit(0)).select(*names).unionByName(large.select(*names))
+    cells = cut(whole.where(edges_of <= most).select(*names).unionByName(large))
+    size, deepest = cells.agg(F.sum(1 + edges_of), F.max("level")).first()
+    return cells, size, deepest
 
 
-def _parted(points: DataFrame, cells: DataFrame, own: str | None, lat: str, lon: str, grid: float) -> DataFrame:
+def _parted(points: DataFrame, covered: tuple[DataFrame, int, int], own: str | None, lat: str, lon: str, grid: float) -> DataFrame:
     """points, _x, _y, the level of the cell that each is in, and its parts (null where none); own is the column with a point's polygon.
 
     The cover is made once; where it has at most SMALL cells and edges together it is broadcast, else joined by shuffles. A point in a cell of the grid that was split has a row for each of its
     levels, of which exactly one finds its cell."""
     at = lambda c, level: F.floor(F.col(c) / grid * F.pow(F.lit(2.0), level)).cast("bigint")
     down = lambda c: F.floor(F.col(c) / F.pow(F.lit(2.0), F.col("level"))).cast("bigint")
-    cells = cut(cells)
-    size, deepest = cells.agg(F.sum(1 + F.aggregate("parts", F.lit(0), lambda n, p: n + F.size(p["edges"]))), F.max("level")).first()
-    dealt = F.broadcast if (size or 0) <= SMALL else lambda df: df
+    cells, size, deepest = covered
+    dealt = F.broadcast if size <= SMALL else lambda df: df
     keys = ["_own"] if own else []
     told = points.withColumns({"_x": col(lon).try_cast("double"), "_y": col(lat).try_cast("double")})
     if deepest:
@@ -137,14 +142,15 @@ def _parted(points: DataFrame, cells: DataFrame, own: str | None, lat: str, lon:
         told = told.withColumns({"_level": F.lit(0), "_levels": F.lit(None).cast("array<int>")})
     same = (F.col("_level") == F.col("level")) & (at("_x", F.col("_level")) == F.col("_i")) & (at("_y", F.col("_level")) == F.col("_j"))
     same = same & (told[own] == F.col("_own")) if own else same
-    return told.join(dealt(cells), same, "left").where("_levels IS NULL OR level IS NOT NULL").drop("_levels", "level", "_i", "_j", "_own")
+    placed = told.join(dealt(cells), same, "left").where("_levels IS NULL OR level IS NOT NULL")
+    # the cell's place, a column of its own so that it isn't worked out for each edge
+    spot = lambda c, k: (F.col(c) + PLACE[k]) * grid / F.pow(F.lit(2.0), F.col("level"))
+    return placed.withColumns({"_x0": spot("_i", 0), "_y0": spot("_j", 1)}).drop("_levels", "_level", "level", "_i", "_j", "_own")
 
 
-def _holds(part: Column, grid: float) -> Column:
+def _holds(part: Column) -> Column:
     """Whether a part's polygon holds the point: on the side of the cell's place, unless the way between them, level and then upright, crosses an odd number of edges."""
-    size = F.lit(grid) / F.pow(F.lit(2.0), F.col("_level"))
-    x, y = F.col("_x"), F.col("_y")
-    x0, y0 = (F.floor(x / size) + PLACE[0]) * size, (F.floor(y / size) + PLACE[1]) * size
+    x, y, x0, y0 = (F.col(c) for c in ("_x", "_y", "_x0", "_y0"))
 
     def crossings(n: Column, e: Column) -> Column:
         x1, y1, x2, y2 = (e[c] for c in ("x1", "y1", "x2", "y2"))
@@ -156,31 +162,44 @@ def _holds(part: Column, grid: float) -> Column:
     return part["in_"] != (F.aggregate(part["edges"], F.lit(0), crossings) % 2 == 1)
 
 
-def _edge_place(e: Column) -> Column:
-    """km, y, x: the nearest place of an edge, found by projection, and its distance."""
-    x1, y1, x2, y2, x, y = e["x1"], e["y1"], e["x2"], e["y2"], F.col("_x"), F.col("_y")
-    length = (x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1)
-    at = F.when(length > 0, F.greatest(F.lit(0.0), F.least(F.lit(1.0), ((x - x1) * (x2 - x1) + (y - y1) * (y2 - y1)) / length))).otherwise(0.0)
-    to_y, to_x = y1 + at * (y2 - y1), x1 + at * (x2 - x1)
-    return F.struct(distance_km(y, x, to_y, to_x).alias("km"), to_y.alias("y"), to_x.alias("x"))
+def _nearest() -> Column:
+    """km, y, x of the nearest place of the edges of the cell's only part: on each edge found by projection, then the least distance. Each step binds what the next one uses more than once."""
+    x, y = F.col("_x"), F.col("_y")
 
+    def share(e: Column) -> Column:
+        x1, y1, x2, y2 = (e[c] for c in ("x1", "y1", "x2", "y2"))
+        length = (x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1)
+        at = F.when(length > 0, F.greatest(F.lit(0.0), F.least(F.lit(1.0), ((x - x1) * (x2 - x1) + (y - y1) * (y2 - y1)) / length))).otherwise(0.0)
+        return F.struct(e.alias("e"), at.alias("at"))
 
-def _nearest() -> Column:
-    """Of the edges of the cell's only part."""
-    return F.array_min(F.transform(F.get("parts", F.lit(0))["edges"], _edge_place))
+    def place(s: Column) -> Column:
+        e, at = s["e"], s["at"]
+        return F.struct((e["y1"] + at * (e["y2"] - e["y1"])).alias("y"), (e["x1"] + at * (e["x2"] - e["x1"])).alias("x"))
+
+    def halves(p: Column) -> Column:
+        return F.struct(p.alias("p"), F.sin(F.radians(p["y"] - y) / 2).alias("a"), F.sin(F.radians(p["x"] - x) / 2).alias("b"))
+
+    def far(h: Column) -> Column:
+        square = h["a"] * h["a"] + F.cos(F.radians(y)) * F.cos(F.radians(h["p"]["y"])) * h["b"] * h["b"]
+        return F.struct((F.lit(2 * EARTH_KM) * F.asin(F.sqrt(F.least(square, F.lit(1.0))))).alias("km"), h["p"]["y"].alias("y"), h["p"]["x"].alias("x"))
+
+    found = F.get("parts", F.lit(0))["edges"]
+    for step in (share, place, halves, far):
+        found = F.transform(found, step)
+    return F.array_min(found)
 
 
 def _own_parts(points: DataFrame, sides: DataFrame, polygon: str, lat: str, lon: str, grid: float, km: float) -> DataFrame:
     return _parted(points, cover(sides, polygon, True, grid, km), polygon, lat, lon, grid)
 
 
-MADE = ("_x", "_y", "_level", "parts")
+MADE = ("_x", "_y", "_x0", "_y0", "parts")
 
 
 def within_own(points: DataFrame, sides: DataFrame, polygon: str, lat: str = "latitude", lon: str = "longitude", out: str = "within", grid: float = GRID) -> DataFrame:
     """points and whether each is within the polygon of its own key; null without coordinates."""
     told = _own_parts(points, sides, polygon, lat, lon, grid, 0.0)
-    return told.withColumn(out, F.when(~no_location(lat, lon), F.coalesce(_holds(F.get("parts", F.lit(0)), grid), F.lit(False)))).drop(*MADE)
+    return told.withColumn(out, F.when(~no_location(lat, lon), F.coalesce(_holds(F.get("parts", F.lit(0))), F.lit(False)))).drop(*MADE)
 
 
 def boundary_km(points: DataFrame, sides: DataFrame, polygon: str, most_km: float, lat: str = "latitude", lon: str = "longitude", out: str = "boundary_km", grid: float = GRID, ellipsoid: bool = False) -> DataFrame:
@@ -193,16 +212,17 @@ def boundary_km(points: DataFrame, sides: DataFrame, polygon: str, most_km: floa
 def off_limits(points: DataFrame, sides: DataFrame, polygon: str, most_km: float, lat: str = "latitude", lon: str = "longitude", out: str = "off_limits", grid: float = GRID, ellipsoid: bool = False) -> DataFrame:
     """points and whether each is outside the polygon of its own key and farther than most_km from its boundary; null without coordinates. One join tells both. With `ellipsoid` the distance is the geodesic, worked out only
     for points that the sphere doesn't decide."""
-    told = _own_parts(points, sides, polygon, lat, lon, grid, most_km * (SPREAD if ellipsoid else 1)).withColumn("_nearest", _nearest())
+    told = _own_parts(points, sides, polygon, lat, lon, grid, most_km * (SPREAD if ellipsoid else 1)).withColumn("_in", F.coalesce(_holds(F.get("parts", F.lit(0))), F.lit(False)))
+    told = told.withColumn("_nearest", F.when(~F.col("_in"), _nearest()))  # of those outside alone
     near = within_km(F.col("_y"), F.col("_x"), F.col("_nearest.y"), F.col("_nearest.x"), most_km) if ellipsoid else F.col("_nearest.km") <= most_km
-    fine = F.coalesce(_holds(F.get("parts", F.lit(0)), grid), F.lit(False)) | F.coalesce(F.col("_nearest").isNotNull() & near, F.lit(False))
-    return told.withColumn(out, F.when(~no_location(lat, lon), ~fine)).drop(*MADE, "_nearest")
+    fine = F.col("_in") | F.coalesce(F.col("_nearest").isNotNull() & near, F.lit(False))
+    return told.withColumn(out, F.when(~no_location(lat, lon), ~fine)).drop(*MADE, "_in", "_nearest")
 
 
 def containing(points: DataFrame, sides: DataFrame, polygon: str, lat: str = "latitude", lon: str = "longitude", grid: float = GRID) -> DataFrame:
     """points and, in the column `polygon`, the smallest key of the polygons that contain each, or null."""
     told = _parted(points, cover(sides, polygon, False, grid), None, lat, lon, grid)
-    held = F.filter("parts", lambda p: _holds(p, grid))
+    held = F.filter("parts", _holds)
     return told.withColumn(polygon, F.array_min(F.transform(held, lambda p: p["polygon"]))).drop(*MADE)
 
 

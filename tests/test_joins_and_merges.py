@@ -155,7 +155,7 @@ def test_a_town_on_a_detailed_coast(spark):
     line = np.array([tuple(r) for r in ring.orderBy("id").select("x", "y").collect()])
     closed = ring.union(spark.createDataFrame([(1, n, *map(float, line[0]))], "poly int, id long, x double, y double"))
     sides = geo.edges(closed, "poly", "id", "x", "y")
-    cover = geo.cover(sides, "poly", True).where("size(parts) > 0").select("level", F.size(F.get("parts", F.lit(0))["edges"]).alias("n"))
+    cover = geo.cover(sides, "poly", True)[0].where("size(parts) > 0").select("level", F.size(F.get("parts", F.lit(0))["edges"]).alias("n"))
     most, deepest, cells = cover.agg(F.max("n"), F.max("level"), F.count("*")).first()
     assert most <= cells_of.MOST and 0 < deepest < cells_of.DEPTH and cells < n
     town = spark.range(1_000_000).select("id", F.lit(1).alias("poly"), (41 + 0.01 * F.rand(3) - 0.005).alias("latitude"), (13 + 0.01 * F.rand(4) - 0.005).alias("longitude"))
