@@ -21,6 +21,15 @@ def seconds(a: Column, b: Column) -> Column:
     return F.unix_micros(b.cast("timestamp")) / F.lit(1e6) - F.unix_micros(a.cast("timestamp")) / F.lit(1e6)
 
 
+def micros(a: Column, b: Column) -> Column:
+    return F.unix_micros(b.cast("timestamp")) - F.unix_micros(a.cast("timestamp"))
+
+
+def percent_of_hour(us: Column) -> Column:
+    """Of whole microseconds, rounded half up to thousandths; exact, whatever order they were summed in."""
+    return F.floor((us + 18_000) / F.lit(36_000)) / F.lit(1000.0)
+
+
 def seeded(events: DataFrame, start: Column, device: str = "device_id", time: str = "ts", status: str = "status", tie: str = "event_id") -> DataFrame:
     """Events from start on, and at start the state that each device had: device, time, status, tie."""
     last = last_before(events, device, time, status, start, tie).select(device, start.alias(time), status, F.lit(-1).cast("bigint").alias(tie))
@@ -48,15 +57,15 @@ def hourly_uptime(events: DataFrame, start: Column, end: Column, device: str = "
     rows = events.withColumn(time, col(time).cast("timestamp"))
     known = seeded(rows, start, device, time, status, tie).where(col(time) < end)
     on = online_intervals(known, end, device, time, status, tie).withColumn("hour", F.explode(hours_of(F.col("start"), F.col("end"))))
-    clipped = seconds(F.greatest("start", "hour"), F.least("end", F.col("hour") + F.expr("INTERVAL 1 HOUR")))
-    # states, seconds online and the empty hours of the grid are rows of one union, summed by one shuffle
+    clipped = micros(F.greatest("start", "hour"), F.least("end", F.col("hour") + F.expr("INTERVAL 1 HOUR")))
+    # states, time online and the empty hours of the grid are rows of one union, summed by one shuffle
     parts = [
-        on.select(device, "hour", clipped.alias("s"), F.lit(0).alias("n")),
-        rows.where((col(time) >= start) & (col(time) < end)).select(device, F.date_trunc("hour", time).alias("hour"), F.lit(0.0), F.lit(1)),
-        known.select(device).distinct().select(device, F.explode(hours_of(start, end)).alias("hour"), F.lit(0.0), F.lit(0)),
+        on.select(device, "hour", clipped.alias("us"), F.lit(0).alias("n")),
+        rows.where((col(time) >= start) & (col(time) < end)).select(device, F.date_trunc("hour", time).alias("hour"), F.lit(0), F.lit(1)),
+        known.select(device).distinct().select(device, F.explode(hours_of(start, end)).alias("hour"), F.lit(0), F.lit(0)),
     ]
-    total = reduce(lambda a, b: a.union(b), parts).groupBy(device, "hour").agg(F.sum("s").alias("s"), F.sum("n").alias("count_state"))
-    return total.select(device, "hour", F.round(F.col("s") / 36.0, 3).alias("uptime_percentage"), "count_state")
+    total = reduce(lambda a, b: a.union(b), parts).groupBy(device, "hour").agg(F.sum("us").alias("us"), F.sum("n").alias("count_state"))
+    return total.select(device, "hour", percent_of_hour(F.col("us")).alias("uptime_percentage"), "count_state")
 
 
 def reprocess_from(events: DataFrame, done: DataFrame, time: str = "ts", back: str = "2 hours") -> DataFrame:

@@ -193,7 +193,11 @@ def pipe_11(t):
     return jobs.list_job(rows, {"code": "pk", "title": "name"}, t.fx_master, "pk", ["level"], "u1", now()).select("pk", "name", "level", "change_type")
 
 
-@query("pipe_12_uptime", f"WITH {UPTIME}, h AS (SELECT device_id, hour, round(sum(s) / 36.0, 3) AS up FROM u GROUP BY 1, 2) SELECT h.device_id, count(*) AS hours, CAST(sum(CAST(round(up * 1000) AS BIGINT)) AS BIGINT) AS total, min(name) AS name FROM h LEFT JOIN fx_master m ON h.device_id = CAST(m.pk AS VARCHAR) GROUP BY 1")
+#: Time online in whole microseconds: an hour's percentage is rounded half up to thousandths, and sums of fractions of a second leave halves to chance.
+UPTIME_US = UPTIME.replace(" / 1e6 AS s", " AS us")
+
+
+@query("pipe_12_uptime", f"WITH {UPTIME_US}, h AS (SELECT device_id, hour, (CAST(sum(us) AS BIGINT) + 18000) // 36000 AS up FROM u GROUP BY 1, 2) SELECT h.device_id, count(*) AS hours, CAST(sum(up) AS BIGINT) AS total, min(name) AS name FROM h LEFT JOIN fx_master m ON h.device_id = CAST(m.pk AS VARCHAR) GROUP BY 1")
 def pipe_12(t):
     devices = t.fx_master.select(F.col("pk").cast("string").alias("device_id"), "name")
     made = jobs.uptime_job(t.fx_status, devices, *window(t))

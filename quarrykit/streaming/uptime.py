@@ -16,7 +16,7 @@ STATE = "since bigint, status string, times array<bigint>, states array<string>,
 
 
 def _told(since: int, status: str | None, events: list[tuple[int, int, str]], until: int) -> tuple[list[tuple[int, float, int]], str | None]:
-    """(hour, percent, changes) of each hour of [since, until), and the status at the end."""
+    """(hour, percent, changes) of each hour of [since, until), and the status at the end. Percents as operators.events.percent_of_hour has them."""
     online, changes = {h: 0 for h in range(since, until, HOUR)}, {h: 0 for h in range(since, until, HOUR)}
 
     def credit(a: int, b: int) -> None:
@@ -34,7 +34,7 @@ def _told(since: int, status: str | None, events: list[tuple[int, int, str]], un
         changes[time - time % HOUR] += 1
     if status is not None and status != "offline":
         credit(at, until)
-    return [(h, round(online[h] / 36_000_000, 3), changes[h]) for h in online], status
+    return [(h, (online[h] + 18_000) // 36_000 / 1000, changes[h]) for h in online], status
 
 
 def _advance(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:

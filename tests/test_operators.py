@@ -6,9 +6,11 @@ import uuid
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from oracle import compare, connect
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarrykit import registry
 from quarrykit.functions import geo, similarity
 from quarrykit.operators import checks as C
 from quarrykit.operators import events as E
@@ -16,7 +18,7 @@ from quarrykit.operators import joins as J
 from quarrykit.operators import merge as M
 from quarrykit.operators import project as P
 from quarrykit.operators import schema as S
-from quarrykit.streaming.uptime import stream_uptime
+from quarrykit.streaming.uptime import HOUR, _told, stream_uptime
 
 FEW = settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
@@ -196,6 +198,27 @@ def test_hourly_uptime(spark):
     assert got["c", 4] == (0.028, 1) and got["c", 1] == (0.0, 0)
 
 
+def test_uptime_is_rounded_half_up(spark, tmp_path):
+    """Hours whose time online lies halfway between two thousandths of a percent, in one stretch and in three; the query against its SQL and whole numbers."""
+    rows, want = [], {}
+    for k in range(150):
+        at, us, device = datetime.datetime(2024, 1, 2, 1) + datetime.timedelta(microseconds=7919 * k + 13), 36_000 * (211 * k + 7) + 18_000, str(k)
+        pieces = [us] if k % 2 else [us // 3 + k, us // 3 - k, us - 2 * (us // 3)]
+        rows.append((device, datetime.datetime(2024, 1, 1), "error"))
+        for piece in pieces:
+            rows += [(device, at, "view"), (device, at + datetime.timedelta(microseconds=piece), "error")]
+            at += datetime.timedelta(microseconds=piece + 1001)
+        want[device] = (us + 18_000) // 36_000
+    rows = [(n, ts, int(device), kind) for n, (device, ts, kind) in enumerate(rows)]
+    spark.createDataFrame(rows, "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string").write.parquet(str(tmp_path / "events.parquet"))
+    spark.read.parquet("/root/testdata/sf0.001/customer.parquet").write.parquet(str(tmp_path / "customer.parquet"))
+    made = registry.queries()["pipe_12_uptime"](spark, str(tmp_path))
+    assert {r.device_id: r.total for r in made.collect()} == want
+    assert compare(made, connect(str(tmp_path)), registry.oracle_sql()["pipe_12_uptime"]) is None
+    for us in (18_000, 54_000, 17_999, 90_000):
+        assert _told(0, "online", [(us, 1, "offline")], HOUR)[0] == [(0, (us + 18_000) // 36_000 / 1000, 1)]
+
+
 def test_downtime_uses_previous_status(spark):
     at = lambda t: F.lit(t).cast("timestamp")
     rows = events(spark).withColumn("was", F.lit("offline"))
