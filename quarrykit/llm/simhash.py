@@ -11,8 +11,9 @@ a task of its own; every pair of members meets in one of them. No link is lost a
 
 similar_texts does the same for texts of a Jaccard similarity of about 0.8 or more in 5-word shingles. Fingerprints of 64 bits are too short for that:
 such texts differ by about a sixth of the bits, give or take. Its sketches have 256 bits, of the distinct shingles; two link at DISTANCE or fewer
-differing bits. Sixteen bits of a segment with one deleted are what an index carries, so SEGMENTS segments of 16 bits are indexed: if at most 2 * SEGMENTS - 1 of these
-16 * SEGMENTS bits differ, one segment differs by one bit at most; beyond that most linked pairs still have such a segment (the README has the measured recall).
+differing bits. No index of such sketches is both exact and selective (with every segment that must be near somewhere, an entry's candidates are an eighth of all pairs), so every
+pair of distinct sketches is compared: sketches are dealt out to tiles, each pair of tiles is one task's work on arrays of bounded size, and what it emits is connectivity, at most an edge a member. Nothing
+that links is left out; the work grows with the square of the distinct sketches (the README has the figures).
 
 Defined results: a null text counts as empty; without words the fingerprint is zero, and zero links like any other;
 bytes that aren't UTF-8 are hashed as they are; columns other than id and text are not read by near_duplicates and pass through drop_near_duplicates;
@@ -29,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import column_type, cut, documents, new_folder, per_text
+from .common import column_type, cut, documents, new_folder, per_text, settle
 from .components import connected_components
 
 WIDTH, SEED, RADIUS, BLOCK = 4, 42, 4, 8192
@@ -37,9 +38,11 @@ WIDTH, SEED, RADIUS, BLOCK = 4, 42, 4, 8192
 BITS_AT_ONCE, ROWS, SMALL = 65536, 200_000, 32
 #: A fingerprint with more than this share of all rows gets its class by broadcast.
 HOT = 1024
-#: Sketches for 0.8 of Jaccard: words of a shingle, 64-bit words of a sketch, indexed segments of 16 bits, and the most differing bits of a link. Of 256 bits
+#: Sketches for 0.8 of Jaccard: words of a shingle, 64-bit words of a sketch, and the most differing bits of a link. Of 256 bits
 #: 39 differ in the mean at a Jaccard of 0.8, with a deviation of 6, 49 at 0.7 and 59 at 0.6.
-SHINGLE, SKETCH, SEGMENTS, DISTANCE = 5, 4, 9, 44
+SHINGLE, SKETCH, DISTANCE = 5, 4, 44
+#: Sketches of a pair of tiles, tiles that smaller tables are dealt out to (of LEAST sketches or more), tasks at most, and rows and columns that are compared at once.
+PAIR, TILES, LEAST, MOST_TASKS, ACROSS = 1 << 19, 16, 512, 10_000, (8, 4096)
 
 
 def _hashes(text: bytes | None, width: int, seed: int) -> Iterator[np.ndarray]:
@@ -214,11 +217,83 @@ def links(fps: DataFrame, block: int = BLOCK, radius: int = RADIUS) -> DataFrame
     return _links_of(fps.select("fp", F.explode(variants(F.col("fp"), radius)).alias("key")), block, radius)
 
 
-def sketch_links(fps: DataFrame, block: int = BLOCK, distance: int = DISTANCE) -> DataFrame:
-    """As links, of sketches. The 16 * SEGMENTS index keys have the deleted bit in the upper bits and what is left of its segment below."""
-    cuts = fps.select("fp", *(F.conv(F.hex(F.substring("fp", 2 * k + 1, 2)), 16, 10).cast("int").alias(f"_{k}") for k in range(SEGMENTS)))
-    keys = [F.col(f"_{k}").bitwiseAND(0xFFFF & ~(1 << bit)).bitwiseOR(F.lit((16 * k + bit) << 16)) for k in range(SEGMENTS) for bit in range(16)]
-    return _links_of(cuts.select("fp", F.explode(F.array(*keys)).alias("key")), block, distance)
+def _roots(parent: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The roots of these members, which they then point to."""
+    root = parent[at]
+    while len(up := parent[root]) and (up != root).any():
+        root = up
+    parent[at] = root
+    return root
+
+
+def tile_roots(a: np.ndarray, b: np.ndarray | None, distance: int) -> np.ndarray:
+    """Of the sketches of a and then b: the index of the first member of each one's component, by links between a and b, or within a where b is None.
+
+    Half of the bits are compared first; few pairs are left of which the rest is."""
+    left, right = (a, a) if b is None else (a, b)
+    shift = 0 if b is None else len(a)
+    parent, half = np.arange(shift + len(right)), SKETCH // 2
+    rows, columns = ([np.ascontiguousarray(x[:, k]) for k in range(half)] for x in (left, right))
+    most, across = ACROSS
+    for j in range(0, len(right), across):
+        for i in range(0, min(len(left), j + across) if b is None else len(left), most):
+            n = np.bitwise_count(rows[0][i : i + most, None] ^ columns[0][j : j + across])
+            for k in range(1, half):
+                n += np.bitwise_count(rows[k][i : i + most, None] ^ columns[k][j : j + across])
+            if not (near := n <= distance).any():
+                continue
+            x, y = np.nonzero(near)
+            x, y = x + i, y + j
+            close = _near(left[x], right[y], distance)
+            x, y = x[close], y[close] + shift
+            while True:
+                p, q = _roots(parent, x), _roots(parent, y)
+                if not (apart := p != q).any():
+                    break
+                parent[np.maximum(p, q)[apart]] = np.minimum(p, q)[apart]  # of several the last holds; the others are met in the next round
+                x, y = x[apart], y[apart]
+    return _roots(parent, np.arange(len(parent)))
+
+
+def _link_tiles(batches: Iterator[pa.RecordBatch], tiles: int, distance: int) -> Iterator[pa.RecordBatch]:
+    """Batches (key, second, fp) ordered by key, a pair of tiles each; second tells the tile. Holds one pair."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def made(key: int) -> Iterator[pa.RecordBatch]:
+        second, fps = (np.concatenate(x) for x in zip(*held, strict=True))
+        held.clear()
+        a, b = fps[~second], fps[second]
+        root = tile_roots(a, None if key // tiles == key % tiles else b, distance)
+        both = np.concatenate((a, b))
+        linked = np.flatnonzero(root != np.arange(len(both)))
+        for at in range(0, len(linked), ROWS):
+            some = linked[at : at + ROWS]
+            yield pa.RecordBatch.from_arrays([_column(both[root[some]]), _column(both[some])], names=["a", "b"])
+
+    last = None
+    for batch in batches:
+        key, second, fps = batch.column(0).to_numpy(), batch.column(1).to_numpy(zero_copy_only=False), _numbers(batch.column(2))
+        cuts = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1).tolist(), len(key)]
+        for at, end in zip(cuts, cuts[1:], strict=False):
+            if at == end:
+                continue
+            if held and key[at] != last:
+                yield from made(last)
+            last = int(key[at])
+            held.append((second[at:end], fps[at:end]))
+    if held:
+        yield from made(last)
+    settle()
+
+
+def sketch_links(fps: DataFrame, block: int = PAIR, distance: int = DISTANCE) -> DataFrame:
+    """As links, of sketches: edges a, b that connect all that pairs of at most `distance` differing bits connect. A pair of tiles has about `block` sketches at most."""
+    n = fps.count()
+    tiles = max(1, -(-2 * n // block), min(TILES, n // LEAST))
+    dealt = fps.select("fp", F.pmod(F.xxhash64("fp"), F.lit(tiles)).alias("i")).select("fp", "i", F.explode(F.sequence(F.lit(0), F.lit(tiles - 1))).alias("j"))
+    pairs = dealt.select((F.least("i", "j") * tiles + F.greatest("i", "j")).alias("key"), (F.col("i") > F.col("j")).alias("second"), "fp")
+    shared = pairs.repartition(min(tiles * (tiles + 1) // 2, MOST_TASKS), "key").sortWithinPartitions("key")
+    return shared.mapInArrow(partial(_link_tiles, tiles=tiles, distance=distance), "a binary, b binary")
 
 
 def _with_component(rows: DataFrame, id_col: str, linked: Callable[[DataFrame], DataFrame]) -> DataFrame:

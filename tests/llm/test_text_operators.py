@@ -135,13 +135,13 @@ def brute_sketch(text, width=5):
     return out
 
 
-def brute_similar(sketches, distance=44, segments=9):
-    """Component of each id: links at `distance` bits or fewer with a segment of 16 bits that differs by one at most."""
+def brute_similar(sketches, distance=44):
+    """Component of each id: links at `distance` bits or fewer, of all pairs."""
     root, ids = {i: i for i in sketches}, sorted(sketches)
     for j in ids:
         for i in ids:
             x = sketches[i] ^ sketches[j]
-            if i < j and x.bit_count() <= distance and min((x >> 16 * k & 0xFFFF).bit_count() for k in range(segments)) <= 1:
+            if i < j and x.bit_count() <= distance:
                 a, b = sorted((root[i], root[j]))
                 root = {k: a if r == b else r for k, r in root.items()}
     return root
@@ -176,6 +176,39 @@ def test_similar_texts_against_brute_force(spark, block, monkeypatch):
     assert simhash.similar_texts(docs(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("block", [simhash.PAIR, 64])
+def test_sketch_links_leave_out_no_pair(spark, block):
+    """Pairs of 44 differing bits that no segment has near, pairs of 45, chains, and a crowd whose members all link."""
+    rng = random.Random(5)
+    spread = lambda bits: sum(1 << b for b in bits)
+    evenly = [16 * k + b for k in range(16) for b in ((1, 5, 9) if k < 12 else (3, 7))]
+    made = []
+    for k in range(20):
+        base = rng.getrandbits(256)
+        made += [base, base ^ spread(evenly[:44])] if k % 2 else [base, base ^ spread([*evenly[:44], 255])]
+    chain = [rng.getrandbits(256)]
+    for _ in range(30):
+        chain.append(chain[-1] ^ spread(rng.sample(range(256), 44)))
+    crowd = rng.getrandbits(256)
+    made = sorted({*made, *chain, *(crowd ^ spread(rng.sample(range(256), 22)) for _ in range(600))})
+    rng.shuffle(made)
+    fps = spark.createDataFrame([(bytearray(x.to_bytes(32, "little")),) for x in made], "fp binary")
+    edges = [(int.from_bytes(r.a, "little"), int.from_bytes(r.b, "little")) for r in simhash.sketch_links(fps, block).collect()]
+    index = {x: i for i, x in enumerate(made)}
+    want = brute_similar(dict(enumerate(made)))
+    parent = list(range(len(made)))
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for a, b in edges:
+        x, y = find(index[a]), find(index[b])
+        parent[max(x, y)] = min(x, y)
+    assert {i: find(i) for i in range(len(made))} == want
+
+
 def test_similar_texts_are_found():
     """Of pairs with a Jaccard of 0.8 or more nearly all link, of those under 0.6 none."""
     texts, jaccard = edited_copies(60)
