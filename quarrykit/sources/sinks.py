@@ -11,6 +11,9 @@ from ..operators.project import col
 from ..operators.schema import void_to_string
 from ..operators.shared import new_folder  # noqa: F401  callers know it from here
 
+#: Rows of a file that is written in order.
+FILE_ROWS = 2_000_000
+
 
 def overwrite(df: DataFrame, path: str, kind: str = "parquet") -> None:
     writer = void_to_string(df).write.mode("overwrite")
@@ -64,9 +67,11 @@ def summary_json(df: DataFrame, path: str) -> None:
     df.select(F.to_json(F.struct(*(col(c) for c in df.columns))).alias("value")).write.mode("overwrite").text(path)
 
 
-def compact(spark: SparkSession, path: str, to: str, key: str, partitions: int) -> None:
-    """Rewrites a table clustered by a key, so that files have narrow ranges of it."""
-    spark.read.parquet(path).repartitionByRange(partitions, key).sortWithinPartitions(key).write.mode("overwrite").parquet(to)
+def compact(spark: SparkSession, path: str, to: str, key: str, partitions: int, rows: int = FILE_ROWS) -> None:
+    """Rewrites a table clustered by a key, so that files have narrow ranges of it: so many files at least, and more where they would have over `rows` rows, since a task sorts a file."""
+    df = spark.read.parquet(path)
+    files = max(partitions, -(-df.count() // rows))
+    df.repartitionByRange(files, key).sortWithinPartitions(key).write.mode("overwrite").parquet(to)
 
 
 def split_by(df: DataFrame, path: str, column: str) -> None:

@@ -83,6 +83,15 @@ def test_file_sinks(spark, tmp_path):
     assert K.error_rows(df.select("id"), "u", "f.csv", "d", "BRA", F.current_timestamp()).columns == ["id", "upload_id", "file_name", "dataset", "country_code", "created_at"]
 
 
+def test_compacted_files_have_bounded_rows(spark, tmp_path):
+    """A larger table is written in more files, not in larger ones, since a task sorts a file."""
+    K.overwrite(spark.range(1000).repartition(3), str(tmp_path / "a"))
+    K.compact(spark, str(tmp_path / "a"), str(tmp_path / "b"), "id", 4, rows=100)
+    files = spark.read.parquet(str(tmp_path / "b")).groupBy(F.input_file_name()).agg(F.count("id").alias("n"), F.min("id").alias("low"), F.max("id").alias("high")).orderBy("low").collect()
+    assert len(files) == 10 and sum(f.n for f in files) == 1000 and max(f.n for f in files) < 200
+    assert all(a.high < b.low for a, b in zip(files, files[1:], strict=False))
+
+
 def test_snapshots(spark, tmp_path):
     store = K.Snapshots(spark, str(tmp_path / "snap"))
     assert store.latest() is None
