@@ -14,7 +14,7 @@ from ..operators.merge import KIND, VERSION, snapshot_diff
 from ..operators.project import col, comparable, free
 from ..operators.schema import void_to_string
 from ..operators.windows import union_by_name
-from .sinks import Snapshots
+from .sinks import FILE_ROWS, Snapshots
 
 BUCKET = "_bucket"
 #: Rows of a bucket that a table's first version aims at, and most buckets: each is a row of the driver's when versions are compared.
@@ -102,16 +102,16 @@ def curve(df: DataFrame, keys: Sequence[str], bits: int = CURVE_BITS) -> Column:
     A rank is a key's place among 2^bits - 1 approximate quantiles, so that any spread of values fills the curve; text is ranked by its first bytes. Nulls come first."""
     edges = [F.percentile_approx(_number(df, k), [n / 2**bits for n in range(1, 2**bits)], 10_000) for k in keys]
     found = df.agg(*edges).first()
-    out = F.lit(0).cast("bigint")
-    ranks = []
-    for k, some in zip(keys, found, strict=True):
-        bounds = sorted(set(some or []))
-        # the number of bounds at or under the value, by halving
-        ranks.append(F.when(_number(df, k).isNull(), 0).otherwise(_rank(_number(df, k), bounds)).cast("bigint"))
-    for b in range(bits - 1, -1, -1):
-        for r in ranks:
-            out = F.shiftleft(out, 1).bitwiseOR(F.shiftright(r, b).bitwiseAND(F.lit(1).cast("bigint")))
-    return out
+    ranks = [_rank(_number(df, k), sorted(set(some or [])), bits) for k, some in zip(keys, found, strict=True)]
+
+    def place(r: Column) -> Column:
+        out = F.lit(0).cast("bigint")
+        for b in range(bits - 1, -1, -1):
+            for n in range(len(keys)):
+                out = F.shiftleft(out, 1).bitwiseOR(F.shiftright(r[n], b).bitwiseAND(F.lit(1).cast("bigint")))
+        return out
+
+    return F.transform(F.array(F.array(*ranks)), place)[0]  # ranks are worked out once a row, though each of their bits is used
 
 
 def _number(df: DataFrame, key: str) -> Column:
@@ -123,8 +123,14 @@ def _number(df: DataFrame, key: str) -> Column:
     return col(key).cast("double")
 
 
-def _rank(value: Column, bounds: Sequence[float]) -> Column:
-    return F.size(F.filter(F.array(*map(F.lit, bounds)) if bounds else F.array().cast("array<double>"), lambda b: b <= value))
+def _rank(value: Column, bounds: Sequence[float], bits: int) -> Column:
+    """The number of bounds at or under the value, found by halving; 0 of null. There are under 2^bits bounds; NaN is over all others."""
+    if not bounds:
+        return F.lit(0).cast("bigint")
+    held, steps = F.array(*map(F.lit, bounds)), F.array(*(F.lit(1 << b) for b in range(bits - 1, -1, -1)))
+    under = lambda n, x: F.coalesce(F.get(held, n - 1) <= x, F.lit(False))  # noqa: E731  past the last bound it is null
+    found = F.transform(F.array(value), lambda x: F.aggregate(steps, F.lit(0), lambda n, step: F.when(under(n + step, x), n + step).otherwise(n)))
+    return found[0].cast("bigint")
 
 
 def cluster(df: DataFrame, keys: Sequence[str], files: int) -> DataFrame:
@@ -135,7 +141,7 @@ def cluster(df: DataFrame, keys: Sequence[str], files: int) -> DataFrame:
 
 
 def compact_tables(spark: SparkSession, paths: Sequence[str], keys: Sequence[str], file_bytes: int = FILE_BYTES) -> dict[str, int | str]:
-    """Each table (a folder of versions) clustered by those of the keys that it has and published as its next version: number of files, or why not. One that can't be read or has none of the keys
+    """Each table (a folder of versions) clustered by those of the keys that it has and published as its next version: number of files, which have FILE_ROWS rows or so at most, or why not. One that can't be read or has none of the keys
     doesn't keep the others from theirs."""
     done: dict[str, int | str] = {}
     for path in paths:
@@ -149,7 +155,7 @@ def compact_tables(spark: SparkSession, paths: Sequence[str], keys: Sequence[str
             if not own:
                 done[path] = "none of the keys"
                 continue
-            files = max(1, -(-bytes_of(spark, f"{path.rstrip('/')}/v={last}") // file_bytes))
+            files = max(1, -(-bytes_of(spark, f"{path.rstrip('/')}/v={last}") // file_bytes), -(-df.count() // FILE_ROWS))
             store.publish(cluster(df, own, files))
             done[path] = files
         except Exception as e:  # noqa: BLE001  an unreadable table is reported, not fatal

@@ -1,6 +1,7 @@
 """Versions whose equal buckets aren't read, clustering by several keys, kept counts of duplicates, the geodesic against plain Python."""
 
 import math
+import bisect
 import random
 import shutil
 
@@ -59,6 +60,18 @@ def test_clustering_reads_fewer_files(spark, tmp_path):
     assert content(K.Snapshots(spark, str(tmp_path / "t")).read(1)) == content(rows)
 
 
+def test_ranks_are_found_by_halving(spark):
+    """Ranks against bisect; the bounds of a key stand in the place's expression once, not once a bit."""
+    bounds = [-3.0, 0.0, 0.5, 2.0, 7.0, 8.0, 100.0]
+    values = [None, -4.0, -3.0, 0.2, 0.5, 1.0, 7.5, 8.0, 99.0, 100.0, 1e9]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    for n in range(len(bounds) + 1):
+        got = {r.v: r.r for r in df.select("v", V._rank(F.col("v"), bounds[:n], 3).alias("r")).collect()}
+        assert got == {v: 0 if v is None else bisect.bisect_right(bounds[:n], v) for v in values}
+    rows = spark.createDataFrame([(k % 97 + 0.25, k % 89) for k in range(500)], "a double, b int")
+    assert V.curve(rows, ["a", "b"])._jc.toString().count("50.25,") == 1
+
+
 def test_kept_counts_equal_counting_anew(spark, tmp_path):
     rng = random.Random(4)
     checks = {"id": ["id"], "place": ["a", "b"]}
