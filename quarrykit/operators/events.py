@@ -5,7 +5,6 @@ Times are timestamps of the session's zone (UTC)."""
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -42,30 +41,40 @@ def online_intervals(events: DataFrame, end: Column, device: str = "device_id",
     return next_.where(col(status) != DOWN).select(device, col(time).alias("start"), F.coalesce(F.col(f"next_{time}"), end).alias("end")).where("start < end")
 
 
-def hours_of(start: Column, end: Column) -> Column:
-    """The hours that a stretch touches."""
-    last = F.date_trunc("hour", F.timestamp_micros(F.unix_micros(end) - 1))
-    return F.sequence(F.date_trunc("hour", start), last, F.expr("INTERVAL 1 HOUR"))
+def uptime_spans(events: DataFrame, start: Column, end: Column, device: str = "device_id", time: str = "ts", status: str = "status", tie: str = "event_id") -> DataFrame:
+    """device and, for each hour of [start, end) in which it has an event, and start's if it had a state there: _hour, _us (time online in it), _n (its events), _on (whether it is online
+    from then on), and _first and _until (the hours that this row tells, _until exclusive). What a device's hours before its first are is told by its first row.
+
+    No more rows than events; one shuffle and one order, by device, hour and time, serve all windows."""
+    start, end, hour = start.cast("timestamp"), end.cast("timestamp"), F.expr("INTERVAL 1 HOUR")
+    rows = events.withColumn(time, col(time).cast("timestamp"))
+    known = rows.where((col(time) >= start) & (col(time) < end)).select(device, time, status, F.col(tie).cast("bigint").alias(tie), F.lit(1).alias("_event"))
+    earlier = last_before(rows, device, time, status, start, tie).where(start < end).select(device, start.alias(time), status, F.lit(-1).cast("bigint").alias(tie), F.lit(0).alias("_event"))
+    line = Window.partitionBy(device).orderBy("_hour", time, tie)
+    so_far = Window.partitionBy(device, "_hour").orderBy(time, tie).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    seen = known.unionByName(earlier).withColumns({"_hour": F.date_trunc("hour", time), "_on": F.coalesce(col(status) != DOWN, F.lit(False))})
+    seen = seen.withColumns({"_next": F.lead(time).over(line), "_before": F.lag("_hour").over(line), "_was": F.lag("_on").over(line), "_start": F.lag("_event").over(line).isNull()})
+    carried = F.when(F.col("_was") & (F.col("_before") < F.col("_hour")), micros(F.col("_hour"), col(time))).otherwise(F.lit(0))  # by the hour's first row
+    own = F.when(F.col("_on"), micros(col(time), F.least(F.coalesce("_next", end), F.col("_hour") + hour))).otherwise(F.lit(0))
+    told = seen.withColumns({"_us": F.sum(own + carried).over(so_far), "_n": F.sum("_event").over(so_far), "_start": F.max("_start").over(so_far)})
+    last = told.where(F.col("_next").isNull() | (F.col("_next") >= F.col("_hour") + hour))
+    return last.select(device, "_hour", "_us", "_n", "_on", F.when(F.col("_start"), start).otherwise(F.col("_hour")).alias("_first"), F.coalesce(F.date_trunc("hour", "_next"), end).alias("_until"))
+
+
+def hours_of_spans(spans: DataFrame, device: str = "device_id") -> DataFrame:
+    """device, hour, uptime_percentage, count_state of the hours that rows of uptime_spans tell, and further columns of theirs. Hours are made in place and aren't grouped."""
+    others = [c for c in spans.columns if c not in (device, "_hour", "_us", "_n", "_on", "_first", "_until")]
+    hours = spans.withColumn("hour", F.explode(F.sequence("_first", F.col("_until") - F.expr("INTERVAL 1 HOUR"), F.expr("INTERVAL 1 HOUR"))))
+    own = F.col("hour") == F.col("_hour")
+    us = F.when(own, F.col("_us")).when(F.col("_on") & (F.col("hour") > F.col("_hour")), F.lit(3_600_000_000)).otherwise(F.lit(0))
+    return hours.select(device, "hour", percent_of_hour(us).alias("uptime_percentage"), F.when(own, F.col("_n")).otherwise(F.lit(0)).alias("count_state"), *map(col, others))
 
 
 def hourly_uptime(events: DataFrame, start: Column, end: Column, device: str = "device_id", time: str = "ts", status: str = "status", tie: str = "event_id") -> DataFrame:
     """device, hour, uptime_percentage, count_state for every device and hour of [start, end), zero-filled.
 
-    start and end are whole hours. Each device's earlier state counts from start on. The grid is each device's own sequence of hours,
-    so no table is crossed with another."""
-    start, end = start.cast("timestamp"), end.cast("timestamp")
-    rows = events.withColumn(time, col(time).cast("timestamp"))
-    known = seeded(rows, start, device, time, status, tie).where(col(time) < end)
-    on = online_intervals(known, end, device, time, status, tie).withColumn("hour", F.explode(hours_of(F.col("start"), F.col("end"))))
-    clipped = micros(F.greatest("start", "hour"), F.least("end", F.col("hour") + F.expr("INTERVAL 1 HOUR")))
-    # states, time online and the empty hours of the grid are rows of one union, summed by one shuffle
-    parts = [
-        on.select(device, "hour", clipped.alias("us"), F.lit(0).alias("n")),
-        rows.where((col(time) >= start) & (col(time) < end)).select(device, F.date_trunc("hour", time).alias("hour"), F.lit(0), F.lit(1)),
-        known.select(device).distinct().select(device, F.explode(hours_of(start, end)).alias("hour"), F.lit(0), F.lit(0)),
-    ]
-    total = reduce(lambda a, b: a.union(b), parts).groupBy(device, "hour").agg(F.sum("us").alias("us"), F.sum("n").alias("count_state"))
-    return total.select(device, "hour", percent_of_hour(F.col("us")).alias("uptime_percentage"), "count_state")
+    start and end are whole hours. Each device's earlier state counts from start on."""
+    return hours_of_spans(uptime_spans(events, start, end, device, time, status, tie), device)
 
 
 def reprocess_from(events: DataFrame, done: DataFrame, time: str = "ts", back: str = "2 hours") -> DataFrame:

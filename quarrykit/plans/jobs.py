@@ -149,8 +149,8 @@ def list_job(df: DataFrame, mapping: Mapping[str, str], base: DataFrame, key: st
 
 
 def uptime_job(events: DataFrame, devices: DataFrame, start: Column, end: Column) -> DataFrame:
-    """Hourly uptime with each device's attributes."""
-    return J.lookup(E.hourly_uptime(events, start, end), devices, "device_id", [c for c in devices.columns if c != "device_id"])
+    """Hourly uptime with each device's attributes, which are looked up before hours are made."""
+    return E.hours_of_spans(J.lookup(E.uptime_spans(events, start, end), devices, "device_id", [c for c in devices.columns if c != "device_id"]))
 
 
 def registry_job(registry: DataFrame, incoming: DataFrame) -> DataFrame:

@@ -198,6 +198,18 @@ def test_hourly_uptime(spark):
     assert got["c", 4] == (0.028, 1) and got["c", 1] == (0.0, 0)
 
 
+def test_hours_are_not_grouped(spark):
+    """The plan has no aggregate or shuffle over hours, of which there are far more than events: rows are shuffled once, before hours are made."""
+    at = lambda t: F.lit(t).cast("timestamp")
+    one = ("e", ev("2024-01-01 01:30"), None, 7), ("e", ev("2024-01-01 01:30"), "online", 8), ("f", ev("2023-12-31 01:30"), "online", 9), (None, ev("2024-01-01 02:30"), "online", 10)
+    made = E.hourly_uptime(events(spark, [*EVENTS, *one]), at("2024-01-01 01:00"), at("2024-01-01 05:00"))
+    got = {(r.device_id, r.hour.hour): (r.uptime_percentage, r.count_state) for r in made.collect()}
+    assert [got["e", h] for h in (1, 2)] == [(50.0, 2), (100.0, 0)] and [got["f", h] for h in (1, 4)] == [(100.0, 0)] * 2
+    assert [got[None, h] for h in (1, 2, 3)] == [(0.0, 0), (50.0, 1), (100.0, 0)] and len(got) == made.count() == 24
+    plan = made._jdf.queryExecution().optimizedPlan().toString().split("Generate explode")
+    assert len(plan) == 2 and "Aggregate" not in plan[0] and "Union" not in plan[0]
+
+
 def test_uptime_is_rounded_half_up(spark, tmp_path):
     """Hours whose time online lies halfway between two thousandths of a percent, in one stretch and in three; the query against its SQL and whole numbers."""
     rows, want = [], {}
