@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import geo, profiles
 from .joins import similar_pairs
 from .project import col, decimals
+from .shared import cut
 from .windows import no_location, with_group_size
 
 COORDINATES = ("latitude", "longitude")
@@ -240,8 +241,10 @@ def default_critical(dataset: str) -> list[str]:
 
 
 def suite(df: DataFrame, dataset: str, year: int, *, always: Sequence[str] | None = None, create_only: Sequence[str] = (), sides: DataFrame | None = None, id_col: str | None = None, polygon: str | None = None, most_km: float = 1.5) -> DataFrame:
-    """All checks of a dataset in their order; with boundary edges also the geographic one. For geolocation the critical error comes before the relations."""
-    base = df
+    """All checks of a dataset in their order; with boundary edges also the geographic one. For geolocation the critical error comes before the relations.
+
+    The rows are dealt out evenly and checkpointed once: every count of the suite reads them again, and a table of few bytes, which Spark reads in few tasks, can have many rows."""
+    df = base = cut(df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     df = standard_checks(df, dataset, year)
     if dataset in ("master", "geolocation"):
         df = duplicate_set_checks(df, base=base)

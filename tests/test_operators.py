@@ -42,6 +42,14 @@ def test_checks_on_null_absent_and_bad(spark):
     assert values(C.completeness_checks(nan, []), "dq_is_null_optional-latitude") == [(1,), (0,), (1,)]
 
 
+def test_a_suite_reads_its_rows_once(spark):
+    """All counts of a suite read rows that were dealt out once, not the table's own few partitions again and again."""
+    rows = spark.range(60).coalesce(1).selectExpr("CAST(id AS STRING) AS school_id_giga", "CAST(id % 50 AS STRING) AS school_id_govt", "'a' AS school_name", "'Primary' AS education_level", "1.5D AS latitude", "id + 0.5D AS longitude")
+    made = C.suite(rows, "geolocation", 2024)
+    assert made.count() == 60 and "Range" not in made._jdf.queryExecution().optimizedPlan().toString()
+    assert made.where("`dq_duplicate-school_id_govt` = 1").count() == 20
+
+
 def test_decimals_of_text(spark):
     df = spark.createDataFrame([("1.50",), ("7",), ("1.5E-4",), ("1.0E7",), (None,), ("-3.123",)], "x string").coalesce(1)
     assert values(df.select(P.decimals("x").alias("n")), "n") == [(2,), (0,), (5,), (0,), (None,), (3,)]
